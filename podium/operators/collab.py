@@ -1,8 +1,8 @@
 """Popularity, rating matrix, centred truncated SVD, CF scoring and RMSE/MAE.
 
-Tables stay long (``user_idx, podcast_idx, value``); the SVD is MLlib's
-distributed Gramian route (``IndexedRowMatrix.computeSVD``) so only the
-``n_items x k`` right factor lives on the driver, as in MLlib itself.
+Tables stay long (``user_idx, podcast_idx, value``); the SVD takes MLlib's
+Gramian route, so only ``n_items x n_items`` and ``n_items x k`` matrices live
+on the driver. Beyond ``MAX_SVD_ITEMS`` items use ALS instead.
 """
 from __future__ import annotations
 
@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dot
+from ..session import reliable_checkpoint
 
 # Above this many items the n x n Gramian no longer fits one task; use ALS.
-MAX_SVD_ITEMS = 20_000
+MAX_SVD_ITEMS = 15_000
 
 
 def one_row(df: DataFrame):
@@ -66,8 +67,16 @@ class CFModel:
 def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
            n_factors: int = 64) -> CFModel:
     """Centre stored cells by the user mean (zeros stay zero), truncated SVD,
-    ``P = U * S``, ``Q = V`` (C1). ``k`` is clamped to the item count."""
-    from pyspark.mllib.linalg import Vectors
+    ``P = U * S = A V``, ``Q = V`` (C1). ``k`` is clamped to the item count.
+
+    One distributed pass builds the Gramian ``A^T A`` (MLlib treeAggregate);
+    its eigendecomposition on the driver gives ``V`` and ``S`` (the matrix is
+    ``n_items x n_items``, bounded by ``MAX_SVD_ITEMS``); ``A V`` is a
+    distributed multiply in the JVM. The row matrix is persisted for the two
+    passes so its lineage runs once."""
+    import numpy as np
+    from pyspark import StorageLevel
+    from pyspark.mllib.linalg import Matrices, Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
     spark = train.sparkSession
@@ -88,15 +97,25 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
         cs = sorted((int(c[0]), float(c[1])) for c in r["cells"])
         return IndexedRow(int(r["user_idx"]), Vectors.sparse(ni, [c[0] for c in cs], [c[1] for c in cs]))
 
-    mat = IndexedRowMatrix(rows.rdd.map(to_row), numRows=int(n_users), numCols=ni)
-    k = max(1, min(int(n_factors), ni))
-    svd = mat.computeSVD(k, computeU=True)
-    s = [float(x) for x in svd.s.toArray()]
-    k_eff = len(s)
-    user_f = svd.U.rows.map(
-        lambda r: (int(r.index), [float(r.vector[i]) * s[i] for i in range(k_eff)]))
-    user_factors = spark.createDataFrame(user_f, "user_idx int, factors array<double>")
-    v = svd.V.toArray()  # n_items x k, already on the driver inside MLlib
+    rdd = rows.rdd.map(to_row).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        mat = IndexedRowMatrix(rdd, numRows=int(n_users), numCols=ni)
+        gram = mat.computeGramianMatrix().toArray()
+        lam, vec = np.linalg.eigh(gram)
+        order = np.argsort(lam)[::-1]
+        lam, vec = lam[order], vec[:, order]
+        k = max(1, min(int(n_factors), ni))
+        keep = [i for i in range(k) if lam[i] > 1e-9 * max(lam[0], 1e-300)]
+        k_eff = max(1, len(keep))
+        v = vec[:, :k_eff]
+        s = [float(np.sqrt(max(x, 0.0))) for x in lam[:k_eff]]
+        av = mat.multiply(Matrices.dense(ni, k_eff, v.flatten(order="F").tolist()))
+        user_factors = spark.createDataFrame(
+            av.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])),
+            "user_idx int, factors array<double>")
+        user_factors = reliable_checkpoint(user_factors)
+    finally:
+        rdd.unpersist()
     item_factors = spark.createDataFrame(
         [(int(i), [float(x) for x in v[i]]) for i in range(v.shape[0])],
         "podcast_idx int, factors array<double>")

@@ -431,3 +431,106 @@ SQL_QUERIES = {
     "should_retrain": q_should_retrain,
     "dedup_first": q_dedup_first,
 }
+
+
+# ---------------------------------------------------------------- models and serving (row checks)
+QUERY_PARAMS = {"n_factors": 64, "n_trees": 20, "learning_rate": 0.05, "top_k": TOP_K,
+                "candidate_pool_size": 100, "diversity_penalty": LAMBDA, "encoder_dim": 256}
+_MODELS: dict = {}
+
+
+def fitted(spark, d):
+    """Fitted pipeline for one sf_dir, built once per session."""
+    from . import pipeline
+    key = (id(spark), d)
+    if key not in _MODELS:
+        p = prepared(spark, d)
+        ds = prepare.Dataset(p.items, p.active, p.train, p.test, p.user_index, p.item_index)
+        _MODELS[key] = pipeline.fit_pipeline(ds, QUERY_PARAMS)
+    return _MODELS[key]
+
+
+def q_cf_fit(spark, d):
+    """Item factors of the centred truncated SVD."""
+    cf = collab.fit_cf(prepared(spark, d).train, prepared(spark, d).user_index,
+                       prepared(spark, d).item_index, QUERY_PARAMS["n_factors"])
+    return cf.item_factors
+
+
+def q_cf_scores(spark, d):
+    """C2 over every (user, test item) candidate, min-max per known user."""
+    model, _ = fitted(spark, d)
+    return collab.score_cf(model.cf, _test_candidates(prepared(spark, d)))
+
+
+def q_ranker_fit(spark, d):
+    """R2: feature importances of the fitted ranker."""
+    model, _ = fitted(spark, d)
+    return rank.feature_importances(model.ranker, spark)
+
+
+def q_ranker_scores(spark, d):
+    """R3 on each user's unseen test items: predict, min-max, MMR top 10."""
+    model, _ = fitted(spark, d)
+    p = prepared(spark, d)
+    cand = _test_candidates(p).join(p.items.select(*rank.ITEM_FEATURES), "podcast_id", "left")
+    return rank.rank_candidates(model.ranker, cand, TOP_K, LAMBDA, history=p.train)
+
+
+def q_pipeline_fit(spark, d):
+    """V5: one run record with the fit metrics and timings."""
+    from . import pipeline
+    model, metrics = fitted(spark, d)
+    return pipeline.run_record(spark, model.params, metrics, run_id="query-run")
+
+
+def q_run_leaderboard(spark, d):
+    """Append the run to a runs table in the shared folder, read the board."""
+    from ..session import scratch_path
+    from . import pipeline
+    import uuid
+    model, metrics = fitted(spark, d)
+    path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    pipeline.append_run(pipeline.run_record(spark, model.params, metrics), path)
+    return pipeline.leaderboard(spark.read.parquet(path))
+
+
+def q_recommend_batch(spark, d):
+    """V2 for every active user without a query: all items are candidates."""
+    from .serve import recommend_batch
+    model, _ = fitted(spark, d)
+    users = prepared(spark, d).user_index.select("user_id")
+    return recommend_batch(model, users)
+
+
+def q_recommend_user(spark, d):
+    """V1: every user with a query text taken from their latest train item
+    (distinct query texts are retrieved once), history excluded by the ranker."""
+    from .serve import recommend_batch
+    model, _ = fitted(spark, d)
+    p = prepared(spark, d)
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy(F.col("timestamp").desc(), F.col("podcast_id").desc())
+    last = p.train.withColumn("_r", F.row_number().over(w)).where("_r = 1").join(
+        p.items.select("podcast_id", "title"), "podcast_id")
+    req = last.select("user_id", F.col("title").alias("query"))
+    return recommend_batch(model, req)
+
+
+def q_embed_text(spark, d):
+    """Every document, whole text, hashed TF-IDF, L2-normalised."""
+    docs = views.table(spark, d, "documents").select("doc_id", "text")
+    return retrieve.embed_text(docs, "doc_id")
+
+
+ROWS_QUERIES = {
+    "cf_fit": q_cf_fit,
+    "cf_scores": q_cf_scores,
+    "ranker_fit": q_ranker_fit,
+    "ranker_scores": q_ranker_scores,
+    "pipeline_fit": q_pipeline_fit,
+    "run_leaderboard": q_run_leaderboard,
+    "recommend_batch": q_recommend_batch,
+    "recommend_user": q_recommend_user,
+    "embed_text": q_embed_text,
+}
