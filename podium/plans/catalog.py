@@ -534,3 +534,95 @@ ROWS_QUERIES = {
     "recommend_user": q_recommend_user,
     "embed_text": q_embed_text,
 }
+
+
+# ---------------------------------------------------------------- ingest
+from ..operators import ingest  # noqa: E402
+
+RUN_TS = "2024-02-01 00:00:00"
+
+
+def q_jsonl_scan(spark, d):
+    """S8 then S2: land the derived feed records as JSONL in the shared
+    folder and read them back with the declared schema (FAILFAST)."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"landed-{uuid.uuid4().hex}")
+    views.feed_records(spark, d).drop("_line").write.mode("overwrite").json(path)
+    return ingest.read_feed_jsonl(spark, path).drop("_line")
+
+
+def q_feeds_to_items(spark, d):
+    return ingest.feeds_to_items(views.feed_records(spark, d), RUN_TS)
+
+
+def q_feeds_to_interactions(spark, d):
+    out = ingest.feeds_to_interactions(views.feed_records(spark, d), RUN_TS)
+    return out.select("user_id", "podcast_id", "rating", ts_string("timestamp").alias("ts"))
+
+
+def q_release_year(spark, d):
+    return ingest.feeds_to_items(views.feed_records(spark, d), RUN_TS).select("podcast_id", "release_year")
+
+
+def q_entry_index(spark, d):
+    """Entry position and its synthetic user."""
+    raw = views.feed_records(spark, d)
+    ex = raw.select(ingest.sha_prefix_id(F.col("feed_url"), ingest.RSS_PREFIX).alias("podcast_id"),
+                    F.posexplode("entries").alias("idx", "e"))
+    return ex.select("podcast_id", F.col("idx").cast("long").alias("idx"),
+                     F.format_string("rss_user_%03d", F.pmod(F.col("idx"), F.lit(ingest.RSS_USERS))).alias("user_id"))
+
+
+def q_scrape_summary(spark, d):
+    raw = views.feed_records(spark, d)
+    return ingest.scrape_summary(views.feed_state(raw), raw)
+
+
+def q_feed_state_merge(spark, d):
+    """Previous landing of every feed, then a run where feeds of even
+    blocks answer 304 (not modified) and the rest 200."""
+    prev = views.feed_records(spark, d).drop("_line")
+    prev_state = views.feed_state(prev)
+    even = F.pmod(F.element_at(F.split("feed_url", "/"), -1).cast("long"), F.lit(2)) == 0
+    landed_state = views.feed_state(prev, F.when(even, 304).otherwise(200))
+    landed = prev.join(landed_state.where("status = 200").select("feed_url"), "feed_url", "left_semi") \
+                 .withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z"))
+    payload, state = ingest.merge_feed_snapshots(prev, prev_state, landed, landed_state)
+    return payload.select("feed_url", "last_scraped_at", F.size("entries").alias("n_entries")) \
+                  .join(state, "feed_url", "left")
+
+
+def q_reviews_to_items(spark, d):
+    it = ingest.reviews_to_items(views.reviews(spark, d), RUN_TS)
+    return it.select("podcast_id", "title", "description", "category", "avg_duration_min",
+                     "total_episodes", "play_count", "release_year")
+
+
+def q_reviews_to_interactions(spark, d):
+    out = ingest.reviews_to_interactions(views.reviews(spark, d), RUN_TS)
+    return out.select("user_id", "podcast_id", r6("rating").alias("rating"), ts_string("timestamp").alias("ts"))
+
+
+def q_best_reviews_file(spark, d):
+    """Three CSV exports of the review table with different columns in
+    the shared folder; the best-scoring file wins and is read in full."""
+    import uuid
+    from ..session import scratch_path
+    base = scratch_path(spark, f"reviews-{uuid.uuid4().hex}")
+    rv = views.reviews(spark, d)
+    rv.select("row_id", "podcast_name", "review_text", "rating", "category").write.option("header", True).csv(base + "/a_full.csv")
+    rv.select("row_id", "review_text").write.option("header", True).csv(base + "/b_text.csv")
+    rv.select("row_id", "podcast_name").write.option("header", True).csv(base + "/c_names.csv")
+    best, score = ingest.best_reviews_file(spark, [base + "/a_full.csv", base + "/b_text.csv", base + "/c_names.csv"])
+    return spark.read.option("header", True).csv(best).withColumn("file_score", F.lit(score))
+
+
+SQL_QUERIES.update({"scrape_summary": q_scrape_summary, "reviews_to_items": q_reviews_to_items,
+                    "reviews_to_interactions": q_reviews_to_interactions})
+ROWS_QUERIES.update({
+    "jsonl_scan": q_jsonl_scan, "feeds_to_items": q_feeds_to_items,
+    "feeds_to_interactions": q_feeds_to_interactions, "release_year": q_release_year,
+    "entry_index": q_entry_index, "feed_state_merge": q_feed_state_merge,
+    "best_reviews_file": q_best_reviews_file,
+})

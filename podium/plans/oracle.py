@@ -369,3 +369,41 @@ SQL["dedup_first"] = """
 SELECT conv_id, turn, role, text FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS rn FROM conversations)
 WHERE rn = 1"""
+
+SQL["scrape_summary"] = """
+WITH f AS (SELECT 'https://feeds.example.org/' || source || '/' || CAST(floor(doc_id / 64) AS BIGINT) AS feed_url,
+                  count(*) AS n FROM documents GROUP BY 1)
+SELECT 'feeds_total' AS metric, CAST(count(*) AS BIGINT) AS value FROM f
+UNION ALL SELECT 'feeds_success', CAST(count(*) AS BIGINT) FROM f
+UNION ALL SELECT 'feeds_failed', CAST(0 AS BIGINT)
+UNION ALL SELECT 'episodes_new', CAST(sum(n) AS BIGINT) FROM f
+UNION ALL SELECT 'episodes_failed', CAST(0 AS BIGINT)"""
+
+_REV = f"""WITH rv AS (
+  SELECT d.doc_id AS row_id, d.source AS podcast_name, d.text AS review_text,
+         CAST(l.quality AS VARCHAR) AS rating, d.lang AS category
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+w AS (
+  SELECT row_number() OVER (ORDER BY row_id) - 1 AS pos,
+         regexp_replace(coalesce(podcast_name, 'Unknown Podcast'), '^{WS}+|{WS}+$', '', 'g') AS t,
+         coalesce(review_text, '') AS txt, category,
+         least(greatest(coalesce(TRY_CAST(rating AS DOUBLE), 4.0), 0.0), 5.0) AS rating
+  FROM rv),
+w2 AS (
+  SELECT *, 'kaggle_' || regexp_replace(regexp_replace(lower(t), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS podcast_id
+  FROM w)"""
+
+SQL["reviews_to_items"] = _REV + f"""
+SELECT podcast_id, arg_min(t, pos) AS title,
+       coalesce(nullif(regexp_replace(array_to_string(list_filter((list(txt ORDER BY pos))[1:5], lambda x: x <> ''), ' '),
+                                      '^{WS}+|{WS}+$', '', 'g'), ''), 'Podcast from Kaggle reviews dataset') AS description,
+       arg_min(category, pos) FILTER (WHERE category IS NOT NULL) AS category,
+       CAST(45 AS INTEGER) AS avg_duration_min, CAST(count(*) AS BIGINT) AS total_episodes,
+       CAST(greatest(count(*), 1) * 100 AS DOUBLE) AS play_count, CAST(2024 AS INTEGER) AS release_year
+FROM w2 GROUP BY podcast_id"""
+
+SQL["reviews_to_interactions"] = _REV + """
+SELECT user_id, podcast_id, round(arg_min(rating, pos), 6) AS rating, ts FROM (
+  SELECT 'kaggle_user_' || lpad(CAST(pos AS VARCHAR), 6, '0') AS user_id, podcast_id, rating, pos,
+         '2024-02-01 00:00:00' AS ts FROM w2)
+GROUP BY user_id, podcast_id, ts"""

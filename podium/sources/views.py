@@ -88,3 +88,46 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("review_text"),
         F.col("quality").cast("string").alias("rating"),
         F.col("lang").alias("category"))
+
+
+# Landed feed records derived from ``documents``: one feed per (source, block
+# of 64 document ids), entries in document order. The fixed run time stands in
+# for the scrape time.
+FEED_RUN_TS = "2024-02-01T00:00:00Z"
+FEED_BLOCK = 64
+
+
+def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw feed records shaped like the landed JSONL (nested feed and entries)
+    plus ``_line``, the landing order. Entry arrays are bounded by the block."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    block = F.floor(F.col("doc_id") / F.lit(FEED_BLOCK)).cast("long")
+    url = F.concat(F.lit("https://feeds.example.org/"), F.col("source"), F.lit("/"), block.cast("string"))
+    day = F.date_add(F.lit("2023-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(365)).cast("int"))
+    entry = F.struct(
+        F.when(F.pmod(F.col("doc_id"), F.lit(5)) == 0, F.lit("")).otherwise(
+            F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))).alias("id"),
+        F.lit(None).cast("string").alias("guid"),
+        F.concat(F.lit("https://docs.example.org/"), F.col("doc_id").cast("string")).alias("link"),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:30:00+05:00")).alias("published"),
+        F.lit(None).cast("string").alias("updated"),
+        F.lit(None).cast("string").alias("published_parsed"))
+    g = docs.select(url.alias("feed_url"), "source", "lang", "doc_id", entry.alias("e")).groupBy("feed_url").agg(
+        F.first("source").alias("source"),
+        F.array_sort(F.collect_set("lang")).alias("langs"),
+        F.array_sort(F.collect_list(F.struct("doc_id", "e"))).alias("_es"))
+    rec = g.select(
+        "feed_url", F.lit(FEED_RUN_TS).alias("last_scraped_at"),
+        F.substring(F.sha2("feed_url", 256), 1, 16).alias("etag"),
+        F.lit(None).cast("string").alias("last_modified"),
+        F.struct(F.col("source").alias("title"), F.lit("").alias("subtitle"),
+                 F.concat(F.lit("Feed of "), F.col("source")).alias("description"),
+                 F.slice("langs", 1, 5).alias("tags")).alias("feed"),
+        F.transform("_es", lambda s: s["e"]).alias("entries"))
+    return rec.orderBy("feed_url").withColumn("_line", F.monotonically_increasing_id())
+
+
+def feed_state(records: DataFrame, status_expr=None) -> DataFrame:
+    """``(feed_url, etag, last_modified, status)`` of a landing run."""
+    st = status_expr if status_expr is not None else F.lit(200)
+    return records.select("feed_url", "etag", "last_modified", st.cast("int").alias("status"))
