@@ -183,3 +183,63 @@ def window_label(df: DataFrame, ts_col: str = "ts", current_days: int = CURRENT_
     t = F.unix_micros(F.col(ts_col))
     lab = F.when(t >= cur_start, "current").when((t >= ref_start) & (t < cur_start), "reference")
     return df.withColumn("window", lab)
+
+
+# Thresholds of the per-column drift tests (parameters, not from the reference).
+KS_THRESHOLD = 0.1
+JS_THRESHOLD = 0.1
+DATASET_DRIFT_SHARE = 0.5
+
+
+def column_drift(reference: DataFrame, current: DataFrame, numeric, categorical,
+                 ks_threshold: float = KS_THRESHOLD, js_threshold: float = JS_THRESHOLD) -> DataFrame:
+    """D3 per column: two-sample Kolmogorov-Smirnov distance for numeric
+    columns (from cumulative counts over the distinct values, exact and
+    distributed) and Jensen-Shannon distance (natural log) for categorical
+    ones. ``(feature, stat_test, statistic, threshold, drifted)``."""
+    from .ordering import prefix_sums
+    parts = []
+    if numeric:
+        r = unpivot(reference, numeric).withColumn("side", F.lit("r"))
+        c = unpivot(current, numeric).withColumn("side", F.lit("c"))
+        cnt = r.unionByName(c).groupBy("feature", "value").agg(
+            F.count_if(F.col("side") == "r").cast("double").alias("nr"),
+            F.count_if(F.col("side") == "c").cast("double").alias("nc"))
+        tot = cnt.groupBy("feature").agg(F.sum("nr").alias("tr"), F.sum("nc").alias("tc"))
+        cum = prefix_sums(cnt, "feature", "value", ["nr", "nc"])
+        d = cum.join(F.broadcast(tot), "feature").select(
+            "feature", F.abs(F.try_divide(F.col("cum_nr"), F.col("tr")) - F.try_divide(F.col("cum_nc"), F.col("tc"))).alias("d"))
+        ks = d.groupBy("feature").agg(F.max("d").alias("statistic"))
+        parts.append(ks.select("feature", F.lit("ks").alias("stat_test"), "statistic",
+                               F.lit(ks_threshold).alias("threshold")))
+    if categorical:
+        r = unpivot(reference, categorical, "string").withColumn("side", F.lit("r"))
+        c = unpivot(current, categorical, "string").withColumn("side", F.lit("c"))
+        cnt = r.unionByName(c).groupBy("feature", "value").agg(
+            F.count_if(F.col("side") == "r").cast("double").alias("nr"),
+            F.count_if(F.col("side") == "c").cast("double").alias("nc"))
+        tot = cnt.groupBy("feature").agg(F.sum("nr").alias("tr"), F.sum("nc").alias("tc"))
+        p = F.col("nr") / F.col("tr")
+        q = F.col("nc") / F.col("tc")
+        m = (p + q) / 2
+        kl = lambda a: F.when(a > 0, a * F.log(a / m)).otherwise(F.lit(0.0))
+        js = cnt.join(F.broadcast(tot), "feature").groupBy("feature").agg(
+            F.sum(kl(p) / 2 + kl(q) / 2).alias("jsd"))
+        parts.append(js.select("feature", F.lit("jensenshannon").alias("stat_test"),
+                               F.sqrt(F.greatest(F.col("jsd"), F.lit(0.0))).alias("statistic"),
+                               F.lit(js_threshold).alias("threshold")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out.withColumn("drifted", F.col("statistic") > F.col("threshold"))
+
+
+def drift_share(col_drift: DataFrame, drift_threshold: float = DRIFT_THRESHOLD,
+                dataset_share: float = DATASET_DRIFT_SHARE) -> DataFrame:
+    """D3 summary: share of drifted columns; dataset drift when the share
+    reaches ``dataset_share``; ``has_drift = dataset_drift or share > threshold``."""
+    a = col_drift.agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drifted").alias("n_drifted"))
+    share = F.col("n_drifted") / F.greatest(F.col("n_columns"), F.lit(1))
+    return a.select(F.col("n_columns").cast("long"), F.col("n_drifted").cast("long"), share.alias("drift_share"),
+                    (share >= F.lit(dataset_share)).alias("dataset_drift"),
+                    ((share >= F.lit(dataset_share)) | (share > F.lit(drift_threshold))).alias("has_drift"))

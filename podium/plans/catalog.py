@@ -626,3 +626,92 @@ ROWS_QUERIES.update({
     "entry_index": q_entry_index, "feed_state_merge": q_feed_state_merge,
     "best_reviews_file": q_best_reviews_file,
 })
+
+
+# ---------------------------------------------------------------- drift share, sampling, streaming
+from ..operators import sampling  # noqa: E402
+
+
+def q_drift_share(spark, d):
+    """D3 per column: KS distance (value, k) and JS distance (event_type)
+    between the reference and current windows of the events table."""
+    ref, cur = _windows(spark, d)
+    cd = monitor.column_drift(ref, cur, ["value", "k"], ["event_type"])
+    return cd.select("feature", "stat_test", r6("statistic").alias("statistic"), "drifted")
+
+
+def q_dataset_drift(spark, d):
+    """D3 summary row: share of drifted columns and the drift flags."""
+    ref, cur = _windows(spark, d)
+    cd = monitor.column_drift(ref, cur, ["value", "k"], ["event_type"])
+    return monitor.drift_share(cd).select("n_columns", "n_drifted", r6("drift_share").alias("drift_share"),
+                                          "dataset_drift", "has_drift")
+
+
+def q_weighted_sample(spark, d):
+    """G1: per user, 5 of their train items drawn with probability
+    proportional to the user's share of the item's category."""
+    p = prepared(spark, d)
+    prefs = rank.category_prefs(p.train, p.items)
+    cand = (p.train.select("user_id", "podcast_id").distinct()
+            .join(p.items.select("podcast_id", "category"), "podcast_id", "left")
+            .join(prefs, ["user_id", "category"], "left"))
+    return sampling.weighted_sample(cand, "user_id", "podcast_id", "share", 5, seed=42)
+
+
+def q_downsample(spark, d):
+    """K8: exactly 20,000 active interactions by a seeded hash."""
+    p = prepared(spark, d)
+    return sampling.downsample(_rows_out(p.active), 20_000, ["user_id", "podcast_id", "rating", "ts"], seed=42)
+
+
+def _land_events(spark, d, base):
+    """Land the events table as four time-ordered files (arrival order)."""
+    ev = views.table(spark, d, "events")
+    src = base + "/source"
+    ev.repartitionByRange(4, "ts").write.mode("overwrite").parquet(src)
+    return ev.schema, src
+
+
+def q_online_drift(spark, d):
+    """Stream the landed events through per-feature binning against the
+    reference window's edges, 7-day tumbling windows with a 1-day watermark;
+    PSI per window from the sink."""
+    import uuid
+    from ..session import scratch_path
+    from ..streaming import online
+    base = scratch_path(spark, f"online-drift-{uuid.uuid4().hex}")
+    schema, src = _land_events(spark, d, base)
+    ref, _ = _windows(spark, d)
+    edges = online.reference_edges(ref, ["value", "k"])
+    landed = spark.read.parquet(src).select("ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    landed.write.mode("overwrite").parquet(base + "/features")
+    q = online.start_online_drift(spark, base + "/features", landed.schema, edges, base + "/sink", base + "/ckpt")
+    q.awaitTermination()
+    counts = online.latest_counts(spark, base + "/sink")
+    psi = online.window_psi(online.reference_counts(ref, edges), counts)
+    return psi.select(ts_string("window_start").alias("window_start"), "feature", r6("psi").alias("psi"),
+                      F.col("n_current").cast("long"))
+
+
+def q_feed_landing(spark, d):
+    """Two landing waves of JSONL feed records (the second re-scrapes the
+    odd blocks later) streamed into the log; current payload per feed."""
+    import uuid
+    from ..session import scratch_path
+    from ..streaming import online
+    base = scratch_path(spark, f"feed-landing-{uuid.uuid4().hex}")
+    rec = views.feed_records(spark, d).drop("_line")
+    rec.write.mode("overwrite").json(base + "/landing/wave1")
+    odd = F.pmod(F.element_at(F.split("feed_url", "/"), -1).cast("long"), F.lit(2)) == 1
+    rec.where(odd).withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z")) \
+       .write.mode("overwrite").json(base + "/landing/wave2")
+    q = online.start_feed_landing(spark, base + "/landing/*", ingest.RAW_FEED_SCHEMA, base + "/log", base + "/ckpt")
+    q.awaitTermination()
+    cur = online.current_payloads(spark, base + "/log")
+    return cur.select("feed_url", "last_scraped_at", F.size("entries").alias("n_entries"))
+
+
+SQL_QUERIES.update({"drift_share": q_drift_share, "dataset_drift": q_dataset_drift})
+ROWS_QUERIES.update({"weighted_sample": q_weighted_sample, "downsample": q_downsample,
+                     "online_drift": q_online_drift, "feed_landing": q_feed_landing})

@@ -407,3 +407,36 @@ SELECT user_id, podcast_id, round(arg_min(rating, pos), 6) AS rating, ts FROM (
   SELECT 'kaggle_user_' || lpad(CAST(pos AS VARCHAR), 6, '0') AS user_id, podcast_id, rating, pos,
          '2024-02-01 00:00:00' AS ts FROM w2)
 GROUP BY user_id, podcast_id, ts"""
+
+_DRIFT = f"""WITH {EV},
+num AS (
+  SELECT feature, v AS value, CAST(count(*) FILTER (WHERE win = 'reference') AS DOUBLE) AS nr,
+         CAST(count(*) FILTER (WHERE win = 'current') AS DOUBLE) AS nc FROM long GROUP BY feature, v),
+cum AS (
+  SELECT feature, sum(nr) OVER (PARTITION BY feature ORDER BY value) AS cr,
+         sum(nc) OVER (PARTITION BY feature ORDER BY value) AS cc,
+         sum(nr) OVER (PARTITION BY feature) AS tr, sum(nc) OVER (PARTITION BY feature) AS tc FROM num),
+ks AS (SELECT feature, 'ks' AS stat_test, max(abs(cr / tr - cc / tc)) AS statistic, 0.1e0 AS threshold
+       FROM cum GROUP BY feature),
+cat AS (
+  SELECT 'event_type' AS feature, event_type AS value,
+         CAST(count(*) FILTER (WHERE win = 'reference') AS DOUBLE) AS nr,
+         CAST(count(*) FILTER (WHERE win = 'current') AS DOUBLE) AS nc
+  FROM lab WHERE win IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2),
+ct AS (SELECT c.*, c.nr / sum(c.nr) OVER (PARTITION BY feature) AS p, c.nc / sum(c.nc) OVER (PARTITION BY feature) AS q FROM cat c),
+js AS (
+  SELECT feature, 'jensenshannon' AS stat_test,
+         sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END / 2
+                          + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END / 2), 0)) AS statistic,
+         0.1e0 AS threshold FROM ct GROUP BY feature),
+cd AS (SELECT *, statistic > threshold AS drifted FROM (SELECT * FROM ks UNION ALL SELECT * FROM js))"""
+
+SQL["drift_share"] = _DRIFT + """
+SELECT feature, stat_test, round(statistic, 6) AS statistic, drifted FROM cd"""
+
+SQL["dataset_drift"] = _DRIFT + """
+SELECT CAST(count(*) AS BIGINT) AS n_columns, CAST(count(*) FILTER (WHERE drifted) AS BIGINT) AS n_drifted,
+       round(count(*) FILTER (WHERE drifted) / greatest(count(*), 1), 6) AS drift_share,
+       count(*) FILTER (WHERE drifted) / greatest(count(*), 1) >= 0.5e0 AS dataset_drift,
+       (count(*) FILTER (WHERE drifted) / greatest(count(*), 1) >= 0.5e0)
+         OR (count(*) FILTER (WHERE drifted) / greatest(count(*), 1) > 0.15e0) AS has_drift FROM cd"""
