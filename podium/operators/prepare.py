@@ -133,7 +133,7 @@ def temporal_split(df: DataFrame, test_size: float = 0.2, ts_col: str = "timesta
     t_star, need, group_size = found
     ts = F.unix_micros(F.col(ts_col))
     on_b = ts.isNull() if t_star is None else (ts == F.lit(t_star))
-    before = F.lit(False) if t_star is None else (ts < F.lit(t_star))
+    before = ts.isNotNull() if t_star is None else (ts < F.lit(t_star))
     after = F.lit(False) if t_star is None else (ts > F.lit(t_star)) | ts.isNull()
     if need >= group_size:
         return df.filter(before | on_b), df.filter(after)

@@ -584,7 +584,7 @@ def q_feed_state_merge(spark, d):
     blocks answer 304 (not modified) and the rest 200."""
     prev = views.feed_records(spark, d).drop("_line")
     prev_state = views.feed_state(prev)
-    even = F.pmod(F.element_at(F.split("feed_url", "/"), -1).cast("long"), F.lit(2)) == 0
+    even = F.pmod(F.try_element_at(F.split("feed_url", "/"), F.lit(-1)).cast("long"), F.lit(2)) == 0
     landed_state = views.feed_state(prev, F.when(even, 304).otherwise(200))
     landed = prev.join(landed_state.where("status = 200").select("feed_url"), "feed_url", "left_semi") \
                  .withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z"))
@@ -703,7 +703,7 @@ def q_feed_landing(spark, d):
     base = scratch_path(spark, f"feed-landing-{uuid.uuid4().hex}")
     rec = views.feed_records(spark, d).drop("_line")
     rec.write.mode("overwrite").json(base + "/landing/wave1")
-    odd = F.pmod(F.element_at(F.split("feed_url", "/"), -1).cast("long"), F.lit(2)) == 1
+    odd = F.pmod(F.try_element_at(F.split("feed_url", "/"), F.lit(-1)).cast("long"), F.lit(2)) == 1
     rec.where(odd).withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z")) \
        .write.mode("overwrite").json(base + "/landing/wave2")
     q = online.start_feed_landing(spark, base + "/landing/*", ingest.RAW_FEED_SCHEMA, base + "/log", base + "/ckpt")
