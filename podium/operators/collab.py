@@ -1,8 +1,10 @@
 """Popularity, rating matrix, centred truncated SVD, CF scoring and RMSE/MAE.
 
-Tables stay long (``user_idx, podcast_idx, value``); the SVD takes MLlib's
-Gramian route, so only ``n_items x n_items`` and ``n_items x k`` matrices live
-on the driver. Beyond ``MAX_SVD_ITEMS`` items use ALS instead.
+Tables stay long (``user_idx, podcast_idx, value``). The SVD works on the
+centred cells partitioned by user: small item sets use the exact Gramian,
+larger ones randomised subspace iteration; per-partition numpy accumulators
+are merged in a tree and only item-sized matrices reach the driver.
+Beyond ``MAX_SVD_ITEMS`` items use ALS instead.
 """
 from __future__ import annotations
 
@@ -14,8 +16,13 @@ from pyspark.sql import functions as F
 from ..functions.scalar import dot
 from ..session import reliable_checkpoint
 
-# Above this many items the n x n Gramian no longer fits one task; use ALS.
-MAX_SVD_ITEMS = 15_000
+# Up to this many items the exact Gramian route is used (n x n on the driver).
+EXACT_SVD_ITEMS = 4_096
+# Above this many items the n x (k + p) accumulators no longer fit one task; use ALS.
+MAX_SVD_ITEMS = 200_000
+# Randomised subspace iteration: power iterations and oversampling.
+SVD_POWER_ITERS = 5
+SVD_OVERSAMPLE = 10
 
 
 def one_row(df: DataFrame):
@@ -64,58 +71,131 @@ class CFModel:
     singular_values: list
 
 
+def _centred_cells(train, user_index, item_index, n_items):
+    cells = rating_matrix(train, user_index, item_index)
+    means = user_means(cells, user_index, n_items)
+    centred = cells.join(means.select("user_idx", "mu"), "user_idx").select(
+        "user_idx", "podcast_idx", (F.col("value") - F.col("mu")).alias("v"))
+    return centred, means
+
+
+def _partition_coo(rows):
+    """COO arrays of the cells of one partition (all cells of a user are in
+    the same partition)."""
+    import numpy as np
+    r, c, v = [], [], []
+    for row in rows:
+        r.append(row[0]); c.append(row[1]); v.append(row[2])
+    return np.asarray(r, dtype=np.int64), np.asarray(c, dtype=np.int64), np.asarray(v, dtype=np.float64)
+
+
+def _ata_times(cells_rdd, q, n_items):
+    """``A^T (A Q)`` in one pass: per partition, Y = A_p Q (users of the
+    partition x k') and Z_p = A_p^T Y (n_items x k'); partial sums merge in a tree."""
+    import numpy as np
+    bq = cells_rdd.context.broadcast(q)
+
+    def part(it):
+        r, c, v = _partition_coo(it)
+        qq = bq.value
+        z = np.zeros((n_items, qq.shape[1]))
+        if len(r):
+            users, ru = np.unique(r, return_inverse=True)
+            y = np.zeros((len(users), qq.shape[1]))
+            np.add.at(y, ru, v[:, None] * qq[c])
+            np.add.at(z, c, v[:, None] * y[ru])
+        yield z
+
+    out = cells_rdd.mapPartitions(part).treeReduce(lambda a, b: a + b, depth=2)
+    bq.unpersist()
+    return out
+
+
+def _randomized_right_factors(cells_rdd, n_items: int, k: int, seed: int = 42):
+    """Top-k right singular vectors and values of A by randomised subspace
+    iteration on A^T A (Halko, Martinsson, Tropp 2011): k + p columns,
+    ``SVD_POWER_ITERS`` passes, then the small (k+p) x (k+p) problem."""
+    import numpy as np
+    kp = min(n_items, k + SVD_OVERSAMPLE)
+    q = np.random.default_rng(seed).standard_normal((n_items, kp))
+    q, _ = np.linalg.qr(q)
+    for _ in range(SVD_POWER_ITERS):
+        q, _ = np.linalg.qr(_ata_times(cells_rdd, q, n_items))
+    small = q.T @ _ata_times(cells_rdd, q, n_items)          # Q^T A^T A Q, k' x k'
+    lam, w = np.linalg.eigh((small + small.T) / 2)
+    order = np.argsort(lam)[::-1]
+    lam, w = lam[order], w[:, order]
+    return lam, q @ w
+
+
+def _exact_right_factors(cells_rdd, n_items: int):
+    """Eigen-decomposition of the exact Gramian A^T A (one pass)."""
+    import numpy as np
+
+    def part(it):
+        r, c, v = _partition_coo(it)
+        g = np.zeros((n_items, n_items))
+        if len(r):
+            order = np.argsort(r, kind="stable")
+            r, c, v = r[order], c[order], v[order]
+            starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+            ends = np.r_[starts[1:], len(r)]
+            for a, b in zip(starts, ends):   # one outer product per user row
+                cc, vv = c[a:b], v[a:b]
+                g[np.ix_(cc, cc)] += np.outer(vv, vv)
+        yield g
+
+    gram = cells_rdd.mapPartitions(part).treeReduce(lambda a, b: a + b, depth=2)
+    lam, vec = np.linalg.eigh(gram)
+    order = np.argsort(lam)[::-1]
+    return lam[order], vec[:, order]
+
+
 def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
-           n_factors: int = 64) -> CFModel:
+           n_factors: int = 64, exact: bool | None = None) -> CFModel:
     """Centre stored cells by the user mean (zeros stay zero), truncated SVD,
     ``P = U * S = A V``, ``Q = V`` (C1). ``k`` is clamped to the item count.
 
-    One distributed pass builds the Gramian ``A^T A`` (MLlib treeAggregate);
-    its eigendecomposition on the driver gives ``V`` and ``S`` (the matrix is
-    ``n_items x n_items``, bounded by ``MAX_SVD_ITEMS``); ``A V`` is a
-    distributed multiply in the JVM. The row matrix is persisted for the two
-    passes so its lineage runs once."""
+    The centred cells are hash-partitioned by user and checkpointed once.
+    Up to ``EXACT_SVD_ITEMS`` items, one pass builds the Gramian ``A^T A`` and
+    the driver eigendecomposes it; above, randomised subspace iteration needs
+    ``SVD_POWER_ITERS + 1`` passes and only ``n_items x (k + p)`` matrices
+    reach the driver. ``P = A V`` is a final distributed pass."""
     import numpy as np
-    from pyspark import StorageLevel
-    from pyspark.mllib.linalg import Matrices, Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
     spark = train.sparkSession
-    n_items = item_index.count()
-    n_users = user_index.count()
+    n_items = int(item_index.count())
     if n_items > MAX_SVD_ITEMS:
-        raise ValueError(f"{n_items} items exceed the exact-SVD limit {MAX_SVD_ITEMS}; use ALS")
-    cells = rating_matrix(train, user_index, item_index)
-    means = user_means(cells, user_index, n_items)
-    centred = cells.join(means.select("user_idx", "mu"), "user_idx").select(
-        "user_idx", "podcast_idx", (F.col("value") - F.col("mu")).alias("v"))
-    # One sparse row per user; a row is bounded by the item count.
-    rows = centred.groupBy("user_idx").agg(
-        F.collect_list(F.struct("podcast_idx", "v")).alias("cells"))
-    ni = int(n_items)
-
-    def to_row(r):
-        cs = sorted((int(c[0]), float(c[1])) for c in r["cells"])
-        return IndexedRow(int(r["user_idx"]), Vectors.sparse(ni, [c[0] for c in cs], [c[1] for c in cs]))
-
-    rdd = rows.rdd.map(to_row).persist(StorageLevel.MEMORY_AND_DISK)
+        raise ValueError(f"{n_items} items exceed the SVD limit {MAX_SVD_ITEMS}; use ALS")
+    centred, means = _centred_cells(train, user_index, item_index, n_items)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = reliable_checkpoint(centred.repartition(n_parts, "user_idx"))
+    cells_rdd = staged.rdd.map(lambda r: (int(r[0]), int(r[1]), float(r[2]))).cache()
     try:
-        mat = IndexedRowMatrix(rdd, numRows=int(n_users), numCols=ni)
-        gram = mat.computeGramianMatrix().toArray()
-        lam, vec = np.linalg.eigh(gram)
-        order = np.argsort(lam)[::-1]
-        lam, vec = lam[order], vec[:, order]
-        k = max(1, min(int(n_factors), ni))
-        keep = [i for i in range(k) if lam[i] > 1e-9 * max(lam[0], 1e-300)]
+        k = max(1, min(int(n_factors), n_items))
+        use_exact = (n_items <= EXACT_SVD_ITEMS) if exact is None else exact
+        lam, vec = _exact_right_factors(cells_rdd, n_items) if use_exact else \
+            _randomized_right_factors(cells_rdd, n_items, k)
+        keep = [i for i in range(min(k, len(lam))) if lam[i] > 1e-9 * max(lam[0], 1e-300)]
         k_eff = max(1, len(keep))
-        v = vec[:, :k_eff]
+        v = np.ascontiguousarray(vec[:, :k_eff])
         s = [float(np.sqrt(max(x, 0.0))) for x in lam[:k_eff]]
-        av = mat.multiply(Matrices.dense(ni, k_eff, v.flatten(order="F").tolist()))
-        user_factors = spark.createDataFrame(
-            av.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])),
-            "user_idx int, factors array<double>")
+        bv = spark.sparkContext.broadcast(v)
+
+        def project(it):
+            r, c, val = _partition_coo(it)
+            if len(r):
+                users, ru = np.unique(r, return_inverse=True)
+                p = np.zeros((len(users), bv.value.shape[1]))
+                np.add.at(p, ru, val[:, None] * bv.value[c])
+                for u, row in zip(users, p):
+                    yield int(u), [float(x) for x in row]
+
+        user_factors = spark.createDataFrame(cells_rdd.mapPartitions(project), "user_idx int, factors array<double>")
         user_factors = reliable_checkpoint(user_factors)
+        bv.unpersist()
     finally:
-        rdd.unpersist()
+        cells_rdd.unpersist()
     item_factors = spark.createDataFrame(
         [(int(i), [float(x) for x in v[i]]) for i in range(v.shape[0])],
         "podcast_idx int, factors array<double>")
