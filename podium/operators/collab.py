@@ -8,13 +8,13 @@ Beyond ``MAX_SVD_ITEMS`` items use ALS instead.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dot
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, ship_package
 
 # Up to this many items the exact Gramian route is used (n x n on the driver).
 EXACT_SVD_ITEMS = 4_096
@@ -69,6 +69,20 @@ class CFModel:
     popularity: DataFrame     # podcast_id, n, pop_share, pop_score
     n_factors: int
     singular_values: list
+    _tables: tuple | None = field(default=None, repr=False)
+
+    def scoring_tables(self):
+        """Per-user table (user_id, user_idx, mu, pu) and per-item table
+        (podcast_id, podcast_idx, qi, pop_score), written once (lineage cut),
+        plus the item count used for the broadcast size check."""
+        if self._tables is None:
+            users = (self.user_means.join(self.user_factors.withColumnRenamed("factors", "pu"), "user_idx", "left")
+                     .select("user_id", "user_idx", "mu", "pu"))
+            items = (self.item_index.join(self.item_factors.withColumnRenamed("factors", "qi"), "podcast_idx", "left")
+                     .join(self.popularity.select("podcast_id", "pop_score"), "podcast_id", "full_outer"))
+            users, items = reliable_checkpoint(users), reliable_checkpoint(items)
+            self._tables = (users, items, items.count())
+        return self._tables
 
 
 def _centred_cells(train, user_index, item_index, n_items):
@@ -164,6 +178,7 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
     import numpy as np
 
     spark = train.sparkSession
+    ship_package(spark)
     n_items = int(item_index.count())
     if n_items > MAX_SVD_ITEMS:
         raise ValueError(f"{n_items} items exceed the SVD limit {MAX_SVD_ITEMS}; use ALS")
@@ -203,15 +218,23 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
                    popularity(train), k_eff, s)
 
 
+# Largest item table (index, factors, popularity) broadcast to every task.
+BROADCAST_ITEM_BYTES = 64 * 1024 * 1024
+
+
 def raw_cf_scores(model: CFModel, pairs: DataFrame) -> DataFrame:
     """``mu + P.Q`` for (user_id, podcast_id) pairs: unknown item 0.0 for a known
-    user; unknown user gets the popularity fallback. Adds ``known_user``."""
+    user; unknown user gets the popularity fallback. Adds ``known_user``.
+
+    Candidate rows are shuffled once, without arrays, against the per-user
+    table; the item table is broadcast when its size (items x factors) is
+    under ``BROADCAST_ITEM_BYTES`` so the dot products run in the same stage,
+    and joined by shuffle beyond that bound."""
     zero = F.array_repeat(F.lit(0.0), model.n_factors)
-    j = (pairs.join(model.user_means, "user_id", "left")
-              .join(model.user_factors.withColumnRenamed("factors", "pu"), "user_idx", "left")
-              .join(model.item_index, "podcast_id", "left")
-              .join(model.item_factors.withColumnRenamed("factors", "qi"), "podcast_idx", "left")
-              .join(model.popularity.select("podcast_id", "pop_score"), "podcast_id", "left"))
+    users, items, n_items = model.scoring_tables()
+    if n_items * (model.n_factors + 4) * 8 <= BROADCAST_ITEM_BYTES:
+        items = F.broadcast(items)
+    j = pairs.join(users, "user_id", "left").join(items, "podcast_id", "left")
     known = F.col("user_idx").isNotNull()
     cf = F.when(F.col("podcast_idx").isNull(), F.lit(0.0)).otherwise(
         F.col("mu") + dot(F.coalesce("pu", zero), F.coalesce("qi", zero)))
@@ -220,14 +243,23 @@ def raw_cf_scores(model: CFModel, pairs: DataFrame) -> DataFrame:
 
 
 def minmax_by_group(df: DataFrame, score: str, group: str = "user_id",
-                    require_spread: bool = True, only_when=None) -> DataFrame:
+                    require_spread: bool = True, only_when=None, bounded: bool = False) -> DataFrame:
     """Per-group min-max scaling (N8/A10/A11). Scaling applies when the group
     has more than one row and max > min (equivalent to sample std > 0);
-    otherwise raw scores stay. The per-group stats are a partial aggregate
-    joined back, which tolerates hot groups."""
-    st = df.groupBy(group).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"),
-                               F.count(F.lit(1)).alias("_n"))
-    j = df.join(st, group, "left")
+    otherwise raw scores stay.
+
+    Default: per-group stats as a partial aggregate joined back, which
+    tolerates hot groups. ``bounded=True`` (groups known to be small, e.g. a
+    candidate pool per user): a window over the group, one pass and no join,
+    reusing an existing partitioning by the group key."""
+    if bounded:
+        w = Window.partitionBy(group)
+        j = (df.withColumn("_lo", F.min(score).over(w)).withColumn("_hi", F.max(score).over(w))
+               .withColumn("_n", F.count(F.lit(1)).over(w)))
+    else:
+        st = df.groupBy(group).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"),
+                                   F.count(F.lit(1)).alias("_n"))
+        j = df.join(st, group, "left")
     cond = (F.col("_hi") > F.col("_lo"))
     if require_spread:
         cond = cond & (F.col("_n") > 1)
@@ -237,12 +269,12 @@ def minmax_by_group(df: DataFrame, score: str, group: str = "user_id",
     return j.withColumn(score, F.when(cond, scaled).otherwise(F.col(score))).drop("_lo", "_hi", "_n")
 
 
-def score_cf(model: CFModel, pairs: DataFrame) -> DataFrame:
+def score_cf(model: CFModel, pairs: DataFrame, bounded: bool = False) -> DataFrame:
     """Scores for every requested pair, min-max per known user; users
     unseen by the index keep the popularity score unscaled."""
     raw = raw_cf_scores(model, pairs)
     out = minmax_by_group(raw, "collab_score", "user_id", require_spread=True,
-                          only_when=F.col("known_user"))
+                          only_when=F.col("known_user"), bounded=bounded)
     return out.drop("known_user")
 
 

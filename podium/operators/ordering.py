@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, ship_package
 
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 
@@ -61,6 +61,7 @@ def prefix_sums(df: DataFrame, group: str, order: str, sum_cols, num_partitions:
     import pandas as pd
 
     spark = df.sparkSession
+    ship_package(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sum_cols = list(sum_cols)
     staged = (df.repartitionByRange(n, F.col(group).asc_nulls_last(), F.col(order).asc_nulls_last())

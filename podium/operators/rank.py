@@ -56,8 +56,17 @@ def collect_norms(items: DataFrame) -> Norms:
     return Norms(r["max_play"], r["min_year"], r["max_year"])
 
 
+def prefs_map(prefs: DataFrame) -> DataFrame:
+    """Per-user map category -> share (bounded by the category count), so the
+    share lookup joins on ``user_id`` alone and keeps a user partitioning."""
+    return prefs.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("category", "share"))).alias("_prefs"))
+
+
 def derive_features(df: DataFrame, norms: Norms, prefs: DataFrame) -> DataFrame:
-    """Four derived columns plus the share lookup (J7), then NULL/NaN -> 0."""
+    """Four derived columns plus the share lookup (J7), then NULL/NaN -> 0.
+    ``prefs`` is the long table ``(user_id, category, share)`` or the per-user
+    map table from ``prefs_map``."""
     for c, v in MISSING_DEFAULTS.items():
         if c not in df.columns:
             df = df.withColumn(c, F.lit(v))
@@ -72,8 +81,13 @@ def derive_features(df: DataFrame, norms: Norms, prefs: DataFrame) -> DataFrame:
     df = (df.withColumn("play_count_norm", clip(safe_div(F.col("play_count").cast("double"), max_play), 0.0, 1.0))
             .withColumn("release_year_norm", clip((F.col("release_year").cast("double") - lo) / span, 0.0, 1.0))
             .withColumn("popularity_score", safe_div(F.log1p(F.col("play_count").cast("double")), F.log1p(max_play))))
-    df = (df.join(prefs.withColumnRenamed("share", "_share"), ["user_id", "category"], "left")
-            .withColumn("category_match", F.coalesce(F.col("_share"), F.lit(0.0))).drop("_share"))
+    if "_prefs" in prefs.columns:
+        share = F.when(F.col("category").isNotNull(), F.try_element_at(F.col("_prefs"), F.col("category")))
+        df = (df.join(prefs, "user_id", "left")
+                .withColumn("category_match", F.coalesce(share, F.lit(0.0))).drop("_prefs"))
+    else:
+        df = (df.join(prefs.withColumnRenamed("share", "_share"), ["user_id", "category"], "left")
+                .withColumn("category_match", F.coalesce(F.col("_share"), F.lit(0.0))).drop("_share"))
     for c in FEATURE_COLS:
         df = df.withColumn(c, fill0(c))
     return df
@@ -94,26 +108,40 @@ class RankerModel:
     norms: Norms
     prefs: DataFrame
     params: dict
+    _map: DataFrame | None = None
+
+    def prefs_by_user(self) -> DataFrame:
+        """The per-user share map, written once."""
+        if self._map is None:
+            from ..session import reliable_checkpoint
+            self._map = reliable_checkpoint(prefs_map(self.prefs))
+        return self._map
 
 
 def fit_ranker(train: DataFrame, items: DataFrame, n_trees: int = 100,
                learning_rate: float = 0.05, max_depth: int = 5, seed: int = 42) -> RankerModel:
-    """R2: squared-loss gradient-boosted trees on the eight features."""
-    from pyspark.ml import Pipeline
+    """R2: squared-loss gradient-boosted trees on the eight features. The
+    assembled training frame is persisted for the boosting passes (each pass
+    would otherwise re-run the feature joins); trees are shallow, so node-id
+    caching is off."""
+    from pyspark import StorageLevel
+    from pyspark.ml import PipelineModel
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    from ..session import checkpoint_dir
-    checkpoint_dir(train.sparkSession)
-    prefs = category_prefs(train, items)
+    from ..session import reliable_checkpoint
+    prefs = reliable_checkpoint(category_prefs(train, items))  # re-joined at every prediction
     norms = collect_norms(items)
     tf = training_frame(train, items, norms, prefs)
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURE_COLS, outputCol="features"),
-        GBTRegressor(featuresCol="features", labelCol="rating", predictionCol="ranker_score",
-                     maxIter=n_trees, stepSize=learning_rate, maxDepth=max_depth, seed=seed,
-                     lossType="squared", cacheNodeIds=True, checkpointInterval=10)])
-    model = pipe.fit(tf)
+    assembler = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features")
+    data = assembler.transform(tf).select("features", "rating").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        gbt = GBTRegressor(featuresCol="features", labelCol="rating", predictionCol="ranker_score",
+                           maxIter=n_trees, stepSize=learning_rate, maxDepth=max_depth, seed=seed,
+                           lossType="squared", cacheNodeIds=False).fit(data)
+    finally:
+        data.unpersist()
+    model = PipelineModel(stages=[assembler, gbt])
     params = {"n_trees": n_trees, "learning_rate": learning_rate, "max_depth": max_depth, "seed": seed}
     return RankerModel(model, norms, prefs, params)
 
@@ -126,7 +154,7 @@ def feature_importances(rm: RankerModel, spark) -> DataFrame:
 
 
 def predict(rm: RankerModel, df: DataFrame) -> DataFrame:
-    feats = derive_features(df, rm.norms, rm.prefs)
+    feats = derive_features(df, rm.norms, rm.prefs_by_user())
     out = rm.model.transform(feats).drop("features")
     return out
 
@@ -166,16 +194,17 @@ def mmr_rerank(scored: DataFrame, k: int, lam: float = 0.1, score: str = "ranker
 
 def rank_candidates(rm: RankerModel, candidates: DataFrame, k: int = 10,
                     diversity_penalty: float = 0.1, history: DataFrame | None = None,
-                    pos=("podcast_id",)) -> DataFrame:
+                    pos=("podcast_id",), bounded: bool = False) -> DataFrame:
     """Drop history (anti join), features, predict, per-user min-max
-    (hi > lo), then MMR (penalty > 0) or plain top-k. Adds ``rank``."""
+    (hi > lo), then MMR (penalty > 0) or plain top-k. Adds ``rank``.
+    ``bounded``: each user's candidate set is small (a retrieval pool)."""
     if history is not None:
         candidates = candidates.join(history.select("user_id", "podcast_id"),
                                      ["user_id", "podcast_id"], "left_anti")
     scored = predict(rm, candidates)
     keep = list(dict.fromkeys(candidates.columns + ["ranker_score"]))
     scored = scored.select(*keep)
-    scored = minmax_by_group(scored, "ranker_score", "user_id", require_spread=False)
+    scored = minmax_by_group(scored, "ranker_score", "user_id", require_spread=False, bounded=bounded)
     if diversity_penalty > 0 and "category" in scored.columns:
         return mmr_rerank(scored, k, diversity_penalty, pos=pos, out_col="rank")
     return topk_per_group(scored, k, "ranker_score", tie=pos, out_col="rank")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import l2_normalize
+from ..session import ship_package
 
 SEP = " [SEP] "
 
@@ -119,6 +120,7 @@ def exact_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str = "qu
     descending, ties by item id; excluded ids (an array column on the query
     side) and optionally the query's own id never appear.
     Returns ``(query_id, item_id, score, rank)``."""
+    ship_package(items.sparkSession)
     n_items = items.count()
     n_q = queries.count()
     bi = max(1, math.ceil(n_items / block_size))

@@ -25,18 +25,44 @@ def r6(c):
 
 # ---------------------------------------------------------------- prepared data
 class Prepared:
-    """Active interactions, id indexes and the temporal split for one sf_dir.
-    Split and indexes are materialised once per session (reliable checkpoints)."""
+    """The prepare stage for one sf_dir: canonical items, active interactions,
+    id indexes and the temporal split. Like a pipeline's prepare step, its
+    outputs are written once as Parquet tables in the shared folder and read
+    back by every later query (lineage cut, nothing recomputed)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.items = views.items(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
+        self.items_view = views.items(spark, sf_dir)
         self.interactions = views.interactions(spark, sf_dir)
-        self.active = prepare.filter_active_users(self.interactions, MIN_INTERACTIONS)
-        self._train = self._test = self._uidx = self._iidx = None
+        self._items = self._active = self._train = self._test = self._uidx = self._iidx = None
+
+    def _table(self, name: str, df: DataFrame) -> DataFrame:
+        import uuid
+        from ..session import scratch_path
+        path = scratch_path(self.spark, f"prepared-{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    @property
+    def items(self):
+        if self._items is None:
+            self._items = self._table("items", self.items_view)
+        return self._items
+
+    @property
+    def active(self):
+        if self._active is None:
+            self._active = self._table(
+                "active", prepare.filter_active_users(self.interactions, MIN_INTERACTIONS))
+        return self._active
 
     def split(self):
         if self._train is None:
-            self._train, self._test = prepare.temporal_split(self.active, TEST_SIZE)
+            train, test = prepare.temporal_split(self.active, TEST_SIZE)
+            both = self._table("split", train.withColumn("_split", F.lit("train"))
+                               .unionByName(test.withColumn("_split", F.lit("test"))))
+            self._train = both.where(F.col("_split") == "train").drop("_split")
+            self._test = both.where(F.col("_split") == "test").drop("_split")
         return self._train, self._test
 
     @property
@@ -50,13 +76,13 @@ class Prepared:
     @property
     def user_index(self):
         if self._uidx is None:
-            self._uidx = prepare.encode_ids(self.active, "user_id", "user_idx")
+            self._uidx = self._table("user_index", prepare.encode_ids(self.active, "user_id", "user_idx"))
         return self._uidx
 
     @property
     def item_index(self):
         if self._iidx is None:
-            self._iidx = prepare.encode_ids(self.active, "podcast_id", "podcast_idx")
+            self._iidx = self._table("item_index", prepare.encode_ids(self.active, "podcast_id", "podcast_idx"))
         return self._iidx
 
 

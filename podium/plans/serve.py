@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import collab, rank, retrieve
+from ..session import reliable_checkpoint, ship_package
 
 CATEGORY_MATCH_INDEX = rank.FEATURE_COLS.index("category_match")
 USER_SCORE_INDEXES = (rank.FEATURE_COLS.index("embedding_score"), rank.FEATURE_COLS.index("collab_score"))
@@ -70,6 +71,7 @@ def _representatives(th: list[float]) -> list[float]:
 def _cf_minmax(cf: collab.CFModel, users: DataFrame, block: int = 2048) -> DataFrame:
     """Per user min and max of P.Q over all indexed items, by a blocked
     product (each user block meets each item block once)."""
+    ship_package(users.sparkSession)
     uf = users.join(cf.user_means.select("user_id", "user_idx"), "user_id").join(cf.user_factors, "user_idx")
     n_u = max(1, uf.count())
     n_i = max(1, cf.item_factors.count())
@@ -103,21 +105,22 @@ def _query_key():
 
 def _query_path(model: RecommenderModel, req: DataFrame, k: int, pool: int, lam: float) -> DataFrame:
     """Retrieve once per distinct (query, exclude), then CF + rank per user."""
-    r = req.withColumn("query_id", _query_key())
+    r = reliable_checkpoint(req.withColumn("query_id", _query_key()))   # one row per request
     qs = r.select("query_id", "query", "exclude").dropDuplicates(["query_id"])
     qv = retrieve.embed_text(qs.select("query_id", F.col("query").alias("text")), "query_id", encoder=model.encoder)
     qv = qv.join(qs.select("query_id", "exclude"), "query_id")
-    hits = retrieve.retrieve(qv, model.item_vectors, model.items, pool, exclude_col="exclude")
+    # The retrieval result is bounded (distinct queries x pool): write it once.
+    hits = reliable_checkpoint(retrieve.retrieve(qv, model.item_vectors, model.items, pool, exclude_col="exclude"))
     cand = r.select("user_id", "query_id").join(hits, "query_id").drop("query_id")
     cand = cand.withColumnRenamed("rank", "pos")
-    cf = collab.score_cf(model.cf, cand.select("user_id", "podcast_id"))
-    cand = cand.join(cf, ["user_id", "podcast_id"], "left").withColumn(
-        "collab_score", F.coalesce("collab_score", F.lit(0.0)))
     meta = model.items.select("podcast_id", "avg_duration_min", "total_episodes", "play_count",
                               "release_year", F.col("category").alias("category_meta"))
     cand = cand.join(meta, "podcast_id", "left").withColumn(
         "category", F.coalesce("category", "category_meta")).drop("category_meta")
-    ranked = rank.rank_candidates(model.ranker, cand, k, lam, pos=("pos", "podcast_id"))
+    # CF scores computed on the candidate rows themselves (no join back).
+    cand = collab.score_cf(model.cf, cand, bounded=True).withColumn(
+        "collab_score", F.coalesce("collab_score", F.lit(0.0)))
+    ranked = rank.rank_candidates(model.ranker, cand, k, lam, pos=("pos", "podcast_id"), bounded=True)
     return _finish(model, ranked)
 
 

@@ -30,6 +30,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -63,3 +64,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``podium`` importable in Python workers (the ``--py-files``
+    mechanism): zip the package once per application and add it to the
+    context. Operators that run Python in tasks call this first."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="podium-pyfiles-"), "podium.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
