@@ -176,3 +176,9 @@ def label_centroids(vectors: DataFrame, group: str = "category", vec: str = "emb
     arr = agg.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("d", "m"))).alias("dm"))
     return arr.select(F.col(group).alias("query_id"),
                       l2_normalize(F.transform("dm", lambda s: s["m"])).alias("embedding"))
+
+
+def embedding_of(item_vectors: DataFrame, item_id: str, id_col: str = "podcast_id") -> DataFrame:
+    """E5: one item's vector (an empty frame when unknown); a pushed-down
+    filter on the id."""
+    return item_vectors.where(F.col(id_col) == F.lit(item_id))

@@ -741,3 +741,64 @@ def q_feed_landing(spark, d):
 SQL_QUERIES.update({"drift_share": q_drift_share, "dataset_drift": q_dataset_drift})
 ROWS_QUERIES.update({"weighted_sample": q_weighted_sample, "downsample": q_downsample,
                      "online_drift": q_online_drift, "feed_landing": q_feed_landing})
+
+
+# ---------------------------------------------------------------- I/O helpers
+from ..sources import io as sio  # noqa: E402
+
+
+def q_csv_scan(spark, d):
+    """The canonical tables written as CSV to the shared folder and
+    read back through the source dispatch ('csv')."""
+    import uuid
+    from ..session import scratch_path
+    base = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    views.items(spark, d).write.option("header", True).csv(base + "/items")
+    views.interactions(spark, d).write.option("header", True).csv(base + "/interactions")
+    _, inter = sio.load_source(spark, "csv", base + "/items", base + "/interactions")
+    return _rows_out(inter)
+
+
+def q_extract_summary(spark, d):
+    """Scrape counters plus the normalised output row counts."""
+    raw = views.feed_records(spark, d)
+    summ = ingest.scrape_summary(views.feed_state(raw), raw)
+    return ingest.extract_summary(summ, ingest.feeds_to_items(raw, RUN_TS), ingest.feeds_to_interactions(raw, RUN_TS))
+
+
+def q_embedding_cache(spark, d):
+    """Item texts embedded through the cache twice (second run encodes
+    nothing new); the vectors of every item."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"emb-cache-{uuid.uuid4().hex}")
+    texts = retrieve.item_text(prepared(spark, d).items)
+    enc = retrieve.HashingEncoder(dim=QUERY_PARAMS["encoder_dim"])
+    sio.cached_embeddings(texts, path, enc, "hashing-256", spark).count()
+    return sio.cached_embeddings(texts, path, enc, "hashing-256", spark)
+
+
+def q_latest_report(spark, d):
+    """S9 + S13: drift reports of two windows written as JSON, newest read back."""
+    import uuid
+    from ..session import scratch_path
+    base = scratch_path(spark, f"reports-{uuid.uuid4().hex}")
+    f = views.drift_frame(spark, d)
+    ref, cur = monitor.drift_windows(f, "ts")
+    rep = monitor.drift_report(ref, cur, ["value", "k"]).drop("per_feature_psi")
+    sio.write_report(rep.withColumn("timestamp", F.lit("20240131_000000")), base + "/drift_summary_20240131_000000.json")
+    ref2, cur2 = monitor.drift_windows(f.where(F.col("ts") < "2024-01-24"), "ts")
+    rep2 = monitor.drift_report(ref2, cur2, ["value", "k"]).drop("per_feature_psi")
+    sio.write_report(rep2.withColumn("timestamp", F.lit("20240124_000000")), base + "/drift_summary_20240124_000000.json")
+    return sio.latest_report(spark, base + "/drift_summary_*.json/*.json")
+
+
+def q_cf_holdout(spark, d):
+    """Random 80/20 hold-out of the training rows, refit, RMSE/MAE."""
+    p = prepared(spark, d)
+    return collab.holdout_cf(p.train, p.user_index, p.item_index, QUERY_PARAMS["n_factors"])
+
+
+SQL_QUERIES.update({"csv_scan": q_csv_scan, "extract_summary": q_extract_summary})
+ROWS_QUERIES.update({"embedding_cache": q_embedding_cache, "latest_report": q_latest_report,
+                     "cf_holdout": q_cf_holdout})

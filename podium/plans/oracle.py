@@ -440,3 +440,9 @@ SELECT CAST(count(*) AS BIGINT) AS n_columns, CAST(count(*) FILTER (WHERE drifte
        count(*) FILTER (WHERE drifted) / greatest(count(*), 1) >= 0.5e0 AS dataset_drift,
        (count(*) FILTER (WHERE drifted) / greatest(count(*), 1) >= 0.5e0)
          OR (count(*) FILTER (WHERE drifted) / greatest(count(*), 1) > 0.15e0) AS has_drift FROM cd"""
+
+SQL["csv_scan"] = SQL["parquet_scan"]
+
+SQL["extract_summary"] = SQL["scrape_summary"] + """
+UNION ALL SELECT 'n_podcasts', CAST(count(DISTINCT 'https://feeds.example.org/' || source || '/' || CAST(floor(doc_id / 64) AS BIGINT)) AS BIGINT) FROM documents
+UNION ALL SELECT 'n_interactions', CAST(count(*) AS BIGINT) FROM documents"""
