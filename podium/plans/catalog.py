@@ -32,9 +32,18 @@ class Prepared:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.items_view = views.items(spark, sf_dir)
-        self.interactions = views.interactions(spark, sf_dir)
-        self._items = self._active = self._train = self._test = self._uidx = self._iidx = None
+        self._sold = self._items = self._active = self._train = self._test = self._uidx = self._iidx = None
+
+    @property
+    def sold(self):
+        """The lineitem x orders join, written once; both tables derive from it."""
+        if self._sold is None:
+            self._sold = self._table("sold", views.sold_lines(self.spark, self.sf_dir))
+        return self._sold
+
+    @property
+    def interactions(self):
+        return views.interactions_from(self.sold)
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         import uuid
@@ -46,7 +55,7 @@ class Prepared:
     @property
     def items(self):
         if self._items is None:
-            self._items = self._table("items", self.items_view)
+            self._items = self._table("items", views.items_from(views.table(self.spark, self.sf_dir, "part"), self.sold))
         return self._items
 
     @property

@@ -20,15 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _sold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their order's customer and date: the one large join
+    both canonical tables derive from (only the four needed columns)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    return li.join(od, li.l_orderkey == od.o_orderkey, "inner").select(
+        "l_partkey", "l_quantity", "o_custkey", "o_orderdate")
 
 
-def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def interactions_from(sold: DataFrame) -> DataFrame:
     """(user_id, podcast_id, rating in [0.1, 5], timestamp)."""
-    return _sold(spark, sf_dir).select(
+    return sold.select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("l_partkey").cast("string").alias("podcast_id"),
         (F.col("l_quantity") / F.lit(10.0)).alias("rating"),
@@ -36,14 +39,13 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items_from(part: DataFrame, sold: DataFrame) -> DataFrame:
     """Items over ``part``; usage statistics aggregated from sold lines
     (partial aggregation before the shuffle, one row per part after)."""
-    stats = _sold(spark, sf_dir).groupBy("l_partkey").agg(
+    stats = sold.groupBy("l_partkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("qty"),
         F.min(F.year("o_orderdate")).alias("first_year"))
-    part = table(spark, sf_dir, "part")
     return part.join(stats, part.p_partkey == stats.l_partkey, "left").select(
         F.col("p_partkey").cast("string").alias("podcast_id"),
         F.col("p_name").alias("title"),
@@ -56,6 +58,14 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions_from(sold_lines(spark, sf_dir))
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items_from(table(spark, sf_dir, "part"), sold_lines(spark, sf_dir))
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_id, embedding array<float>, category) from ``embeddings``."""
     return table(spark, sf_dir, "embeddings").select(
