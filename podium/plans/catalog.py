@@ -45,11 +45,14 @@ class Prepared:
     def interactions(self):
         return views.interactions_from(self.sold)
 
-    def _table(self, name: str, df: DataFrame) -> DataFrame:
+    def _table(self, name: str, df: DataFrame, partition_by=None) -> DataFrame:
         import uuid
         from ..session import scratch_path
         path = scratch_path(self.spark, f"prepared-{name}-{uuid.uuid4().hex}")
-        df.write.mode("overwrite").parquet(path)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(path)
         return self.spark.read.parquet(path)
 
     @property
@@ -69,7 +72,7 @@ class Prepared:
         if self._train is None:
             train, test = prepare.temporal_split(self.active, TEST_SIZE)
             both = self._table("split", train.withColumn("_split", F.lit("train"))
-                               .unionByName(test.withColumn("_split", F.lit("test"))))
+                               .unionByName(test.withColumn("_split", F.lit("test"))), partition_by="_split")
             self._train = both.where(F.col("_split") == "train").drop("_split")
             self._test = both.where(F.col("_split") == "test").drop("_split")
         return self._train, self._test
