@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ MAX_SVD_ITEMS = 200_000
 # Randomised subspace iteration: power iterations and oversampling.
 SVD_POWER_ITERS = 5
 SVD_OVERSAMPLE = 10
+MIN_CELLS_PER_SVD_PARTITION = 100_000
+CHUNK_CELLS = 200_000   # temp arrays ~ chunk x (k + p) x 16 bytes
 
 
 def one_row(df: DataFrame):
@@ -93,14 +96,43 @@ def _centred_cells(train, user_index, item_index, n_items):
     return centred, means
 
 
+_EMPTY_COO = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+
+
 def _partition_coo(rows):
-    """COO arrays of the cells of one partition (all cells of a user are in
-    the same partition)."""
-    import numpy as np
+    """COO arrays of the cells of one partition, sorted by user (all cells of
+    a user are in the same partition)."""
     r, c, v = [], [], []
     for row in rows:
         r.append(row[0]); c.append(row[1]); v.append(row[2])
-    return np.asarray(r, dtype=np.int64), np.asarray(c, dtype=np.int64), np.asarray(v, dtype=np.float64)
+    r = np.asarray(r, dtype=np.int64)
+    o = np.argsort(r, kind="stable")
+    return r[o], np.asarray(c, dtype=np.int64)[o], np.asarray(v, dtype=np.float64)[o]
+
+
+def _user_chunks(r, max_cells: int = CHUNK_CELLS):
+    """Slices of user-sorted cells, cut at user boundaries every ~max_cells,
+    so temporary arrays stay bounded whatever the partition size."""
+    n, a = len(r), 0
+    while a < n:
+        b = min(n, a + max_cells)
+        if b < n:
+            left = int(np.searchsorted(r, r[b], side="left"))
+            # cut before the user that straddles the limit; a single user
+            # larger than a chunk is kept whole
+            b = left if left > a else int(np.searchsorted(r, r[b], side="right"))
+        yield a, b
+        a = b
+
+
+def _segment_sum(keys, rows):
+    """Sum the rows of ``rows`` per distinct key (sort + reduceat); returns
+    (distinct keys, sums)."""
+    import numpy as np
+    o = np.argsort(keys, kind="stable")
+    ks, rs = keys[o], rows[o]
+    starts = np.flatnonzero(np.r_[True, ks[1:] != ks[:-1]])
+    return ks[starts], np.add.reduceat(rs, starts, axis=0)
 
 
 def _ata_times(cells_rdd, q, n_items):
@@ -110,14 +142,14 @@ def _ata_times(cells_rdd, q, n_items):
     bq = cells_rdd.context.broadcast(q)
 
     def part(it):
-        r, c, v = _partition_coo(it)
         qq = bq.value
+        r, c, v = next(iter(it), _EMPTY_COO)
         z = np.zeros((n_items, qq.shape[1]))
-        if len(r):
-            users, ru = np.unique(r, return_inverse=True)
-            y = np.zeros((len(users), qq.shape[1]))
-            np.add.at(y, ru, v[:, None] * qq[c])
-            np.add.at(z, c, v[:, None] * y[ru])
+        for a, b in _user_chunks(r):
+            rr, cc, vv = r[a:b], c[a:b], v[a:b]
+            users, y = _segment_sum(rr, vv[:, None] * qq[cc])       # A_p Q, one row per user
+            items, zs = _segment_sum(cc, vv[:, None] * y[np.searchsorted(users, rr)])
+            z[items] += zs                                          # A_p^T (A_p Q)
         yield z
 
     out = cells_rdd.mapPartitions(part).treeReduce(lambda a, b: a + b, depth=2)
@@ -147,7 +179,7 @@ def _exact_right_factors(cells_rdd, n_items: int):
     import numpy as np
 
     def part(it):
-        r, c, v = _partition_coo(it)
+        r, c, v = next(iter(it), _EMPTY_COO)
         g = np.zeros((n_items, n_items))
         if len(r):
             order = np.argsort(r, kind="stable")
@@ -183,12 +215,25 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
     if n_items > MAX_SVD_ITEMS:
         raise ValueError(f"{n_items} items exceed the SVD limit {MAX_SVD_ITEMS}; use ALS")
     centred, means = _centred_cells(train, user_index, item_index, n_items)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Each pass merges one dense accumulator per partition (n_items x k' for
+    # the randomised route, n_items x n_items for the exact one). Partitions
+    # are sized so that accumulator <= ~2x the partition's own cells (16 bytes
+    # each): the merge traffic never exceeds the data volume, whatever the
+    # configured parallelism. Work inside a partition is chunked.
+    n_cells = centred.count()
+    k_req = max(1, min(int(n_factors), n_items))
+    use_exact = (n_items <= EXACT_SVD_ITEMS) if exact is None else exact
+    width = n_items if use_exact else min(n_items, k_req + SVD_OVERSAMPLE)
+    cells_per_part = max(MIN_CELLS_PER_SVD_PARTITION, n_items * width // 4)
+    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                         -(-n_cells // cells_per_part)))
     staged = reliable_checkpoint(centred.repartition(n_parts, "user_idx"))
-    cells_rdd = staged.rdd.map(lambda r: (int(r[0]), int(r[1]), float(r[2]))).cache()
+    # One element per partition: the partition's cells as three numpy arrays,
+    # cached, so every pass is vectorised with no per-row Python work.
+    cells_rdd = staged.rdd.mapPartitions(
+        lambda it: [_partition_coo((int(x[0]), int(x[1]), float(x[2])) for x in it)]).cache()
     try:
-        k = max(1, min(int(n_factors), n_items))
-        use_exact = (n_items <= EXACT_SVD_ITEMS) if exact is None else exact
+        k = k_req
         lam, vec = _exact_right_factors(cells_rdd, n_items) if use_exact else \
             _randomized_right_factors(cells_rdd, n_items, k)
         keep = [i for i in range(min(k, len(lam))) if lam[i] > 1e-9 * max(lam[0], 1e-300)]
@@ -198,11 +243,9 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
         bv = spark.sparkContext.broadcast(v)
 
         def project(it):
-            r, c, val = _partition_coo(it)
-            if len(r):
-                users, ru = np.unique(r, return_inverse=True)
-                p = np.zeros((len(users), bv.value.shape[1]))
-                np.add.at(p, ru, val[:, None] * bv.value[c])
+            r, c, val = next(iter(it), _EMPTY_COO)
+            for a, b in _user_chunks(r):
+                users, p = _segment_sum(r[a:b], val[a:b, None] * bv.value[c[a:b]])
                 for u, row in zip(users, p):
                     yield int(u), [float(x) for x in row]
 
