@@ -4,8 +4,6 @@ floats are rounded to 6 digits and timestamps rendered as text so that two
 engines can be compared value for value."""
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

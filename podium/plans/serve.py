@@ -29,6 +29,8 @@ from ..session import reliable_checkpoint, ship_package
 
 CATEGORY_MATCH_INDEX = rank.FEATURE_COLS.index("category_match")
 USER_SCORE_INDEXES = (rank.FEATURE_COLS.index("embedding_score"), rank.FEATURE_COLS.index("collab_score"))
+# The all-items path emits (categories x k) rows per user.
+MAX_ALL_ITEMS_CATEGORIES = 1_000
 
 
 @dataclass
@@ -145,9 +147,11 @@ def _all_items_path(model: RecommenderModel, users: DataFrame, k: int, lam: floa
     w = Window.partitionBy("ckey", "band").orderBy(F.col("ranker_score").desc(), F.col("podcast_id").asc())
     top = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
     # Each user's band per category: from their share, else the band of share 0.
-    cats = [r["ckey"] for r in stats.select("ckey").distinct().limit(100_001).collect()]
-    if len(cats) > 100_000:
-        raise ValueError("too many categories for the all-items path")
+    # Each user fans out to (categories x k) candidate rows, so this path is
+    # for a low-cardinality category column; the list is size-checked.
+    cats = [r["ckey"] for r in stats.select("ckey").distinct().limit(MAX_ALL_ITEMS_CATEGORIES + 1).collect()]
+    if len(cats) > MAX_ALL_ITEMS_CATEGORIES:
+        raise ValueError(f"more than {MAX_ALL_ITEMS_CATEGORIES} categories: pass a query or a candidate table")
     band_of = lambda s: F.size(F.filter(F.array(*[F.lit(t) for t in th]), lambda t: t < s)) if th else F.lit(0)
     uc = users.select("user_id", F.explode(F.array(*[F.lit(c) for c in cats])).alias("ckey"))
     prefs = rm.prefs.select("user_id", F.col("category").alias("ckey"), "share")
