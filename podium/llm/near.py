@@ -9,11 +9,14 @@
    signatures of a pair estimate its similarity, corrected for chance
    agreement of two-bit values; hopeless pairs go.
 4. What is left is confirmed on the full sets, and links join to components.
-5. Buckets that still hold several components compare the members of
-   *different* components directly. In a bucket of more than ``WIDE`` members
-   a pair must share a second band as well, which a true pair does with
-   probability over 0.999995; this bounds the work of buckets that a passage
-   common to many texts fills with unlike documents.
+5. Buckets that still hold several components compare members of *different*
+   components, after two exact-minded cuts. A class can only be linked across
+   components if enough of its shingles occur in another component: with r
+   such shingles of n, a link needs 1.75 min(r_a, r_b) >= 0.75 (n_a + n_b). And the
+   pair must pass a finer sketch (1024 one-bit minima, made for these classes
+   only). A pair is looked at in its first common band. Families of copies
+   that differ by their own edits, and texts that share only a passage, fall
+   to the first cut; what passes both is confirmed on the full sets.
 
 At a similarity of exactly 0.75 a pair shares no band with probability
 (1 - 0.75**4)**40 = 2.5e-7.
@@ -34,13 +37,15 @@ PERCENT = 75
 BANDS, ROWS = 40, 4
 BITS = 2
 #: Candidates whose estimate is below this are dropped: over six standard errors under 0.75.
-FLOOR = 0.45
-#: Members beyond which a bucket asks pairs for a second common band.
-WIDE = 64
+FLOOR = 0.5
+#: The finer sketch: one-bit minima, and a floor five standard errors under 0.75.
+FINE = 1024
+FINE_FLOOR = 0.64
 _U = np.uint64
 _MINIMA = BANDS * ROWS
 _FACTORS = ((mix64(np.arange(1, _MINIMA + 1, dtype=np.uint64)) >> _U(32)).astype(np.uint32) | np.uint32(1))
 _LONGS = _MINIMA * BITS // 64
+_FINE_FACTORS = ((mix64(np.arange(10_001, 10_001 + FINE, dtype=np.uint64)) >> _U(32)).astype(np.uint32) | np.uint32(1))
 
 
 def shingle_sets(col):
@@ -75,12 +80,12 @@ def shingle_sets(col):
                 yield s[keep]
 
 
-def minima(s: np.ndarray) -> np.ndarray:
-    """The least value of each of the 160 hash functions over a set."""
+def minima(s: np.ndarray, factors: np.ndarray = _FACTORS) -> np.ndarray:
+    """The least value of each hash function over a set."""
     x = (s >> _U(32)).astype(np.uint32)
-    out = np.full(_MINIMA, 0xFFFFFFFF, np.uint32)
+    out = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     for a in range(0, len(x), 512):
-        np.minimum(out, (_FACTORS[:, None] * x[None, a:a + 512]).min(axis=1), out=out)
+        np.minimum(out, (factors[:, None] * x[None, a:a + 512]).min(axis=1), out=out)
     return out
 
 
@@ -98,6 +103,21 @@ def pack(m: np.ndarray) -> np.ndarray:
     return (low << (np.arange(64 // BITS, dtype=np.uint64) * _U(BITS))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def fine_sketch(s: np.ndarray) -> np.ndarray:
+    """One bit of each of the finer minima, packed into longs."""
+    low = (mix64(minima(s, _FINE_FACTORS).astype(np.uint64)) & _U(1)).reshape(FINE // 64, 64)
+    return (low << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def fine_estimate(a: str, b: str) -> Column:
+    """Similarity of two finer sketches: twice the share of equal bits, less one."""
+    differ = None
+    for k in range(FINE // 64):
+        x = F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k]))
+        differ = x if differ is None else differ + x
+    return F.lit(1.0) - differ * F.lit(2.0 / FINE)
+
+
 def estimate(a: str, b: str) -> Column:
     """Similarity of two packed signatures: the share of equal two-bit values,
     less the quarter that agrees by chance."""
@@ -201,6 +221,37 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def _across(rest: DataFrame, reps: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Pairs (a, b) of different components in the open buckets ``rest`` (key,
+    band, node, root) that the shared-shingle bound and the finer sketch let pass."""
+    nodes = rest.select("node", "root").distinct()
+
+    def run(batches):
+        for batch in batches:
+            sets = list(shingle_sets(batch.column(1)))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)),
+                                             pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array([fine_sketch(x) for x in sets], pa.list_(pa.int64()))],
+                                             ["node", "shingles", "fine"])
+    texts = _texts_of(nodes.select("node"), reps, docs, id_col, text_col)
+    made = materialize(map_arrow(texts, run, "node binary, shingles array<long>, fine array<long>").join(nodes, "node"), "near-fine")
+    each = made.select(F.xxhash64("node").alias("at"), F.xxhash64("root").alias("r"), F.explode("shingles").alias("h"))
+    crossing = each.groupBy("h").agg(F.min("r").alias("r1"), F.max("r").alias("r2")).where("r1 <> r2").select("h")
+    shared = each.select("at", "h").join(crossing, "h", "left_semi").groupBy("at").agg(F.count(F.lit(1)).alias("r"))
+    able = made.select("node", "root", F.size("shingles").cast("long").alias("n"), "fine", F.xxhash64("node").alias("at")).join(
+        shared, "at").where(F.lit(100) * F.col("r") >= PERCENT * F.col("n")).drop("at")
+    able = materialize(able.join(classes.select("node", "bands"), "node"), "near-able")
+    entry = rest.select("key", "band", "node").join(able, "node").withColumn(
+        "earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands")
+    side = lambda x: entry.select(F.col("key").alias("key_" + x), *[F.col(c).alias(f"{c}_{x}")
+                                                                     for c in ("node", "root", "n", "r", "fine", "earlier")])
+    links_need = F.least("r_a", "r_b") * (100 + PERCENT) >= PERCENT * (F.col("n_a") + F.col("n_b"))
+    fits = ((F.col("key_a") == F.col("key_b")) & (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+            & (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & links_need
+            & (fine_estimate("fine_a", "fine_b") >= FINE_FLOOR) & ~F.arrays_overlap("earlier_a", "earlier_b"))
+    return side("a").join(side("b"), fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """(rows: doc_id, n, node; roots: node, root) of a table."""
     signed = materialize(_signed(docs, id_col, text_col), "near-signed")
@@ -223,26 +274,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = materialize(_confirmed(pairs, texts), "near-links")
     roots = components(links)
     # buckets that still hold several components
-    rooted = members.select("key", "band", "node", "k").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = members.select("key", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
-    rest = materialize(rooted.join(open_, "key", "left_semi").join(facts, "node"), "near-rest")
-    left = rest.select("key", "band", "k", *[F.col(c).alias(c + "_a") for c in ("node", "root", "n", "sig")])
-    right = rest.select(F.col("key").alias("key_b"), F.col("band").alias("band_b"),
-                        *[F.col(c).alias(c + "_b") for c in ("node", "root", "n", "sig")])
-    fits = ((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-            & (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (estimate("sig_a", "sig_b") >= FLOOR))
-    thin = left.where(F.col("k") <= WIDE).join(right, (F.col("key") == F.col("key_b")) & fits)
-    # wide buckets: keyed by two common bands
-    wide = rest.where(F.col("k") > WIDE).select("node", "band", "key", "root", "n", "sig")
-    mate = members.select(F.col("node").alias("m_node"), F.col("band").alias("m_band"), F.col("key").alias("m_key"))
-    twice = materialize(wide.join(mate, (F.col("node") == F.col("m_node")) & (F.col("band") != F.col("m_band"))).select(
-        F.xxhash64(F.least("key", "m_key"), F.greatest("key", "m_key")).alias("key"), "node", "root", "n", "sig").distinct(),
-        "near-wide")
-    wl = twice.select("key", *[F.col(c).alias(c + "_a") for c in ("node", "root", "n", "sig")])
-    wr = twice.select(F.col("key").alias("key_b"), *[F.col(c).alias(c + "_b") for c in ("node", "root", "n", "sig")])
-    more = thin.select("node_a", "node_b").unionByName(wl.join(wr, (F.col("key") == F.col("key_b")) & fits).select("node_a", "node_b"))
-    more = materialize(more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(
-        pairs, ["a", "b"], "left_anti"), "near-more")
+    rest = materialize(rooted.join(open_, "key", "left_semi"), "near-rest")
+    more = materialize(_across(rest, reps, classes, docs, id_col, text_col).join(pairs, ["a", "b"], "left_anti"), "near-more")
     if more.isEmpty():
         return signed.select("doc_id", "n", "node"), roots
     texts = materialize(_texts_of(ends(more), reps, docs, id_col, text_col), "near-texts")
