@@ -13,7 +13,7 @@
    components, after two exact-minded cuts. A class can only be linked across
    components if enough of its shingles occur in another component: with r
    such shingles of n, a link needs 1.75 min(r_a, r_b) >= 0.75 (n_a + n_b). And the
-   pair must pass a finer sketch (1024 one-bit minima, made for these classes
+   pair must pass a finer sketch (2048 one-bit minima, made for these classes
    only). A pair is looked at in its first common band. Families of copies
    that differ by their own edits, and texts that share only a passage, fall
    to the first cut; what passes both is confirmed on the full sets.
@@ -38,9 +38,9 @@ BANDS, ROWS = 40, 4
 BITS = 2
 #: Candidates whose estimate is below this are dropped: over six standard errors under 0.75.
 FLOOR = 0.5
-#: The finer sketch: one-bit minima, and a floor five standard errors under 0.75.
-FINE = 1024
-FINE_FLOOR = 0.64
+#: The finer sketch: one-bit minima, and a floor 4.8 standard errors under 0.75.
+FINE = 2048
+FINE_FLOOR = 0.68
 _U = np.uint64
 _MINIMA = BANDS * ROWS
 _FACTORS = ((mix64(np.arange(1, _MINIMA + 1, dtype=np.uint64)) >> _U(32)).astype(np.uint32) | np.uint32(1))
