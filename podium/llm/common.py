@@ -45,6 +45,15 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns beside the columns of ``df``, whatever those are called."""
+    have = {c.lower() for c in df.columns}
+    tail = ""
+    while any((n + tail).lower() in have for n in names):
+        tail += "_"
+    return [n + tail for n in names]
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: lineage is cut and
     later jobs see exactly these rows, whatever happens to executors."""

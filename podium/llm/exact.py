@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, lower_az, map_arrow, materialize, tasks
+from .common import documents, free_names, lower_az, map_arrow, materialize, tasks
 
 FAN_IN = 8
 _KEY = ["digest", "n_bytes", "check"]
@@ -108,12 +108,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, all their columns untouched. Rows that
     repeat both id and text are one document, of which one row stays."""
+    i0, s0, i1, s1 = free_names(docs, "_row_id", "_row_sha", "_kept_id", "_kept_sha")
     kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(
-        F.col("doc_id").alias("__exact_id"), F.col("text_sha256").alias("__exact_sha"))
-    keyed = docs.withColumns({"__exact_id0": F.col(id_col).cast("long"), "__exact_sha0": F.sha2(lower_az(text_col), 256)})
-    stay = keyed.join(kept, F.col("__exact_id0").eqNullSafe(F.col("__exact_id"))
-                      & (F.col("__exact_sha0") == F.col("__exact_sha")), "left_semi")
-    return stay.dropDuplicates(["__exact_id0", "__exact_sha0"]).drop("__exact_id0", "__exact_sha0")
+        F.col("doc_id").alias(i1), F.col("text_sha256").alias(s1))
+    keyed = docs.withColumns({i0: F.col(id_col).cast("long"), s0: F.sha2(lower_az(text_col), 256)})
+    stay = keyed.join(kept, F.col(i0).eqNullSafe(F.col(i1)) & (F.col(s0) == F.col(s1)), "left_semi")
+    return stay.dropDuplicates([i0, s0]).drop(i0, s0)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

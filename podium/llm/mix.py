@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, tasks
+from .common import documents, free_names, materialize, tasks
 
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
@@ -110,16 +110,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it, columns untouched."""
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    d0, z0, d, src, z, c, t, i = free_names(docs, "_d0", "_z0", "_d", "_s", "_z", "_c", "_t", "_i")
     taken = mix(docs, id_col, text_col, source_col).where("copies > 0").groupBy("doc_id", "source", "size").agg(
-        F.sum("copies").alias("__mix_c"), F.count(F.lit(1)).alias("__mix_n")).select(
-        F.col("doc_id").alias("__mix_d"), F.col("source").alias("__mix_s"), F.col("size").alias("__mix_z"),
+        F.sum("copies").alias(c), F.count(F.lit(1)).alias(t)).select(
+        F.col("doc_id").alias(d), F.col("source").alias(src), F.col("size").alias(z),
         # rows that repeat id, source and size are alike to the queue: each goes out equally often
-        F.ceil(F.col("__mix_c") / F.col("__mix_n")).cast("int").alias("__mix_t"))
-    keyed = docs.withColumns({"__mix_d0": F.col(id_col).cast("long"), "__mix_z0": words})
-    joined = keyed.join(taken, F.col("__mix_d0").eqNullSafe(F.col("__mix_d")) & (F.col("__mix_z0") == F.col("__mix_z"))
-                        & F.col(source_col).eqNullSafe(F.col("__mix_s")))
-    return joined.withColumn("__mix_i", F.explode(F.sequence(F.lit(1), F.col("__mix_t")))).select(
-        *[docs[c] for c in docs.columns])
+        F.ceil(F.col(c) / F.col(t)).cast("int").alias(t))
+    keyed = docs.withColumns({d0: F.col(id_col).cast("long"), z0: words})
+    joined = keyed.join(taken, F.col(d0).eqNullSafe(F.col(d)) & (F.col(z0) == F.col(z))
+                        & F.col(source_col).eqNullSafe(F.col(src)))
+    return joined.withColumn(i, F.explode(F.sequence(F.lit(1), F.col(t)))).select(*[docs[x] for x in docs.columns])
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hashed_words, map_arrow, materialize, mix64, passes, text_buffers
+from .common import documents, free_names, hashed_words, map_arrow, materialize, mix64, passes, text_buffers
 
 SHINGLE = 5
 #: Links need 100 x intersection >= PERCENT x union.
@@ -312,8 +312,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one per component, columns untouched
     (rows repeating an id stay or go together)."""
-    gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__near_id")), "left_anti")
+    (name,) = free_names(docs, "_gone_id")
+    gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_anti")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
