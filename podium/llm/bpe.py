@@ -30,7 +30,7 @@ from .common import documents, map_arrow, mix64, span_hashes
 REMEMBERED = 500_000
 #: Words indexed together, and code points split together.
 INDEXED = 50_000
-PASS_CHARS = 1 << 21
+PASS_CHARS = 1 << 20
 _LETTER, _NUMBER, _OTHER = 1, 2, 3
 # Fixed value: the split pattern that this encoder follows.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

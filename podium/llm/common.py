@@ -21,7 +21,9 @@ from ..sources.views import table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that one numpy pass works on; a longer document is one pass.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
+#: Bytes of an Arrow batch that goes to Python (at least one row).
+BATCH_BYTES = 8 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -64,8 +66,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    """``df.mapInArrow`` in batches of bounded bytes; memory that a task's
+    batches held goes back when it ends."""
+    spark = df.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

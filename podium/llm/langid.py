@@ -26,7 +26,7 @@ MODEL_GRAMS = 8000
 GRAMS = (4, 3, 2, 1)
 SMOOTHING = 0.1
 _EDGE = np.uint32(0x2E)
-_CHARS = 1 << 20
+_CHARS = 1 << 19
 _letters: list[np.ndarray] = []
 
 
@@ -244,9 +244,7 @@ def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", least:
         for b in batches:
             names, scores = predict_batch(shared.value, b.column(at))
             yield b.filter(pa.array([n != "und" and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
-    from ..session import ship_package
-    ship_package(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
