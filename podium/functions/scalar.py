@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 PY_WHITESPACE_CLASS = r"[ \t\n\r\f\x0B]"
 # Timestamp layouts tried in order when coercing free-text times.
 TIMESTAMP_FORMATS = [
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][XXX][XX]",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS][XXX][XX]",
     "yyyy-MM-dd",
-    "dd MMM yyyy HH:mm:ss Z",
-    "dd MMM yyyy HH:mm:ss z",
+    "d MMM yyyy HH:mm:ss[ XX][ XXX]",
+    "d MMM yyyy HH:mm:ss z",
 ]
 
 

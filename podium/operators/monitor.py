@@ -29,13 +29,14 @@ def categorical_columns(df: DataFrame) -> list[str]:
 
 
 def unpivot(df: DataFrame, features, value_type: str = "double") -> DataFrame:
-    """``(feature, value)`` rows for the given columns; NULL values dropped."""
+    """``(feature, value)`` rows for the given columns; NULL and NaN dropped."""
     feats = list(features)
     args = []
     for f in feats:
         args += [F.lit(f), F.col(f).cast(value_type)]
     return df.select(F.stack(F.lit(len(feats)), *args).alias("feature", "value")) \
-             .where(F.col("value").isNotNull())
+             .where(F.col("value").isNotNull() & ~F.isnan("value")
+                    if value_type == "double" else F.col("value").isNotNull())
 
 
 def _edges_expr(bins: int):

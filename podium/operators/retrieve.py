@@ -47,7 +47,7 @@ class HashingEncoder:
         from pyspark.ml import Pipeline
         from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
         return Pipeline(stages=[
-            RegexTokenizer(inputCol="text", outputCol="_tok", pattern=r"\W+", toLowercase=True),
+            RegexTokenizer(inputCol="text", outputCol="_tok", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
             HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=self.dim),
             IDF(inputCol="_tf", outputCol="_idf", minDocFreq=self.min_doc_freq),
             Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)])

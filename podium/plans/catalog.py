@@ -549,7 +549,8 @@ def q_recommend_user(spark, d):
     w = Window.partitionBy("user_id").orderBy(F.col("timestamp").desc(), F.col("podcast_id").desc())
     last = p.train.withColumn("_r", F.row_number().over(w)).where("_r = 1").join(
         p.items.select("podcast_id", "title"), "podcast_id")
-    req = last.select("user_id", F.col("title").alias("query"))
+    history = p.train.groupBy("user_id").agg(F.collect_set("podcast_id").alias("exclude"))
+    req = last.select("user_id", F.col("title").alias("query")).join(history, "user_id")
     return recommend_batch(model, req)
 
 
@@ -647,11 +648,11 @@ def q_best_reviews_file(spark, d):
     from ..session import scratch_path
     base = scratch_path(spark, f"reviews-{uuid.uuid4().hex}")
     rv = views.reviews(spark, d)
-    rv.select("row_id", "podcast_name", "review_text", "rating", "category").write.option("header", True).csv(base + "/a_full.csv")
-    rv.select("row_id", "review_text").write.option("header", True).csv(base + "/b_text.csv")
-    rv.select("row_id", "podcast_name").write.option("header", True).csv(base + "/c_names.csv")
+    rv.select("row_id", "podcast_name", "review_text", "rating", "category").write.options(**ingest.CSV_WRITE).csv(base + "/a_full.csv")
+    rv.select("row_id", "review_text").write.options(**ingest.CSV_WRITE).csv(base + "/b_text.csv")
+    rv.select("row_id", "podcast_name").write.options(**ingest.CSV_WRITE).csv(base + "/c_names.csv")
     best, score = ingest.best_reviews_file(spark, [base + "/a_full.csv", base + "/b_text.csv", base + "/c_names.csv"])
-    return spark.read.option("header", True).csv(best).withColumn("file_score", F.lit(score))
+    return ingest.read_review_csv(spark, best).withColumn("file_score", F.lit(score))
 
 
 SQL_QUERIES.update({"scrape_summary": q_scrape_summary, "reviews_to_items": q_reviews_to_items,

@@ -446,3 +446,8 @@ SQL["csv_scan"] = SQL["parquet_scan"]
 SQL["extract_summary"] = SQL["scrape_summary"] + """
 UNION ALL SELECT 'n_podcasts', CAST(count(DISTINCT 'https://feeds.example.org/' || source || '/' || CAST(floor(doc_id / 64) AS BIGINT)) AS BIGINT) FROM documents
 UNION ALL SELECT 'n_interactions', CAST(count(*) AS BIGINT) FROM documents"""
+
+SQL["best_reviews_file"] = """
+SELECT CAST(d.doc_id AS VARCHAR) AS row_id, source AS podcast_name, text AS review_text, CAST(quality AS VARCHAR) AS rating,
+       lang AS category, CAST(8 + least((SELECT count(*) FROM documents), 1000) // 100 AS INTEGER) AS file_score
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""

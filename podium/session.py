@@ -16,7 +16,7 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "podium", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session. On a cluster pass ``master=None`` and let the
     launcher decide; tests use ``local[*]`` with few shuffle partitions."""
@@ -24,7 +24,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:      # else the launcher's setting holds
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

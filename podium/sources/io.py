@@ -24,14 +24,26 @@ INTERACTIONS_CSV_SCHEMA = T.StructType([
 SOURCES = ("synthetic", "csv", "rss", "kaggle")
 
 
+CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Columns by header name in any order (a missing one is NULL), cast to the
+    declared types; quoted newlines and doubled quotes belong to their field."""
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
+    have = {c.lower(): c for c in raw.columns}
+    return raw.select(*[(F.col(f"`{have[f.name]}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
+                        .alias(f.name) for f in schema.fields])
+
+
 def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S3: items CSV with a header and the declared schema."""
-    return spark.read.option("header", True).schema(ITEMS_SCHEMA).csv(path)
+    """S3: items CSV, columns by header name."""
+    return _read_csv(spark, path, ITEMS_SCHEMA)
 
 
 def read_interactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: interactions CSV; ``timestamp`` parsed (unparseable -> NULL)."""
-    df = spark.read.option("header", True).schema(INTERACTIONS_CSV_SCHEMA).csv(path)
+    df = _read_csv(spark, path, INTERACTIONS_CSV_SCHEMA)
     return df.withColumn("timestamp", try_parse_timestamp(F.col("timestamp")))
 
 

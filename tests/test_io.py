@@ -65,3 +65,16 @@ def test_holdout(spark):
     ii = spark.createDataFrame([(p, i) for i, p in enumerate(ids)], "podcast_id string, podcast_idx int")
     m = collab.holdout_cf(train, ui, ii, 4).first()
     assert m["n"] > 0 and m["rmse"] >= m["mae"] > 0
+
+
+def test_csv_columns_go_by_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "i.csv")
+    with open(p, "w") as f:
+        f.write('podcast_id,user_id,rating,timestamp\np1,u1,4.5,2026-01-01 00:00:00+00:00\n')
+    r = io.read_interactions_csv(spark, p).head()
+    assert (r.user_id, r.podcast_id, r.rating, str(r.timestamp)) == ("u1", "p1", 4.5, "2026-01-01 00:00:00")
+    p = os.path.join(tmp_dir, "j.csv")
+    with open(p, "w") as f:
+        f.write('podcast_id,title,category,description\np1,"a\nb","c ""d""",text\n')
+    r = io.read_items_csv(spark, p).head()
+    assert (r.podcast_id, r.title, r.category, r.description, r.play_count) == ("p1", "a\nb", 'c "d"', "text", None)

@@ -88,3 +88,10 @@ def test_quality_profile(spark):
     q = {(r.side, r.feature): r for r in monitor.quality_profile(ref, ref, ["x"], ["c"]).collect()}
     assert q[("reference", "x")].n_null == 1 and q[("reference", "x")].max_value == 3.0
     assert q[("current", "c")].n_distinct == 2
+
+
+def test_psi_drops_nan(spark):
+    ref = spark.createDataFrame([(float(i % 10),) for i in range(100)] + [(float("nan"),)], "v double")
+    cur = spark.createDataFrame([(float(i % 3),) for i in range(60)], "v double")
+    with_nan, without = (monitor.psi(r, cur, ["v"]).head().psi for r in (ref, ref.where("not isnan(v)")))
+    assert with_nan == without > 1
