@@ -9,8 +9,9 @@
    signatures of a pair estimate its similarity, corrected for chance
    agreement of two-bit values; hopeless pairs go.
 4. What is left is confirmed on the full sets, and links join to components.
-5. Buckets that still hold several components compare members of *different*
-   components, after two exact-minded cuts. A class can only be linked across
+5. Buckets that still hold several components link their members once more to
+   the most central one, and then compare members of *different* components,
+   after two exact-minded cuts. A class can only be linked across
    components if enough of its shingles occur in another component: with r
    such shingles of n, a link needs 1.75 min(r_a, r_b) >= 0.75 (n_a + n_b). And the
    pair must pass a finer sketch (2048 one-bit minima, made for these classes
@@ -252,6 +253,24 @@ def _across(rest: DataFrame, reps: DataFrame, classes: DataFrame, docs: DataFram
     return side("a").join(side("b"), fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
+def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, band, node, k, root`` of the buckets that still hold several components."""
+    rooted = members.select("key", "band", "node", "k").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
+    return materialize(rooted.join(open_, "key", "left_semi"), "near-rest")
+
+
+def _central_pairs(rest: DataFrame, facts: DataFrame) -> DataFrame:
+    """Plausible pairs (a, b) of each open bucket's central member, the one that
+    meets most others over all its buckets, with the members of other
+    components. Of a family of edited copies the copy nearest to all others is
+    central, so one linear round joins most families before any pairwise step."""
+    meets = rest.groupBy("node").agg(F.sum("k").alias("meets"))
+    hub = rest.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node", "root")).alias("hub"))
+    met = rest.join(hub, "key").where(F.col("root") != F.col("hub.root"))
+    return _plausible(met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct(), facts)
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """(rows: doc_id, n, node; roots: node, root) of a table."""
     signed = materialize(_signed(docs, id_col, text_col), "near-signed")
@@ -273,10 +292,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = materialize(_texts_of(ends(pairs), reps, docs, id_col, text_col), "near-texts")
     links = materialize(_confirmed(pairs, texts), "near-links")
     roots = components(links)
-    # buckets that still hold several components
-    rooted = members.select("key", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
-    rest = materialize(rooted.join(open_, "key", "left_semi"), "near-rest")
+    rest = _open_buckets(members, roots)
+    central = materialize(_central_pairs(rest, facts).join(pairs, ["a", "b"], "left_anti"), "near-central")
+    if not central.isEmpty():
+        texts = materialize(_texts_of(ends(central), reps, docs, id_col, text_col), "near-texts")
+        links = materialize(links.unionByName(_confirmed(central, texts)), "near-links")
+        pairs = pairs.unionByName(central)
+        roots = components(links)
+        rest = _open_buckets(members, roots)
     more = materialize(_across(rest, reps, classes, docs, id_col, text_col).join(pairs, ["a", "b"], "left_anti"), "near-more")
     if more.isEmpty():
         return signed.select("doc_id", "n", "node"), roots
