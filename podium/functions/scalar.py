@@ -109,3 +109,9 @@ def safe_div(a, b) -> Column:
 def ts_string(c) -> Column:
     """Timestamp rendered as 'yyyy-MM-dd HH:mm:ss' (engine-neutral output)."""
     return F.date_format(col_(c), "yyyy-MM-dd HH:mm:ss")
+
+
+def instant(micros: int, kind):
+    """A literal of timestamp type ``kind`` at ``micros`` since the epoch; folded
+    to a constant, so a comparison with a bare column is pushed to the scan."""
+    return F.timestamp_micros(F.lit(int(micros)).cast("long")).cast(kind)

@@ -1,32 +1,20 @@
 """Popularity, rating matrix, centred truncated SVD, CF scoring and RMSE/MAE.
 
-Tables stay long (``user_idx, podcast_idx, value``). The SVD works on the
-centred cells partitioned by user: small item sets use the exact Gramian,
-larger ones randomised subspace iteration; per-partition numpy accumulators
-are merged in a tree and only item-sized matrices reach the driver.
-Beyond ``MAX_SVD_ITEMS`` items use ALS instead.
+Tables stay long (``user_idx, podcast_idx, value``). The factors come from
+MLlib's distributed SVD of the sparse user rows at every size; alternating
+least squares is a second method, taken only when asked for.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dot
 from ..session import reliable_checkpoint, ship_package
 
-# Up to this many items the exact Gramian route is used (n x n on the driver).
-EXACT_SVD_ITEMS = 4_096
-# Above this many items the n x (k + p) accumulators no longer fit one task; use ALS.
-MAX_SVD_ITEMS = 200_000
-# Randomised subspace iteration: power iterations and oversampling.
-SVD_POWER_ITERS = 5
-SVD_OVERSAMPLE = 10
-MIN_CELLS_PER_SVD_PARTITION = 100_000
-CHUNK_CELLS = 200_000   # temp arrays ~ chunk x (k + p) x 16 bytes
-
 
 def one_row(df: DataFrame):
     """First row of a global aggregate (a single row by construction)."""
@@ -96,169 +84,62 @@ def _centred_cells(train, user_index, item_index, n_items):
     return centred, means
 
 
-_EMPTY_COO = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
-
-
-def _partition_coo(rows):
-    """COO arrays of the cells of one partition, sorted by user (all cells of
-    a user are in the same partition)."""
-    r, c, v = [], [], []
-    for row in rows:
-        r.append(row[0]); c.append(row[1]); v.append(row[2])
-    r = np.asarray(r, dtype=np.int64)
-    o = np.argsort(r, kind="stable")
-    return r[o], np.asarray(c, dtype=np.int64)[o], np.asarray(v, dtype=np.float64)[o]
-
-
-def _user_chunks(r, max_cells: int = CHUNK_CELLS):
-    """Slices of user-sorted cells, cut at user boundaries every ~max_cells,
-    so temporary arrays stay bounded whatever the partition size."""
-    n, a = len(r), 0
-    while a < n:
-        b = min(n, a + max_cells)
-        if b < n:
-            left = int(np.searchsorted(r, r[b], side="left"))
-            # cut before the user that straddles the limit; a single user
-            # larger than a chunk is kept whole
-            b = left if left > a else int(np.searchsorted(r, r[b], side="right"))
-        yield a, b
-        a = b
-
-
-def _segment_sum(keys, rows):
-    """Sum the rows of ``rows`` per distinct key (sort + reduceat); returns
-    (distinct keys, sums)."""
-    import numpy as np
-    o = np.argsort(keys, kind="stable")
-    ks, rs = keys[o], rows[o]
-    starts = np.flatnonzero(np.r_[True, ks[1:] != ks[:-1]])
-    return ks[starts], np.add.reduceat(rs, starts, axis=0)
-
-
-def _ata_times(cells_rdd, q, n_items):
-    """``A^T (A Q)`` in one pass: per partition, Y = A_p Q (users of the
-    partition x k') and Z_p = A_p^T Y (n_items x k'); partial sums merge in a tree."""
-    import numpy as np
-    bq = cells_rdd.context.broadcast(q)
-
-    def part(it):
-        qq = bq.value
-        r, c, v = next(iter(it), _EMPTY_COO)
-        z = np.zeros((n_items, qq.shape[1]))
-        for a, b in _user_chunks(r):
-            rr, cc, vv = r[a:b], c[a:b], v[a:b]
-            users, y = _segment_sum(rr, vv[:, None] * qq[cc])       # A_p Q, one row per user
-            items, zs = _segment_sum(cc, vv[:, None] * y[np.searchsorted(users, rr)])
-            z[items] += zs                                          # A_p^T (A_p Q)
-        yield z
-
-    out = cells_rdd.mapPartitions(part).treeReduce(lambda a, b: a + b, depth=2)
-    bq.unpersist()
-    return out
-
-
-def _randomized_right_factors(cells_rdd, n_items: int, k: int, seed: int = 42):
-    """Top-k right singular vectors and values of A by randomised subspace
-    iteration on A^T A (Halko, Martinsson, Tropp 2011): k + p columns,
-    ``SVD_POWER_ITERS`` passes, then the small (k+p) x (k+p) problem."""
-    import numpy as np
-    kp = min(n_items, k + SVD_OVERSAMPLE)
-    q = np.random.default_rng(seed).standard_normal((n_items, kp))
-    q, _ = np.linalg.qr(q)
-    for _ in range(SVD_POWER_ITERS):
-        q, _ = np.linalg.qr(_ata_times(cells_rdd, q, n_items))
-    small = q.T @ _ata_times(cells_rdd, q, n_items)          # Q^T A^T A Q, k' x k'
-    lam, w = np.linalg.eigh((small + small.T) / 2)
-    order = np.argsort(lam)[::-1]
-    lam, w = lam[order], w[:, order]
-    return lam, q @ w
-
-
-def _exact_right_factors(cells_rdd, n_items: int):
-    """Eigen-decomposition of the exact Gramian A^T A (one pass)."""
-    import numpy as np
-
-    def part(it):
-        r, c, v = next(iter(it), _EMPTY_COO)
-        g = np.zeros((n_items, n_items))
-        if len(r):
-            order = np.argsort(r, kind="stable")
-            r, c, v = r[order], c[order], v[order]
-            starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            ends = np.r_[starts[1:], len(r)]
-            for a, b in zip(starts, ends):   # one outer product per user row
-                cc, vv = c[a:b], v[a:b]
-                g[np.ix_(cc, cc)] += np.outer(vv, vv)
-        yield g
-
-    gram = cells_rdd.mapPartitions(part).treeReduce(lambda a, b: a + b, depth=2)
-    lam, vec = np.linalg.eigh(gram)
-    order = np.argsort(lam)[::-1]
-    return lam[order], vec[:, order]
+def _svd_factors(centred: DataFrame, n_items: int, k: int):
+    """(user factors ``P = A V``, item factors ``Q = V``, singular values) from
+    ``IndexedRowMatrix.computeSVD`` over one sparse row per user. A user's row
+    holds at most one cell per item. Only the item-sized ``V`` is local."""
+    from pyspark.mllib.linalg import SparseVector, VectorUDT
+    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 
+    spark = centred.sparkSession
+    sparse = F.udf(lambda cells: SparseVector(n_items, [c[0] for c in cells], [c[1] for c in cells]), VectorUDT())
+    rows = (centred.groupBy(F.col("user_idx").cast("long").alias("index"))
+                   .agg(F.array_sort(F.collect_list(F.struct("podcast_idx", "v"))).alias("cells"))
+                   .select("index", sparse("cells").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        matrix = IndexedRowMatrix(rows, numCols=n_items)
+        svd = matrix.computeSVD(k, computeU=False)
+        projected = matrix.multiply(svd.V).rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
+        users = reliable_checkpoint(spark.createDataFrame(projected, "user_idx int, factors array<double>"))
+    finally:
+        rows.unpersist()
+    items = spark.createDataFrame([(i, q.tolist()) for i, q in enumerate(svd.V.toArray())],
+                                  "podcast_idx int, factors array<double>")
+    return users, items, [float(x) for x in svd.s]
 
-def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
-           n_factors: int = 64, exact: bool | None = None) -> CFModel:
-    """Centre stored cells by the user mean (zeros stay zero), truncated SVD,
-    ``P = U * S = A V``, ``Q = V`` (C1). ``k`` is clamped to the item count.
 
-    The centred cells are hash-partitioned by user and checkpointed once.
-    Up to ``EXACT_SVD_ITEMS`` items, one pass builds the Gramian ``A^T A`` and
-    the driver eigendecomposes it; above, randomised subspace iteration needs
-    ``SVD_POWER_ITERS + 1`` passes and only ``n_items x (k + p)`` matrices
-    reach the driver. ``P = A V`` is a final distributed pass."""
-    import numpy as np
+def _als_factors(centred: DataFrame, k: int, seed: int):
+    """(user factors, item factors, no singular values) by alternating least squares."""
+    from pyspark.ml.recommendation import ALS
+    fit = ALS(rank=k, userCol="user_idx", itemCol="podcast_idx", ratingCol="v", seed=seed).fit(centred)
+    side = lambda df, idx: reliable_checkpoint(df.select(
+        F.col("id").alias(idx), F.col("features").cast("array<double>").alias("factors")))
+    return side(fit.userFactors, "user_idx"), side(fit.itemFactors, "podcast_idx"), []
+
 
+def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
+           n_factors: int = 64, method: str = "svd", seed: int = 42) -> CFModel:
+    """Centre stored cells by the user mean (zeros stay zero) and factorise
+    (C1): ``svd`` (default) or ``als``. ``n_factors`` is clamped to the item
+    count; singular values that vanish are left out. Cells that are zero after
+    centring add nothing and go; with none left all factors are zero."""
+    if method not in ("svd", "als"):
+        raise ValueError("method is 'svd' or 'als'")
     spark = train.sparkSession
     ship_package(spark)
     n_items = int(item_index.count())
-    if n_items > MAX_SVD_ITEMS:
-        raise ValueError(f"{n_items} items exceed the SVD limit {MAX_SVD_ITEMS}; use ALS")
     centred, means = _centred_cells(train, user_index, item_index, n_items)
-    # Each pass merges one dense accumulator per partition (n_items x k' for
-    # the randomised route, n_items x n_items for the exact one). Partitions
-    # are sized so that accumulator <= ~2x the partition's own cells (16 bytes
-    # each): the merge traffic never exceeds the data volume, whatever the
-    # configured parallelism. Work inside a partition is chunked.
-    n_cells = centred.count()
-    k_req = max(1, min(int(n_factors), n_items))
-    use_exact = (n_items <= EXACT_SVD_ITEMS) if exact is None else exact
-    width = n_items if use_exact else min(n_items, k_req + SVD_OVERSAMPLE)
-    cells_per_part = max(MIN_CELLS_PER_SVD_PARTITION, n_items * width // 4)
-    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                         -(-n_cells // cells_per_part)))
-    staged = reliable_checkpoint(centred.repartition(n_parts, "user_idx"))
-    # One element per partition: the partition's cells as three numpy arrays,
-    # cached, so every pass is vectorised with no per-row Python work.
-    cells_rdd = staged.rdd.mapPartitions(
-        lambda it: [_partition_coo((int(x[0]), int(x[1]), float(x[2])) for x in it)]).cache()
-    try:
-        k = k_req
-        lam, vec = _exact_right_factors(cells_rdd, n_items) if use_exact else \
-            _randomized_right_factors(cells_rdd, n_items, k)
-        keep = [i for i in range(min(k, len(lam))) if lam[i] > 1e-9 * max(lam[0], 1e-300)]
-        k_eff = max(1, len(keep))
-        v = np.ascontiguousarray(vec[:, :k_eff])
-        s = [float(np.sqrt(max(x, 0.0))) for x in lam[:k_eff]]
-        bv = spark.sparkContext.broadcast(v)
-
-        def project(it):
-            r, c, val = next(iter(it), _EMPTY_COO)
-            for a, b in _user_chunks(r):
-                users, p = _segment_sum(r[a:b], val[a:b, None] * bv.value[c[a:b]])
-                for u, row in zip(users, p):
-                    yield int(u), [float(x) for x in row]
-
-        user_factors = spark.createDataFrame(cells_rdd.mapPartitions(project), "user_idx int, factors array<double>")
-        user_factors = reliable_checkpoint(user_factors)
-        bv.unpersist()
-    finally:
-        cells_rdd.unpersist()
-    item_factors = spark.createDataFrame(
-        [(int(i), [float(x) for x in v[i]]) for i in range(v.shape[0])],
-        "podcast_idx int, factors array<double>")
-    return CFModel(user_factors, item_factors, means, user_index, item_index,
-                   popularity(train), k_eff, s)
+    centred = reliable_checkpoint(centred.where("v <> 0"))
+    k = max(1, min(int(n_factors), n_items))
+    if centred.isEmpty():
+        none = lambda idx: spark.createDataFrame([], f"{idx} int, factors array<double>")
+        users, items, s, k = none("user_idx"), none("podcast_idx"), [0.0], 1
+    elif method == "als":
+        users, items, s = _als_factors(centred, k, seed)
+    else:
+        users, items, s = _svd_factors(centred, n_items, k)
+        k = len(s)
+    return CFModel(users, items, means, user_index, item_index, popularity(train), k, s)
 
 
 # Largest item table (index, factors, popularity) broadcast to every task.

@@ -3,10 +3,12 @@ decay, retrain flag and time windows. All features go through one unpivoted
 table ``(feature, value)`` so one aggregate serves every column."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import instant
+
 # Fixed values of the reference monitor.
 DRIFT_THRESHOLD = 0.15
 PERFORMANCE_THRESHOLD = 0.05
@@ -67,15 +69,13 @@ def psi(reference: DataFrame, current: DataFrame, features=None, bins: int = PSI
     both = ref.unionByName(cur)
     # The range table has one row per feature: a broadcast of bounded size.
     binned = both.join(F.broadcast(rng), "feature").withColumn("bin", _edges_expr(bins))
-    counts = binned.groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("cnt"))
-    totals = binned.groupBy("feature").agg(
-        F.count_if(F.col("side") == "r").alias("n_ref"), F.count_if(F.col("side") == "c").alias("n_cur"))
-    feats_df = rng.select("feature")
-    spine = feats_df.select("feature", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    rc = counts.where(F.col("side") == "r").select("feature", "bin", F.col("cnt").alias("rc"))
-    cc = counts.where(F.col("side") == "c").select("feature", "bin", F.col("cnt").alias("cc"))
-    tab = (spine.join(rc, ["feature", "bin"], "left").join(cc, ["feature", "bin"], "left")
-                .join(totals, "feature", "left"))
+    counts = binned.groupBy("feature", "bin").agg(F.count_if(F.col("side") == "r").alias("rc"),
+                                                  F.count_if(F.col("side") == "c").alias("cc"))
+    spine = rng.select("feature", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    # totals come from the bin counts: one row per feature and bin
+    whole = Window.partitionBy("feature")
+    tab = spine.join(counts, ["feature", "bin"], "left").withColumn("n_ref", F.sum("rc").over(whole)).withColumn(
+        "n_cur", F.sum("cc").over(whole))
     n_ref = F.coalesce(F.col("n_ref"), F.lit(0)).cast("double")
     n_cur = F.coalesce(F.col("n_cur"), F.lit(0)).cast("double")
     rp = F.greatest(F.try_divide(F.coalesce(F.col("rc"), F.lit(0)).cast("double"), n_ref), F.lit(PSI_FLOOR))
@@ -152,14 +152,16 @@ def should_retrain(has_drift, has_decay):
 
 
 def _window_bounds(df: DataFrame, ts_col: str, current_days: int, reference_days: int):
-    """Epoch-microsecond starts of the current and reference windows from one
-    global aggregate (a single row reaches the driver)."""
-    mx = df.agg(F.max(F.unix_micros(F.col(ts_col))).alias("m")).first()["m"]
+    """Starts of the current and reference windows as literals of the column's
+    own type, so that the bounds reach the scan; from one global aggregate (a
+    single row reaches the driver)."""
+    mx = df.agg(F.unix_micros(F.max(F.col(ts_col)).cast("timestamp")).alias("m")).first()["m"]
     if mx is None:
         return None
     day = 86_400_000_000
     cur_start = mx - int(current_days) * day
-    return cur_start, cur_start - int(reference_days) * day
+    kind = df.schema[ts_col].dataType
+    return instant(cur_start, kind), instant(cur_start - int(reference_days) * day, kind)
 
 
 def drift_windows(df: DataFrame, ts_col: str = "ts", current_days: int = CURRENT_WINDOW_DAYS,
@@ -170,7 +172,7 @@ def drift_windows(df: DataFrame, ts_col: str = "ts", current_days: int = CURRENT
     if b is None:
         return df.limit(0), df.limit(0)
     cur_start, ref_start = b
-    t = F.unix_micros(F.col(ts_col))
+    t = F.col(ts_col)
     return df.where((t >= ref_start) & (t < cur_start)), df.where(t >= cur_start)
 
 
@@ -181,7 +183,7 @@ def window_label(df: DataFrame, ts_col: str = "ts", current_days: int = CURRENT_
     if b is None:
         return df.withColumn("window", F.lit(None).cast("string"))
     cur_start, ref_start = b
-    t = F.unix_micros(F.col(ts_col))
+    t = F.col(ts_col)
     lab = F.when(t >= cur_start, "current").when((t >= ref_start) & (t < cur_start), "reference")
     return df.withColumn("window", lab)
 

@@ -1,10 +1,12 @@
 """Retrieval: item text, text embedding job, exact inner-product top-k.
 
-Exact search is a blocked matrix product: queries and items are cut into
-blocks by a hash of their id, every (query block, item block) pair meets in
-one ``cogroup`` group, numpy multiplies the two blocks and keeps each query's
-local top-k, and a per-query window merges the local lists. No row-level
-cross join is planned and no side passes through the driver.
+Exact search: where the query side is small (its bytes are measured first)
+it is broadcast, every task keeps each query's local top-k while its items
+stream by, and only those rows are shuffled. A larger query side is cut into
+blocks, as are the items: every (query block, item block) pair meets in one
+``cogroup`` group and numpy multiplies the two blocks. A per-query window
+merges the local lists. No row-level cross join is planned and no table
+passes whole through the driver.
 """
 from __future__ import annotations
 
@@ -73,70 +75,105 @@ def embed_text(df: DataFrame, id_col: str, text_col: str = "text", encoder=None)
     return enc.transform(src, id_col)
 
 
+HITS = "query_id string, item_id string, score double"
+# Largest query side (vectors and excluded ids) that is broadcast.
+BROADCAST_QUERY_BYTES = 16 * 1024 * 1024
+_CELLS = 1 << 22    # scores held at once by one product
+
+
+def _local_topk(qids, qm, excluded, ids, im, k: int, exclude_self: bool) -> pd.DataFrame:
+    """Each query's k best of one block of items, ties by item id. The
+    excluded ids of a query are looked up in the block, and lose."""
+    rank_of_id = np.empty(len(ids), np.int64)
+    rank_of_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    place = {v: i for i, v in enumerate(ids)} if exclude_self or excluded is not None else {}
+    step = max(1, _CELLS // max(1, len(ids)))
+    rows, cols, vals = [], [], []
+    for a in range(0, len(qids), step):
+        s = qm[a:a + step] @ im.T
+        for r, qid in enumerate(qids[a:a + step]) if place else ():
+            out = list(excluded[a + r]) if excluded is not None and excluded[a + r] is not None else []
+            gone = [place[x] for x in out + ([qid] if exclude_self else []) if x in place]
+            s[r, gone] = -np.inf
+        kk = min(k, s.shape[1])
+        least = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
+        r, c = np.nonzero((s >= least[:, None]) & np.isfinite(s))
+        v = s[r, c]
+        order = np.lexsort((rank_of_id[c], -v, r))
+        r, c, v = r[order], c[order], v[order]
+        first = np.searchsorted(r, r, "left")
+        keep = np.arange(len(r)) - first < kk
+        rows.append(r[keep] + a)
+        cols.append(c[keep])
+        vals.append(v[keep])
+    r, c, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, cols, vals))
+    return pd.DataFrame({"query_id": qids[r].astype(object), "item_id": ids[c].astype(object), "score": v.astype(float)})
+
+
+def _matrix(vectors) -> np.ndarray:
+    return np.vstack(vectors.to_numpy()).astype(np.float64)
+
+
 def _block_topk_fn(k: int, exclude_self: bool, has_exclude: bool):
     def fn(q: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series([], dtype=str),
-                              "item_id": pd.Series([], dtype=str),
-                              "score": pd.Series([], dtype=float)})
         if q.empty or it.empty:
-            return empty
-        qm = np.vstack(q["qvec"].to_numpy()).astype(np.float64)
-        im = np.vstack(it["ivec"].to_numpy()).astype(np.float64)
-        ids = it["item_id"].to_numpy().astype(object)
-        s = qm @ im.T
-        if exclude_self or has_exclude:
-            col_of = {v: i for i, v in enumerate(ids)}
-            for r, qid in enumerate(q["query_id"].to_numpy()):
-                if exclude_self and qid in col_of:
-                    s[r, col_of[qid]] = -np.inf
-                if has_exclude:
-                    ex = q["exclude"].iat[r]
-                    if ex is not None:
-                        for e in ex:
-                            c = col_of.get(e)
-                            if c is not None:
-                                s[r, c] = -np.inf
-        kk = min(k, s.shape[1])
-        th = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
-        out_q, out_i, out_s = [], [], []
-        qids = q["query_id"].to_numpy()
-        for r in range(s.shape[0]):
-            cand = np.nonzero((s[r] >= th[r]) & np.isfinite(s[r]))[0]
-            order = sorted(cand, key=lambda c: (-s[r, c], ids[c]))[:kk]
-            out_q.extend([qids[r]] * len(order))
-            out_i.extend(ids[order].tolist() if len(order) else [])
-            out_s.extend(s[r, order].tolist() if len(order) else [])
-        if not out_q:
-            return empty
-        return pd.DataFrame({"query_id": out_q, "item_id": out_i, "score": out_s})
+            return pd.DataFrame({"query_id": pd.Series([], dtype=str), "item_id": pd.Series([], dtype=str),
+                                 "score": pd.Series([], dtype=float)})
+        return _local_topk(q["query_id"].to_numpy(), _matrix(q["qvec"]), q["exclude"].to_numpy() if has_exclude else None,
+                           it["item_id"].to_numpy().astype(object), _matrix(it["ivec"]), k, exclude_self)
     return fn
 
 
+def _broadcast_topk(q: DataFrame, it: DataFrame, k: int, exclude_self: bool, has_exclude: bool) -> DataFrame:
+    """Local top-k lists against a broadcast query side; items are not shuffled."""
+    rows = q.collect()      # at most BROADCAST_QUERY_BYTES, checked by the caller
+    side = it.sparkSession.sparkContext.broadcast((
+        np.array([r["query_id"] for r in rows], object), np.array([r["qvec"] for r in rows], np.float64),
+        [r["exclude"] for r in rows] if has_exclude else None))
+
+    def run(batches):
+        qids, qm, excluded = side.value
+        best = None
+        for b in batches:
+            if b.empty:
+                continue
+            hits = _local_topk(qids, qm, excluded, b["item_id"].to_numpy().astype(object), _matrix(b["ivec"]), k, exclude_self)
+            best = hits if best is None else pd.concat([best, hits], ignore_index=True).sort_values(
+                ["query_id", "score", "item_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
+        if best is not None:
+            yield best
+    return it.mapInPandas(run, HITS)
+
+
 def exact_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str = "query_id",
                item_id: str = "item_id", query_vec: str = "embedding", item_vec: str = "embedding",
                exclude_col: str | None = None, exclude_self: bool = False,
-               block_size: int = 2048) -> DataFrame:
+               block_size: int = 2048, broadcast_bytes: int = BROADCAST_QUERY_BYTES) -> DataFrame:
     """E3 core: for every query, the k items with the largest inner product,
     descending, ties by item id; excluded ids (an array column on the query
-    side) and optionally the query's own id never appear.
+    side) and optionally the query's own id never appear. Rows without a
+    vector take no part.
     Returns ``(query_id, item_id, score, rank)``."""
     ship_package(items.sparkSession)
-    n_items = items.count()
-    n_q = queries.count()
-    bi = max(1, math.ceil(n_items / block_size))
-    bq = max(1, math.ceil(n_q / block_size))
     qcols = [F.col(query_id).cast("string").alias("query_id"), F.col(query_vec).alias("qvec")]
     if exclude_col:
         qcols.append(F.col(exclude_col).alias("exclude"))
-    q = queries.select(*qcols).withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(bq)))
-    it = items.select(F.col(item_id).cast("string").alias("item_id"), F.col(item_vec).alias("ivec")) \
-              .withColumn("ib", F.pmod(F.xxhash64("item_id"), F.lit(bi)))
-    # Each query row meets every item block, each item row every query block.
-    q = q.withColumn("ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bi - 1).cast("long"))))
-    it = it.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bq - 1).cast("long"))))
-    fn = _block_topk_fn(k, exclude_self, bool(exclude_col))
-    local = (q.groupBy("qb", "ib").cogroup(it.groupBy("qb", "ib"))
-              .applyInPandas(fn, "query_id string, item_id string, score double"))
+    q = queries.select(*qcols)
+    it = items.select(F.col(item_id).cast("string").alias("item_id"), F.col(item_vec).alias("ivec")).where("ivec is not null")
+    ids = F.coalesce(F.octet_length(F.array_join("exclude", " ")), F.lit(0)) if exclude_col else F.lit(0)
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("qvec") * 8 + F.octet_length("query_id") + ids).alias("bytes")).first()
+    if size["n"] and (size["bytes"] or 0) <= broadcast_bytes:
+        local = _broadcast_topk(q.where("qvec is not null"), it, k, exclude_self, bool(exclude_col))
+    else:
+        bi = max(1, math.ceil(items.count() / block_size))
+        bq = max(1, math.ceil(size["n"] / block_size))
+        # Each query row meets every item block, each item row every query block.
+        q = q.where("qvec is not null").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(bq))).withColumn(
+            "ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bi - 1).cast("long"))))
+        it = it.withColumn("ib", F.pmod(F.xxhash64("item_id"), F.lit(bi))).withColumn(
+            "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bq - 1).cast("long"))))
+        fn = _block_topk_fn(k, exclude_self, bool(exclude_col))
+        local = q.groupBy("qb", "ib").cogroup(it.groupBy("qb", "ib")).applyInPandas(fn, HITS)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
     return (local.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
                  .withColumnRenamed("query_id", query_id).withColumnRenamed("item_id", item_id))

@@ -56,6 +56,53 @@ def test_factors_clamped_and_reconstruct(spark):
     assert np.abs(P @ Q.T - C).max() < 1e-9  # full rank: exact reconstruction
 
 
+def _fit_wide(spark, n_items, method="svd", k=6):
+    rng = np.random.default_rng(5)
+    rows = [(f"u{u}", f"p{int(i):05d}", float(rng.integers(1, 6))) for u in range(6)
+            for i in rng.choice(n_items, 40, replace=False)]
+    train = spark.createDataFrame([(u, p, r, T0) for u, p, r in rows], INTER)
+    ui = _index(spark, [f"u{u}" for u in range(6)], "user_id", "user_idx")
+    ii = _index(spark, [f"p{i:05d}" for i in range(n_items)], "podcast_id", "podcast_idx")
+    cf = collab.fit_cf(train, ui, ii, k, method=method)
+    a = np.zeros((6, n_items))
+    for u, p, r in rows:
+        a[int(u[1:]), int(p[1:])] += r
+    c = np.where(a != 0, a - a.sum(axis=1, keepdims=True) / n_items, 0.0)
+    P, Q = np.zeros((6, cf.n_factors)), np.zeros((n_items, cf.n_factors))
+    for r in cf.user_factors.collect():
+        P[r.user_idx] = r.factors
+    for r in cf.item_factors.collect():
+        Q[r.podcast_idx] = r.factors
+    return cf, c, P, Q
+
+
+@pytest.mark.parametrize("n_items", [150, 4300])
+def test_one_solver_at_every_item_count(spark, n_items):
+    cf, c, P, Q = _fit_wide(spark, n_items)
+    assert np.allclose(cf.singular_values, np.linalg.svd(c, compute_uv=False), atol=1e-6)
+    assert np.abs(P @ Q.T - c).max() < 1e-6
+
+
+def test_truncated_factors_are_the_best_ones(spark):
+    cf, c, P, Q = _fit_wide(spark, 150, k=3)
+    u, s, vt = np.linalg.svd(c, full_matrices=False)
+    assert cf.n_factors == 3 and np.abs(P @ Q.T - (u[:, :3] * s[:3]) @ vt[:3]).max() < 1e-6
+
+
+def test_als_only_when_asked_for(spark):
+    cf, _, P, Q = _fit_wide(spark, 150, method="als")
+    assert P.shape[1] == 6 and np.abs(P).max() > 0 and cf.singular_values == []
+    with pytest.raises(ValueError):
+        _fit_wide(spark, 150, method="other")
+
+
+def test_all_cells_zero_after_centring(spark):
+    train = spark.createDataFrame([("u", "p", 4.0, T0)], INTER)
+    cf = collab.fit_cf(train, _index(spark, ["u"], "user_id", "user_idx"), _index(spark, ["p"], "podcast_id", "podcast_idx"))
+    pairs = spark.createDataFrame([("u", "p")], "user_id string, podcast_id string")
+    assert collab.raw_cf_scores(cf, pairs).first()["collab_score"] == pytest.approx(4.0)
+
+
 def test_scores_cold_and_test_only_users(spark):
     cf, _ = _fit_small(spark)
     pairs = spark.createDataFrame([("u4", "a"), ("u4", "b"), ("ghost", "a"), ("ghost", "b"), ("ghost", "c"),

@@ -13,11 +13,13 @@ def _vectors(spark, n=60, d=8, seed=3):
     return spark.createDataFrame(rows, "item_id string, embedding array<double>"), m
 
 
-def test_exact_topk_matches_numpy(spark):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_exact_topk_matches_numpy(spark, limit):
     items, m = _vectors(spark)
     q = spark.createDataFrame([("q0", [float(x) for x in m[5]], ["i005"]), ("q1", [float(x) for x in m[7]], None)],
                               "query_id string, embedding array<double>, exclude array<string>")
-    out = retrieve.exact_topk(q, items, 5, exclude_col="exclude", block_size=16).collect()
+    out = retrieve.exact_topk(q, items, 5, exclude_col="exclude", block_size=16,
+                              broadcast_bytes=limit).collect()
     got = {}
     for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
         got.setdefault(r.query_id, []).append(r.item_id)
@@ -49,10 +51,11 @@ def test_item_text_null_as_empty(spark):
     assert retrieve.item_text(df).first()["text"] == "T [SEP]  [SEP] D"
 
 
-def test_blocked_both_sides_matches_numpy(spark):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_blocked_both_sides_matches_numpy(spark, limit):
     items, m = _vectors(spark, n=50, d=6, seed=11)
     q = items.withColumnRenamed("item_id", "query_id")
-    out = retrieve.exact_topk(q, items, 4, exclude_self=True, block_size=8).collect()   # 7 x 7 block pairs
+    out = retrieve.exact_topk(q, items, 4, exclude_self=True, block_size=8, broadcast_bytes=limit).collect()   # 0: 7 x 7 block pairs
     got = {}
     for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
         got.setdefault(r.query_id, []).append(r.item_id)
@@ -60,3 +63,20 @@ def test_blocked_both_sides_matches_numpy(spark):
     np.fill_diagonal(s, -np.inf)
     for i in range(50):
         assert got[f"i{i:03d}"] == [f"i{j:03d}" for j in np.argsort(-s[i], kind="stable")[:4]]
+
+
+def test_ties_go_to_the_smaller_id_in_both_plans(spark):
+    items = spark.createDataFrame([(f"t{i:02d}", [1.0, 0.0]) for i in range(40)] + [("none", None)], "item_id string, embedding array<double>")
+    q = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
+    for limit in (0, 1 << 20):
+        out = retrieve.exact_topk(q, items.repartition(7), 3, block_size=9, broadcast_bytes=limit).collect()
+        assert sorted((r["rank"], r.item_id) for r in out) == [(1, "t00"), (2, "t01"), (3, "t02")]
+
+
+def test_few_queries_leave_the_items_in_place(spark):
+    items, m = _vectors(spark)
+    q = items.limit(2).withColumnRenamed("item_id", "query_id")
+    plan = retrieve.exact_topk(q, items, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "CoGroup" not in plan
+    assert plan.index("Exchange") < plan.index("MapInPandas")      # the only exchange is above the local lists
+    assert plan.count("Exchange") == 1
