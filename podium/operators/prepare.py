@@ -6,7 +6,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import global_row_number
+from ..functions.scalar import instant
+from .ordering import global_row_number, prefix_sums
 
 # Required columns of the two canonical tables.
 ITEM_REQUIRED = ["podcast_id", "title", "description", "category"]
@@ -22,7 +23,7 @@ def missing_columns(df: DataFrame, required) -> list[str]:
 def require_columns(df: DataFrame, required, name: str) -> None:
     miss = missing_columns(df, required)
     if miss:
-        raise ValueError(f"{name} DataFrame missing columns: {set(miss)}")
+        raise ValueError(f"table {name!r} lacks required columns: {', '.join(miss)}")
 
 
 def item_checks(items: DataFrame) -> DataFrame:
@@ -50,9 +51,9 @@ def validate_items(items: DataFrame) -> dict:
     r = item_checks(items).first().asDict()
     # A null id fails uniqueness: distinct ignores it, the row count does not.
     if r["n_distinct_ids"] != r["n_rows"]:
-        raise AssertionError("Duplicate podcast_ids detected!")
+        raise AssertionError("item ids must be present and unique")
     if r["n_null_description"]:
-        raise AssertionError("Some podcasts have null descriptions!")
+        raise AssertionError("every item needs a description")
     return r
 
 
@@ -60,7 +61,7 @@ def validate_interactions(df: DataFrame) -> dict:
     require_columns(df, INTERACTION_REQUIRED, "interactions")
     r = interaction_checks(df).first().asDict()
     if r["n_bad_rating"]:
-        raise AssertionError("Ratings must be in [0, 5].")
+        raise AssertionError(f"{r['n_bad_rating']} ratings are absent or outside {RATING_MIN}..{RATING_MAX}")
     return r
 
 
@@ -92,51 +93,42 @@ def encode_ids(df: DataFrame, key: str, idx_col: str) -> DataFrame:
     return ranked.select(key, (F.col("_rn") - 1).cast("int").alias(idx_col))
 
 
-def _boundary(df: DataFrame, ts_col: str, n_train: int, max_driver_groups: int):
-    """Find the timestamp (as epoch micros, None for NULL) where the cumulative
-    count reaches ``n_train``: (boundary, rows needed from it, its size)."""
-    per_ts = df.groupBy(F.unix_micros(F.col(ts_col)).alias("_t")).agg(F.count(F.lit(1)).alias("c"))
-    # Size check before anything reaches the driver.
-    if per_ts.limit(max_driver_groups + 1).count() > max_driver_groups:
-        return None
-    rows = per_ts.collect()
-    rows.sort(key=lambda r: (r["_t"] is None, r["_t"] if r["_t"] is not None else 0))
-    acc = 0
-    for r in rows:
-        if acc + r["c"] >= n_train:
-            return r["_t"], n_train - acc, int(r["c"])
-        acc += r["c"]
-    return None
-
-
-def temporal_split(df: DataFrame, test_size: float = 0.2, ts_col: str = "timestamp",
-                   tie_cols=None, max_driver_groups: int = 200_000):
+def _boundary(df: DataFrame, ts_col: str, n_train: int, n: int, n_dated: int):
+    """Where the cumulative count reaches ``n_train`` in time order (nulls
+    last): (epoch micros or None for NULL, rows needed from it, its size). The
+    counts per timestamp stay distributed; one row reaches the driver."""
+    per_ts = df.where(F.col(ts_col).isNotNull()).groupBy(
+        F.lit(0).alias("_g"), F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_t")).agg(F.count(F.lit(1)).alias("_c"))
+    reached = prefix_sums(per_ts, "_g", "_t", ["_c"]).where(F.col("cum__c") >= n_train)
+    at = reached.agg(F.min(F.struct("_t", "_c", "cum__c")).alias("at")).first()["at"]
+    if at is None:
+        return None, n_train - n_dated, n - n_dated
+    return at["_t"], n_train - int(at["cum__c"]) + at["_c"], at["_c"]
+
+
+def temporal_split(df: DataFrame, test_size: float = 0.2, ts_col: str = "timestamp", tie_cols=None):
     """Global time split: order all rows by timestamp (nulls last); the first
     ``int(n * (1 - test_size))`` rows are train. Ties on the boundary
     timestamp are broken by ``tie_cols`` (default: the other columns).
 
-    Only the per-timestamp counts (size-checked) reach the driver, and only the
-    rows on the boundary timestamp are ranked. When timestamps are nearly
-    unique the whole table is ranked by range partitioning instead."""
+    One count pass and one pass over the counts per timestamp find the
+    boundary; both sides compare the bare column with a literal of its type,
+    so the bound reaches the scan, and only rows on the boundary are ranked."""
     tie_cols = tie_cols or [c for c in df.columns if c != ts_col]
-    n = df.count()
-    n_train = int(n * (1 - test_size))
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.count(ts_col).alias("dated")).first()
+    n_train = int(size["n"] * (1 - test_size))
     if n_train <= 0:
         return df.limit(0), df
-    if n_train >= n:
+    if n_train >= size["n"]:
         return df, df.limit(0)
-    found = _boundary(df, ts_col, n_train, max_driver_groups)
-    if found is None:
-        ranked = global_row_number(df, [ts_col] + list(tie_cols), out_col="_rn")
-        return (ranked.filter(F.col("_rn") <= n_train).drop("_rn"),
-                ranked.filter(F.col("_rn") > n_train).drop("_rn"))
-    t_star, need, group_size = found
-    ts = F.unix_micros(F.col(ts_col))
-    on_b = ts.isNull() if t_star is None else (ts == F.lit(t_star))
-    before = ts.isNotNull() if t_star is None else (ts < F.lit(t_star))
-    after = F.lit(False) if t_star is None else (ts > F.lit(t_star)) | ts.isNull()
+    t_star, need, group_size = _boundary(df, ts_col, n_train, size["n"], size["dated"])
+    ts = F.col(ts_col)
+    at = None if t_star is None else instant(t_star, df.schema[ts_col].dataType)
+    on_b = ts.isNull() if at is None else (ts == at)
+    before = ts.isNotNull() if at is None else (ts < at)
+    after = F.lit(False) if at is None else (ts > at) | ts.isNull()
     if need >= group_size:
-        return df.filter(before | on_b), df.filter(after)
+        return (df if at is None else df.filter(ts <= at)), df.filter(after)
     ranked = global_row_number(df.filter(on_b), list(tie_cols), out_col="_rn")
     b_train = ranked.filter(F.col("_rn") <= need).drop("_rn")
     b_test = ranked.filter(F.col("_rn") > need).drop("_rn")

@@ -10,6 +10,7 @@ passes whole through the driver.
 """
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -58,6 +59,10 @@ class HashingEncoder:
         self.model = self._pipeline().fit(texts.select("text"))
         return self
 
+    def fingerprint(self) -> str:
+        """Digest of what was learnt: equal for equal document frequencies."""
+        return hashlib.sha256(self.model.stages[2].idf.toArray().tobytes()).hexdigest()[:16]
+
     def transform(self, df: DataFrame, id_col: str) -> DataFrame:
         from pyspark.ml.functions import vector_to_array
         out = self.model.transform(df)

@@ -115,8 +115,8 @@ def _query_path(model: RecommenderModel, req: DataFrame, k: int, pool: int, lam:
     hits = reliable_checkpoint(retrieve.retrieve(qv, model.item_vectors, model.items, pool, exclude_col="exclude"))
     cand = r.select("user_id", "query_id").join(hits, "query_id").drop("query_id")
     cand = cand.withColumnRenamed("rank", "pos")
-    meta = model.items.select("podcast_id", "avg_duration_min", "total_episodes", "play_count",
-                              "release_year", F.col("category").alias("category_meta"))
+    meta = model.items.select("podcast_id", *[c for c in rank.MISSING_DEFAULTS if c in model.items.columns],
+                              F.col("category").alias("category_meta"))
     cand = cand.join(meta, "podcast_id", "left").withColumn(
         "category", F.coalesce("category", "category_meta")).drop("category_meta")
     # CF scores computed on the candidate rows themselves (no join back).
@@ -133,8 +133,8 @@ def _all_items_path(model: RecommenderModel, users: DataFrame, k: int, lam: floa
     th = _split_thresholds(rm, CATEGORY_MATCH_INDEX)
     reps = _representatives(th)
     # Items scored once per share band (items x bands, bands bounded by the tree splits).
-    it = model.items.select("podcast_id", "title", "category", "description", "avg_duration_min",
-                            "total_episodes", "play_count", "release_year")
+    it = model.items.select("podcast_id", "title", "category", "description",
+                            *[c for c in rank.MISSING_DEFAULTS if c in model.items.columns])
     bands = F.array(*[F.struct(F.lit(i).alias("band"), F.lit(float(v)).alias("rep")) for i, v in enumerate(reps)])
     feats = it.withColumn("_b", F.explode(bands)).select("*", "_b.band", "_b.rep").drop("_b")
     feats = feats.withColumn("user_id", F.lit(None).cast("string"))

@@ -67,14 +67,14 @@ def load_source(spark: SparkSession, source: str, items_path: str | None = None,
     values raise."""
     s = (source or "").lower()
     if s not in SOURCES:
-        raise ValueError("source must be one of: synthetic, csv, rss, kaggle")
+        raise ValueError(f"unknown source {source!r}; known are {', '.join(SOURCES)}")
     if s == "synthetic":
         if not sf_dir:
             raise ValueError("synthetic source needs sf_dir (the test tables)")
         return views.items(spark, sf_dir), views.interactions(spark, sf_dir)
     if s in ("rss", "kaggle"):
         if items_path is None or interactions_path is None:
-            raise ValueError(f"{s} source requires processed podcasts/interactions parquet paths.")
+            raise ValueError(f"source {s!r} reads two Parquet tables: give items_path and interactions_path")
         return read_parquet_tables(spark, items_path, interactions_path)
     return read_items_csv(spark, items_path), read_interactions_csv(spark, interactions_path)
 
@@ -103,13 +103,17 @@ def latest_report(spark: SparkSession, glob: str) -> DataFrame:
 def cached_embeddings(texts: DataFrame, cache_path: str | None, encoder, encoder_name: str,
                       spark: SparkSession) -> DataFrame:
     """S11 as an incremental job: the cache is keyed by (podcast_id, sha2 of
-    the text, encoder name); a left-anti join finds the rows to encode, the
-    new vectors are appended, and the result always matches the items."""
+    the text, encoder); a left-anti join finds the rows to encode, the new
+    vectors are appended, and the result always matches the items. An encoder
+    with a ``fingerprint`` of its fit has it in the key, so vectors of another
+    fit are never mixed in."""
     from ..operators.retrieve import embed_text
     if getattr(encoder, "model", None) is None:   # fit on every text, not just the new ones
         encoder.fit(texts.select("text"))
+    mark = getattr(encoder, "fingerprint", None)
+    encoder_key = f"{encoder_name}:{mark()}" if mark else encoder_name
     keyed = texts.select("podcast_id", "text", F.sha2("text", 256).alias("text_sha"),
-                         F.lit(encoder_name).alias("encoder"))
+                         F.lit(encoder_key).alias("encoder"))
     cache = None
     if cache_path:
         jp = spark._jvm.org.apache.hadoop.fs.Path(cache_path)

@@ -78,3 +78,14 @@ def test_csv_columns_go_by_name(spark, tmp_dir):
         f.write('podcast_id,title,category,description\np1,"a\nb","c ""d""",text\n')
     r = io.read_items_csv(spark, p).head()
     assert (r.podcast_id, r.title, r.category, r.description, r.play_count) == ("p1", "a\nb", 'c "d"', "text", None)
+
+
+def test_cache_does_not_mix_fits_of_the_encoder(spark, tmp_dir):
+    path = tmp_dir + "/fits"
+    texts = lambda rows: spark.createDataFrame(rows, "podcast_id string, text string")
+    first = texts([("a", "red apple"), ("b", "green pear")])
+    io.cached_embeddings(first, path, retrieve.HashingEncoder(dim=32), "h", spark).count()
+    more = texts([("a", "red apple"), ("b", "green pear"), ("c", "red plum"), ("d", "red cherry")])
+    cached = {r.podcast_id: r.embedding for r in io.cached_embeddings(more, path, retrieve.HashingEncoder(dim=32), "h", spark).collect()}
+    fresh = {r.podcast_id: r.embedding for r in io.cached_embeddings(more, None, retrieve.HashingEncoder(dim=32), "h", spark).collect()}
+    assert cached == fresh and len(cached) == 4

@@ -95,3 +95,14 @@ def test_psi_drops_nan(spark):
     cur = spark.createDataFrame([(float(i % 3),) for i in range(60)], "v double")
     with_nan, without = (monitor.psi(r, cur, ["v"]).head().psi for r in (ref, ref.where("not isnan(v)")))
     assert with_nan == without > 1
+
+
+def test_window_bounds_reach_the_scan(spark, tmp_dir):
+    rows = spark.range(5000).select((F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000)).alias("ts"), F.col("id").alias("value"))
+    for kind in ("timestamp", "timestamp_ntz"):
+        rows.select(F.col("ts").cast(kind).alias("ts"), "value").write.parquet(f"{tmp_dir}/{kind}")
+        df = spark.read.parquet(f"{tmp_dir}/{kind}")
+        ref, cur = monitor.drift_windows(df, "ts")
+        for side, n in ((ref, 30 * 24), (cur, 7 * 24 + 1)):
+            plan = side._jdf.queryExecution().executedPlan().toString()
+            assert "GreaterThanOrEqual(ts" in plan and side.count() == n

@@ -80,7 +80,7 @@ def test_null_timestamps_sort_last(spark):
 def test_split_equals_global_row_number(spark, rows, test_size):
     data = [(f"u{u}", f"p{p}", float(r), _ts(u % 3) if p % 4 else None) for u, p, r in rows]
     df = spark.createDataFrame(data, INTER)
-    tr, te = prepare.temporal_split(df, test_size, max_driver_groups=2 if len(rows) % 2 else 1000)
+    tr, te = prepare.temporal_split(df, test_size)
     n = len(data)
     cut = int(n * (1 - test_size))
     w = Window.orderBy(F.col("timestamp").asc_nulls_last(), "user_id", "podcast_id", "rating")
