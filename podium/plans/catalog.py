@@ -801,7 +801,9 @@ def q_latest_report(spark, d):
     ref2, cur2 = monitor.drift_windows(f.where(F.col("ts") < "2024-01-24"), "ts")
     rep2 = monitor.drift_report(ref2, cur2, ["value", "k"]).drop("per_feature_psi")
     sio.write_report(rep2.withColumn("timestamp", F.lit("20240124_000000")), base + "/drift_summary_20240124_000000.json")
-    return sio.latest_report(spark, base + "/drift_summary_*.json/*.json")
+    newest = sio.latest_report(spark, base + "/drift_summary_*.json/*.json")
+    name = F.regexp_extract("report_path", r"(drift_summary_[0-9_]+\.json)", 1)
+    return newest.select("method", "avg_psi", "has_drift", "n_features", "drift_threshold", "timestamp", name.alias("report"))
 
 
 def q_cf_holdout(spark, d):

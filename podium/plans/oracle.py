@@ -451,3 +451,41 @@ SQL["best_reviews_file"] = """
 SELECT CAST(d.doc_id AS VARCHAR) AS row_id, source AS podcast_name, text AS review_text, CAST(quality AS VARCHAR) AS rating,
        lang AS category, CAST(8 + least((SELECT count(*) FROM documents), 1000) // 100 AS INTEGER) AS file_score
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+_FEEDS = """WITH fd AS (
+  SELECT doc_id, lang, source, floor(doc_id / 64) AS block,
+         'https://feeds.example.org/' || source || '/' || CAST(floor(doc_id / 64) AS BIGINT) AS feed_url FROM documents),
+fe AS (
+  SELECT *, 'rss_' || substr(sha256(feed_url), 1, 12) AS podcast_id,
+         row_number() OVER (PARTITION BY feed_url ORDER BY doc_id) - 1 AS idx FROM fd)"""
+
+SQL["feeds_to_items"] = _FEEDS + """
+SELECT podcast_id, min(source) AS title, 'Feed of ' || min(source) AS description, coalesce(min(lang), 'General') AS category,
+       CAST(45 AS INTEGER) AS avg_duration_min, CAST(count(*) AS BIGINT) AS total_episodes,
+       CAST(greatest(count(*) * 100, 1) AS DOUBLE) AS play_count,
+       CAST(arg_min(year(DATE '2023-01-01' + CAST(doc_id % 365 AS INTEGER)), doc_id) AS INTEGER) AS release_year
+FROM fe GROUP BY podcast_id"""
+
+SQL["release_year"] = _FEEDS + """
+SELECT podcast_id, CAST(arg_min(year(DATE '2023-01-01' + CAST(doc_id % 365 AS INTEGER)), doc_id) AS INTEGER) AS release_year
+FROM fe GROUP BY podcast_id"""
+
+SQL["feeds_to_interactions"] = _FEEDS + """
+SELECT 'rss_user_' || lpad(CAST(idx % 20 AS VARCHAR), 3, '0') AS user_id, podcast_id, CAST(4.0 AS DOUBLE) AS rating,
+       '2024-02-01 00:00:00' AS ts FROM fe"""
+
+SQL["entry_index"] = _FEEDS + """
+SELECT podcast_id, CAST(idx AS BIGINT) AS idx, 'rss_user_' || lpad(CAST(idx % 20 AS VARCHAR), 3, '0') AS user_id FROM fe"""
+
+SQL["feed_state_merge"] = _FEEDS + """
+SELECT feed_url, CASE WHEN min(block) % 2 = 0 THEN '2024-02-01T00:00:00Z' ELSE '2024-02-02T00:00:00Z' END AS last_scraped_at,
+       CAST(count(*) AS INTEGER) AS n_entries, substr(sha256(feed_url), 1, 16) AS etag, CAST(NULL AS VARCHAR) AS last_modified
+FROM fe GROUP BY feed_url"""
+
+SQL["feed_landing"] = _FEEDS + """
+SELECT feed_url, CASE WHEN min(block) % 2 = 1 THEN '2024-02-02T00:00:00Z' ELSE '2024-02-01T00:00:00Z' END AS last_scraped_at,
+       CAST(count(*) AS INTEGER) AS n_entries FROM fe GROUP BY feed_url"""
+
+SQL["latest_report"] = f"""WITH {EV}
+SELECT method, avg_psi, has_drift, n_features, drift_threshold, '20240131_000000' AS timestamp,
+       'drift_summary_20240131_000000.json' AS report FROM report"""
