@@ -84,6 +84,10 @@ def _centred_cells(train, user_index, item_index, n_items):
     return centred, means
 
 
+# Cells (12 bytes each) of one partition of the sparse user rows; their number grows with the data.
+CELLS_PER_PARTITION = 2_000_000
+
+
 def _svd_factors(centred: DataFrame, n_items: int, k: int):
     """(user factors ``P = A V``, item factors ``Q = V``, singular values) from
     ``IndexedRowMatrix.computeSVD`` over one sparse row per user. A user's row
@@ -92,12 +96,14 @@ def _svd_factors(centred: DataFrame, n_items: int, k: int):
     from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 
     spark = centred.sparkSession
+    parts = max(1, -(-centred.count() // CELLS_PER_PARTITION))
     sparse = F.udf(lambda cells: SparseVector(n_items, [c[0] for c in cells], [c[1] for c in cells]), VectorUDT())
-    rows = (centred.groupBy(F.col("user_idx").cast("long").alias("index"))
+    rows = (centred.repartition(parts, "user_idx").groupBy("user_idx")
                    .agg(F.array_sort(F.collect_list(F.struct("podcast_idx", "v"))).alias("cells"))
-                   .select("index", sparse("cells").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK))
+                   .select(F.col("user_idx").cast("long").alias("index"), sparse("cells").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK))
     try:
         matrix = IndexedRowMatrix(rows, numCols=n_items)
+        matrix._java_matrix_wrapper._java_model.rows().cache()     # the solver reads them once per step
         svd = matrix.computeSVD(k, computeU=False)
         projected = matrix.multiply(svd.V).rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
         users = reliable_checkpoint(spark.createDataFrame(projected, "user_idx int, factors array<double>"))

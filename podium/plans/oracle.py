@@ -489,3 +489,22 @@ SELECT feed_url, CASE WHEN min(block) % 2 = 1 THEN '2024-02-02T00:00:00Z' ELSE '
 SQL["latest_report"] = f"""WITH {EV}
 SELECT method, avg_psi, has_drift, n_features, drift_threshold, '20240131_000000' AS timestamp,
        'drift_summary_20240131_000000.json' AS report FROM report"""
+
+SQL["online_drift"] = f"""WITH {EV},
+ow AS (
+  SELECT time_bucket(INTERVAL 7 DAY, e.ts, TIMESTAMP '1970-01-01') AS window_start, f.feature, f.v
+  FROM ev e, LATERAL (SELECT 'value' AS feature, e.value AS v UNION ALL SELECT 'k', e.k) f WHERE f.v IS NOT NULL),
+ob AS (
+  SELECT w.window_start, w.feature,
+         CAST(len(list_filter(range(1, 10), lambda i: r.lo + i * ((r.hi - r.lo) / 10.0e0) < w.v)) + 1 AS INTEGER) AS bin
+  FROM ow w JOIN rng r ON w.feature = r.feature),
+oc AS (SELECT window_start, feature, bin, count(*) AS c FROM ob GROUP BY ALL),
+ot AS (SELECT window_start, feature, count(*) AS n FROM ob GROUP BY ALL),
+os AS (
+  SELECT t.window_start, t.feature, t.n, greatest(coalesce(c.c, 0) / CAST(t.n AS DOUBLE), 1e-6) AS cp,
+         greatest(coalesce(rc.c, 0) / CAST(g.n_ref AS DOUBLE), 1e-6) AS rp
+  FROM ot t JOIN spine s ON s.feature = t.feature JOIN tot g ON g.feature = t.feature
+  LEFT JOIN oc c ON c.window_start = t.window_start AND c.feature = t.feature AND c.bin = s.bin
+  LEFT JOIN cnt rc ON rc.feature = t.feature AND rc.bin = s.bin AND rc.win = 'reference')
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, feature, {R('abs(sum((cp - rp) * ln(cp / rp)))')} AS psi,
+       CAST(max(n) AS BIGINT) AS n_current FROM os GROUP BY os.window_start, feature"""
