@@ -20,6 +20,8 @@ from .common import documents, map_arrow, mix64, passes, span_hashes, text_buffe
 
 #: Labelled rows per language that the classifier is fitted on: those with the smallest hash of their id.
 TRAIN_ROWS = 3000
+#: Slices of a language's ids when those rows are picked.
+SLICES = 256
 #: Most frequent words and n-grams (of each length) kept per language.
 MODEL_WORDS = 20000
 MODEL_GRAMS = 8000
@@ -121,9 +123,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     idx = F.col(id_col).cast("string")
     label = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang")).where(
         F.col("_lang").isNotNull() & (F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(4)) != 2))
-    first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = label.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= train_rows).select(
-        F.col("_id").cast("string").alias("_sid"), "_lang").distinct()
+    # first within slices of a language, so that the last cut sees at most SLICES x train_rows ids
+    order = (F.xxhash64("_id"), F.col("_id"))
+    sliced = Window.partitionBy("_lang", F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(SLICES))).orderBy(*order)
+    label = label.withColumn("_r", F.row_number().over(sliced)).where(F.col("_r") <= train_rows).drop("_r")
+    chosen = label.withColumn("_r", F.row_number().over(Window.partitionBy("_lang").orderBy(*order))).where(
+        F.col("_r") <= train_rows).select(F.col("_id").cast("string").alias("_sid"), "_lang").distinct()
     text = docs.select(idx.alias("_sid"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
     sample = text.join(F.broadcast(chosen), ["_sid", "_lang"], "left_semi").select("_lang", "_text")
 
