@@ -178,17 +178,22 @@ def mmr_rerank(scored: DataFrame, k: int, lam: float = 0.1, score: str = "ranker
 
     Only the first k items of each category can be chosen, so the per-category
     window is cut to k rows (partial limit before the shuffle)."""
+    wc = Window.partitionBy(group, category).orderBy(F.col(score).desc(), *[F.col(p).asc() for p in pos])
+    j = scored.withColumn("_j", F.row_number().over(wc)).filter(F.col("_j") <= k)
+    return mmr_order(j, k, lam, score, group, pos, out_col)
+
+
+def mmr_order(numbered: DataFrame, k: int, lam: float, score: str = "ranker_score", group: str = "user_id",
+              pos=("podcast_id",), out_col: str = "mmr_rank") -> DataFrame:
+    """The selection of ``mmr_rerank`` over rows that carry their place ``_j``
+    in their category already. The top-scoring item always has the largest
+    value (no penalty), so it is the first pick; ties go to candidate order."""
     if not (0 < lam <= 1):
         raise ValueError("diversity penalty must satisfy 0 < lambda <= 1")
-    pos_cols = [F.col(p).asc() for p in pos]
-    wc = Window.partitionBy(group, category).orderBy(F.col(score).desc(), *pos_cols)
-    j = scored.withColumn("_j", F.row_number().over(wc)).filter(F.col("_j") <= k)
     pen = F.least(F.lit(MMR_STEP) * (F.col("_j") - 1), F.lit(MMR_CAP))
     v = F.lit(lam) * F.col(score) - F.lit(1.0 - lam) * pen
-    # The top-scoring item always has the largest value (j = 1, no penalty),
-    # so it is the first pick; ties go to candidate order, as in the greedy loop.
-    wv = Window.partitionBy(group).orderBy(F.col("_v").desc(), *pos_cols)
-    out = j.withColumn("_v", v).withColumn(out_col, F.row_number().over(wv)).filter(F.col(out_col) <= k)
+    wv = Window.partitionBy(group).orderBy(F.col("_v").desc(), *[F.col(p).asc() for p in pos])
+    out = numbered.withColumn("_v", v).withColumn(out_col, F.row_number().over(wv)).filter(F.col(out_col) <= k)
     return out.drop("_j", "_v")
 
 

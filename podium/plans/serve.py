@@ -1,18 +1,22 @@
 """Serving as batch jobs: one request table in, one result table out.
 
-Requests are ``(user_id, query, exclude)``; duplicate users collapse to one
-result. With a query, retrieval cuts the pool to ``candidate_pool_size``
-items per distinct (query, exclude) pair and the pool is joined to its users.
-Without a query every item is a candidate; instead of materialising
-users x items, the plan uses the fitted model's structure:
-
-* the ranker sees the user only through ``category_match`` (retrieval and CF
-  scores are constant 0 in training, so no tree splits on them), hence a
-  user's raw score for an item equals the score at the representative share
-  of the split interval their share falls in. Items are scored once per
-  (interval) and only the top ``k`` per (category, interval) are kept;
-* per-user min/max for scaling come from per-(category, interval) minima and
-  maxima, and CF min/max from a blocked factor product.
+Requests are ``(user_id, query, exclude, k)``, all but the first optional; one
+request per user counts. With a query, retrieval cuts the pool to
+``candidate_pool_size`` items per distinct (query, exclude) pair and the pool
+is joined to its users. Without a query every item that is not excluded is a
+candidate; instead of users x items or users x categories, the plan uses the
+fitted model's structure:
+
+* the ranker sees the user only through ``category_match``, hence a user's raw
+  score for an item equals the score at the representative share of the split
+  interval (band) their share falls in; items are scored once per band;
+* a user's *own* categories are those they have a share in or an excluded item
+  of. Of these their first k rows are taken, after as many more as they exclude;
+* all other categories have share 0, so their order is common to all users. The
+  redundancy penalty has few levels; per level the best k rows of one common
+  list are enough, fetched past the rows of the user's own categories;
+* the least and greatest score come from the same two sources, CF extremes from
+  a blocked factor product.
 """
 from __future__ import annotations
 
@@ -28,9 +32,12 @@ from ..operators import collab, rank, retrieve
 from ..session import reliable_checkpoint, ship_package
 
 CATEGORY_MATCH_INDEX = rank.FEATURE_COLS.index("category_match")
-USER_SCORE_INDEXES = (rank.FEATURE_COLS.index("embedding_score"), rank.FEATURE_COLS.index("collab_score"))
-# The all-items path emits (categories x k) rows per user.
-MAX_ALL_ITEMS_CATEGORIES = 1_000
+COLLAB_INDEX = rank.FEATURE_COLS.index("collab_score")
+# Places in a category with a penalty of their own; all later places share the last.
+LEVELS = round(rank.MMR_CAP / rank.MMR_STEP) + 1
+# Common tables of up to this many slim rows are broadcast; larger ones are
+# joined by shuffle, with the users of one key spread over SALTS tasks.
+BROADCAST_ROWS, SALTS = 200_000, 32
 
 
 @dataclass
@@ -70,29 +77,58 @@ def _representatives(th: list[float]) -> list[float]:
     return list(th) + [(th[-1] + 1.0) if th else 0.0]
 
 
-def _cf_minmax(cf: collab.CFModel, users: DataFrame, block: int = 2048) -> DataFrame:
-    """Per user min and max of P.Q over all indexed items, by a blocked
-    product (each user block meets each item block once)."""
+def _lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Join many users' rows to a common table on a few hot keys; same rows
+    whichever way the measured size allows."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), keys)
+    salted = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, keys + ["_salt"]).drop("_salt")
+
+
+def _upto(n):
+    return F.explode(F.sequence(F.lit(1), n.cast("int")))
+
+
+def _cf_minmax(cf: collab.CFModel, users: DataFrame, excluded: DataFrame, pool: DataFrame, block: int = 2048) -> DataFrame:
+    """``user_id, clo, chi``: least and greatest CF score of each known user
+    over the items of the pool they do not exclude, by a blocked product (each
+    user block meets each item block once). Unindexed items score 0.0."""
     ship_package(users.sparkSession)
-    uf = users.join(cf.user_means.select("user_id", "user_idx"), "user_id").join(cf.user_factors, "user_idx")
-    n_u = max(1, uf.count())
-    n_i = max(1, cf.item_factors.count())
-    bu, bi = max(1, -(-n_u // block)), max(1, -(-n_i // block))
-    q = uf.select("user_id", F.col("factors").alias("pu")).withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(bu)))
+    zero = F.array_repeat(F.lit(0.0), cf.n_factors)
+    known, items, _ = cf.scoring_tables()
+    items = pool.select("podcast_id").join(items, "podcast_id", "left")
+    index = items.where("podcast_idx IS NOT NULL").select("podcast_id", "podcast_idx", F.coalesce("qi", zero).alias("qi"))
+    n_bare = items.where("podcast_idx IS NULL").count()
+    left_out = excluded.join(index.select("podcast_id", "podcast_idx"), "podcast_id", "left").groupBy("user_id").agg(
+        F.collect_list("podcast_idx").alias("ex"), F.sum(F.col("podcast_idx").isNull().cast("int")).alias("bare"))
+    uf = users.select("user_id").join(known, "user_id").join(left_out, "user_id", "left").select(
+        "user_id", "mu", F.coalesce("pu", zero).alias("pu"), F.coalesce("ex", F.array().cast("array<int>")).alias("ex"),
+        (F.lit(n_bare) - F.coalesce("bare", F.lit(0))).alias("n_bare"))
+    uf = reliable_checkpoint(uf)
+    bu, bi = max(1, -(-uf.count() // block)), max(1, -(-index.count() // block))
+    q = uf.select("user_id", "pu", "ex").withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(bu)))
     q = q.withColumn("ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bi - 1).cast("long"))))
-    it = cf.item_factors.select("podcast_idx", F.col("factors").alias("qi")) \
-        .withColumn("ib", F.pmod(F.xxhash64("podcast_idx"), F.lit(bi)))
+    it = index.select("podcast_idx", "qi").withColumn("ib", F.pmod(F.xxhash64("podcast_idx"), F.lit(bi)))
     it = it.withColumn("ub", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bu - 1).cast("long"))))
 
     def fn(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"user_id": pd.Series([], dtype=str), "lo": [], "hi": []})
         s = np.vstack(a["pu"].to_numpy()) @ np.vstack(b["qi"].to_numpy()).T
-        return pd.DataFrame({"user_id": a["user_id"].to_numpy(), "lo": s.min(axis=1), "hi": s.max(axis=1)})
+        out = np.isin(np.concatenate(a["ex"].to_list()), b["podcast_idx"].to_numpy())
+        at = np.repeat(np.arange(len(a)), [len(x) for x in a["ex"]])[out]
+        col = pd.Index(b["podcast_idx"]).get_indexer(np.concatenate(a["ex"].to_list())[out].astype(int))
+        lo, hi = s.copy(), s
+        lo[at, col], hi[at, col] = np.inf, -np.inf
+        return pd.DataFrame({"user_id": a["user_id"].to_numpy(), "lo": lo.min(axis=1), "hi": hi.max(axis=1)})
 
-    part = q.groupBy("ub", "ib").cogroup(it.groupBy("ub", "ib")).applyInPandas(
-        fn, "user_id string, lo double, hi double")
-    return part.groupBy("user_id").agg(F.min("lo").alias("cf_lo"), F.max("hi").alias("cf_hi"))
+    part = q.groupBy("ub", "ib").cogroup(it.groupBy("ub", "ib")).applyInPandas(fn, "user_id string, lo double, hi double")
+    ends = part.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    bare = F.when(F.col("n_bare") > 0, F.lit(0.0))
+    return uf.join(ends, "user_id", "left").select(
+        "user_id", F.least(F.col("mu") + F.col("lo"), bare).alias("clo"), F.greatest(F.col("mu") + F.col("hi"), bare).alias("chi"))
 
 
 def _finish(model: RecommenderModel, ranked: DataFrame) -> DataFrame:
@@ -126,61 +162,83 @@ def _query_path(model: RecommenderModel, req: DataFrame, k: int, pool: int, lam:
     return _finish(model, ranked)
 
 
-def _all_items_path(model: RecommenderModel, users: DataFrame, k: int, lam: float) -> DataFrame:
+def _all_items_path(model: RecommenderModel, req: DataFrame, k: int, lam: float) -> DataFrame:
+    """Requests (user_id, exclude) against every item; see the module's text."""
     rm = model.ranker
-    if any(_uses_feature(rm, f) for f in USER_SCORE_INDEXES):
-        raise NotImplementedError("ranker splits on per-user scores; pass a query or a candidate table")
+    if _uses_feature(rm, COLLAB_INDEX):
+        raise NotImplementedError("ranker splits on the CF score; pass a query or a candidate table")
     th = _split_thresholds(rm, CATEGORY_MATCH_INDEX)
-    reps = _representatives(th)
+    band_of = lambda s: F.size(F.filter(F.array(*[F.lit(t) for t in th]), lambda t: t < s)) if th else F.lit(0)
+    band0 = sum(t < 0.0 for t in th)
     # Items scored once per share band (items x bands, bands bounded by the tree splits).
-    it = model.items.select("podcast_id", "title", "category", "description",
-                            *[c for c in rank.MISSING_DEFAULTS if c in model.items.columns])
-    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.lit(float(v)).alias("rep")) for i, v in enumerate(reps)])
+    it = model.items.select("podcast_id", "category", *[c for c in rank.MISSING_DEFAULTS if c in model.items.columns])
+    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.lit(float(v)).alias("rep")) for i, v in enumerate(_representatives(th))])
     feats = it.withColumn("_b", F.explode(bands)).select("*", "_b.band", "_b.rep").drop("_b")
-    feats = feats.withColumn("user_id", F.lit(None).cast("string"))
-    feats = rank.derive_features(feats, rm.norms, rm.prefs.limit(0))
+    feats = rank.derive_features(feats.withColumn("user_id", F.lit(None).cast("string")), rm.norms, rm.prefs.limit(0))
     scored = rm.model.transform(feats.withColumn("category_match", F.col("rep")))
-    scored = scored.select("podcast_id", "title", "category", "description", "band", "ranker_score")
-    cat_key = F.coalesce(F.col("category"), F.lit("\u0000null"))
-    scored = scored.withColumn("ckey", cat_key)
-    stats = scored.groupBy("ckey", "band").agg(F.min("ranker_score").alias("lo"), F.max("ranker_score").alias("hi"))
-    w = Window.partitionBy("ckey", "band").orderBy(F.col("ranker_score").desc(), F.col("podcast_id").asc())
-    top = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-    # Each user's band per category: from their share, else the band of share 0.
-    # Each user fans out to (categories x k) candidate rows, so this path is
-    # for a low-cardinality category column; the list is size-checked.
-    cats = [r["ckey"] for r in stats.select("ckey").distinct().limit(MAX_ALL_ITEMS_CATEGORIES + 1).collect()]
-    if len(cats) > MAX_ALL_ITEMS_CATEGORIES:
-        raise ValueError(f"more than {MAX_ALL_ITEMS_CATEGORIES} categories: pass a query or a candidate table")
-    band_of = lambda s: F.size(F.filter(F.array(*[F.lit(t) for t in th]), lambda t: t < s)) if th else F.lit(0)
-    uc = users.select("user_id", F.explode(F.array(*[F.lit(c) for c in cats])).alias("ckey"))
-    prefs = rm.prefs.select("user_id", F.col("category").alias("ckey"), "share")
-    uc = uc.join(prefs, ["user_id", "ckey"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
-    uc = uc.withColumn("band", band_of(F.col("share")).cast("int"))
-    ub = uc.join(stats, ["ckey", "band"])
-    mm = ub.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    cand = uc.join(top, ["ckey", "band"]).drop("ckey", "band", "share")
-    cand = cand.join(mm, "user_id").withColumn(
-        "ranker_score", F.when(F.col("hi") > F.col("lo"),
-                               (F.col("ranker_score") - F.col("lo")) / (F.col("hi") - F.col("lo")))
+    ckey = F.coalesce(F.col("category"), F.lit("\u0000null")).alias("ckey")
+    scored = reliable_checkpoint(scored.select(ckey, "band", "podcast_id", "ranker_score"))
+    pool = model.items.select("podcast_id", ckey)
+
+    users = req.select("user_id")
+    excluded = req.select("user_id", F.explode(F.array_distinct("exclude")).alias("podcast_id"))
+    excluded = reliable_checkpoint(excluded.join(pool, "podcast_id"))
+    gone = excluded.groupBy("user_id", "ckey").agg(F.count(F.lit(1)).alias("e"))
+    prefs = rm.prefs.join(users, "user_id", "left_semi").select("user_id", F.col("category").alias("ckey"), "share")
+    own_cats = prefs.join(gone, ["user_id", "ckey"], "full_outer").select(
+        "user_id", "ckey", band_of(F.coalesce("share", F.lit(0.0))).cast("int").alias("band"), F.coalesce("e", F.lit(0)).alias("e"))
+    own_cats = reliable_checkpoint(own_cats)
+    counts = reliable_checkpoint(users.join(own_cats.groupBy("user_id").agg(F.count(F.lit(1)).alias("s"), F.sum("e").alias("e")), "user_id", "left")
+                                 .select("user_id", F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("e", F.lit(0)).alias("e")))
+    top = counts.agg(F.max("s"), F.max("e")).first()
+    s_max, e_max = int(top[0] or 0), int(top[1] or 0)
+    not_excluded = lambda df: df.join(excluded.select("user_id", "podcast_id"), ["user_id", "podcast_id"], "left_anti")
+    foreign = lambda df: df.join(own_cats.select("user_id", "ckey"), ["user_id", "ckey"], "left_anti")
+    number = lambda by, *order: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    down = (F.col("ranker_score").desc(), F.col("podcast_id").asc())
+
+    # Own categories: the first k rows that are left, and the least one left.
+    best = reliable_checkpoint(scored.withColumn("r", number(("ckey", "band"), *down)).where(F.col("r") <= k + e_max))
+    worst = scored.withColumn("r", number(("ckey", "band"), F.col("ranker_score").asc(), F.col("podcast_id").asc()))
+    worst = reliable_checkpoint(worst.where(F.col("r") <= 1 + e_max))
+    own = not_excluded(_lookup(own_cats.withColumn("r", _upto(F.col("e") + k)), best, ["ckey", "band", "r"]))
+    own = own.withColumn("_j", number(("user_id", "ckey"), *down)).where(F.col("_j") <= k)
+    low = not_excluded(_lookup(own_cats.withColumn("r", _upto(F.col("e") + 1)), worst, ["ckey", "band", "r"]))
+
+    # All others: one common list per penalty level. Of an own category at most
+    # one row stands before a needed row (the last level: all its other rows).
+    last = LEVELS if lam > 0 else 1
+    lists = best.where((F.col("band") == band0) & (F.col("r") <= k)).withColumn("level", F.least("r", F.lit(last)))
+    lists = lists.withColumn("_j", F.col("r")).withColumn("r", number(("level",), *down)).drop("band")
+    lists = reliable_checkpoint(lists.where(F.col("r") <= k + s_max * k))
+    skip = F.when(F.col("level") < last, 1).otherwise(max(k - last + 1, 0))
+    asked = counts.withColumn("level", F.explode(F.array(*[F.lit(i + 1) for i in range(last)])))
+    rest = foreign(_lookup(asked.withColumn("r", _upto(F.col("s") * skip + k)), lists, ["level", "r"]))
+    ends = scored.where(F.col("band") == band0).groupBy("ckey").agg(F.min("ranker_score").alias("lo"), F.max("ranker_score").alias("hi"))
+    ends = ends.select("ckey", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lo").alias("value")),
+                                                 F.struct(F.lit(1).alias("side"), F.col("hi").alias("value")))).alias("x")).select("ckey", "x.*")
+    outward = F.when(F.col("side") == 1, -F.col("value")).otherwise(F.col("value"))
+    ends = reliable_checkpoint(ends.withColumn("r", number(("side",), outward.asc(), F.col("ckey").asc())).where(F.col("r") <= 1 + s_max))
+    sides = counts.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("r", _upto(F.col("s") + 1))
+    sides = foreign(_lookup(sides, ends, ["side", "r"]))
+
+    rows = reliable_checkpoint(own.select("user_id", "ckey", "podcast_id", "ranker_score", "_j").unionByName(
+        rest.select("user_id", "ckey", "podcast_id", "ranker_score", "_j")))
+    mm = rows.select("user_id", F.col("ranker_score").alias("value")).unionByName(
+        low.select("user_id", F.col("ranker_score").alias("value"))).unionByName(sides.select("user_id", "value"))
+    mm = mm.groupBy("user_id").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    rows = rows.join(mm, "user_id").withColumn(
+        "ranker_score", F.when(F.col("hi") > F.col("lo"), (F.col("ranker_score") - F.col("lo")) / (F.col("hi") - F.col("lo")))
         .otherwise(F.col("ranker_score"))).drop("lo", "hi")
     if lam > 0:
-        ranked = rank.mmr_rerank(cand, k, lam, pos=("podcast_id",), out_col="rank")
+        ranked = rank.mmr_order(rows, k, lam, out_col="rank")
     else:
-        ranked = rank.topk_per_group(cand, k, "ranker_score", out_col="rank")
-    # CF scores only for the chosen rows, scaled by the user's min/max over all items.
+        ranked = rank.topk_per_group(rows.drop("_j"), k, "ranker_score", out_col="rank")
+    ranked = ranked.drop("ckey").join(model.items.select("podcast_id", "title", "category", "description"), "podcast_id")
+    # CF scores only for the chosen rows, scaled by the user's extremes over their pool.
     raw = collab.raw_cf_scores(model.cf, ranked.select("user_id", "podcast_id"))
-    n_items_all = model.items.count()
-    n_indexed = model.cf.item_index.count()
-    mmcf = _cf_minmax(model.cf, users)
-    mu = model.cf.user_means.select("user_id", "mu")
-    mmcf = mmcf.join(mu, "user_id").select("user_id", (F.col("mu") + F.col("cf_lo")).alias("clo"),
-                                           (F.col("mu") + F.col("cf_hi")).alias("chi"))
-    if n_items_all > n_indexed:  # items outside the index score 0.0
-        mmcf = mmcf.select("user_id", F.least("clo", F.lit(0.0)).alias("clo"), F.greatest("chi", F.lit(0.0)).alias("chi"))
-    n_pool = F.lit(n_items_all)
-    raw = raw.join(mmcf, "user_id", "left")
-    cs = F.when(F.col("known_user") & (n_pool > 1) & (F.col("chi") > F.col("clo")),
+    raw = raw.join(_cf_minmax(model.cf, users, excluded, pool), "user_id", "left").join(counts.select("user_id", "e"), "user_id")
+    cs = F.when(F.col("known_user") & (F.lit(model.items.count()) - F.col("e") > 1) & (F.col("chi") > F.col("clo")),
                 (F.col("collab_score") - F.col("clo")) / (F.col("chi") - F.col("clo"))).otherwise(F.col("collab_score"))
     raw = raw.select("user_id", "podcast_id", cs.alias("collab_score"))
     out = ranked.join(raw, ["user_id", "podcast_id"], "left").withColumn("embedding_score", F.lit(0.0))
@@ -189,49 +247,47 @@ def _all_items_path(model: RecommenderModel, users: DataFrame, k: int, lam: floa
 
 def recommend_batch(model: RecommenderModel, requests: DataFrame, k: int | None = None) -> DataFrame:
     """V2: ``(user_id, rank, podcast_id, title, category, description,
-    embedding_score, collab_score, ranker_score)``. Requests carry
-    ``user_id`` and optional ``query`` and ``exclude`` columns."""
+    embedding_score, collab_score, ranker_score)``. Requests carry ``user_id``
+    and optional ``query``, ``exclude``, ``k`` and ``request_order`` columns.
+
+    Of several requests of a user the one with the greatest ``request_order``
+    counts (then, or without the column, the greatest query, exclusions and
+    k). With a ``k`` column, requests that ``validate_requests`` rejects get no
+    rows, and each other request as many as it asks for. Requests without a
+    user id get no rows."""
     p = model.params
     k = int(k or p.get("top_k", 10))
     pool = int(p.get("candidate_pool_size", 100))
     lam = float(p.get("diversity_penalty", 0.1))
-    if "query" not in requests.columns:
-        requests = requests.withColumn("query", F.lit(None).cast("string"))
-    if "exclude" not in requests.columns:
-        requests = requests.withColumn("exclude", F.lit(None).cast("array<string>"))
-    req = requests.dropDuplicates(["user_id"])
+    own_k = "k" in requests.columns
+    if own_k:
+        requests, _ = validate_requests(requests)
+    for name, kind in (("query", "string"), ("exclude", "array<string>"), ("k", "int"), ("request_order", "long")):
+        if name not in requests.columns:
+            requests = requests.withColumn(name, F.lit(None).cast(kind))
+    req = requests.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        F.max(F.struct("request_order", "query", "exclude", "k")).alias("_r")).select("user_id", "_r.query", "_r.exclude", "_r.k")
+    req = reliable_checkpoint(req)
+    if own_k:
+        k = int(req.agg(F.max("k")).first()[0] or k)
     has_q = F.col("query").isNotNull() & (F.col("query") != "")
-    with_q = req.where(has_q)
-    no_q = req.where(~has_q)
+    with_q, no_q = req.where(has_q), req.where(~has_q)
     parts = []
-    if with_q.limit(1).count():
-        parts.append(_query_path(model, with_q, k, pool, lam))
-    if no_q.limit(1).count():
-        if no_q.where(F.size(F.coalesce("exclude", F.array())) > 0).limit(1).count():
-            raise NotImplementedError("exclusions without a query: pass a candidate table")
-        parts.append(_all_items_path(model, no_q.select("user_id"), k, lam))
+    if not with_q.isEmpty():
+        parts.append(_query_path(model, with_q.drop("k"), k, pool, lam))
+    if not no_q.isEmpty() or not parts:
+        parts.append(_all_items_path(model, no_q.select("user_id", "exclude"), k, lam))
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_)
+    if own_k:       # a shorter list is the beginning of a longer one
+        out = out.join(req.select("user_id", F.col("k").alias("_k")), "user_id").where(F.col("rank") <= F.col("_k")).drop("_k")
     return out
 
 
 def recommend(model: RecommenderModel, user_id: str, query: str = "", history=None, k: int | None = None):
-    """V1: one user. With a query it is the batch job with one request row;
-    without one the pool is every item minus the history (linear in items)."""
+    """V1: one user: the batch job with one request row."""
     spark = model.items.sparkSession
-    hist = list(history or [])
-    if query or not hist:
-        req = spark.createDataFrame([(user_id, query or None, hist or None)],
-                                    "user_id string, query string, exclude array<string>")
-        return recommend_batch(model, req, k)
-    p = model.params
-    k = int(k or p.get("top_k", 10))
-    lam = float(p.get("diversity_penalty", 0.1))
-    cand = (model.items.where(~F.col("podcast_id").isin(hist))
-            .withColumn("user_id", F.lit(user_id)).withColumn("embedding_score", F.lit(0.0)))
-    cf = collab.score_cf(model.cf, cand.select("user_id", "podcast_id"))
-    cand = cand.join(cf, ["user_id", "podcast_id"], "left").withColumn(
-        "collab_score", F.coalesce("collab_score", F.lit(0.0)))
-    ranked = rank.rank_candidates(model.ranker, cand, k, lam, pos=("podcast_id",))
-    return _finish(model, ranked)
+    req = spark.createDataFrame([(user_id, query or None, list(history or []) or None)],
+                                "user_id string, query string, exclude array<string>")
+    return recommend_batch(model, req, k)

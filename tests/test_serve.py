@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,15 +19,26 @@ def fitted(spark):
     return model, metrics, ds
 
 
-def _brute_force(model, users, k, lam):
+def _brute_force(model, users, k, lam, excluded=None):
     """Every user against every item, scored and ranked row by row."""
     cand = users.crossJoin(model.items).withColumn("embedding_score", F.lit(0.0))
+    if excluded is not None:
+        cand = cand.join(excluded, ["user_id", "podcast_id"], "left_anti")
     cf = collab.score_cf(model.cf, cand.select("user_id", "podcast_id"))
     cand = cand.join(cf, ["user_id", "podcast_id"], "left").withColumn(
         "collab_score", F.coalesce("collab_score", F.lit(0.0)))
     return rank.rank_candidates(model.ranker, cand, k, lam, pos=("podcast_id",))
 
 
+def _same(fast, slow):
+    key = lambda r: (r.user_id, r.rank)
+    fast, slow = sorted(fast.collect(), key=key), sorted(slow.collect(), key=key)
+    assert fast and [(r.user_id, r.rank, r.podcast_id) for r in fast] == [(r.user_id, r.rank, r.podcast_id) for r in slow]
+    for a, b in zip(fast, slow):
+        assert a.ranker_score == pytest.approx(b.ranker_score, abs=1e-9)
+        assert a.collab_score == pytest.approx(b.collab_score, abs=1e-9)
+
+
 def test_metrics(fitted):
     _, m, _ = fitted
     assert m["ndcg_at_10"] > 0 and m["cf_rmse"] > 0 and m["cf_mae"] > 0
@@ -35,14 +48,48 @@ def test_metrics(fitted):
 def test_all_items_path_equals_brute_force(spark, fitted):
     model, _, ds = fitted
     users = ds.user_index.select("user_id").orderBy("user_id").limit(40)
-    fast = serve.recommend_batch(model, users).collect()
-    slow = _brute_force(model, users, 5, 0.1).collect()
-    key = lambda r: (r.user_id, r.rank)
-    fast, slow = sorted(fast, key=key), sorted(slow, key=key)
-    assert [(r.user_id, r.rank, r.podcast_id) for r in fast] == [(r.user_id, r.rank, r.podcast_id) for r in slow]
-    for a, b in zip(fast, slow):
-        assert a.ranker_score == pytest.approx(b.ranker_score, abs=1e-9)
-        assert a.collab_score == pytest.approx(b.collab_score, abs=1e-9)
+    _same(serve.recommend_batch(model, users), _brute_force(model, users, 5, 0.1))
+
+
+def test_exclusions_without_query_equal_brute_force(spark, fitted):
+    model, _, ds = fitted
+    users = ds.user_index.select("user_id").orderBy("user_id").limit(20).unionByName(spark.createDataFrame([("nobody",)], "user_id string"))
+    seen = ds.train.join(users, "user_id", "left_semi").select("user_id", "podcast_id").distinct()
+    best = spark.createDataFrame([("nobody", r.podcast_id) for r in _brute_force(model, users.where("user_id = 'nobody'"), 3, 0.1).collect()],
+                                 "user_id string, podcast_id string")
+    excluded = seen.unionByName(best)
+    lists = excluded.groupBy("user_id").agg(F.collect_list("podcast_id").alias("exclude"))
+    req = users.join(lists, "user_id", "left").withColumn("exclude", F.concat(F.col("exclude"), F.array(F.lit("no such item"))))
+    _same(serve.recommend_batch(model, req), _brute_force(model, users, 5, 0.1, excluded))
+
+
+@pytest.mark.parametrize("lam", [0.1, 0.9, 0.0])
+def test_many_and_null_categories(spark, fitted, monkeypatch, lam):
+    """A category per few items and null ones, unindexed items, hot-key joins by shuffle."""
+    model, _, ds = fitted
+    h = F.pmod(F.xxhash64("podcast_id"), F.lit(60))
+    extra = model.items.orderBy("podcast_id").limit(3).withColumn("podcast_id", F.concat(F.lit("new-"), F.col("podcast_id")))
+    items = model.items.unionByName(extra).withColumn("category", F.when(h > 2, F.concat(F.lit("c"), h.cast("string"))))
+    users = ds.user_index.select("user_id").orderBy("user_id").limit(8)
+    prefs = rank.category_prefs(ds.train, items)
+    own = dataclasses.replace(model, items=items, ranker=dataclasses.replace(model.ranker, prefs=prefs, _map=None),
+                              params={**model.params, "diversity_penalty": lam})
+    excluded = ds.train.join(users, "user_id", "left_semi").select("user_id", "podcast_id").distinct().where(
+        F.pmod(F.xxhash64("podcast_id"), F.lit(2)) == 0)
+    req = users.join(excluded.groupBy("user_id").agg(F.collect_list("podcast_id").alias("exclude")), "user_id", "left")
+    monkeypatch.setattr(serve, "BROADCAST_ROWS", 0)
+    _same(serve.recommend_batch(own, req), _brute_force(own, users, 5, lam, excluded))
+
+
+def test_last_request_and_own_k(spark, fitted):
+    model, _, ds = fitted
+    u = ds.user_index.orderBy("user_id").first()["user_id"]
+    req = spark.createDataFrame([(u, 5, 1), (u, 2, 2), ("nobody", 3, 1), ("", 3, 1), ("far", 51, 1), (None, 3, 1)],
+                                "user_id string, k int, request_order long")
+    out = serve.recommend_batch(model, req).groupBy("user_id").count().collect()
+    assert {r.user_id: r["count"] for r in out} == {u: 2, "nobody": 3}
+    none = serve.recommend_batch(model, req.limit(0))
+    assert none.count() == 0
 
 
 def test_cold_user_and_batch_dedup(spark, fitted):
