@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from .ordering import global_row_number
 
 _MANTISSA = 2 ** 53
-# Above this size an exact-size sample is cut by a distributed rank instead of
-# a single merged top-n.
-TAKE_ORDERED_MAX = 100_000
 
 
 def uniform01(seed: int, *cols) -> "F.Column":
@@ -37,11 +34,10 @@ def weighted_sample(df: DataFrame, group: str, item: str, weight: str, n, seed:
 
 def downsample(df: DataFrame, n: int, key_cols, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, chosen by a seeded hash of
-    ``key_cols`` (ties broken by the keys), independent of layout."""
+    ``key_cols`` (ties broken by the keys), independent of layout: cut by a
+    distributed rank at every size, so no task holds the sample."""
     h = F.xxhash64(F.lit(int(seed)), *[F.col(c) for c in key_cols])
     keyed = df.withColumn("_h", h)
     order = [F.col("_h").asc()] + [F.col(c).asc_nulls_last() for c in key_cols]
-    if n <= TAKE_ORDERED_MAX:
-        return keyed.orderBy(*order).limit(int(n)).drop("_h")
     ranked = global_row_number(keyed, order, out_col="_rn")
     return ranked.where(F.col("_rn") <= n).drop("_rn", "_h")

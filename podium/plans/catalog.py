@@ -815,3 +815,60 @@ def q_cf_holdout(spark, d):
 SQL_QUERIES.update({"csv_scan": q_csv_scan, "extract_summary": q_extract_summary})
 ROWS_QUERIES.update({"embedding_cache": q_embedding_cache, "latest_report": q_latest_report,
                      "cf_holdout": q_cf_holdout})
+
+
+# ---------------------------------------------------------------- what must hold for outputs without a SQL form
+def q_recommend_exclude(spark, d):
+    """V2 for every active user without a query: all items but their train history."""
+    from .serve import recommend_batch
+    model, _ = fitted(spark, d)
+    p = prepared(spark, d)
+    history = p.train.groupBy("user_id").agg(F.collect_set("podcast_id").alias("exclude"))
+    return recommend_batch(model, p.user_index.select("user_id").join(history, "user_id", "left"))
+
+
+def q_recommend_exclude_checks(spark, d):
+    """Per user of recommend_exclude: rows, distinct items, highest rank, rows of the own history."""
+    p = prepared(spark, d)
+    seen = p.train.select("user_id", "podcast_id", F.lit(1).alias("seen")).distinct()
+    out = q_recommend_exclude(spark, d).join(seen, ["user_id", "podcast_id"], "left")
+    return out.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("podcast_id").alias("n_items"),
+                                      F.max("rank").cast("long").alias("top_rank"), F.count("seen").alias("n_seen"))
+
+
+def q_cf_score_checks(spark, d):
+    """Per user of cf_scores: rows, distinct items, rows outside 0 to 1 where there are several."""
+    scores = q_cf_scores(spark, d)
+    outside = F.sum((~F.col("collab_score").between(0.0, 1.0)).cast("long"))
+    return scores.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("podcast_id").alias("n_items"),
+        F.when(F.count(F.lit(1)) > 1, outside).otherwise(F.lit(0)).cast("long").alias("n_outside"))
+
+
+def q_weighted_sample_checks(spark, d):
+    """Per user of weighted_sample: rows, distinct items, rows outside the own train items."""
+    own = prepared(spark, d).train.select("user_id", "podcast_id").distinct()
+    drawn = q_weighted_sample(spark, d).join(own.withColumn("own", F.lit(1)), ["user_id", "podcast_id"], "left")
+    return drawn.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("podcast_id").alias("n_items"),
+                                        (F.count(F.lit(1)) - F.count("own")).alias("n_foreign"))
+
+
+def q_embed_text_norms(spark, d):
+    """Per document of embed_text: the length of its vector (0 without a word)."""
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return q_embed_text(spark, d).select("doc_id", F.round(F.sqrt(square), 3).alias("norm"))
+
+
+def q_request_rejects(spark, d):
+    """V3: requests made of the customer table (some without a user, some with k out of range) and why each is rejected."""
+    from .serve import validate_requests
+    key = F.col("c_custkey")
+    asked = views.table(spark, d, "customer").select(
+        key.cast("long").alias("request"), F.when(key % 7 == 0, F.lit("")).otherwise(key.cast("string")).alias("user_id"), (key % 60).cast("int").alias("k"))
+    return validate_requests(asked)[1]
+
+
+SQL_QUERIES.update({"recommend_exclude_checks": q_recommend_exclude_checks, "cf_score_checks": q_cf_score_checks,
+                    "weighted_sample_checks": q_weighted_sample_checks, "embed_text_norms": q_embed_text_norms,
+                    "request_rejects": q_request_rejects})
+ROWS_QUERIES["recommend_exclude"] = q_recommend_exclude

@@ -508,3 +508,24 @@ os AS (
   LEFT JOIN cnt rc ON rc.feature = t.feature AND rc.bin = s.bin AND rc.win = 'reference')
 SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, feature, {R('abs(sum((cp - rp) * ln(cp / rp)))')} AS psi,
        CAST(max(n) AS BIGINT) AS n_current FROM os GROUP BY os.window_start, feature"""
+
+SQL["recommend_exclude_checks"] = f"""WITH {PREP},
+seen AS (SELECT t.user_id, count(DISTINCT t.podcast_id) AS n FROM train t JOIN items i ON i.podcast_id = t.podcast_id GROUP BY t.user_id),
+had AS (SELECT u.user_id, least(10, (SELECT count(*) FROM items) - coalesce(s.n, 0)) AS n FROM uidx u LEFT JOIN seen s ON s.user_id = u.user_id)
+SELECT user_id, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_items, CAST(n AS BIGINT) AS top_rank, CAST(0 AS BIGINT) AS n_seen
+FROM had WHERE n > 0"""
+
+SQL["cf_score_checks"] = f"""WITH {PREP}
+SELECT user_id, count(*) AS n_rows, count(*) AS n_items, CAST(0 AS BIGINT) AS n_outside FROM cand GROUP BY user_id"""
+
+SQL["weighted_sample_checks"] = f"""WITH {PREP}
+SELECT t.user_id, least(5, count(DISTINCT t.podcast_id)) AS n_rows, least(5, count(DISTINCT t.podcast_id)) AS n_items, CAST(0 AS BIGINT) AS n_foreign
+FROM train t JOIN items i ON i.podcast_id = t.podcast_id WHERE i.category IS NOT NULL GROUP BY t.user_id"""
+
+SQL["embed_text_norms"] = r"""SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), '[\p{L}\p{N}]') THEN 1.0e0 ELSE 0.0e0 END AS norm FROM documents"""
+
+SQL["request_rejects"] = """SELECT * FROM (
+  SELECT CAST(c_custkey AS BIGINT) AS request, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS user_id,
+         CAST(c_custkey % 60 AS INTEGER) AS k,
+         CASE WHEN c_custkey % 7 = 0 THEN 'empty user_id' WHEN c_custkey % 60 NOT BETWEEN 1 AND 50 THEN 'k out of range' END AS reject_reason
+  FROM customer) WHERE reject_reason IS NOT NULL"""
