@@ -14,15 +14,15 @@ disclosing terms removed (or generalised to ``[TERM]``).
 from __future__ import annotations
 
 import hashlib
-import math
 import re
+from collections import Counter
 
-import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hashed_words, map_arrow, materialize, passes, text_buffers
+from .common import documents, map_arrow, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words to each side of a value that count as beside it.
@@ -31,6 +31,8 @@ NEAR = 5
 ALPHA = 0.8
 #: Different texts that must hold a value, and value and term together.
 SUPPORT = 3
+#: Words whose hash a task remembers.
+WORDS_KEPT = 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -115,10 +117,7 @@ def _beside(text: str, spans):
             if len(right) == NEAR:
                 break
         for a, b in left + right:
-            while a < b and not text[a].isalnum():
-                a += 1
-            while b > a and not text[b - 1].isalnum():
-                b -= 1
+            a, b = _trimmed(text, a, b)
             if a < b and not any(a < y and x < b for x, y in taken):
                 out.append((entity, text[a:b].lower(), a, b))
     return out
@@ -151,44 +150,47 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                  F.col(text_col).alias("_t")), run, _FOUND)
 
 
-def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``h, df``: in how many documents each term occurs, by hash of the term.
-    Each batch sends one row per distinct term, whatever its documents repeat."""
-    def run(batches):
-        for b in batches:
-            data, offsets = text_buffers(b.column(0))
-            for i, j in passes(offsets):
-                a, z = offsets[i], offsets[j]
-                h, row = hashed_words(_only_words(data[a:z]), offsets[i:j + 1] - a)
-                order = np.lexsort((row, h))
-                h, row = h[order], row[order]
-                once = np.ones(len(h), bool)
-                once[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                u, c = np.unique(h[once], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "c"])
-    return map_arrow(docs.select(text_col), run, "h long, c long").groupBy("h").agg(F.sum("c").alias("df"))
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """``a, b`` without the signs around the word text[a:b]."""
+    while a < b and not text[a].isalnum():
+        a += 1
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    return a, b
 
 
-_SIGNS = np.arange(256, dtype=np.uint8)
-for _i in range(128):
-    if not chr(_i).isalnum():
-        _SIGNS[_i] = 32
+def term_hash(term: str) -> int:
+    """Spark's ``xxhash64`` of the whole term."""
+    h = xxhash.xxh64_intdigest(term.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
 
 
-def _only_words(data: np.ndarray) -> np.ndarray:
-    return _SIGNS[data]
+class _Hashes(dict):
+    """Hash of the term that a word holds (None: only signs), made once per word."""
 
+    def __missing__(self, word: str):
+        a, b = _trimmed(word, 0, len(word))
+        h = term_hash(word[a:b].lower()) if a < b else None
+        if len(word) <= 64:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = h
+        return h
 
-def _term_hash(df: DataFrame) -> DataFrame:
+
+def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``h, df``: in how many documents each term occurs, by hash of the term
+    (cut, trimmed and lower-cased as beside a value). Each batch sends one row
+    per distinct term, whatever its documents repeat."""
     def run(batches):
+        hashes = _Hashes()
         for b in batches:
-            out = np.zeros(b.num_rows, np.int64)
-            for k, t in enumerate(b.column(0).to_pylist()):
-                data = np.frombuffer(t.encode(), np.uint8)
-                h, _ = hashed_words(_only_words(data), np.array([0, len(data)]))
-                out[k] = h.view(np.int64)[0] if len(h) else 0
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out)], ["term", "h"])
-    return map_arrow(df, run, "term string, h long")
+            seen: Counter = Counter()
+            for t in b.column(0).to_pylist():
+                seen.update({hashes[w] for w in set(_WORD.findall(t or ""))})
+            seen.pop(None, None)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["h", "c"])
+    return map_arrow(docs.select(text_col), run, "h long, c long").groupBy("h").agg(F.sum("c").alias("df"))
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", alpha: float = ALPHA,
@@ -200,7 +202,7 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str = "text",
         F.col("de") >= support)
     both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("dte")).where(F.col("dte") >= support)
     both = materialize(both.join(values, "entity"), "privacy-pairs")
-    hashes = _term_hash(both.select("term").distinct())
+    hashes = both.select("term", F.xxhash64("term").alias("h")).distinct()
     counts = term_counts(docs, text_col).join(hashes, "h").select("term", "df")
     total = found.agg(F.count(F.lit(1)).alias("n"))             # one row
     scored = both.join(counts, "term").crossJoin(F.broadcast(total))

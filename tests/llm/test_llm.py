@@ -330,6 +330,35 @@ def test_private_spans_and_disclosing_terms(spark, texts):
     assert privacy.private_spans(df.limit(0)).count() == 0
 
 
+def planted(n, line, seed=3):
+    """``n`` texts of random words, and ``line`` beside random words in five more (ids from 1000)."""
+    rng = random.Random(seed)
+    vocab = [f"v{i}" for i in range(400)]
+    fill = lambda k: " ".join(rng.choice(vocab) for _ in range(k))
+    return [(i, fill(30), "s") for i in range(n)] + [(1000 + i, f"{fill(2)} {line} {fill(2)} x{i}", "s") for i in range(5)]
+
+
+def masked(spark, rows):
+    """The terms that go, by id."""
+    text, out = {i: t for i, t, _ in rows}, {}
+    for r in privacy.private_spans(frame(spark, rows)).collect():
+        out[r.doc_id] = [text[r.doc_id][int(s):int(e)] for k, s, e in (p.split(":") for p in r.spans.split(",") if p) if k == "term"]
+    return out
+
+
+def test_terms_are_counted_as_they_are_cut(spark):
+    terms = ["Иван", "Österreich", "Élodie", "“zorblatt”", "jean-luc", "j.smith", "user=jdoe", "İlker"]
+    rows = planted(60, "")[:60]
+    for k, term in enumerate(terms):
+        rows += [(1000 * (k + 1) + i, t.replace("x", f"x{k}_"), s) for i, (_, t, s) in
+                 enumerate(planted(0, f"{term} mail{k}@host.org", seed=k))]
+    rows += [(500 + i, f"jean j user luc smith y{i}", "s") for i in range(40)]      # the pieces are common, the terms are not
+    got = masked(spark, rows)
+    for k, term in enumerate(terms):
+        assert all(got[1000 * (k + 1) + i] == [term.strip("“”")] for i in range(5)), term
+    assert not any(got[i] for i in [*range(60), *range(500, 540)])
+
+
 # fingerprints -------------------------------------------------------------------------
 
 def test_fingerprints_against_plain_neighbours(spark, texts):
