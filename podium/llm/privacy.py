@@ -3,8 +3,8 @@
 The base finds emails, IP addresses, card and phone numbers by pattern. The
 method adds what the patterns cannot see: a term beside a protected value
 discloses it to the degree of their pointwise mutual information,
-PMI(t; e) = log2(p(t, e) / (p(t) p(e))), estimated from document counts over
-the whole corpus. A term goes when PMI exceeds ``alpha`` times the information
+PMI(t; e) = log2(p(t, e) / (p(t) p(e))), estimated from counts of different texts
+over the whole corpus. A term goes when PMI exceeds ``alpha`` times the information
 content -log2 p(e) of the value. Only values found in at least ``support``
 different texts give an estimate; single sightings are the patterns' work.
 
@@ -123,8 +123,8 @@ def _beside(text: str, spans):
     return out
 
 
-_FOUND = ("row long, doc_id long, base string, sha string, n_email long, n_ip long, n_card long, n_phone long, "
-          "text_hash long, near array<struct<entity:string,term:string,s:int,e:int>>")
+_FOUND = ("row long, doc_id long, text_hash long, base string, sha string, n_email long, n_ip long, n_card long, n_phone long, "
+          "near array<struct<entity:string,term:string,s:int,e:int>>")
 
 
 def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -132,22 +132,34 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            cols: list[list] = [[] for _ in range(8)]
+            cols: list[list] = [[] for _ in range(7)]
             for t in b.column(2).to_pylist():
                 t = t or ""
                 spans = base_spans(t)
                 base = ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
                 near = [dict(zip(("entity", "term", "s", "e"), x, strict=True)) for x in dict.fromkeys(_beside(t, spans))] if spans else []
                 kinds = [k for _, _, k in spans]
-                for c, v in zip(cols, (base, hashlib.sha256(base.encode()).hexdigest(), *(kinds.count(k) for k in KINDS),
-                                       int.from_bytes(hashlib.sha256(t.encode()).digest()[:8], "little", signed=True) if near else 0,
-                                       near), strict=True):
+                for c, v in zip(cols, (base, hashlib.sha256(base.encode()).hexdigest(), *(kinds.count(k) for k in KINDS), near), strict=True):
                     c.append(v)
-            types = [pa.string(), pa.string(), *[pa.int64()] * 5, near_type]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
-                                             ["row", "doc_id", "base", "sha", "n_email", "n_ip", "n_card", "n_phone", "text_hash", "near"])
+            types = [pa.string(), pa.string(), *[pa.int64()] * 4, near_type]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3),
+                                              *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
+                                             ["row", "doc_id", "text_hash", "base", "sha", "n_email", "n_ip", "n_card", "n_phone", "near"])
     return map_arrow(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                                 F.col(text_col).alias("_t")), run, _FOUND)
+                                 F.col(text_col).alias("_t"), _text_hash(text_col).alias("text_hash")), run, _FOUND)
+
+
+def _text_hash(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def distinct_texts(docs: DataFrame, sizes: DataFrame, text_col: str = "text") -> DataFrame:
+    """``text_hash, text``: each different text once, null as the empty text.
+    ``sizes`` (text_hash, c) tells which have copies; only those are shuffled."""
+    keyed = docs.select(_text_hash(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    copied = sizes.where("c > 1").select("text_hash")
+    first = keyed.join(copied, "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    return keyed.join(copied, "text_hash", "left_anti").unionByName(first)
 
 
 def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
@@ -195,7 +207,8 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str = "text", alpha: float = ALPHA,
                      support: int = SUPPORT) -> DataFrame:
-    """``entity, term, pmi, ic``: the terms that give a value away."""
+    """``entity, term, pmi, ic``: the terms that give a value away. All counts
+    are over different texts, so copies change nothing."""
     pairs = found.where(F.size("near") > 0).select("text_hash", F.explode("near").alias("x")).select(
         "text_hash", "x.entity", "x.term").distinct()           # copies of a text are one sighting
     values = pairs.select("entity", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("de")).where(
@@ -203,8 +216,9 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str = "text",
     both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("dte")).where(F.col("dte") >= support)
     both = materialize(both.join(values, "entity"), "privacy-pairs")
     hashes = both.select("term", F.xxhash64("term").alias("h")).distinct()
-    counts = term_counts(docs, text_col).join(hashes, "h").select("term", "df")
-    total = found.agg(F.count(F.lit(1)).alias("n"))             # one row
+    sizes = materialize(found.groupBy("text_hash").agg(F.count(F.lit(1)).alias("c")), "privacy-texts")
+    counts = term_counts(distinct_texts(docs, sizes, text_col)).join(hashes, "h").select("term", "df")
+    total = sizes.agg(F.count(F.lit(1)).alias("n"))             # one row
     scored = both.join(counts, "term").crossJoin(F.broadcast(total))
     n, pmi = F.col("n").cast("double"), None
     pmi = F.log2(F.col("dte") * n / (F.greatest(F.col("df"), F.col("dte")) * F.col("de")))

@@ -359,6 +359,14 @@ def test_terms_are_counted_as_they_are_cut(spark):
     assert not any(got[i] for i in [*range(60), *range(500, 540)])
 
 
+def test_copies_change_no_term(spark):
+    rows = planted(60, "Zorblatt ann@ex.org")
+    copies = [(2000 + i, rows[60][1], "s") for i in range(200)] + [(3000 + i, rows[0][1], "t") for i in range(50)]
+    alone, got = masked(spark, rows), masked(spark, rows + copies)
+    assert all(alone[1000 + i] == ["Zorblatt"] for i in range(5))
+    assert {i: got[i] for i in alone} == alone and all(got[2000 + i] == ["Zorblatt"] for i in range(200))
+
+
 # fingerprints -------------------------------------------------------------------------
 
 def test_fingerprints_against_plain_neighbours(spark, texts):
