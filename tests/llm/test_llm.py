@@ -367,6 +367,15 @@ def test_copies_change_no_term(spark):
     assert {i: got[i] for i in alone} == alone and all(got[2000 + i] == ["Zorblatt"] for i in range(200))
 
 
+def test_terms_far_from_the_value_and_in_other_texts(spark):
+    rows = planted(60, "Zorblatt " + " ".join(f"w{i}" for i in range(9)) + " ann@ex.org " + " ".join(f"w{i}" for i in range(7)) + " Zorblatt")
+    rows += [(i, f"{t} w{i % 9}", s) for i, t, s in planted(60, "", seed=4)[:60] for i in range(i * 9 + 2000, i * 9 + 2009)]
+    rows += [(5000, "the ZORBLATT of them", "s"), (5001, "Zorblatts mail@zorblatt.org", "s")]
+    got = masked(spark, rows)
+    assert all(got[1000 + i] == ["Zorblatt"] * 2 for i in range(5)) and got[5000] == ["ZORBLATT"] and not got[5001]
+    assert not any(got[i] for i in range(60))
+
+
 # fingerprints -------------------------------------------------------------------------
 
 def test_fingerprints_against_plain_neighbours(spark, texts):
