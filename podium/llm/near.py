@@ -272,7 +272,7 @@ def _central_pairs(rest: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """(rows: doc_id, n, node; roots: node, root) of a table."""
+    """(rows: doc_id, text_hash, n, node; roots: node, root) of a table."""
     signed = materialize(_signed(docs, id_col, text_col), "near-signed")
     # one row per shingle set; copies are folded before they are shuffled
     classes = materialize(signed.where("n > 0").groupBy("node").agg(
@@ -302,10 +302,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rest = _open_buckets(members, roots)
     more = materialize(_across(rest, reps, classes, docs, id_col, text_col).join(pairs, ["a", "b"], "left_anti"), "near-more")
     if more.isEmpty():
-        return signed.select("doc_id", "n", "node"), roots
+        return signed.select("doc_id", "text_hash", "n", "node"), roots
     texts = materialize(_texts_of(ends(more), reps, docs, id_col, text_col), "near-texts")
     links = links.unionByName(_confirmed(more, texts))
-    return signed.select("doc_id", "n", "node"), components(links)
+    return signed.select("doc_id", "text_hash", "n", "node"), components(links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,11 +333,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one per component, columns untouched
-    (rows repeating an id stay or go together)."""
-    (name,) = free_names(docs, "_gone_id")
-    gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_anti")
+    """The rows of ``docs`` that stay, columns untouched: one row per component,
+    that of the smallest id (null ids lose to any other), then of the smallest
+    text hash. Rows are told apart by id and text. Texts without shingles all stay."""
+    i0, h0, i1, h1 = free_names(docs, "_row_id", "_row_hash", "_other_id", "_other_hash")
+    rows, roots = near_classes(docs, id_col, text_col)
+    rows = rows.where(F.col("node").isNotNull()).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    each = materialize(rows.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("c")), "near-rows")
+    best = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best"))
+    # as in near_duplicates, a component of any size is joined in slices
+    salted = each.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(64)))
+    slices = salted.select("root", "salt").distinct().join(best, "root")
+    won = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    other = materialize(salted.join(slices, ["root", "salt"]).withColumn("won", won).where("not won or c > 1").select(
+        F.col("doc_id").alias(i1), F.col("text_hash").alias(h1), "won"), "near-other")
+    keyed = docs.withColumns({i0: F.col(id_col).cast("long"), h0: F.xxhash64(text_col)})
+    same = F.col(i0).eqNullSafe(F.col(i1)) & (F.col(h0) == F.col(h1))
+    stay = keyed.join(other.drop("won"), same, "left_anti")
+    repeated = keyed.join(other.where("won").drop("won"), same, "left_semi").dropDuplicates([i0, h0])
+    return stay.unionByName(repeated).drop(i0, h0)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,6 +134,18 @@ def test_near_dedup_odd_rows(spark):
     assert near.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_dedup_decides_per_row(spark):
+    base = [" ".join(f"{c}{k}" for k in range(60)) for c in "pqrstu"]
+    rows = [(1, base[0], "s"), (None, base[0] + " more", "s"), (None, base[1], "s"), (None, base[2], "s"),       # null ids
+            (7, base[3], "s"), (7, base[4], "s"), (2, base[3] + " more", "s"),                                  # 7 loses to 2 once
+            (9, base[5], "s"), (9, base[5] + " more", "s"), (9, base[5], "s"),                                  # the winner repeats
+            (None, base[2] + " more", "s"), (None, None, "s"), (None, "", "s")]
+    stay = near.near_dedup(frame(spark, rows))
+    got = [(r.doc_id, r.text) for r in stay.collect()]
+    assert len(got) == 8 and {(1, base[0]), (None, base[1]), (7, base[4]), (2, base[3] + " more"), (None, None), (None, "")} <= set(got)
+    assert sum(t in (base[2], base[2] + " more") for _, t in got) == sum(i == 9 for i, _ in got) == 1
+
+
 def test_bit_estimate_is_corrected_for_chance(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 4000).astype(np.uint64)
