@@ -108,18 +108,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with each row as often as the mix takes it, columns untouched."""
+    """``docs`` with each row as often as the mix takes it, columns untouched.
+
+    Rows that repeat id, source and size are alike to the mix: they are numbered
+    and take its answers in turn. Rows alike in every column add theirs up."""
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    d0, z0, d, src, z, c, t, i = free_names(docs, "_d0", "_z0", "_d", "_s", "_z", "_c", "_t", "_i")
-    taken = mix(docs, id_col, text_col, source_col).where("copies > 0").groupBy("doc_id", "source", "size").agg(
-        F.sum("copies").alias(c), F.count(F.lit(1)).alias(t)).select(
-        F.col("doc_id").alias(d), F.col("source").alias(src), F.col("size").alias(z),
-        # rows that repeat id, source and size are alike to the queue: each goes out equally often
-        F.ceil(F.col(c) / F.col(t)).cast("int").alias(t))
-    keyed = docs.withColumns({d0: F.col(id_col).cast("long"), z0: words})
-    joined = keyed.join(taken, F.col(d0).eqNullSafe(F.col(d)) & (F.col(z0) == F.col(z))
-                        & F.col(source_col).eqNullSafe(F.col(src)))
-    return joined.withColumn(i, F.explode(F.sequence(F.lit(1), F.col(t)))).select(*[docs[x] for x in docs.columns])
+    a, b, c, i = free_names(docs, "_a", "_b", "_c", "_i")
+    whole = [docs[x] for x in docs.columns] + [docs[x].isNull() for x in docs.columns]
+    keyed = docs.withColumns({a: F.xxhash64(*whole), b: F.xxhash64(F.lit(1), *whole)})
+    rows = keyed.select(F.col(id_col).cast("long").alias("d"), F.col(source_col).alias("s"), words.alias("z"),
+                        F.col(a).alias("a"), F.col(b).alias("b"))
+    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("d", "s", "z").orderBy("a", "b")))
+    taken = mix(docs, id_col, text_col, source_col).where("copies > 0")
+    taken = taken.withColumn("j", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies"))))
+    found = rows.join(taken, F.col("d").eqNullSafe(F.col("doc_id")) & F.col("s").eqNullSafe(F.col("source"))
+                      & (F.col("z") == F.col("size")) & (F.col("i") == F.col("j")))
+    copies = found.groupBy(F.col("a").alias(a), F.col("b").alias(b)).agg(F.sum("copies").cast("int").alias(c))
+    out = keyed.dropDuplicates([a, b]).join(copies, [a, b])
+    return out.withColumn(i, F.explode(F.sequence(F.lit(1), F.col(c)))).drop(a, b, c, i)
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

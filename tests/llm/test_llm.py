@@ -470,6 +470,16 @@ def test_mix_odd_rows(spark):
     assert {r.taken for r in mix.mix(df.where("doc_id in (3, 4, 5)")).collect()} == {0}
 
 
+def test_mixed_documents_send_what_the_mix_took(spark):
+    rows = [(None, f"n{i} a b", "s") for i in range(40)] + [(3, "c d e", "s"), (3, "c d e", "s"), (3, "c d f", "s")]
+    rows += [(100 + i, f"m{i} a b", "t") for i in range(20)] + [(200 + i, f"o{i} a b", None) for i in range(20)]
+    df = frame(spark, rows)
+    count = lambda d, v: sorted((str(r[0]), str(r[1]), r[2]) for r in d.groupBy("doc_id", "source").agg(v).collect() if r[2])
+    want = mix.mix(df)
+    assert want.where("doc_id is null and copies = 0").count()
+    assert count(mix.mixed_documents(df), F.count(F.lit(1))) == count(want, F.sum("copies"))
+
+
 # pipeline ------------------------------------------------------------------------------------
 
 def test_pipeline_stage_by_stage(spark, docs):
