@@ -470,8 +470,8 @@ SQL_QUERIES = {
 
 
 # ---------------------------------------------------------------- models and serving (row checks)
-QUERY_PARAMS = {"n_factors": 64, "n_trees": 20, "learning_rate": 0.05, "top_k": TOP_K,
-                "candidate_pool_size": 100, "diversity_penalty": LAMBDA, "encoder_dim": 256}
+QUERY_PARAMS = {"n_factors": 128, "n_trees": 300, "learning_rate": 0.05, "top_k": TOP_K,
+                "candidate_pool_size": 100, "diversity_penalty": LAMBDA, "encoder_dim": 384}
 _MODELS: dict = {}
 
 
@@ -785,8 +785,9 @@ def q_embedding_cache(spark, d):
     path = scratch_path(spark, f"emb-cache-{uuid.uuid4().hex}")
     texts = retrieve.item_text(prepared(spark, d).items)
     enc = retrieve.HashingEncoder(dim=QUERY_PARAMS["encoder_dim"])
-    sio.cached_embeddings(texts, path, enc, "hashing-256", spark).count()
-    return sio.cached_embeddings(texts, path, enc, "hashing-256", spark)
+    name = f"hashing-{enc.dim}"
+    sio.cached_embeddings(texts, path, enc, name, spark).count()
+    return sio.cached_embeddings(texts, path, enc, name, spark)
 
 
 def q_latest_report(spark, d):

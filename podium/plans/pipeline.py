@@ -16,7 +16,7 @@ from .serve import RecommenderModel
 # Fixed defaults of the reference pipeline.
 DEFAULT_PARAMS = {
     "n_factors": 128, "n_trees": 300, "learning_rate": 0.05, "top_k": 10,
-    "candidate_pool_size": 100, "diversity_penalty": 0.1, "encoder_dim": 256,
+    "candidate_pool_size": 100, "diversity_penalty": 0.1, "encoder_dim": 384,
 }
 
 RUNS_SCHEMA = ("run_id string, started timestamp, params map<string,string>, ndcg_at_10 double, "
