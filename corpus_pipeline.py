@@ -17,8 +17,7 @@ from podium.session import scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found; those without letters, or scoring
-    under 0.5, go."""
+    """Documents for which op5 names a language; those it calls ``und`` go."""
     return langid.keep_identified(docs, langid.fit(docs))
 
 

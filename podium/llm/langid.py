@@ -239,9 +239,9 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                      "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a score of at least
-    ``least``, columns untouched; rows without letters go."""
+def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", least: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` for which ``identify`` names a language (with a
+    score of at least ``least``), columns untouched; rows without letters go."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -502,6 +502,16 @@ def test_pipeline_stage_by_stage(spark, docs):
     assert last.count() == four.count() and "ids" in last.columns
 
 
+def test_language_stage_drops_only_what_has_no_language(spark, docs):
+    texts = ["გამარჯობა მსოფლიო", "ok", "ჰ", "no", "123", "", None]       # an unseen script, words of several languages
+    df = docs.limit(200).unionByName(frame(spark, [(10**9 + i, t, "s") for i, t in enumerate(texts)]).withColumn(
+        "lang", F.lit(None).cast("string")).select(docs.columns))
+    model = langid.fit(df)
+    named = {r.doc_id for r in langid.identify(df, model).where("lang_pred <> 'und'").collect()}
+    assert {10**9, 10**9 + 2} <= named
+    assert {r.doc_id for r in corpus_pipeline.language(spark, df, SF).collect()} == named
+
+
 def test_pipeline_stages_on_odd_and_empty_tables(spark, docs):
     odd = frame(spark, ODD)
     for rows in (odd, odd.limit(0)):
