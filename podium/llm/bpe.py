@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, mix64, span_hashes
+from .common import distinct_spans, documents, map_arrow, mix64, span_hashes
 
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 500_000
@@ -132,7 +132,7 @@ class Encoder:
         self.special = {t: (struct.pack("<I", i), t.encode()) for t, i in spec["special"].items()}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(spec["special"], key=len, reverse=True)) + ")") \
             if spec["special"] else None
-        self.known: dict[int, tuple[bytes, bytes]] = {}      # by hash of the word
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}    # by the word in UTF-32
 
     def parts(self, text: str) -> list[str]:
         """Text and special tokens in turn: special tokens are cut out first."""
@@ -161,18 +161,16 @@ class Encoder:
         starts, ends, row = split_words(points, cuts, self.classes)
         if len(starts):
             codes = mix64(points.astype(np.uint64) + np.uint64(1))
-            distinct, first, back = np.unique(span_hashes(codes, starts, ends), return_index=True, return_inverse=True)
-            keys = distinct.tolist()
+            first, back = distinct_spans(points, span_hashes(codes, starts, ends), starts, ends)
+            keys = [points[a:z].tobytes() for a, z in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            new = [i for i, h in enumerate(keys) if h not in self.known]
+            new = [w for w in keys if w not in self.known]
             gc.disable()                        # the index holds no cycles, only many small lists
             for i in range(0, len(new), INDEXED):
-                some = new[i:i + INDEXED]
-                self._index([keys[j] for j in some],
-                            [points[starts[f]:ends[f]].tobytes().decode("utf-32-le") for f in first[some].tolist()])
+                self._index(new[i:i + INDEXED])
             gc.enable()
-            got = [self.known[h] for h in keys]
+            got = [self.known[w] for w in keys]
             ids, names = [g[0] for g in got].__getitem__, [g[1] for g in got].__getitem__
         at = np.searchsorted(row, np.arange(len(rows) + 1)).tolist()
         out, r = [], 0
@@ -191,11 +189,11 @@ class Encoder:
             out.append((b"".join(raw), b" ".join(text)))
         return out
 
-    def _index(self, keys: list[int], words: list[str]) -> None:
+    def _index(self, keys: list[bytes]) -> None:
         sym: list[int] = []
         ends = []
-        for w in words:
-            raw = w.encode()
+        for w in keys:
+            raw = w.decode("utf-32-le").encode()
             sym += [self.inner[b] for b in raw[:-1]]
             sym.append(self.last[raw[-1]])
             ends.append(len(sym))
@@ -242,9 +240,9 @@ class Encoder:
                         where[r].append(p)
         begin = 0
         name = self.name
-        for h, e in zip(keys, ends, strict=True):
+        for w, e in zip(keys, ends, strict=True):
             ids = [x for x in sym[begin:e] if x >= 0]
-            self.known[h] = (struct.pack(f"<{len(ids)}I", *ids), b" ".join([name[x] for x in ids]))
+            self.known[w] = (struct.pack(f"<{len(ids)}I", *ids), b" ".join([name[x] for x in ids]))
             begin = e
 
 

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,15 +107,44 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have
 
 
+#: Spans of more codes than this are hashed one by one (see ``span_hashes``).
+LONG_SPAN = 64
+
+
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of codes[start:end] for every span, from one prefix sum of a
-    polynomial; independent of where in the pass a span lies."""
+    """64-bit hash of codes[start:end] for every span, independent of where in
+    the pass it lies. Short spans come from one prefix sum of a polynomial.
+    Modulo 2**64 that is weak for long spans (Thue-Morse words of 1,024 codes
+    meet under every base), so these few are hashed by their content."""
     n = len(codes)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(codes * _powers(_BASE, n + 1)[:n], out=sums[1:])
     h = (sums[ends] - sums[starts]) * _powers(_BASE_INV, n + 1)[starts]
-    return mix64(h + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    h = mix64(h + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    for i in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(codes[starts[i]:ends[i]].tobytes(), seed=7)
+    return h
+
+
+def distinct_spans(codes: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """(first, back): one span of each distinct content, and for every span the
+    number of its content. Hashes only sort; contents are compared."""
+    _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+    length, like = ends - starts, first[back]
+    exact = bool((length == length[like]).all())
+    sums, at = np.concatenate([[0], np.cumsum(length)]), 0
+    while exact and at < len(length):           # spans of about one pass at a time
+        to = max(at + 1, int(np.searchsorted(sums, sums[at] + PASS_BYTES, "right")) - 1)
+        n = length[at:to]
+        offset = np.arange(sums[to] - sums[at]) - np.repeat(sums[at:to] - sums[at], n)
+        exact = bool((codes[np.repeat(starts[at:to], n) + offset] == codes[np.repeat(starts[like[at:to]], n) + offset]).all())
+        at = to
+    if exact:
+        return first, back
+    seen: dict[bytes, int] = {}
+    back = np.array([seen.setdefault(codes[a:z].tobytes(), len(seen)) for a, z in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return np.unique(back, return_index=True)[1], back
 
 
 def text_buffers(col) -> tuple[np.ndarray, np.ndarray]:

@@ -133,8 +133,9 @@ _FOUND = ("row long, doc_id long, base string, sha string, n_email long, n_ip lo
           "hits array<struct<h:long,s:int,e:int>>")
 
 
-def _scan(docs: DataFrame, id_col: str, text_col: str, sieve: bytes) -> DataFrame:
-    """Base spans per row, and ``hits``: its words that the sieve lets pass."""
+def _scan(docs: DataFrame, id_col: str, text_col: str, sieve: bytes, with_text: bool = False) -> DataFrame:
+    """Base spans per row, and ``hits``: its words that the sieve lets pass;
+    ``with_text`` carries the text beside them."""
     hit_type = pa.list_(pa.struct([("h", pa.int64()), ("s", pa.int32()), ("e", pa.int32())]))
 
     def run(batches):
@@ -152,10 +153,11 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, sieve: bytes) -> DataFram
                 for c, v in zip(cols, (base, hashlib.sha256(base.encode()).hexdigest(), *(kinds.count(k) for k in KINDS), hits), strict=True):
                     c.append(v)
             types = [pa.string(), pa.string(), *[pa.int64()] * 4, hit_type]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
-                                             ["row", "doc_id", "base", "sha", "n_email", "n_ip", "n_card", "n_phone", "hits"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(cols, types, strict=True)), *b.columns[2:2 + with_text]],
+                ["row", "doc_id", "base", "sha", "n_email", "n_ip", "n_card", "n_phone", "hits", *["text"] * with_text])
     return map_arrow(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                                 F.col(text_col).alias("_t")), run, _FOUND)
+                                 F.col(text_col).alias("_t")), run, _FOUND + (", text string" if with_text else ""))
 
 
 def _text_hash(text_col: str):
@@ -299,6 +301,25 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str = "text",
         (F.col("ic") > 0) & (F.col("pmi") > F.lit(alpha) * F.col("ic")))
 
 
+def _all_spans(docs: DataFrame, id_col: str, text_col: str, alpha: float, support: int, with_text: bool) -> DataFrame:
+    """The scan of every row, with ``added``: the places of its disclosing terms."""
+    terms = disclosing_terms(materialize(_entities(docs, text_col), "privacy-entities"), docs, text_col, alpha, support)
+    terms = materialize(terms.select(F.xxhash64("term").alias("h")).distinct(), "privacy-terms")
+    found = materialize(_scan(docs, id_col, text_col, sieve_of(terms), with_text), "privacy-found")
+    added = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("x")).select(
+        "row", "x.h", "x.s", "x.e").join(terms, "h", "left_semi")
+    added = added.select("row", "s", "e").distinct().groupBy("row").agg(
+        F.collect_list(F.struct("s", "e")).alias("added"))
+    return found.drop("hits").join(added, "row", "left")
+
+
+def _joined(base: str | None, added: list | None) -> str:
+    """All spans of a row, ``kind:start:end`` by start, then kind."""
+    spans = [(int(s), KINDS.index(k), int(e)) for k, s, e in (p.split(":") for p in base.split(","))] if base else []
+    spans += [(t["s"], len(KINDS), t["e"]) for t in added or []]
+    return ",".join(f"{(*KINDS, 'term')[k]}:{s}:{e}" for s, k, e in sorted(spans))
+
+
 def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
                   support: int = SUPPORT) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` per row:
@@ -309,23 +330,11 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     repeating an id are each scanned on their own. An empty table gives an
     empty result. Long texts are scanned whole, in linear time.
     """
-    terms = disclosing_terms(materialize(_entities(docs, text_col), "privacy-entities"), docs, text_col, alpha, support)
-    terms = materialize(terms.select(F.xxhash64("term").alias("h")).distinct(), "privacy-terms")
-    found = materialize(_scan(docs, id_col, text_col, sieve_of(terms)), "privacy-found")
-    added = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("x")).select(
-        "row", "x.h", "x.s", "x.e").join(terms, "h", "left_semi")
-    added = added.select("row", "s", "e").distinct().groupBy("row").agg(
-        F.collect_list(F.struct("s", "e")).alias("added"))
-    joined = found.drop("hits").join(added, "row", "left")
+    joined = _all_spans(docs, id_col, text_col, alpha, support, False)
 
     def run(batches):
         for b in batches:
-            base, more = b.column(6).to_pylist(), b.column(7).to_pylist()
-            out = []
-            for x, y in zip(base, more, strict=True):
-                spans = [(int(s), KINDS.index(k), int(e)) for k, s, e in (p.split(":") for p in x.split(","))] if x else []
-                spans += [(t["s"], len(KINDS), t["e"]) for t in y or []]
-                out.append(",".join(f"{(*KINDS, 'term')[k]}:{s}:{e}" for s, k, e in sorted(spans)))
+            out = [_joined(x, y) for x, y in zip(b.column(6).to_pylist(), b.column(7).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(6)), pa.array(out, pa.string())],
                                              ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
     return map_arrow(joined.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.col("sha").alias("base_sha256"),
@@ -346,11 +355,19 @@ def sanitise(text: str, spans: str, remove_terms: bool = True) -> str:
     return "".join([*out, text[done:]])
 
 
-def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_terms: bool = True) -> DataFrame:
-    """``doc_id, text``: the sanitised texts; ids are expected to be unique."""
-    spans = private_spans(docs, id_col, text_col).select(F.col("doc_id").alias("_id"), "spans")
-    clean = F.udf(lambda t, s: t if t is None else sanitise(t, s, remove_terms), "string")
-    return docs.join(spans, F.col(id_col) == F.col("_id")).select(F.col(id_col).alias("doc_id"), clean(F.col(text_col), "spans").alias("text"))
+def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_terms: bool = True,
+              alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+    """``doc_id, text``: one row per input row, its text sanitised. A row's
+    spans meet its text by the key of its scan, never by id, so null, repeated
+    and equal ids are safe. Null texts stay null; an empty table gives an
+    empty result; other columns are not read."""
+    joined = _all_spans(docs, id_col, text_col, alpha, support, True)
+
+    def run(batches):
+        for b in batches:
+            out = [t and sanitise(t, _joined(x, y), remove_terms) for t, x, y in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
+    return map_arrow(joined.select("doc_id", "text", "base", "added"), run, "doc_id long, text string")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
