@@ -2,24 +2,23 @@
 
 Exact search: where the query side is small (its bytes are measured first)
 it is broadcast, every task keeps each query's local top-k while its items
-stream by, and only those rows are shuffled. A larger query side is cut into
-blocks, as are the items: every (query block, item block) pair meets in one
-``cogroup`` group and numpy multiplies the two blocks. A per-query window
-merges the local lists. No row-level cross join is planned and no table
-passes whole through the driver.
+stream by, and only those rows are shuffled. Beyond that a bound-pruned block
+index (``blocks``) sends items only to the slices of queries that can want
+them. A per-query window merges the local lists. No row-level cross join is
+planned and no table passes whole through the driver.
 """
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import l2_normalize
 from ..session import ship_package
+from . import blocks
 
 SEP = " [SEP] "
 
@@ -80,7 +79,6 @@ def embed_text(df: DataFrame, id_col: str, text_col: str = "text", encoder=None)
     return enc.transform(src, id_col)
 
 
-HITS = "query_id string, item_id string, score double"
 # Largest query side (vectors and excluded ids) that is broadcast.
 BROADCAST_QUERY_BYTES = 16 * 1024 * 1024
 _CELLS = 1 << 22    # scores held at once by one product
@@ -115,20 +113,6 @@ def _local_topk(qids, qm, excluded, ids, im, k: int, exclude_self: bool) -> pd.D
     return pd.DataFrame({"query_id": qids[r].astype(object), "item_id": ids[c].astype(object), "score": v.astype(float)})
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.vstack(vectors.to_numpy()).astype(np.float64)
-
-
-def _block_topk_fn(k: int, exclude_self: bool, has_exclude: bool):
-    def fn(q: pd.DataFrame, it: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or it.empty:
-            return pd.DataFrame({"query_id": pd.Series([], dtype=str), "item_id": pd.Series([], dtype=str),
-                                 "score": pd.Series([], dtype=float)})
-        return _local_topk(q["query_id"].to_numpy(), _matrix(q["qvec"]), q["exclude"].to_numpy() if has_exclude else None,
-                           it["item_id"].to_numpy().astype(object), _matrix(it["ivec"]), k, exclude_self)
-    return fn
-
-
 def _broadcast_topk(q: DataFrame, it: DataFrame, k: int, exclude_self: bool, has_exclude: bool) -> DataFrame:
     """Local top-k lists against a broadcast query side; items are not shuffled."""
     rows = q.collect()      # at most BROADCAST_QUERY_BYTES, checked by the caller
@@ -142,18 +126,18 @@ def _broadcast_topk(q: DataFrame, it: DataFrame, k: int, exclude_self: bool, has
         for b in batches:
             if b.empty:
                 continue
-            hits = _local_topk(qids, qm, excluded, b["item_id"].to_numpy().astype(object), _matrix(b["ivec"]), k, exclude_self)
+            hits = _local_topk(qids, qm, excluded, b["item_id"].to_numpy().astype(object), blocks.matrix(b["ivec"]), k, exclude_self)
             best = hits if best is None else pd.concat([best, hits], ignore_index=True).sort_values(
                 ["query_id", "score", "item_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
         if best is not None:
             yield best
-    return it.mapInPandas(run, HITS)
+    return it.mapInPandas(run, blocks.HITS)
 
 
 def exact_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str = "query_id",
                item_id: str = "item_id", query_vec: str = "embedding", item_vec: str = "embedding",
                exclude_col: str | None = None, exclude_self: bool = False,
-               block_size: int = 2048, broadcast_bytes: int = BROADCAST_QUERY_BYTES) -> DataFrame:
+               block_size: int | None = None, broadcast_bytes: int = BROADCAST_QUERY_BYTES) -> DataFrame:
     """E3 core: for every query, the k items with the largest inner product,
     descending, ties by item id; excluded ids (an array column on the query
     side) and optionally the query's own id never appear. Rows without a
@@ -170,16 +154,11 @@ def exact_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str = "qu
     if size["n"] and (size["bytes"] or 0) <= broadcast_bytes:
         local = _broadcast_topk(q.where("qvec is not null"), it, k, exclude_self, bool(exclude_col))
     else:
-        bi = max(1, math.ceil(items.count() / block_size))
-        bq = max(1, math.ceil(size["n"] / block_size))
-        # Each query row meets every item block, each item row every query block.
-        q = q.where("qvec is not null").withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(bq))).withColumn(
-            "ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bi - 1).cast("long"))))
-        it = it.withColumn("ib", F.pmod(F.xxhash64("item_id"), F.lit(bi))).withColumn(
-            "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bq - 1).cast("long"))))
-        fn = _block_topk_fn(k, exclude_self, bool(exclude_col))
-        local = q.groupBy("qb", "ib").cogroup(it.groupBy("qb", "ib")).applyInPandas(fn, HITS)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
+        q = q.where("qvec is not null")
+        if not exclude_col:
+            q = q.withColumn("exclude", F.lit(None).cast("array<string>"))
+        local = blocks.search(blocks.build(it, block_size), q, k, exclude_self)
+    w = blocks.best_first()
     return (local.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
                  .withColumnRenamed("query_id", query_id).withColumnRenamed("item_id", item_id))
 

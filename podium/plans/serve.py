@@ -16,7 +16,10 @@ fitted model's structure:
   redundancy penalty has few levels; per level the best k rows of one common
   list are enough, fetched past the rows of the user's own categories;
 * the least and greatest score come from the same two sources, CF extremes from
-  a blocked factor product.
+  a threshold search over items in descending order of their factors' length.
+
+A ranker that splits on the CF score has no such structure: its requests are
+scored against every item, in blocks.
 """
 from __future__ import annotations
 
@@ -28,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import collab, rank, retrieve
+from ..operators import blocks, collab, rank, retrieve
 from ..session import reliable_checkpoint, ship_package
 
 CATEGORY_MATCH_INDEX = rank.FEATURE_COLS.index("category_match")
@@ -91,15 +94,71 @@ def _upto(n):
     return F.explode(F.sequence(F.lit(1), n.cast("int")))
 
 
-def _cf_minmax(cf: collab.CFModel, users: DataFrame, excluded: DataFrame, pool: DataFrame, block: int = 2048) -> DataFrame:
+def _norm_ordered_ends(users: DataFrame, index: DataFrame) -> DataFrame:
+    """``user_id, lo, hi`` of the users' products with the items' factors.
+    Items come in descending length of their factors; since |p.q| <= |p| |q|, a
+    user is done when the next length cannot beat the least and greatest so
+    far. The items (checked size) go to every task, users stay where they are."""
+    rows = index.select("podcast_idx", "qi").collect()      # at most BROADCAST_ITEM_BYTES, checked by the caller
+    q = np.array([r["qi"] for r in rows], np.float64).reshape(len(rows), -1)
+    length = np.sqrt((q * q).sum(axis=1))
+    order = np.argsort(-length, kind="stable")
+    shared = users.sparkSession.sparkContext.broadcast(
+        (q[order], length[order], {rows[i]["podcast_idx"]: place for place, i in enumerate(order.tolist())}))
+
+    def run(batches):
+        q, length, place = shared.value
+        for batch in batches:
+            for i in range(0, len(batch), 1024):
+                b = batch.iloc[i:i + 1024]
+                p = np.vstack(b["pu"].to_numpy())
+                reach = np.sqrt((p * p).sum(axis=1)) * (1 + 1e-9)
+                at, gone = [], []
+                for r, ex in enumerate(b["ex"]):
+                    found = [place[x] for x in ex if x in place]
+                    at += [r] * len(found)
+                    gone += found
+                at, gone = np.array(at, np.int64), np.array(gone, np.int64)
+                lo, hi = np.full(len(b), np.inf), np.full(len(b), -np.inf)
+                rest, start, step = np.arange(len(b)), 0, 64
+                while start < len(q):
+                    top = reach[rest] * length[start]
+                    rest = rest[(top > hi[rest]) | (-top < lo[rest])]
+                    if not len(rest):
+                        break
+                    s = p[rest] @ q[start:start + step].T
+                    low = s
+                    mine = (gone >= start) & (gone < start + step) & np.isin(at, rest)
+                    if mine.any():
+                        low, row = s.copy(), np.searchsorted(rest, at[mine])
+                        s[row, gone[mine] - start], low[row, gone[mine] - start] = -np.inf, np.inf
+                    hi[rest], lo[rest] = np.maximum(hi[rest], s.max(axis=1)), np.minimum(lo[rest], low.min(axis=1))
+                    start, step = start + step, min(4096, 2 * step)
+                yield pd.DataFrame({"user_id": b["user_id"].to_numpy(), "lo": lo, "hi": hi})
+    return users.select("user_id", "pu", "ex").mapInPandas(run, "user_id string, lo double, hi double")
+
+
+def _indexed_ends(users: DataFrame, index: DataFrame) -> DataFrame:
+    """The same ends where the items are too large to send around: the best
+    item for the user's factors and for their negative, by the block index."""
+    tree = blocks.build(index.select(F.col("podcast_idx").cast("string").alias("item_id"), F.col("qi").alias("ivec")))
+    ends = None
+    for sign, name in ((-1.0, "lo"), (1.0, "hi")):
+        q = users.select(F.col("user_id").alias("query_id"), F.transform("pu", lambda x: x * F.lit(sign)).alias("qvec"),  # noqa: B023
+                         F.transform("ex", lambda x: x.cast("string")).alias("exclude"))
+        best = blocks.search(tree, q, 1).groupBy(F.col("query_id").alias("user_id")).agg((F.max("score") * F.lit(sign)).alias(name))
+        ends = best if ends is None else ends.join(best, "user_id", "full_outer")
+    return ends
+
+
+def _cf_minmax(cf: collab.CFModel, users: DataFrame, excluded: DataFrame, pool: DataFrame) -> DataFrame:
     """``user_id, clo, chi``: least and greatest CF score of each known user
-    over the items of the pool they do not exclude, by a blocked product (each
-    user block meets each item block once). Unindexed items score 0.0."""
+    over the items of the pool they do not exclude. Unindexed items score 0.0."""
     ship_package(users.sparkSession)
     zero = F.array_repeat(F.lit(0.0), cf.n_factors)
     known, items, _ = cf.scoring_tables()
     items = pool.select("podcast_id").join(items, "podcast_id", "left")
-    index = items.where("podcast_idx IS NOT NULL").select("podcast_id", "podcast_idx", F.coalesce("qi", zero).alias("qi"))
+    index = reliable_checkpoint(items.where("podcast_idx IS NOT NULL").select("podcast_id", "podcast_idx", F.coalesce("qi", zero).alias("qi")))
     n_bare = items.where("podcast_idx IS NULL").count()
     left_out = excluded.join(index.select("podcast_id", "podcast_idx"), "podcast_id", "left").groupBy("user_id").agg(
         F.collect_list("podcast_idx").alias("ex"), F.sum(F.col("podcast_idx").isNull().cast("int")).alias("bare"))
@@ -107,25 +166,8 @@ def _cf_minmax(cf: collab.CFModel, users: DataFrame, excluded: DataFrame, pool:
         "user_id", "mu", F.coalesce("pu", zero).alias("pu"), F.coalesce("ex", F.array().cast("array<int>")).alias("ex"),
         (F.lit(n_bare) - F.coalesce("bare", F.lit(0))).alias("n_bare"))
     uf = reliable_checkpoint(uf)
-    bu, bi = max(1, -(-uf.count() // block)), max(1, -(-index.count() // block))
-    q = uf.select("user_id", "pu", "ex").withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(bu)))
-    q = q.withColumn("ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bi - 1).cast("long"))))
-    it = index.select("podcast_idx", "qi").withColumn("ib", F.pmod(F.xxhash64("podcast_idx"), F.lit(bi)))
-    it = it.withColumn("ub", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bu - 1).cast("long"))))
-
-    def fn(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"user_id": pd.Series([], dtype=str), "lo": [], "hi": []})
-        s = np.vstack(a["pu"].to_numpy()) @ np.vstack(b["qi"].to_numpy()).T
-        out = np.isin(np.concatenate(a["ex"].to_list()), b["podcast_idx"].to_numpy())
-        at = np.repeat(np.arange(len(a)), [len(x) for x in a["ex"]])[out]
-        col = pd.Index(b["podcast_idx"]).get_indexer(np.concatenate(a["ex"].to_list())[out].astype(int))
-        lo, hi = s.copy(), s
-        lo[at, col], hi[at, col] = np.inf, -np.inf
-        return pd.DataFrame({"user_id": a["user_id"].to_numpy(), "lo": lo.min(axis=1), "hi": hi.max(axis=1)})
-
-    part = q.groupBy("ub", "ib").cogroup(it.groupBy("ub", "ib")).applyInPandas(fn, "user_id string, lo double, hi double")
-    ends = part.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    small = index.count() * (cf.n_factors + 4) * 8 <= collab.BROADCAST_ITEM_BYTES
+    ends = _norm_ordered_ends(uf, index) if small else _indexed_ends(uf, index)
     bare = F.when(F.col("n_bare") > 0, F.lit(0.0))
     return uf.join(ends, "user_id", "left").select(
         "user_id", F.least(F.col("mu") + F.col("lo"), bare).alias("clo"), F.greatest(F.col("mu") + F.col("hi"), bare).alias("chi"))
@@ -162,11 +204,25 @@ def _query_path(model: RecommenderModel, req: DataFrame, k: int, pool: int, lam:
     return _finish(model, ranked)
 
 
+def _every_item_path(model: RecommenderModel, req: DataFrame, k: int, lam: float, block: int = 2048) -> DataFrame:
+    """Requests against every item where the ranker splits on the CF score, so
+    that each pair has a score of its own: the stated requests meet the items
+    in blocks of about ``block`` rows."""
+    n = max(1, -(-model.items.count() // block))
+    it = model.items.withColumn("_b", F.pmod(F.xxhash64("podcast_id"), F.lit(n)).cast("int"))
+    asked = req.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_b"))
+    out = req.select("user_id", F.explode("exclude").alias("podcast_id"))
+    cand = asked.join(it, "_b").drop("_b").join(out, ["user_id", "podcast_id"], "left_anti")
+    cand = collab.score_cf(model.cf, cand.withColumn("embedding_score", F.lit(0.0)))
+    cand = reliable_checkpoint(cand.withColumn("collab_score", F.coalesce("collab_score", F.lit(0.0))))
+    return _finish(model, rank.rank_candidates(model.ranker, cand, k, lam, pos=("podcast_id",)))
+
+
 def _all_items_path(model: RecommenderModel, req: DataFrame, k: int, lam: float) -> DataFrame:
     """Requests (user_id, exclude) against every item; see the module's text."""
     rm = model.ranker
     if _uses_feature(rm, COLLAB_INDEX):
-        raise NotImplementedError("ranker splits on the CF score; pass a query or a candidate table")
+        return _every_item_path(model, req, k, lam)
     th = _split_thresholds(rm, CATEGORY_MATCH_INDEX)
     band_of = lambda s: F.size(F.filter(F.array(*[F.lit(t) for t in th]), lambda t: t < s)) if th else F.lit(0)
     band0 = sum(t < 0.0 for t in th)

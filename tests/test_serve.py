@@ -3,7 +3,7 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from podium.operators import collab, prepare, rank
+from podium.operators import blocks, collab, prepare, rank
 from podium.plans import catalog, pipeline, serve
 
 SF = "/root/testdata/sf0.001"
@@ -81,6 +81,46 @@ def test_many_and_null_categories(spark, fitted, monkeypatch, lam):
     _same(serve.recommend_batch(own, req), _brute_force(own, users, 5, lam, excluded))
 
 
+@pytest.mark.parametrize("sent", [True, False])
+def test_cf_extremes_equal_brute_force(spark, fitted, monkeypatch, sent):
+    """Items sent to every task or searched through the block index; users of
+    any taste, one who excludes all indexed items, one unknown."""
+    model, _, ds = fitted
+    monkeypatch.setattr(collab, "BROADCAST_ITEM_BYTES", 1 << 26 if sent else 0)
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 16)
+    users = ds.user_index.select("user_id").orderBy("user_id").limit(30)
+    all_out = users.orderBy("user_id").limit(1)
+    pool = model.items.select("podcast_id").unionByName(spark.createDataFrame([("not indexed",)], "podcast_id string"))
+    excluded = ds.train.join(users, "user_id", "left_semi").select("user_id", "podcast_id").unionByName(
+        all_out.crossJoin(model.items.select("podcast_id"))).distinct()
+    users = users.unionByName(spark.createDataFrame([("nobody",)], "user_id string"))
+    got = {r.user_id: (r.clo, r.chi) for r in serve._cf_minmax(model.cf, users, excluded, pool).collect()}
+    pairs = users.crossJoin(pool).join(excluded, ["user_id", "podcast_id"], "left_anti")
+    want = {r.user_id: (r.lo, r.hi) for r in collab.raw_cf_scores(model.cf, pairs).where("known_user").groupBy("user_id").agg(
+        F.min("collab_score").alias("lo"), F.max("collab_score").alias("hi")).collect()}
+    assert set(got) == set(want) and "nobody" not in got
+    for u in want:
+        assert got[u] == pytest.approx(want[u], abs=1e-9)
+
+
+def test_ranker_that_splits_on_the_cf_score(spark, fitted):
+    """Such a ranker is served as well, by scoring every pair."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import GBTRegressor
+    model, _, ds = fitted
+    rows = collab.score_cf(model.cf, ds.train.select("user_id", "podcast_id", "rating"))
+    feats = rank.derive_features(rows.join(model.items.select(*rank.ITEM_FEATURES), "podcast_id"), model.ranker.norms, model.ranker.prefs)
+    assembler = model.ranker.model.stages[0]
+    gbt = GBTRegressor(featuresCol="features", labelCol="collab_score", predictionCol="ranker_score", maxIter=3, maxDepth=3, seed=1)
+    stages = [assembler, gbt.fit(assembler.transform(feats))]
+    own = dataclasses.replace(model, ranker=dataclasses.replace(model.ranker, model=PipelineModel(stages=stages)))
+    assert serve._uses_feature(own.ranker, serve.COLLAB_INDEX)
+    users = ds.user_index.select("user_id").orderBy("user_id").limit(6)
+    excluded = ds.train.join(users, "user_id", "left_semi").select("user_id", "podcast_id").distinct()
+    req = users.join(excluded.groupBy("user_id").agg(F.collect_list("podcast_id").alias("exclude")), "user_id", "left")
+    _same(serve.recommend_batch(own, req), _brute_force(own, users, 5, 0.1, excluded))
+
+
 def test_last_request_and_own_k(spark, fitted):
     model, _, ds = fitted
     u = ds.user_index.orderBy("user_id").first()["user_id"]
