@@ -1,19 +1,20 @@
 """Popularity, rating matrix, centred truncated SVD, CF scoring and RMSE/MAE.
 
 Tables stay long (``user_idx, podcast_idx, value``). The factors come from
-MLlib's distributed SVD of the sparse user rows at every size; alternating
-least squares is a second method, taken only when asked for.
+a truncated SVD with both sides distributed (``factor``) at every size;
+alternating least squares is a second method, taken only when asked for.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dot
 from ..session import reliable_checkpoint, ship_package
+from .factor import truncated_svd
+from .sampling import uniform01
 
 
 def one_row(df: DataFrame):
@@ -84,36 +85,6 @@ def _centred_cells(train, user_index, item_index, n_items):
     return centred, means
 
 
-# Cells (12 bytes each) of one partition of the sparse user rows; their number grows with the data.
-CELLS_PER_PARTITION = 2_000_000
-
-
-def _svd_factors(centred: DataFrame, n_items: int, k: int):
-    """(user factors ``P = A V``, item factors ``Q = V``, singular values) from
-    ``IndexedRowMatrix.computeSVD`` over one sparse row per user. A user's row
-    holds at most one cell per item. Only the item-sized ``V`` is local."""
-    from pyspark.mllib.linalg import SparseVector, VectorUDT
-    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-
-    spark = centred.sparkSession
-    parts = max(1, -(-centred.count() // CELLS_PER_PARTITION))
-    sparse = F.udf(lambda cells: SparseVector(n_items, [c[0] for c in cells], [c[1] for c in cells]), VectorUDT())
-    rows = (centred.repartition(parts, "user_idx").groupBy("user_idx")
-                   .agg(F.array_sort(F.collect_list(F.struct("podcast_idx", "v"))).alias("cells"))
-                   .select(F.col("user_idx").cast("long").alias("index"), sparse("cells").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        matrix = IndexedRowMatrix(rows, numCols=n_items)
-        matrix._java_matrix_wrapper._java_model.rows().cache()     # the solver reads them once per step
-        svd = matrix.computeSVD(k, computeU=False)
-        projected = matrix.multiply(svd.V).rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-        users = reliable_checkpoint(spark.createDataFrame(projected, "user_idx int, factors array<double>"))
-    finally:
-        rows.unpersist()
-    items = spark.createDataFrame([(i, q.tolist()) for i, q in enumerate(svd.V.toArray())],
-                                  "podcast_idx int, factors array<double>")
-    return users, items, [float(x) for x in svd.s]
-
-
 def _als_factors(centred: DataFrame, k: int, seed: int):
     """(user factors, item factors, no singular values) by alternating least squares."""
     from pyspark.ml.recommendation import ALS
@@ -143,7 +114,7 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
     elif method == "als":
         users, items, s = _als_factors(centred, k, seed)
     else:
-        users, items, s = _svd_factors(centred, n_items, k)
+        users, items, s = truncated_svd(centred, "user_idx", "podcast_idx", user_index.count(), n_items, k, seed)
         k = len(s)
     return CFModel(users, items, means, user_index, item_index, popularity(train), k, s)
 
@@ -223,9 +194,11 @@ def evaluate_cf(model: CFModel, test: DataFrame) -> DataFrame:
 
 def holdout_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame, n_factors: int = 64,
                fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """C5 as a real hold-out: split the training rows at random, refit on the
-    rest and evaluate on the held-out part (the reference evaluates rows the
-    model was fitted on). One row: rmse, mae, n."""
-    fit_rows, held = train.randomSplit([1.0 - fraction, fraction], seed=seed)
+    """C5 as a real hold-out: split the training rows by a seeded hash of all
+    their columns (equal rows stay together, and a re-run task splits alike),
+    refit on the rest and evaluate on the held-out part (the reference
+    evaluates rows the model was fitted on). One row: rmse, mae, n."""
+    u = uniform01(seed, *train.columns)
+    fit_rows, held = train.where(u >= fraction), train.where(u < fraction)
     model = fit_cf(fit_rows, user_index, item_index, n_factors)
     return evaluate_cf(model, held)

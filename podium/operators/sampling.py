@@ -32,12 +32,37 @@ def weighted_sample(df: DataFrame, group: str, item: str, weight: str, n, seed:
     return keyed.withColumn(out_col, rn).where(F.col(out_col) <= n_col).drop("_key")
 
 
+#: Bits of the hash that one histogram looks at, and rows that a boundary bucket may hold before it is split further.
+_DIGIT, _SORTED_ROWS = 16, 100_000
+
+
 def downsample(df: DataFrame, n: int, key_cols, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, chosen by a seeded hash of
-    ``key_cols`` (ties broken by the keys), independent of layout: cut by a
-    distributed rank at every size, so no task holds the sample."""
+    """Exactly ``min(n, rows)`` rows, those of the smallest seeded hash
+    of ``key_cols`` (ties by the keys), independent of layout.
+
+    Radix selection: a histogram of the hash's leading bits (at most 2**16
+    rows) names the bucket in which the n-th row lies; a bucket of many rows is
+    split by the next bits. Rows below it are in, and only the bucket itself is
+    sorted, by a distributed rank, so the table is never shuffled."""
+    n = int(n)
     h = F.xxhash64(F.lit(int(seed)), *[F.col(c) for c in key_cols])
-    keyed = df.withColumn("_h", h)
-    order = [F.col("_h").asc()] + [F.col(c).asc_nulls_last() for c in key_cols]
-    ranked = global_row_number(keyed, order, out_col="_rn")
-    return ranked.where(F.col("_rn") <= n).drop("_rn", "_h")
+    bits, bound, missing, inside = 0, 0, n, F.lit(True)
+    while True:
+        bits += _DIGIT
+        digit = F.shiftright(h, 64 - bits)
+        counts = sorted((r["d"], r["n"]) for r in df.where(inside).groupBy(digit.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for bound, rows in counts:
+            if rows > missing:
+                break
+            missing -= rows
+        else:
+            return df                           # fewer rows than asked for (first histogram only)
+        inside = digit == F.lit(bound)
+        if rows <= _SORTED_ROWS or bits == 64 or missing == 0:
+            break
+    below = df.where(digit < F.lit(bound))
+    if missing == 0:
+        return below
+    order = [h.asc()] + [F.col(c).asc_nulls_last() for c in key_cols]
+    edge = global_row_number(df.where(inside), order, out_col="_rn").where(F.col("_rn") <= missing).drop("_rn")
+    return below.unionByName(edge)

@@ -136,3 +136,38 @@ def test_popularity(spark):
     train = spark.createDataFrame([("u", "a", 1.0, T0), ("v", "a", 1.0, T0), ("u", "b", 1.0, T0)], INTER)
     pop = {r.podcast_id: (r.pop_share, r.pop_score) for r in collab.popularity(train).collect()}
     assert pop["a"] == (pytest.approx(2 / 3), 1.0) and pop["b"][1] == 0.5
+
+
+def test_random_matrix_is_close_to_the_best_rank_k(spark, monkeypatch):
+    """Several blocks on both sides, packs of few cells, a popular item, gaps in the ids."""
+    from podium.operators import factor
+    monkeypatch.setattr(factor, "IDS", 400)
+    monkeypatch.setattr(factor, "CELLS", 1500)
+    rng = np.random.default_rng(8)
+    a = np.zeros((1500, 1300))
+    a[rng.integers(0, 1500, 9000), rng.integers(0, 1300, 9000)] = rng.normal(size=9000)
+    a[:, 7] = rng.normal(size=1500)
+    a += 4 * np.outer(rng.normal(size=1500), (np.arange(1300) % 97 == 0))
+    a[40:90], a[:, 100:1050] = 0.0, 0.0
+    cells = spark.createDataFrame([(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a))], "user_idx int, podcast_idx int, v double")
+    users, items, s = factor.truncated_svd(cells, "user_idx", "podcast_idx", 1500, 1300, 20)
+    P, Q = np.zeros((1500, 20)), np.zeros((1300, 20))
+    for r in users.collect():
+        P[r.user_idx] = r.factors
+    for r in items.collect():
+        Q[r.podcast_idx] = r.factors
+    exact = np.linalg.svd(a, compute_uv=False)
+    best = np.sqrt((exact[20:] ** 2).sum())
+    assert np.abs(Q.T @ Q - np.eye(20)).max() < 1e-8
+    assert np.linalg.norm(P @ Q.T - a) < 1.01 * best
+    assert np.allclose(s[:5], exact[:5], rtol=1e-3) and not P[45].any() and not Q[500].any()
+
+
+def test_holdout_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"u{rng.integers(20)}", f"p{rng.integers(12)}", float(rng.integers(1, 6)), T0) for _ in range(300)]
+    train = spark.createDataFrame(rows, INTER)
+    ui, ii = _index(spark, {r[0] for r in rows}, "user_id", "user_idx"), _index(spark, {r[1] for r in rows}, "podcast_id", "podcast_idx")
+    one = collab.holdout_cf(train.repartition(1), ui, ii, 4).first()
+    many = collab.holdout_cf(train.repartition(7, "rating"), ui, ii, 4).first()
+    assert one["n"] == many["n"] > 20 and one["rmse"] == pytest.approx(many["rmse"])
