@@ -71,13 +71,16 @@ def try_parse_timestamp(c, formats=None) -> Column:
 
 
 def local_year(c) -> Column:
-    """Year of an ISO-like string in its *own* offset (pandas keeps the offset),
-    not after conversion to UTC. Falls back to the parsed year."""
+    """Year of a date text in its *own* offset, as written, not after conversion
+    to UTC: of ISO texts the leading year, of mail-style dates (``Thu, 1 Jan
+    2026 00:30:00 +0200``) the one after the month. NULL where the text does
+    not parse."""
     s = py_strip(col_(c).cast("string"))
     iso_year = F.regexp_extract(s, r"^(\d{4})-\d{2}-\d{2}", 1)
+    mail_year = F.regexp_extract(s, r"^(?:[A-Za-z]{3},\s*)?\d{1,2}\s+[A-Za-z]{3}\s+(\d{4})\b", 1)
     parsed = try_parse_timestamp(s)
-    return F.when(parsed.isNull(), F.lit(None).cast("int")).when(
-        iso_year != "", iso_year.cast("int")).otherwise(F.year(parsed))
+    return F.when(parsed.isNull(), F.lit(None).cast("int")).when(iso_year != "", iso_year.cast("int")).when(
+        mail_year != "", mail_year.cast("int")).otherwise(F.year(parsed))
 
 
 def try_to_double(c) -> Column:

@@ -179,6 +179,16 @@ def score_cf(model: CFModel, pairs: DataFrame, bounded: bool = False) -> DataFra
     return out.drop("known_user")
 
 
+def ranked_cf(model: CFModel, pairs: DataFrame, bounded: bool = False) -> DataFrame:
+    """The scores of ``score_cf`` with ``is_new_user`` (true for a user
+    the index does not know, whose scores are popularity) and ``rank``, each
+    user's place by descending score, ties by item id."""
+    raw = raw_cf_scores(model, pairs)
+    out = minmax_by_group(raw, "collab_score", "user_id", require_spread=True, only_when=F.col("known_user"), bounded=bounded)
+    order = Window.partitionBy("user_id").orderBy(F.col("collab_score").desc(), F.col("podcast_id").asc())
+    return out.withColumn("is_new_user", ~F.col("known_user")).drop("known_user").withColumn("rank", F.row_number().over(order))
+
+
 def error_metrics(pred: DataFrame, pred_col: str = "pred", actual_col: str = "rating") -> DataFrame:
     """RMSE and MAE in one aggregate."""
     d = F.col(pred_col) - F.col(actual_col)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import instant
+from ..functions.scalar import clean_double, instant
 
 # Fixed values of the reference monitor.
 DRIFT_THRESHOLD = 0.15
@@ -111,7 +111,7 @@ def quality_profile(reference: DataFrame, current: DataFrame, numeric=None, cate
     def side(df: DataFrame, name: str) -> DataFrame:
         args = []
         for f in numeric:
-            args += [F.lit(f), F.col(f).cast("double"), F.lit(None).cast("string")]
+            args += [F.lit(f), clean_double(f), F.lit(None).cast("string")]
         for f in categorical:
             args += [F.lit(f), F.lit(None).cast("double"), F.col(f).cast("string")]
         n = len(numeric) + len(categorical)

@@ -62,12 +62,68 @@ class HashingEncoder:
         """Digest of what was learnt: equal for equal document frequencies."""
         return hashlib.sha256(self.model.stages[2].idf.toArray().tobytes()).hexdigest()[:16]
 
+    def save(self, path: str) -> None:
+        """Keeps the fitted encoder (``load_hashing_encoder`` reads it back)."""
+        self.model.write().overwrite().save(path)
+
     def transform(self, df: DataFrame, id_col: str) -> DataFrame:
         from pyspark.ml.functions import vector_to_array
         out = self.model.transform(df)
         return out.select(id_col, vector_to_array("_vec", "float32").alias("embedding"))
 
 
+def load_hashing_encoder(path: str) -> HashingEncoder:
+    from pyspark.ml import PipelineModel
+    model = PipelineModel.load(path)
+    enc = HashingEncoder(dim=model.stages[1].getNumFeatures(), min_doc_freq=model.stages[2].getMinDocFreq())
+    enc.model = model
+    return enc
+
+
+_LOADED: dict[str, object] = {}     # the encoders of this Python worker
+
+
+def worker_encoder(name: str, load):
+    """The encoder ``name`` of this Python worker, loaded when first asked for;
+    it stays for the worker's later tasks."""
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
+
+
+def first_tokens(text: str | None, limit: int) -> str:
+    """At most ``limit`` blank-separated tokens from the start of a text."""
+    return " ".join((text or "").split(None, limit)[:limit])
+
+
+class WorkerEncoder:
+    """An encoder that lives in the Python workers: ``load()`` gives a function
+    from a list of texts to a matrix of vectors. It is called once per worker,
+    the function with up to ``batch`` texts at a time, each cut to its first
+    ``max_tokens`` tokens. Vectors are L2-normalised; a zero vector stays.
+    ``name`` tells one model from another."""
+
+    model = "worker"                # nothing is left to fit
+
+    def __init__(self, name: str, load, batch: int = 64, max_tokens: int = 256):
+        self.name, self.load, self.batch, self.max_tokens = name, load, batch, max_tokens
+
+    def transform(self, df: DataFrame, id_col: str) -> DataFrame:
+        ship_package(df.sparkSession)
+        name, load, size, limit = self.name, self.load, self.batch, self.max_tokens
+
+        def run(batches):
+            encode = worker_encoder(name, load)
+            for b in batches:
+                vectors = []
+                for i in range(0, len(b), size):
+                    m = np.asarray(encode([first_tokens(t, limit) for t in b["text"].iloc[i:i + size]]), np.float64)
+                    length = np.sqrt((m * m).sum(axis=1, keepdims=True))
+                    vectors += list((m / np.where(length > 0, length, 1.0)).astype(np.float32))
+                yield pd.DataFrame({id_col: b[id_col], "embedding": vectors})
+        return df.select(id_col, "text").mapInPandas(run, f"`{id_col}` {dict(df.dtypes)[id_col]}, embedding array<float>")
+
+
 def embed_text(df: DataFrame, id_col: str, text_col: str = "text", encoder=None) -> DataFrame:
     """``(id, embedding array<float>)``, L2-normalised. ``encoder`` is any
     object with ``fit(df[text])`` and ``transform(df, id_col)``; the default is
@@ -188,6 +244,26 @@ def similar_items(item_vectors: DataFrame, k: int, item_id: str = "item_id",
                        "score", "rank")
 
 
+def similar_by_text(items: DataFrame, item_vectors: DataFrame, encoder, requested: DataFrame, k: int) -> DataFrame:
+    """E4, request form: for each requested ``podcast_id`` the k items nearest
+    to its own title, category and description as a query text, itself left
+    out. ``(podcast_id, status, similar_id, title, category, score, rank)``;
+    an id that is not among the items is answered by one row with status
+    ``unknown``, a known one without any neighbour by one row ``none``."""
+    if not 1 <= k <= 50:
+        raise ValueError("k must be in [1, 50]")
+    asked = requested.select("podcast_id").where("podcast_id is not null").distinct()
+    texts = similar_item_text(items).dropDuplicates(["podcast_id"]).join(asked, "podcast_id")
+    vectors = embed_text(texts, "podcast_id", encoder=encoder).select(F.col("podcast_id").alias("query_id"), "embedding")
+    hits = exact_topk(vectors, item_vectors.withColumnRenamed("podcast_id", "item_id"), k, exclude_self=True)
+    meta = items.select(F.col("podcast_id").alias("similar_id"), "title", "category")
+    found = hits.select(F.col("query_id").alias("podcast_id"), F.col("item_id").alias("similar_id"), "score", "rank").join(
+        meta, "similar_id", "left")
+    status = F.when(F.col("known").isNull(), "unknown").when(F.col("similar_id").isNull(), "none").otherwise("ok")
+    return asked.join(texts.select("podcast_id", F.lit(True).alias("known")), "podcast_id", "left").join(
+        found, "podcast_id", "left").select("podcast_id", status.alias("status"), "similar_id", "title", "category", "score", "rank")
+
+
 def label_centroids(vectors: DataFrame, group: str = "category", vec: str = "embedding") -> DataFrame:
     """Unit-norm mean vector per group: a query vector per category. The sum
     of arrays is a per-dimension aggregate (posexplode + groupBy), so a hot

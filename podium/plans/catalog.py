@@ -100,7 +100,7 @@ _CACHE: dict = {}
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Prepared(spark, sf_dir)
     return _CACHE[key]
@@ -478,7 +478,7 @@ _MODELS: dict = {}
 def fitted(spark, d):
     """Fitted pipeline for one sf_dir, built once per session."""
     from . import pipeline
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)
     if key not in _MODELS:
         p = prepared(spark, d)
         ds = prepare.Dataset(p.items, p.active, p.train, p.test, p.user_index, p.item_index)
@@ -528,6 +528,14 @@ def q_run_leaderboard(spark, d):
     model, metrics = fitted(spark, d)
     path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
     pipeline.append_run(pipeline.run_record(spark, model.params, metrics), path)
+    p = prepared(spark, d)
+    for days in (30, 90, 365):                  # runs of the popularity baseline, over less and less recent train rows
+        since = p.train.agg(F.max("timestamp") - F.expr(f"interval {days} days")).first()[0]
+        seen = p.train.where(F.col("timestamp") >= F.lit(since))
+        scored = p.test.join(collab.popularity(seen).select("podcast_id", F.col("pop_score").alias("score")), "podcast_id", "left")
+        ndcg = rank.ndcg_at_k(scored.fillna(0.0, ["score"]), TOP_K, score="score", rating="rating").first()["ndcg"]
+        pipeline.append_run(pipeline.run_record(spark, {"model": "popularity", "days": days}, {
+            **metrics, "ndcg_at_10": float(ndcg), "cf_rmse": 0.0, "cf_mae": 0.0, "n_train_interactions": seen.count()}), path)
     return pipeline.leaderboard(spark.read.parquet(path))
 
 
@@ -722,8 +730,11 @@ def q_online_drift(spark, d):
     ref, _ = _windows(spark, d)
     edges = online.reference_edges(ref, ["value", "k"])
     landed = spark.read.parquet(src).select("ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
-    landed.write.mode("overwrite").parquet(base + "/features")
-    q = online.start_online_drift(spark, base + "/features", landed.schema, edges, base + "/sink", base + "/ckpt")
+    ends = landed.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0]
+    wave = sum((F.col("ts") > F.lit(e)).cast("int") for e in ends)
+    for i in range(len(ends) + 1):              # files in time order, one micro-batch each
+        landed.where(wave == i).coalesce(1).write.mode("append").parquet(base + "/features")
+    q = online.start_online_drift(spark, base + "/features", landed.schema, edges, base + "/sink", base + "/ckpt", max_files=1)
     q.awaitTermination()
     counts = online.latest_counts(spark, base + "/sink")
     psi = online.window_psi(online.reference_counts(ref, edges), counts)
@@ -731,24 +742,47 @@ def q_online_drift(spark, d):
                       F.col("n_current").cast("long"))
 
 
-def q_feed_landing(spark, d):
-    """Two landing waves of JSONL feed records (the second re-scrapes the
-    odd blocks later) streamed into the log; current payload per feed."""
+def _merged_feeds(spark, waves):
+    """Landing waves of feed records streamed into the current feed table, a micro-batch each."""
     import uuid
     from ..session import scratch_path
-    from ..streaming import online
+    from ..streaming import landing
     base = scratch_path(spark, f"feed-landing-{uuid.uuid4().hex}")
-    rec = views.feed_records(spark, d).drop("_line")
-    rec.write.mode("overwrite").json(base + "/landing/wave1")
-    odd = F.pmod(F.try_element_at(F.split("feed_url", "/"), F.lit(-1)).cast("long"), F.lit(2)) == 1
-    rec.where(odd).withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z")) \
-       .write.mode("overwrite").json(base + "/landing/wave2")
-    q = online.start_feed_landing(spark, base + "/landing/*", ingest.RAW_FEED_SCHEMA, base + "/log", base + "/ckpt")
-    q.awaitTermination()
-    cur = online.current_payloads(spark, base + "/log")
+    table = landing.FeedTable(spark, base + "/table")
+    for i, wave in enumerate(waves):
+        wave.write.mode("overwrite").json(base + f"/landing/wave{i}")
+        landing.start_feed_merge(table, base + "/landing/*", base + "/ckpt").awaitTermination()
+    return table
+
+
+def _odd_feed():
+    return F.pmod(F.try_element_at(F.split("feed_url", "/"), F.lit(-1)).cast("long"), F.lit(2)) == 1
+
+
+def q_feed_landing(spark, d):
+    """Two landing waves of JSONL feed records (the second re-scrapes the
+    odd blocks later) streamed into the feed table; current payload per feed."""
+    rec = views.feed_records(spark, d).drop("_line").withColumn("status", F.lit(200))
+    again = rec.where(_odd_feed()).withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z"))
+    cur = _merged_feeds(spark, [rec, again]).payloads()
     return cur.select("feed_url", "last_scraped_at", F.size("entries").alias("n_entries"))
 
 
+def q_feed_merge_stream(spark, d):
+    """X2/T7 as a stream: all feeds land; then the odd blocks answer 200, the
+    even ones 304; then every feed fails. Payload and state per feed."""
+    rec = views.feed_records(spark, d).drop("_line")
+    state = views.feed_state(rec, F.when(_odd_feed(), 200).otherwise(304)).select("feed_url", "status", F.col("etag").alias("_e"),
+                                                                                     F.col("last_modified").alias("_m"))
+    first = rec.join(views.feed_state(rec).select("feed_url", F.col("etag").alias("_e"), F.col("last_modified").alias("_m")), "feed_url")
+    tagged = lambda df: df.withColumns({"etag": F.col("_e"), "last_modified": F.col("_m")}).drop("_e", "_m")
+    second = tagged(rec.withColumn("last_scraped_at", F.lit("2024-02-02T00:00:00Z")).join(state, "feed_url"))
+    second = second.withColumn("entries", F.when(F.col("status") == 200, F.col("entries")))
+    failed = rec.select("feed_url", F.lit("2024-02-03T00:00:00Z").alias("last_scraped_at"), F.lit(503).alias("status"))
+    table = _merged_feeds(spark, [tagged(first).withColumn("status", F.lit(200)), second, failed])
+    return table.payloads().select("feed_url", "last_scraped_at", F.size("entries").alias("n_entries")).join(table.state(), "feed_url", "left")
+
+
 SQL_QUERIES.update({"drift_share": q_drift_share, "dataset_drift": q_dataset_drift})
 ROWS_QUERIES.update({"weighted_sample": q_weighted_sample, "downsample": q_downsample,
                      "online_drift": q_online_drift, "feed_landing": q_feed_landing})
@@ -760,16 +794,33 @@ from ..sources import io as sio  # noqa: E402
 
 def q_csv_scan(spark, d):
     """The canonical tables written as CSV to the shared folder and
-    read back through the source dispatch ('csv')."""
+    read back through the source dispatch ('csv'); the interactions."""
     import uuid
     from ..session import scratch_path
     base = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
-    views.items(spark, d).write.option("header", True).csv(base + "/items")
-    views.interactions(spark, d).write.option("header", True).csv(base + "/interactions")
+    sio.write_csv(views.items(spark, d), base + "/items")
+    sio.write_csv(views.interactions(spark, d), base + "/interactions")
     _, inter = sio.load_source(spark, "csv", base + "/items", base + "/interactions")
     return _rows_out(inter)
 
 
+def q_csv_items(spark, d):
+    """S3: the items side of the CSV round trip, with texts of documents (line
+    ends, quotes, commas) as descriptions."""
+    import uuid
+    from ..session import scratch_path
+    base = scratch_path(spark, f"csv-items-{uuid.uuid4().hex}")
+    docs = views.table(spark, d, "documents")
+    made = docs.select(F.col("doc_id").cast("string").alias("podcast_id"), F.concat(F.lit('say "'), "lang", F.lit('", '), "source").alias("title"),
+                       F.col("text").alias("description"), F.col("source").alias("category"), F.lit(45).alias("avg_duration_min"),
+                       F.col("n_chars").alias("total_episodes"), F.col("n_chars").cast("double").alias("play_count"),
+                       F.lit(2024).alias("release_year"))
+    sio.write_csv(made, base + "/items")
+    items = sio.read_items_csv(spark, base + "/items")
+    return items.select("podcast_id", "title", F.sha2(F.translate("description", "\r", ""), 256).alias("description_sha"), "category",
+                        "avg_duration_min", "total_episodes", r6("play_count").alias("play_count"), "release_year")
+
+
 def q_extract_summary(spark, d):
     """Scrape counters plus the normalised output row counts."""
     raw = views.feed_records(spark, d)
@@ -777,17 +828,37 @@ def q_extract_summary(spark, d):
     return ingest.extract_summary(summ, ingest.feeds_to_items(raw, RUN_TS), ingest.feeds_to_interactions(raw, RUN_TS))
 
 
-def q_embedding_cache(spark, d):
-    """Item texts embedded through the cache twice (second run encodes
-    nothing new); the vectors of every item."""
+def _cached_vectors(spark, d):
+    """Item texts in two landings through the vector store: the encoder is
+    frozen on the first half, the second encodes only what is new."""
     import uuid
     from ..session import scratch_path
-    path = scratch_path(spark, f"emb-cache-{uuid.uuid4().hex}")
+    from ..sources.store import VectorStore
+    store = VectorStore(spark, scratch_path(spark, f"vector-store-{uuid.uuid4().hex}"), retrieve.load_hashing_encoder,
+                        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = retrieve.item_text(prepared(spark, d).items)
-    enc = retrieve.HashingEncoder(dim=QUERY_PARAMS["encoder_dim"])
-    name = f"hashing-{enc.dim}"
-    sio.cached_embeddings(texts, path, enc, name, spark).count()
-    return sio.cached_embeddings(texts, path, enc, name, spark)
+    half = texts.where(F.col("podcast_id").cast("long") % 2 == 0)
+    store.freeze("first", retrieve.HashingEncoder(dim=QUERY_PARAMS["encoder_dim"]), half)
+    store.embed(half, "first")
+    return store, texts
+
+
+def q_embedding_cache(spark, d):
+    """The vectors of every item from the store."""
+    store, texts = _cached_vectors(spark, d)
+    return store.embed(texts, "first")
+
+
+def q_embedding_cache_checks(spark, d):
+    """Items and texts, texts left to encode after the first landing and
+    after the second, vectors kept."""
+    store, texts = _cached_vectors(spark, d)
+    count = lambda df, name: df.agg(F.lit(name).alias("metric"), F.count(F.lit(1)).alias("value"))
+    new = count(store.missing(texts, "first"), "texts_new").collect()
+    got = store.embed(texts, "first")
+    rows = spark.createDataFrame([tuple(r) for r in new], "metric string, value long")
+    return rows.unionByName(count(got, "items")).unionByName(count(store.missing(texts, "first"), "texts_left")).unionByName(
+        count(store.vectors("first"), "vectors"))
 
 
 def q_latest_report(spark, d):
@@ -813,7 +884,54 @@ def q_cf_holdout(spark, d):
     return collab.holdout_cf(p.train, p.user_index, p.item_index, QUERY_PARAMS["n_factors"])
 
 
-SQL_QUERIES.update({"csv_scan": q_csv_scan, "extract_summary": q_extract_summary})
+def q_review_summary(spark, d):
+    """A18, review form: rows read from the review table and rows made of them."""
+    rv = views.reviews(spark, d)
+    return ingest.review_summary(rv, ingest.reviews_to_items(rv, RUN_TS), ingest.reviews_to_interactions(rv, RUN_TS))
+
+
+def q_prepare(spark, d):
+    """The prepare stage that later queries read: rows of each of its tables."""
+    p = prepared(spark, d)
+    out = None
+    for name, df in (("items", p.items), ("active", p.active), ("train", p.train), ("test", p.test),
+                     ("users", p.user_index), ("podcasts", p.item_index)):
+        row = df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_similar_by_text(spark, d):
+    """E4, request form: the items of the latest month of the test rows are
+    asked for, and one id that does not exist."""
+    model, _ = fitted(spark, d)
+    last = prepared(spark, d).test
+    month = last.agg(F.max(F.date_trunc("month", "timestamp"))).first()[0]
+    asked = last.where(F.col("timestamp") >= F.lit(month)).select("podcast_id").unionByName(
+        spark.createDataFrame([("no such item",)], "podcast_id string"))
+    return retrieve.similar_by_text(model.items, model.item_vectors, model.encoder, asked, 5)
+
+
+def q_cf_ranked(spark, d):
+    """Scores of every (user, test item) candidate with place and new-user flag."""
+    model, _ = fitted(spark, d)
+    return collab.ranked_cf(model.cf, _test_candidates(prepared(spark, d)))
+
+
+def q_cf_ranked_checks(spark, d):
+    """Per user of cf_ranked: rows, highest rank, rows out of order, flags set."""
+    from pyspark.sql import Window
+    before = F.lag("collab_score").over(Window.partitionBy("user_id").orderBy("rank"))
+    rows = q_cf_ranked(spark, d).withColumn("wrong", (before < F.col("collab_score")).cast("long"))
+    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("rank").cast("long").alias("top_rank"),
+                                       F.coalesce(F.sum("wrong"), F.lit(0)).alias("n_wrong"),
+                                       F.sum(F.col("is_new_user").cast("long")).alias("n_new"))
+
+
+SQL_QUERIES.update({"csv_scan": q_csv_scan, "csv_items": q_csv_items, "extract_summary": q_extract_summary, "prepare": q_prepare,
+                    "review_summary": q_review_summary, "feed_merge_stream": q_feed_merge_stream,
+                    "embedding_cache_checks": q_embedding_cache_checks, "cf_ranked_checks": q_cf_ranked_checks})
+ROWS_QUERIES.update({"similar_by_text": q_similar_by_text, "cf_ranked": q_cf_ranked})
 ROWS_QUERIES.update({"embedding_cache": q_embedding_cache, "latest_report": q_latest_report,
                      "cf_holdout": q_cf_holdout})
 

@@ -529,3 +529,35 @@ SQL["request_rejects"] = """SELECT * FROM (
          CAST(c_custkey % 60 AS INTEGER) AS k,
          CASE WHEN c_custkey % 7 = 0 THEN 'empty user_id' WHEN c_custkey % 60 NOT BETWEEN 1 AND 50 THEN 'k out of range' END AS reject_reason
   FROM customer) WHERE reject_reason IS NOT NULL"""
+
+SQL["csv_items"] = """
+SELECT CAST(doc_id AS VARCHAR) AS podcast_id, 'say "' || lang || '", ' || source AS title,
+       sha256(replace(text, chr(13), '')) AS description_sha, source AS category, CAST(45 AS INTEGER) AS avg_duration_min,
+       CAST(n_chars AS BIGINT) AS total_episodes, round(CAST(n_chars AS DOUBLE), 6) AS play_count, CAST(2024 AS INTEGER) AS release_year
+FROM documents"""
+
+SQL["prepare"] = f"""WITH {PREP}
+SELECT 'items' AS name, count(*) AS n_rows FROM part
+UNION ALL SELECT 'active', count(*) FROM active
+UNION ALL SELECT 'train', count(*) FROM train
+UNION ALL SELECT 'test', count(*) FROM test
+UNION ALL SELECT 'users', count(DISTINCT user_id) FROM active
+UNION ALL SELECT 'podcasts', count(DISTINCT podcast_id) FROM active"""
+
+SQL["review_summary"] = f"""
+SELECT 'rows_reviews' AS metric, (SELECT count(*) FROM documents) AS value
+UNION ALL SELECT 'n_podcasts', count(*) FROM ({SQL["reviews_to_items"]}) i
+UNION ALL SELECT 'n_interactions', count(*) FROM ({SQL["reviews_to_interactions"]}) x"""
+
+SQL["feed_merge_stream"] = SQL["feed_state_merge"]
+
+SQL["cf_ranked_checks"] = f"""WITH {PREP}
+SELECT user_id, count(*) AS n_rows, count(*) AS top_rank, CAST(0 AS BIGINT) AS n_wrong, CAST(0 AS BIGINT) AS n_new
+FROM cand GROUP BY user_id"""
+
+SQL["embedding_cache_checks"] = f"""WITH texts AS ({SQL["item_text"]}),
+first AS (SELECT DISTINCT text FROM texts WHERE CAST(podcast_id AS BIGINT) % 2 = 0)
+SELECT 'texts_new' AS metric, count(DISTINCT text) AS value FROM texts WHERE text NOT IN (SELECT text FROM first)
+UNION ALL SELECT 'items', count(*) FROM texts
+UNION ALL SELECT 'texts_left', 0
+UNION ALL SELECT 'vectors', count(DISTINCT text) FROM texts"""

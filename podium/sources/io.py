@@ -27,6 +27,13 @@ SOURCES = ("synthetic", "csv", "rss", "kaggle")
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A table as CSV that ``load_source`` reads back as it was: quotes inside
+    a field are doubled, blanks around it kept."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Columns by header name in any order (a missing one is NULL), cast to the
     declared types; quoted newlines and doubled quotes belong to their field."""
@@ -121,10 +128,11 @@ def cached_embeddings(texts: DataFrame, cache_path: str | None, encoder, encoder
             cache = spark.read.parquet(cache_path)
     key = ["podcast_id", "text_sha", "encoder"]
     todo = keyed if cache is None else keyed.join(cache.select(*key), key, "left_anti")
-    fresh = embed_text(todo, "podcast_id", encoder=encoder).join(
-        todo.select("podcast_id", "text_sha", "encoder"), "podcast_id")
+    # rows that repeat id and text are one, rows that repeat an id alone are told apart by their text
+    todo = todo.dropDuplicates(key).withColumn("_key", F.struct("podcast_id", "text_sha"))
+    fresh = embed_text(todo, "_key", encoder=encoder).select("_key.*", F.lit(encoder_key).alias("encoder"), "embedding")
     if cache_path:
         fresh.write.mode("append").parquet(cache_path)
         cache = spark.read.parquet(cache_path)
         return keyed.join(cache, key, "inner").select("podcast_id", "embedding")
-    return fresh.select("podcast_id", "embedding")
+    return keyed.join(fresh, key).select("podcast_id", "embedding")

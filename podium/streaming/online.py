@@ -18,6 +18,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import clean_double, try_parse_timestamp
 from ..operators import monitor
 
 
@@ -57,13 +58,19 @@ def reference_counts(reference: DataFrame, edges: dict, bins: int = monitor.PSI_
 def start_online_drift(spark: SparkSession, source_dir: str, schema, edges: dict, sink_dir: str,
                        checkpoint: str, ts_col: str = "ts", window: str = "7 days",
                        watermark: str = "1 day", bins: int = monitor.PSI_BINS,
-                       available_now: bool = True):
-    """Start the X1 stream; returns the StreamingQuery."""
+                       available_now: bool = True, max_files: int | None = None):
+    """Start the X1 stream; returns the StreamingQuery. ``max_files`` bounds the
+    files of one micro-batch. A row older than the watermark that earlier
+    batches set is dropped (``late_values`` counts it); NaN counts as missing,
+    as in the batch form."""
     feats = list(edges)
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.parquet(source_dir)
     args = []
     for f in feats:
-        args += [F.lit(f), F.col(f).cast("double")]
+        args += [F.lit(f), clean_double(f)]
     long = stream.select(F.col(ts_col).cast("timestamp").alias("ts"),
                          F.stack(F.lit(len(feats)), *args).alias("feature", "value")).where(F.col("value").isNotNull())
     counts = (long.withColumn("bin", _bin_expr(edges, bins))
@@ -81,6 +88,11 @@ def start_online_drift(spark: SparkSession, source_dir: str, schema, edges: dict
     return w.start()
 
 
+def late_values(query) -> int:
+    """How many (window, feature, bin) updates a finished query dropped as older than its watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def latest_counts(spark: SparkSession, sink_dir: str) -> DataFrame:
     """Current cumulative count per (window, feature, bin): the update from the
     latest batch that touched it (update mode emits running totals)."""
@@ -119,7 +131,7 @@ def start_feed_landing(spark: SparkSession, landing_dir: str, schema, log_dir: s
 
 
 def current_payloads(spark: SparkSession, log_dir: str) -> DataFrame:
-    """Latest landed record per feed URL (by scrape time, then batch)."""
+    """Latest landed record per feed URL (by scrape time as an instant, then batch)."""
     log = spark.read.parquet(log_dir)
-    w = Window.partitionBy("feed_url").orderBy(F.col("last_scraped_at").desc(), F.col("batch_id").desc())
+    w = Window.partitionBy("feed_url").orderBy(try_parse_timestamp(F.col("last_scraped_at")).desc_nulls_last(), F.col("batch_id").desc())
     return log.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "batch_id")

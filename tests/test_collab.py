@@ -171,3 +171,16 @@ def test_holdout_does_not_depend_on_partitions(spark):
     one = collab.holdout_cf(train.repartition(1), ui, ii, 4).first()
     many = collab.holdout_cf(train.repartition(7, "rating"), ui, ii, 4).first()
     assert one["n"] == many["n"] > 20 and one["rmse"] == pytest.approx(many["rmse"])
+
+
+def test_ranked_scores_and_new_users(spark):
+    cf, _ = _fit_small(spark)
+    pairs = spark.createDataFrame([(u, p) for u in ("u1", "u4", "ghost") for p in ("a", "b", "c", "zzz")], "user_id string, podcast_id string")
+    rows = {}
+    for r in collab.ranked_cf(cf, pairs).collect():
+        rows.setdefault(r.user_id, []).append(r)
+    plain = {(r.user_id, r.podcast_id): r.collab_score for r in collab.score_cf(cf, pairs).collect()}
+    for u, rs in rows.items():
+        rs.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in rs] == [1, 2, 3, 4] and {r.is_new_user for r in rs} == {u == "ghost"}
+        assert [(-r.collab_score, r.podcast_id) for r in rs] == sorted((-plain[u, r.podcast_id], r.podcast_id) for r in rs)

@@ -89,3 +89,16 @@ def test_cache_does_not_mix_fits_of_the_encoder(spark, tmp_dir):
     cached = {r.podcast_id: r.embedding for r in io.cached_embeddings(more, path, retrieve.HashingEncoder(dim=32), "h", spark).collect()}
     fresh = {r.podcast_id: r.embedding for r in io.cached_embeddings(more, None, retrieve.HashingEncoder(dim=32), "h", spark).collect()}
     assert cached == fresh and len(cached) == 4
+
+
+def test_written_csv_comes_back_as_it_was(spark, tmp_dir):
+    rows = [("p1", 'say "hi", now', " a\nb ", "c,d", 30, 5, 10.0, 2020), ("p2", '"', "x", None, None, None, None, None)]
+    io.write_csv(spark.createDataFrame(rows, io.ITEMS_SCHEMA), tmp_dir + "/items")
+    assert sorted(tuple(r) for r in io.read_items_csv(spark, tmp_dir + "/items").collect()) == sorted(rows)
+
+
+def test_cache_keeps_one_row_per_repeated_id(spark, tmp_dir):
+    texts = spark.createDataFrame([("a", "red"), ("a", "blue"), ("a", "red"), ("b", "red")], "podcast_id string, text string")
+    enc = retrieve.HashingEncoder(dim=8)
+    got = io.cached_embeddings(texts, tmp_dir + "/c", enc, "h", spark).collect()
+    assert len(got) == 4 and spark.read.parquet(tmp_dir + "/c").count() == 3

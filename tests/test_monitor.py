@@ -106,3 +106,10 @@ def test_window_bounds_reach_the_scan(spark, tmp_dir):
         for side, n in ((ref, 30 * 24), (cur, 7 * 24 + 1)):
             plan = side._jdf.queryExecution().executedPlan().toString()
             assert "GreaterThanOrEqual(ts" in plan and side.count() == n
+
+
+def test_quality_profile_counts_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    r = monitor.quality_profile(df, df, ["v"], []).where("side = 'current'").first()
+    assert (r.n_rows, r.n_null, r.n_distinct, r.min_value, r.max_value, r.mean_value) == (4, 2, 2, 1.0, 2.0, 1.5)
+    assert r.std_value == pytest.approx(0.5 ** 0.5)
