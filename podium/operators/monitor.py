@@ -57,8 +57,13 @@ def psi(reference: DataFrame, current: DataFrame, features=None, bins: int = PSI
     1e-6; ``psi = |sum((c - r) * ln(c / r))|``. An empty current side gives NULL."""
     feats = features or [c for c in numeric_columns(reference) if c in current.columns]
     feats = [f for f in feats if f in reference.columns and f in current.columns]
-    ref = unpivot(reference, feats).withColumn("side", F.lit("r"))
-    cur = unpivot(current, feats).withColumn("side", F.lit("c"))
+    one = F.lit(1).cast("long")
+    return psi_of_values(unpivot(reference, feats).withColumn("n", one), unpivot(current, feats).withColumn("n", one), bins)
+
+
+def psi_of_values(reference: DataFrame, current: DataFrame, bins: int = PSI_BINS) -> DataFrame:
+    """``psi`` of two tables ``feature, value, n`` (n: how often the value occurs)."""
+    ref, cur = reference.withColumn("side", F.lit("r")), current.withColumn("side", F.lit("c"))
     rng = ref.groupBy("feature").agg(F.min("value").alias("lo0"), F.max("value").alias("hi0"))
     widen = F.when(F.col("lo0") != 0, F.abs(F.col("lo0")) * 0.001).otherwise(F.lit(0.001))
     rng = rng.select(
@@ -69,8 +74,8 @@ def psi(reference: DataFrame, current: DataFrame, features=None, bins: int = PSI
     both = ref.unionByName(cur)
     # The range table has one row per feature: a broadcast of bounded size.
     binned = both.join(F.broadcast(rng), "feature").withColumn("bin", _edges_expr(bins))
-    counts = binned.groupBy("feature", "bin").agg(F.count_if(F.col("side") == "r").alias("rc"),
-                                                  F.count_if(F.col("side") == "c").alias("cc"))
+    times = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n"))), F.lit(0))
+    counts = binned.groupBy("feature", "bin").agg(times("r").alias("rc"), times("c").alias("cc"))
     spine = rng.select("feature", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     # totals come from the bin counts: one row per feature and bin
     whole = Window.partitionBy("feature")

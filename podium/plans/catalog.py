@@ -116,8 +116,19 @@ def q_seed_list(spark, d):
     """S1 over every line of every document: trimmed, blank and '#' lines dropped."""
     docs = views.table(spark, d, "documents").select("doc_id", "text")
     lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "raw"))
-    out = lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), py_strip("raw").alias("line"))
-    return out.where((F.col("line") != "") & ~F.col("line").startswith("#"))
+    out = ingest.seed_lines(lines.withColumn("line_no", F.col("line_no").cast("long")), "raw", keep=["doc_id", "line_no"])
+    return out.withColumnRenamed("url", "line")
+
+
+def q_seed_file(spark, d):
+    """A seed list written as a text file and loaded."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"seeds-{uuid.uuid4().hex}")
+    feeds = views.feed_records(spark, d).select(F.concat(F.lit("  "), "feed_url", F.lit("\t")).alias("value"))
+    notes = feeds.select(F.concat(F.lit(" # "), "value").alias("value"))
+    feeds.unionByName(notes).unionByName(feeds.limit(1).select(F.lit("   ").alias("value"))).write.text(path)
+    return ingest.load_seed_feeds(spark, path)
 
 
 def q_parquet_scan(spark, d):
@@ -422,11 +433,8 @@ def q_should_retrain(spark, d):
 # ---------------------------------------------------------------- windows over other tables
 def q_dedup_first(spark, d):
     """First row per key in order (first turn of each conversation)."""
-    from pyspark.sql import Window
-    c = views.table(spark, d, "conversations")
-    w = Window.partitionBy("conv_id").orderBy(F.col("turn").asc(), F.col("role").asc(), F.col("text").asc())
-    return c.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn") \
-            .select("conv_id", "turn", "role", "text")
+    c = views.table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return ingest._first_by_line(c, ["conv_id"], ["turn", "role", "text"]).select("conv_id", "turn", "role", "text")
 
 
 SQL_QUERIES = {
@@ -884,6 +892,99 @@ def q_cf_holdout(spark, d):
     return collab.holdout_cf(p.train, p.user_index, p.item_index, QUERY_PARAMS["n_factors"])
 
 
+def _drift_state(spark, d):
+    """(day-wise state written to the shared folder, raw rows, bounds)."""
+    import uuid
+    from ..operators import daily
+    from ..session import scratch_path
+    path = scratch_path(spark, f"daily-{uuid.uuid4().hex}")
+    f = views.drift_frame(spark, d)
+    daily.write_days(daily.day_counts(f, "ts", ["value", "k"], ["event_type"]), path)
+    return spark.read.parquet(path), f, daily.labelled_windows(f, "ts")
+
+
+def _state_windows(spark, d):
+    from ..operators import daily
+    state, f, (ref, cur) = _drift_state(spark, d)
+    of = lambda a, b: daily.window_counts(state, f, "ts", ["value", "k"], ["event_type"], a, b)
+    return of(ref, cur), of(cur, None)
+
+
+def q_quality_profile_daily(spark, d):
+    """D4 and D7 from the day-wise state."""
+    from ..operators import daily
+    ref, cur = _state_windows(spark, d)
+    q = daily.profile(ref, "reference", ["value", "k"]).unionByName(daily.profile(cur, "current", ["value", "k"]))
+    return q.select("side", "feature", F.col("n_rows").cast("long"), F.col("n_null").cast("long"), F.col("n_distinct").cast("long"),
+                    r6("min_value").alias("min_value"), r6("max_value").alias("max_value"), r6("mean_value").alias("mean_value"),
+                    r6("std_value").alias("std_value"))
+
+
+def q_psi_daily(spark, d):
+    """D1 from the day-wise state."""
+    from ..operators import daily
+    p = daily.psi(*_state_windows(spark, d), ["value", "k"])
+    return p.select("feature", r6("psi").alias("psi"), "n_reference", "n_current")
+
+
+def q_interactions_by_month(spark, d):
+    """Interactions written in month folders and read back for the
+    months in which an item was sold for the first time (folders pruned at run time)."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"months-{uuid.uuid4().hex}")
+    inter = views.interactions(spark, d)
+    sio.write_interactions(inter, path)
+    first = inter.groupBy("podcast_id").agg(F.date_format(F.min("timestamp"), "yyyy-MM").alias("month"))
+    months = first.groupBy("month").agg(F.count(F.lit(1)).alias("n_first")).where("n_first > 1")
+    rows = spark.read.parquet(path).join(F.broadcast(months), "month")     # one row per month
+    return rows.groupBy("month", "n_first").agg(F.count(F.lit(1)).alias("n_rows"), r6(F.sum("rating")).alias("ratings"))
+
+
+def q_vector_lookup(spark, d):
+    """A key-sorted vector table; the vector of its greatest id by a pushed filter."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"vectors-{uuid.uuid4().hex}")
+    v = views.vectors(spark, d)
+    sio.write_table(v, path, sort_by=["item_id"])
+    last = v.agg(F.max("item_id")).first()[0]
+    hit = retrieve.embedding_of(spark.read.parquet(path), last, "item_id")
+    return hit.select("item_id", F.size("embedding").alias("dim"), F.round(F.aggregate(
+        "embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"))
+
+
+def q_landed_clean(spark, d):
+    """S2, ``_clean``: raw feed records with fields nobody declared land through
+    the variant type, are written as JSON lines and read back; per feed what is left."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"clean-{uuid.uuid4().hex}")
+    rec = views.feed_records(spark, d).drop("_line")
+    many = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: i)
+    raw = rec.select(F.to_json(F.struct(
+        "feed_url", "last_scraped_at", "etag", "entries", F.struct(
+            "feed.title", many.alias("numbers"), F.struct("feed_url", F.lit(1).alias("n")).alias("image"), F.size("entries").alias("count")).alias("feed"),
+        F.lit(True).alias("bozo"))).alias("value"))
+    ingest.landed_json(ingest.clean_landed(raw)).write.text(path)
+    back = ingest.clean_landed(spark.read.text(path))
+    of = lambda key, kind: F.expr(f"variant_get(feed['{key}'], '$', '{kind}')")
+    return back.select("feed_url", "last_scraped_at", F.size("entries").alias("n_entries"), of("title", "string").alias("title"),
+                       F.array_join(of("numbers", "array<string>"), ",").alias("numbers"), of("image", "string").alias("image"),
+                       of("count", "int").alias("count"), F.expr("variant_get(other['bozo'], '$', 'boolean')").alias("bozo"))
+
+
+def q_load_dataset(spark, d):
+    """T4: validation, active users, ids and split by one call; rows of each part."""
+    ds = prepare.load_dataset(views.items(spark, d), views.interactions(spark, d), TEST_SIZE, MIN_INTERACTIONS)
+    out = None
+    for name, df in (("items", ds.items), ("active", ds.interactions), ("train", ds.train), ("test", ds.test),
+                     ("users", ds.user_index), ("podcasts", ds.item_index)):
+        row = df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def q_review_summary(spark, d):
     """A18, review form: rows read from the review table and rows made of them."""
     rv = views.reviews(spark, d)
@@ -929,7 +1030,9 @@ def q_cf_ranked_checks(spark, d):
 
 
 SQL_QUERIES.update({"csv_scan": q_csv_scan, "csv_items": q_csv_items, "extract_summary": q_extract_summary, "prepare": q_prepare,
-                    "review_summary": q_review_summary, "feed_merge_stream": q_feed_merge_stream,
+                    "review_summary": q_review_summary, "quality_profile_daily": q_quality_profile_daily, "psi_daily": q_psi_daily,
+                    "interactions_by_month": q_interactions_by_month, "vector_lookup": q_vector_lookup,
+                    "landed_clean": q_landed_clean, "load_dataset": q_load_dataset, "seed_file": q_seed_file, "feed_merge_stream": q_feed_merge_stream,
                     "embedding_cache_checks": q_embedding_cache_checks, "cf_ranked_checks": q_cf_ranked_checks})
 ROWS_QUERIES.update({"similar_by_text": q_similar_by_text, "cf_ranked": q_cf_ranked})
 ROWS_QUERIES.update({"embedding_cache": q_embedding_cache, "latest_report": q_latest_report,

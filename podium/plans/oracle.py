@@ -561,3 +561,26 @@ SELECT 'texts_new' AS metric, count(DISTINCT text) AS value FROM texts WHERE tex
 UNION ALL SELECT 'items', count(*) FROM texts
 UNION ALL SELECT 'texts_left', 0
 UNION ALL SELECT 'vectors', count(DISTINCT text) FROM texts"""
+
+SQL["quality_profile_daily"] = SQL["quality_profile"]
+SQL["psi_daily"] = SQL["psi_drift"]
+SQL["load_dataset"] = SQL["prepare"]
+
+SQL["interactions_by_month"] = f"""WITH {INTER},
+first AS (SELECT podcast_id, strftime(min(ts), '%Y-%m') AS month FROM inter GROUP BY podcast_id),
+months AS (SELECT month, count(*) AS n_first FROM first GROUP BY month HAVING count(*) > 1)
+SELECT month, n_first, count(*) AS n_rows, round(sum(rating), 6) AS ratings
+FROM inter JOIN months ON strftime(ts, '%Y-%m') = month GROUP BY month, n_first"""
+
+SQL["vector_lookup"] = """
+SELECT CAST(vec_id AS VARCHAR) AS item_id, CAST(len(embedding) AS INTEGER) AS dim,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total
+FROM embeddings WHERE CAST(vec_id AS VARCHAR) = (SELECT max(CAST(vec_id AS VARCHAR)) FROM embeddings)"""
+
+SQL["seed_file"] = _FEEDS + """
+SELECT DISTINCT feed_url AS url FROM fd"""
+
+SQL["landed_clean"] = _FEEDS + """
+SELECT feed_url, '2024-02-01T00:00:00Z' AS last_scraped_at, CAST(count(*) AS INTEGER) AS n_entries, source AS title, '1,2,3,4,5' AS numbers,
+       '{"feed_url":"' || feed_url || '","n":1}' AS image, CAST(count(*) AS INTEGER) AS count, true AS bozo
+FROM fe GROUP BY feed_url, source"""

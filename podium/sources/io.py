@@ -86,14 +86,28 @@ def load_source(spark: SparkSession, source: str, items_path: str | None = None,
     return read_items_csv(spark, items_path), read_interactions_csv(spark, interactions_path)
 
 
-def write_table(df: DataFrame, path: str, partition_by=None) -> None:
-    """Parquet sink (overwrite); interactions may be partitioned by date."""
+def write_table(df: DataFrame, path: str, partition_by=None, sort_by=None, row_group_bytes: int | None = None) -> None:
+    """Parquet sink (overwrite). ``partition_by`` columns become folders, so
+    a filter or a join on them reads only the folders that can match;
+    ``sort_by`` orders the rows of each file, so that a point lookup skips the
+    row groups whose key range leaves it out. Rows are dealt by ranges of both,
+    so a hot partition value is spread over several files, not one task."""
+    by, sort = list(partition_by or []), list(sort_by or [])
+    if by or sort:
+        df = df.repartitionByRange(*[F.col(c) for c in by + sort]).sortWithinPartitions(*by, *sort)
     w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
+    if by:
+        w = w.partitionBy(*by)
     w.parquet(path)
 
 
+def write_interactions(inter: DataFrame, path: str) -> None:
+    """The interactions table in month folders, each file sorted by user and time."""
+    write_table(inter.withColumn("month", F.date_format("timestamp", "yyyy-MM")), path, ["month"], ["user_id", "timestamp"])
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A one-row report as a single JSON file (the frame is one row by
     construction, so one task writes it)."""

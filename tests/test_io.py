@@ -102,3 +102,43 @@ def test_cache_keeps_one_row_per_repeated_id(spark, tmp_dir):
     enc = retrieve.HashingEncoder(dim=8)
     got = io.cached_embeddings(texts, tmp_dir + "/c", enc, "h", spark).collect()
     assert len(got) == 4 and spark.read.parquet(tmp_dir + "/c").count() == 3
+
+
+def _times(n):
+    return [dt.datetime(2024, 1 + i % 6, 1 + i % 27, i % 24) for i in range(n)]
+
+
+def test_month_folders_are_pruned_at_run_time(spark, tmp_dir):
+    inter = spark.createDataFrame([(f"u{i % 9}", f"p{i % 5}", 1.0, t) for i, t in enumerate(_times(400))],
+                                  "user_id string, podcast_id string, rating double, timestamp timestamp")
+    io.write_interactions(inter, tmp_dir + "/i")
+    back = spark.read.parquet(tmp_dir + "/i")
+    assert back.count() == 400 and {f for f in os.listdir(tmp_dir + "/i") if "=" in f} == {f"month=2024-0{m}" for m in range(1, 7)}
+    months = spark.createDataFrame([("2024-02", 1), ("2024-03", 7)], "month string, keep int")
+    months.write.parquet(tmp_dir + "/m")
+    rows = back.join(F.broadcast(spark.read.parquet(tmp_dir + "/m").where("keep > 5")), "month")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert rows.count() == sum(t.month == 3 for t in _times(400))
+    one = back.where("month = '2024-04' and user_id = 'u3'")
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in text and "EqualTo(user_id,u3)" in text
+
+
+def test_key_sorted_table_skips_row_groups(spark, tmp_dir):
+    """Each file's row groups cover disjoint key ranges, so a lookup opens one of them."""
+    import pyarrow.parquet as pq
+    v = spark.range(20_000).select(F.format_string("k%06d", "id").alias("podcast_id"), F.array(*[F.rand(i) for i in range(8)]).alias("embedding"))
+    io.write_table(v, tmp_dir + "/v", sort_by=["podcast_id"], row_group_bytes=64 * 1024)
+    ranges = []
+    for f in os.listdir(tmp_dir + "/v"):
+        if f.endswith(".parquet"):
+            meta = pq.ParquetFile(os.path.join(tmp_dir, "v", f)).metadata
+            for g in range(meta.num_row_groups):
+                st = meta.row_group(g).column(0).statistics
+                ranges.append((st.min, st.max))
+    ranges.sort()
+    assert len(ranges) > 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    hit = retrieve.embedding_of(spark.read.parquet(tmp_dir + "/v"), "k012345")
+    assert "EqualTo(podcast_id,k012345)" in hit._jdf.queryExecution().executedPlan().toString() and hit.count() == 1
+    assert retrieve.embedding_of(spark.read.parquet(tmp_dir + "/v"), "nobody").count() == 0
