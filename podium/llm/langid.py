@@ -20,11 +20,8 @@ from .common import documents, map_arrow, mix64, passes, span_hashes, text_buffe
 
 #: Labelled rows per language that the classifier is fitted on: those with the smallest hash of their id.
 TRAIN_ROWS = 3000
-#: Slices of a language's ids when those rows are picked.
-SLICES = 256
-#: Most frequent words and n-grams (of each length) kept per language.
-MODEL_WORDS = 20000
-MODEL_GRAMS = 8000
+#: Bits of the id hash that one histogram of a language looks at, and rows that the last bucket may hold.
+DIGIT, EDGE_ROWS = 12, 4096
 GRAMS = (4, 3, 2, 1)
 SMOOTHING = 0.1
 _EDGE = np.uint32(0x2E)
@@ -111,11 +108,53 @@ def _count(langs, col):
     return out
 
 
+def _training_rows(label: DataFrame, train_rows: int) -> DataFrame:
+    """``_sid, _lang`` of each language's ``train_rows`` ids with the smallest
+    hash, from ``_id, _lang``. A histogram of the hash's leading bits names the
+    bucket in which the last of them lies; a full one is split by the next
+    bits. Rows below it are in, and only the bucket itself is ranked, so no
+    task holds the ids of a language."""
+    spark = label.sparkSession
+    rows = label.withColumn("_h", F.xxhash64("_id"))
+    bits, inside, edges = 0, rows.withColumn("_missing", F.lit(train_rows)), {}
+    while True:
+        bits += DIGIT
+        prefix = F.shiftright("_h", 64 - bits)
+        counts = inside.groupBy("_lang", prefix.alias("d")).agg(F.count(F.lit(1)).alias("n"), F.first("_missing").alias("missing"))
+        upto = F.sum("n").over(Window.partitionBy("_lang").orderBy("d"))       # at most 2**DIGIT rows a language
+        found = counts.withColumn("upto", upto).where((F.col("upto") > F.col("missing")) & (F.col("upto") - F.col("n") <= F.col("missing")))
+        found = found.select("_lang", "d", "n", (F.col("missing") - F.col("upto") + F.col("n")).alias("left")).collect()    # a row per language
+        edges = {r["_lang"]: (r["d"], r["left"]) for r in found}
+        if not edges:
+            return rows.select(F.col("_id").cast("string").alias("_sid"), "_lang").distinct()   # no language has more (first round only)
+        bound = spark.createDataFrame([(k, d, m) for k, (d, m) in edges.items()], "_lang string, _d long, _missing long")
+        marked = rows.join(F.broadcast(bound), "_lang", "left")
+        if max(r["n"] for r in found) <= EDGE_ROWS or bits + DIGIT > 64:
+            break
+        inside = marked.where(prefix == F.col("_d"))
+    below = marked.where(F.col("_d").isNull() | (prefix < F.col("_d"))).select("_id", "_lang").distinct()
+    edge = marked.where(prefix == F.col("_d")).select("_id", "_lang", "_h", "_missing").distinct()
+    edge = edge.withColumn("_r", F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_id"))).where(F.col("_r") <= F.col("_missing"))
+    return below.unionByName(edge.select("_id", "_lang")).select(F.col("_id").cast("string").alias("_sid"), "_lang")
+
+
+def _table(part, langs: list[str]):
+    """(keys, first entry of each key, language and value of each entry, value
+    of a language without entry): values are log frequencies less that default,
+    so the table grows with what was counted, not with keys x languages."""
+    part = part.sort_values(["u", "lang"], kind="stable")
+    keys, first = np.unique(part["u"].to_numpy(), return_index=True)
+    lang = part["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int32)
+    c = part["c"].to_numpy(np.float64)
+    total = np.bincount(lang, weights=c, minlength=len(langs)) + SMOOTHING * max(1, len(keys))
+    default = np.log(SMOOTHING / total)
+    return keys, np.append(first, len(part)), lang, np.log((c + SMOOTHING) / total[lang]) - default[lang], default
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         train_rows: int = TRAIN_ROWS) -> dict:
     """The model: a bounded sample of labelled rows per language (whole texts),
-    counted by Spark; the most frequent words and n-grams of each language come
-    to the driver, at most (MODEL_WORDS + 4 x MODEL_GRAMS) per language.
+    counted by Spark; every word and n-gram counted in it comes to the driver.
 
     Rows without language or id are not learned from, nor are the held-out
     ones (crc32 of the id as text is 2 modulo 4).
@@ -123,14 +162,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     idx = F.col(id_col).cast("string")
     label = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang")).where(
         F.col("_lang").isNotNull() & (F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(4)) != 2))
-    # first within slices of a language, so that the last cut sees at most SLICES x train_rows ids
-    order = (F.xxhash64("_id"), F.col("_id"))
-    sliced = Window.partitionBy("_lang", F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(SLICES))).orderBy(*order)
-    label = label.withColumn("_r", F.row_number().over(sliced)).where(F.col("_r") <= train_rows).drop("_r")
-    chosen = label.withColumn("_r", F.row_number().over(Window.partitionBy("_lang").orderBy(*order))).where(
-        F.col("_r") <= train_rows).select(F.col("_id").cast("string").alias("_sid"), "_lang").distinct()
     text = docs.select(idx.alias("_sid"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
-    sample = text.join(F.broadcast(chosen), ["_sid", "_lang"], "left_semi").select("_lang", "_text")
+    chosen = F.broadcast(_training_rows(label, train_rows))             # train_rows ids a language
+    sample = text.join(chosen, ["_sid", "_lang"], "left_semi").select("_lang", "_text")
 
     def run(batches):
         for b in batches:
@@ -141,32 +175,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     yield pa.RecordBatch.from_arrays([
                         pa.array([name] * len(u), pa.string()), pa.array(np.full(len(u), kind, np.int32)),
                         pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "kind", "h", "c"])
-    counts = map_arrow(sample, run, "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(
-        F.sum("c").alias("c"))
-    top = Window.partitionBy("lang", "kind").orderBy(F.col("c").desc(), "h")
-    most = F.when(F.col("kind") == 0, MODEL_WORDS).otherwise(MODEL_GRAMS)
-    # a bounded number of rows: langs x (words + 4 x grams)
-    rows = counts.withColumn("_r", F.row_number().over(top)).where(
-        (F.col("_r") <= max(MODEL_WORDS, MODEL_GRAMS)) & (F.col("_r") <= most)).drop("_r").toPandas()
+    rows = map_arrow(sample, run, "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(
+        F.sum("c").alias("c")).toPandas()       # what at most train_rows texts a language hold
+    rows["u"] = rows["h"].to_numpy(np.int64).view(np.uint64)
     langs = sorted(rows["lang"].unique())
-    tables = {}
-    for kind in (0, *GRAMS):
-        part = rows[rows["kind"] == kind]
-        keys, at = np.unique(part["h"].to_numpy().view(np.uint64), return_inverse=True)
-        m = np.zeros((len(keys), len(langs)))
-        m[at, part["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int)] = part["c"].to_numpy()
-        total = m.sum(axis=0) + SMOOTHING * max(1, len(keys))
-        tables[kind] = (keys, np.log((m + SMOOTHING) / total))
-    return {"langs": langs, "tables": tables}
+    return {"langs": langs, "tables": {kind: _table(rows[rows["kind"] == kind], langs) for kind in (0, *GRAMS)}}
 
 
 def _look(table, h):
-    keys, logs = table
+    """(which hashes are known, log frequency of those in each language)."""
+    keys, first, lang, value, default = table
     if not len(keys):
-        return np.zeros(len(h), bool), np.zeros((0, logs.shape[1]))
+        return np.zeros(len(h), bool), np.zeros((0, len(default)))
     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
     hit = keys[at] == h
-    return hit, logs[at[hit]]
+    at = at[hit]
+    logs = np.tile(default, (len(at), 1))
+    n = first[at + 1] - first[at]
+    entry = np.arange(int(n.sum())) + np.repeat(first[at] - (np.cumsum(n) - n), n)
+    logs[np.repeat(np.arange(len(at)), n), lang[entry]] += value[entry]
+    return hit, logs
 
 
 def _score_words(model, points, starts, ends, h):

@@ -1,0 +1,98 @@
+"""Null and repeated ids that hold most rows, and language models without caps."""
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from podium.llm import langid, mix, shard
+
+
+def hot(spark, n=4000, same=True):
+    """Three quarters of the rows share a null id, some of them their text as well."""
+    key = F.when(F.col("id") % 4 == 0, F.col("id"))
+    text = F.when(F.lit(same) & (F.col("id") % 4 == 1), F.lit("equal words here")).otherwise(F.concat(F.lit("words of "), F.col("id")))
+    return spark.range(0, n, 1, 8).select(key.alias("doc_id"), text.alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"))
+
+
+def test_shard_spreads_null_ids(spark):
+    df = hot(spark)
+    rows = shard.shard(df).collect()
+    null = [r for r in rows if r.doc_id is None]
+    assert len(rows) == 4000 and len({r.shard for r in null}) == 1
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    blocks = shard.SALTS
+    salted = df.where("doc_id is null").select(F.pmod(F.xxhash64(F.lit(-1).cast("long"), F.crc32(F.col("text").cast("binary")), F.pmod(
+        F.monotonically_increasing_id(), F.lit(blocks))), F.lit(32)).alias("b")).groupBy("b").count().agg(F.max("count")).first()[0]
+    assert salted < 3000 / 32 * 2
+
+
+def test_mix_spreads_null_ids_and_reruns_agree(spark):
+    df = hot(spark, same=False)
+    one, two = (sorted((r.doc_id or -1, r.size, r.taken) for r in mix.mix(d).collect()) for d in (df, df.repartition(3)))
+    assert one == two and len(one) == 4000
+    total = sum(size for _, size, _ in one)
+    assert abs(sum(t for *_, t in one) - total) <= 4
+
+
+@pytest.mark.parametrize("rows, edge", [(50, 4096), (50, 3), (5000, 3)])
+def test_training_rows_are_those_of_the_smallest_hash(spark, monkeypatch, rows, edge):
+    monkeypatch.setattr(langid, "EDGE_ROWS", edge)
+    label = spark.range(3000).select(F.col("id").alias("_id"), F.when(F.col("id") % 10 == 0, "de").otherwise("en").alias("_lang"))
+    label = label.unionByName(label.where("_id = 11").crossJoin(spark.range(500).select()))        # one id, many rows
+    got = {(r["_lang"], int(r["_sid"])) for r in langid._training_rows(label, rows).collect()}
+    ids = label.distinct().withColumn("h", F.xxhash64("_id")).collect()
+    for lang in ("de", "en"):
+        want = [r["_id"] for r in sorted((r for r in ids if r["_lang"] == lang), key=lambda r: (r["h"], r["_id"]))]
+        mine = {i for k, i in got if k == lang}
+        assert mine <= set(want) and len(mine) <= rows
+        assert mine == set(want[:len(mine)]) and len(mine) >= min(rows, len(want)) - (500 if 11 in mine else 0)
+
+
+def test_language_scores_against_plain_python(spark):
+    """The whole model and every score recomputed word by word."""
+    words = {"en": ["the", "house", "river", "stone"], "de": ["das", "haus", "fluss", "stein"], "fr": ["la", "maison", "pierre", "fleuve"]}
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(words[lang], 12)), lang) for i in range(90) for lang in [sorted(words)[i % 3]]]
+    rows += [(200, "unseen steinhaus rivers", None), (201, "MAISON la", None), (202, "12 !", None), (203, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    import zlib
+    train = [(t, lang) for i, t, lang in rows if lang and t and zlib.crc32(str(i).encode()) % 4 != 2]
+    langs = sorted({lang for _, lang in train})
+    counts = {k: {lang: {} for lang in langs} for k in (0, 4, 3, 2, 1)}
+
+    def pieces(w, n):
+        laid = "." + w + "."
+        return list(w) if n == 1 else [laid[i:i + n] for i in range(len(laid) - n + 1)]
+    for t, lang in train:
+        for w in t.split():
+            counts[0][lang][w] = counts[0][lang].get(w, 0) + 1
+            for n in (4, 3, 2, 1):
+                for g in pieces(w, n):
+                    counts[n][lang][g] = counts[n][lang].get(g, 0) + 1
+
+    def log(kind, key):
+        vocabulary = set().union(*counts[kind].values())
+        if key not in vocabulary:
+            return None
+        return np.array([np.log((counts[kind][a].get(key, 0) + langid.SMOOTHING) / (sum(counts[kind][a].values()) + langid.SMOOTHING * len(vocabulary)))
+                         for a in langs])
+
+    def score(w):
+        known = log(0, w)
+        for n in (4, 3, 2, 1):
+            if known is None:
+                found = [x for x in (log(n, g) for g in pieces(w, n)) if x is not None]
+                known = sum(found) / len(found) if found else None
+        return np.zeros(len(langs)) if known is None else known
+    for r in langid.identify(df, model).collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        ws = [w for w in (text or "").lower().split() if w.isalpha()]
+        if not ws:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        sums = sum(score(w) for w in ws)
+        assert r.lang_pred == langs[int(np.argmax(sums))]
+        assert r.score == pytest.approx(1 / np.exp(sums - sums.max()).sum(), rel=1e-9)
