@@ -53,13 +53,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Size is the number of words (null text: 0); ``taken`` = size x copies. A
     row of size 0 is never taken. The shuffle key is a hash of seed and id, so
-    reruns agree; rows repeating an id queue next to each other by size. An
+    reruns agree (null ids: of the text); rows repeating an id queue next to each other by size. An
     empty table, or one without words, takes nothing.
     """
     spark = docs.sparkSession
     n = tasks(spark)
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    # rows without an id queue by their text, so that they are no single key
+    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("-:"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+    key = F.md5(F.concat(F.lit(seed + ":"), own))
     rows = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
                                    words.alias("size"),
                                    F.conv(F.substring(key, 1, 15), 16, 10).cast("long").alias("k")), "mix-sizes")

@@ -7,14 +7,16 @@ decimal(38,0), which holds its products exactly under ANSI arithmetic.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, tasks
+from .common import documents, materialize, tasks
 
 SHARDS = 40
 #: Bytes a row costs beside its text.
 ROW_BYTES = 16
+#: Blocks that equal rows of one id are spread over.
+SALTS = 64
 # Multiplier of the published jump hash, and 2**64.
 _MULTIPLIER = "2862933555777941757"
 _WORD = "18446744073709551616"
@@ -45,32 +47,31 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
 
     ``law`` is ``key``: id and shard count alone decide the shard;
     ``grown_shard`` is the shard with one more. ``slot`` numbers a shard's rows
-    from 0 without gaps, by (block, id, crc). Size: UTF-8 bytes (null: none)
-    plus 16. Rows repeating an id share its shard and get their own slots; null
-    ids share one shard. An empty table gives an empty result.
+    from 0 without gaps. Size: UTF-8 bytes of the text (null: none) plus 16.
+    Rows repeating an id share its shard and get their own slots; null ids
+    share one shard. An empty table gives an empty result.
 
-    Slots need no shard in one task: rows of a shard are numbered inside hash
-    blocks and moved up by the counts of the blocks before.
+    Slots need no shard in one task: rows of a shard are numbered inside
+    blocks and moved up by the counts of the blocks before. A block is a hash
+    of id, text and a salt, so neither one id nor one text fills a block.
     """
-    blocks = 4 * tasks(docs.sparkSession)
+    spark = docs.sparkSession
+    blocks = 4 * tasks(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long"))
     body = F.coalesce(F.col(text_col), F.lit(""))
-
-    def placed(*more: Column) -> DataFrame:
-        return docs.select(F.col(id_col).cast("long").alias("doc_id"), *more, jump_walk(key, shards).alias("_w"),
-                           F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block"))
-
-    rows = placed((F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
-                  F.crc32(body.cast("binary")).alias("text_crc32")).select(
+    crc = F.crc32(body.cast("binary"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
+                       crc.alias("text_crc32"), jump_walk(key, shards).alias("_w"),
+                       F.pmod(F.xxhash64(key, crc, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))), F.lit(blocks)).cast("int").alias("_block"))
+    rows = materialize(rows.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("_w.b").cast("int").alias("shard"),
-        F.when(F.col("_w.j") == shards, F.lit(shards)).otherwise(F.col("_w.b")).cast("int").alias("grown_shard"), "_block")
-    counts = placed().groupBy(F.col("_w.b").cast("int").alias("shard"), "_block").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
+        F.when(F.col("_w.j") == shards, F.lit(shards)).otherwise(F.col("_w.b")).cast("int").alias("grown_shard"), "_block"), "shard-rows")
+    counts = rows.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     # shards x blocks rows at most, whatever the input
     offsets = counts.select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("shard", "_block").orderBy("doc_id", "text_crc32", "size")
-    return rows.withColumn("_i", F.row_number().over(inside)).join(offsets, ["shard", "_block"]).select(
+    return rows.withColumn("_i", F.row_number().over(inside)).join(F.broadcast(offsets), ["shard", "_block"]).select(
         "doc_id", "size", "text_crc32", "law", "shard",
         (F.col("_before") + F.col("_i") - 1).cast("long").alias("slot"), "grown_shard")
 
