@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, mix64, passes, span_hashes, text_buffers
+from .common import documents, map_arrow, materialize, mix64, passes, span_hashes, text_buffers
 
 #: Labelled rows per language that the classifier is fitted on: those with the smallest hash of their id.
 TRAIN_ROWS = 3000
@@ -138,17 +138,16 @@ def _training_rows(label: DataFrame, train_rows: int) -> DataFrame:
     return below.unionByName(edge.select("_id", "_lang")).select(F.col("_id").cast("string").alias("_sid"), "_lang")
 
 
-def _table(part, langs: list[str]):
+def _table(lang: np.ndarray, h: np.ndarray, c: np.ndarray, langs: int):
     """(keys, first entry of each key, language and value of each entry, value
     of a language without entry): values are log frequencies less that default,
     so the table grows with what was counted, not with keys x languages."""
-    part = part.sort_values(["u", "lang"], kind="stable")
-    keys, first = np.unique(part["u"].to_numpy(), return_index=True)
-    lang = part["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int32)
-    c = part["c"].to_numpy(np.float64)
-    total = np.bincount(lang, weights=c, minlength=len(langs)) + SMOOTHING * max(1, len(keys))
+    order = np.lexsort((lang, h))
+    lang, h, c = lang[order], h[order], c[order].astype(np.float64)
+    keys, first = np.unique(h, return_index=True)
+    total = np.bincount(lang, weights=c, minlength=langs) + SMOOTHING * max(1, len(keys))
     default = np.log(SMOOTHING / total)
-    return keys, np.append(first, len(part)), lang, np.log((c + SMOOTHING) / total[lang]) - default[lang], default
+    return keys, np.append(first, len(h)), lang, np.log((c + SMOOTHING) / total[lang]) - default[lang], default
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -175,11 +174,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     yield pa.RecordBatch.from_arrays([
                         pa.array([name] * len(u), pa.string()), pa.array(np.full(len(u), kind, np.int32)),
                         pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "kind", "h", "c"])
-    rows = map_arrow(sample, run, "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(
-        F.sum("c").alias("c")).toPandas()       # what at most train_rows texts a language hold
-    rows["u"] = rows["h"].to_numpy(np.int64).view(np.uint64)
-    langs = sorted(rows["lang"].unique())
-    return {"langs": langs, "tables": {kind: _table(rows[rows["kind"] == kind], langs) for kind in (0, *GRAMS)}}
+    counts = materialize(map_arrow(sample, run, "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(
+        F.sum("c").alias("c")), "langid-counts")
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    number = F.coalesce(*[F.when(F.col("lang") == name, F.lit(i)) for i, name in enumerate(langs)], F.lit(0)).cast("int")
+    tables = {}
+    for kind in (0, *GRAMS):                    # what at most train_rows texts a language hold, 16 bytes an entry
+        rows = counts.where(F.col("kind") == kind).select(number.alias("lang"), "h", F.col("c").cast("int").alias("c")).toArrow()
+        lang, h, c = (rows[name].to_numpy() for name in ("lang", "h", "c"))
+        tables[kind] = _table(lang, h.view(np.uint64), c, len(langs))
+    return {"langs": langs, "tables": tables}
 
 
 def _look(table, h):
