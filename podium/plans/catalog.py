@@ -543,7 +543,7 @@ def q_run_leaderboard(spark, d):
         scored = p.test.join(collab.popularity(seen).select("podcast_id", F.col("pop_score").alias("score")), "podcast_id", "left")
         ndcg = rank.ndcg_at_k(scored.fillna(0.0, ["score"]), TOP_K, score="score", rating="rating").first()["ndcg"]
         pipeline.append_run(pipeline.run_record(spark, {"model": "popularity", "days": days}, {
-            **metrics, "ndcg_at_10": float(ndcg), "cf_rmse": 0.0, "cf_mae": 0.0, "n_train_interactions": seen.count()}), path)
+            **metrics, "ndcg_at_10": float(ndcg), "cf_rmse": None, "cf_mae": None, "n_train_interactions": seen.count()}), path)
     return pipeline.leaderboard(spark.read.parquet(path))
 
 
