@@ -1,16 +1,23 @@
 """Stupid-backoff language-model scores over the corpus' own n-gram counts.
 
 A document is scored by the counts of all *other* documents (its own n-grams
-are taken out), so novelty shows as backoff: for a word w after v,
-S = c(v w) / c(v) if the bigram is left, else ALPHA x c(w) / N if the word is,
-else ALPHA**2 / (N + 1).
-
-The count tables are relations partitioned by n-gram hash, but shipped in
-blocks: a chunk of documents asks each hash range for its distinct n-grams in
-one row (a sorted array), a range merges all the rows it gets and answers each
-with the corpus counts in the same order, and the chunk scores its documents.
-So an n-gram costs a few bytes per chunk instead of a shuffled row per token,
-and a frequent one costs no more than a rare one.
+are taken out), so novelty shows as backoff: with K = min(n, place) and L the
+counts left, a word is scored by the longest n-gram ending there that others
+hold too, of k words, S = ALPHA**(K - k) x L(n-gram) / L(n-gram without its
+last word), for k = 1 by ALPHA**(K - 1) x L(word) / N, and by
+ALPHA**K / (N + 1) where others do not hold the word either.
+
+Everything is a relation. Documents are exploded to (text key, n-gram, own
+count) rows; a count table per order is grouped by n-gram hash and joined back
+to them. Whoever holds an n-gram also holds its parts, so a log score is a sum
+of one term per n-gram that is left:
+
+    log L(g) - log L(g without last) - log L(g without first)
+             + log L(g without both) - log ALPHA
+
+which is added up per document without bringing the words back in order. An
+n-gram of one document only is never left, so the count tables keep the others
+alone; each row of a table carries the counts of the n-gram's parts.
 """
 from __future__ import annotations
 
@@ -18,157 +25,196 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
-from .common import documents, hashed_words, map_arrow, mix64, text_buffers
+from .common import documents, hashed_words, map_arrow, materialize, mix64, passes, text_buffers
 
 ALPHA = 0.4
-#: UTF-8 bytes of text in a chunk, on average; the number of chunks follows the corpus.
-CHUNK_BYTES = 10 << 20
+ORDER = 2
+#: Hash slices of the n-grams of two words and more. One slice is on disk at a
+#: time; each reads the texts again. All slices together are all n-grams.
+SLICES = 3
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of an array, all first bytes first, so that the shuffle's codec meets runs."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes()
+def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Two 64-bit numbers per text, from 128 bits of its content."""
+    raw = memoryview(np.ascontiguousarray(data))
+    out = b"".join(xxhash.xxh3_128_digest(raw[a:z]) for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
+    return np.frombuffer(out, np.int64).reshape(-1, 2)
 
 
-def _unplanes(raw: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).ravel()
-
-
-def _deltas(sorted_hashes: np.ndarray) -> bytes:
-    return _planes(np.diff(sorted_hashes, prepend=np.uint64(0)))
-
-
-def _undeltas(raw: bytes) -> np.ndarray:
-    return np.cumsum(_unplanes(raw, np.uint64), dtype=np.uint64)
-
-
-def _ngrams(col):
-    """Word hashes, rows and bigram hashes of a chunk (a bigram belongs to its
-    second word; the first word of a row has none)."""
-    data, offsets = text_buffers(col)
-    h, row = hashed_words(data, offsets) if len(data) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    inner = np.zeros(len(h), bool)
-    inner[1:] = row[1:] == row[:-1]
-    at = np.flatnonzero(inner)
-    two = mix64(h[at - 1] * np.uint64(0x9E3779B97F4A7C15) + h[at] + np.uint64(1))
-    return h, row, at, two
-
-
-def corpus_size(docs: DataFrame, text_col: str) -> tuple[int, int]:
-    """(UTF-8 bytes, words) of the corpus."""
-    from .common import words_by_pass
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, k1, k2, n_words`` per row."""
+    def run(batches):
+        for b in batches:
+            data, offsets = text_buffers(b.column(1))
+            keys, n = _keys(data, offsets), np.zeros(b.num_rows, np.int64)
+            for i, j in passes(offsets):
+                row = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[1]
+                n[i:j] = np.bincount(row, minlength=j - i)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(n)],
+                                             ["doc_id", "k1", "k2", "n_words"])
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col), run,
+                     "doc_id long, k1 long, k2 long, n_words long")
+
+
+def _own(row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first occurrence of each (row, id), count of its own (row, id) for every occurrence)."""
+    _, back = np.unique(ids, return_inverse=True)
+    _, first, inv, n = np.unique(row * np.int64(len(ids) + 1) + back, return_index=True, return_inverse=True, return_counts=True)
+    return first, n[inv]
+
+
+def grams(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str = "text", parts_of: bool = True) -> DataFrame:
+    """Exploded n-grams of k words: one row per different text of a batch and
+    different n-gram in it. ``copies`` is how often the batch holds the text,
+    ``own`` how often the text holds the n-gram; ``head`` and ``tail`` are the
+    hashes of it without its last and first word (k = 1: ``tail`` is the word
+    and ``head`` 0). With ``parts_of`` also the own counts of head, tail and
+    middle. Only n-grams whose hash falls into slice ``part`` of ``parts``."""
+    names = ["k1", "k2", "head", "tail", "own", "copies"] + (["own_head", "own_tail", "own_mid"] if parts_of else [])
 
     def run(batches):
         for b in batches:
-            n = sum(len(h) for _, _, h, _ in words_by_pass(b.column(0)))
-            yield pa.RecordBatch.from_arrays([pa.array([text_buffers(b.column(0))[0].nbytes], pa.int64()),
-                                              pa.array([n], pa.int64())], ["bytes", "words"])
-    got = map_arrow(docs.select(text_col), run, "bytes long, words long").agg(
-        F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).head()
-    return int(got[0]), int(got[1])
-
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA) -> DataFrame:
-    """``doc_id, n_words, n_bigrams_left, log_score, mean_log_score`` per row.
-
-    Words are lower-cased (A-Z) runs of non-blanks. ``n_bigrams_left`` counts
-    the positions whose bigram other documents hold too. Null and empty texts
-    have no words, a log score of 0 and a null mean. Rows repeating an id or a
-    text are documents of their own and vouch for each other. An empty table
-    gives an empty result. Texts are scored whole.
+            data, offsets = text_buffers(b.column(0))
+            keys = _keys(data, offsets)
+            _, first, back, n = np.unique(keys.view("V16").ravel(), return_index=True, return_inverse=True, return_counts=True)
+            stays = np.zeros(len(keys), bool)
+            stays[first] = True
+            copies = n[back]
+            for i, j in passes(offsets):
+                h, row = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                use = stays[i:j][row] if len(row) else np.zeros(0, bool)
+                h, row = h[use], row[use]
+                ids, at = [h], np.arange(len(h))            # ids[m][x]: n-gram of m + 1 words ending at word x
+                for m in range(1, k):
+                    ids.append(np.zeros(len(h), np.uint64))
+                    at = np.flatnonzero(row[m:] == row[:len(row) - m]) + m
+                    ids[m][at] = mix64(ids[m - 1][at - 1] * np.uint64(0x9E3779B97F4A7C15) + ids[m - 1][at] + np.uint64(m))
+                at = at[ids[-1][at] % np.uint64(parts) == part]
+                if not len(at):
+                    continue
+                first, own = _own(row[at], ids[-1][at])
+                g, own = at[first], own[first]
+                zero = np.zeros(len(g), np.int64)
+                cols = [keys[i + row[g], 0], keys[i + row[g], 1], ids[k - 2][g - 1].view(np.int64) if k > 1 else zero,
+                        ids[max(k - 2, 0)][g].view(np.int64), own, copies[i + row[g]]]
+                if parts_of:
+                    held = [_held(row, ids[m], m) if m >= 0 else None for m in (k - 2, k - 3)]
+                    cols += [held[0][g - 1] if k > 1 else zero, held[0][g] if k > 1 else zero, held[1][g - 1] if k > 2 else zero]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names)
+    return map_arrow(docs.select(text_col), run, ", ".join(f"{n} long" for n in names))
+
+
+def _held(row: np.ndarray, ids: np.ndarray, m: int) -> np.ndarray:
+    """Own count of the n-gram of m + 1 words ending at each word (0 where a row has not so many)."""
+    out = np.zeros(len(ids), np.int64)
+    at = np.flatnonzero(row[m:] == row[:len(row) - m]) + m
+    if len(at):
+        out[at] = _own(row[at], ids[at])[1]
+    return out
+
+
+def _gram_id(k: int):
+    """Hash of an n-gram of k words from its head and tail, as ``grams`` makes it."""
+    @F.pandas_udf("long")
+    def made(head, tail):
+        import pandas as pd
+        a, b = head.to_numpy().view(np.uint64), tail.to_numpy().view(np.uint64)
+        return pd.Series(mix64(a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(k - 1)).view(np.int64))
+    return made
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Counts of the n-grams that more than one document holds."""
+    return rows.groupBy("head", "tail").agg(F.sum(F.col("own") * F.col("copies")).alias("c"), F.sum("copies").alias("_n")).where(
+        "_n > 1").drop("_n")
+
+
+def _added(rows: DataFrame, counts: DataFrame, on: list[str], term) -> DataFrame:
+    """Per text the number of n-grams left and the sum of ``term`` over them; copies count each time."""
+    times = F.col("own") * F.col("copies")
+    return rows.join(counts, on).groupBy("k1", "k2").agg(F.sum(times).alias("n"), F.sum(times * term).alias("s"))
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
+                    order: int = ORDER, slices: int = SLICES) -> DataFrame:
+    """``doc_id, n_words, n_<name>_left..., log_score, mean_log_score`` per row.
+
+    Words are lower-cased (A-Z) runs of non-blanks. ``n_bigrams_left`` (for
+    ``order`` above 2 also ``n_3grams_left`` and so on) counts the positions
+    whose n-gram other documents hold too. Null and empty texts have no words,
+    a log score of 0 and a null mean. Rows repeating an id or a text are
+    documents of their own and vouch for each other. An empty table gives an
+    empty result. Texts are scored whole; other columns are not read.
+
+    Copies of a text have one score: their rows are added up and divided by
+    their number. A frequent n-gram is summed per task before the shuffle of
+    its count, and the join back may split it (adaptive skew join).
     """
     spark = docs.sparkSession
-    ship_package(spark)
-    size, total = corpus_size(docs, text_col)
-    chunks = max(1, math.ceil(size / CHUNK_BYTES))
-    bits = max(1, math.ceil(math.log2(chunks)) + 1)         # hash ranges: a power of two, about two per chunk
-    shift = np.uint64(64 - bits)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    dealt = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
-                        F.pmod(F.xxhash64(F.col(id_col).cast("long"), text), F.lit(chunks)).alias("chunk"))
-
-    def ask(key, table):
-        h, _, _, two = _ngrams(table["text"])
-        out = {"range": [], "chunk": [], "n": [], "grams": [], "counts": []}
-        for n, x in ((1, h), (2, two)):
-            u, c = np.unique(x, return_counts=True)
-            part = (u >> shift).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(part, prepend=-1))
-            for a, b in zip(cuts, np.append(cuts[1:], len(u)), strict=True):
-                out["range"].append(int(part[a]))
-                out["chunk"].append(key[0].as_py())
-                out["n"].append(n)
-                out["grams"].append(_deltas(u[a:b]))
-                out["counts"].append(_planes(c[a:b].astype(np.uint32)))
-        return pa.table(out, pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("n", pa.int32()),
-                                        ("grams", pa.binary()), ("counts", pa.binary())]))
-
-    def answer(key, table):
-        out = {"chunk": [], "n": [], "range": [], "totals": []}
-        ns = table["n"].to_numpy()
-        for n in (1, 2):
-            rows = np.flatnonzero(ns == n)
-            if not len(rows):
-                continue
-            grams = [_undeltas(table["grams"][int(r)].as_py()) for r in rows]
-            counts = np.concatenate([_unplanes(table["counts"][int(r)].as_py(), np.uint32) for r in rows]).astype(np.int64)
-            every = np.concatenate(grams)
-            order = np.argsort(every, kind="stable")
-            s = every[order]
-            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            group = np.zeros(len(s), np.int64)
-            group[first[1:]] = 1
-            totals = np.empty(len(s), np.uint64)
-            totals[order] = np.add.reduceat(counts[order], first).astype(np.uint64)[np.cumsum(group)]
-            at = 0
-            for r, g in zip(rows, grams, strict=True):
-                out["chunk"].append(table["chunk"][int(r)].as_py())
-                out["n"].append(n)
-                out["range"].append(key[0].as_py())
-                out["totals"].append(_planes(totals[at:at + len(g)]))
-                at += len(g)
-        return pa.table(out, pa.schema([("chunk", pa.int64()), ("n", pa.int32()), ("range", pa.int64()), ("totals", pa.binary())]))
-
-    def score(key, texts, answers):
-        h, row, at, two = _ngrams(texts["text"])
-        ns, ranges = answers["n"].to_numpy(), answers["range"].to_numpy()
-        found = []
-        for n, x in ((1, h), (2, two)):
-            rows = np.flatnonzero(ns == n)
-            rows = rows[np.argsort(ranges[rows])]
-            totals = [_unplanes(answers["totals"][int(r)].as_py(), np.uint64) for r in rows]
-            u, back = np.unique(x, return_inverse=True)
-            # what the document itself holds of each n-gram
-            mine = row if n == 1 else row[at]
-            pair = mine * np.int64(max(1, len(u))) + back
-            _, inv, own = np.unique(pair, return_inverse=True, return_counts=True)
-            c = np.concatenate(totals).astype(np.int64)[back] if len(u) else np.zeros(0, np.int64)
-            found.append(c - own[inv] if len(u) else c)
-        one, pairs = found
-        n_docs = texts.num_rows
-        words = np.bincount(row, minlength=n_docs)
-        left = (total - words[row]).astype(float)
-        s = np.where(one > 0, one, alpha) / np.where(one > 0, np.maximum(left, 1.0), left + 1.0)
-        s[at] *= alpha                              # backed off
-        good = pairs > 0
-        hit = at[good]
-        s[hit] = pairs[good] / one[hit - 1]
-        logs = np.bincount(row, weights=np.log(s), minlength=n_docs) if len(s) else np.zeros(n_docs)
-        mean = [x / w if w else None for x, w in zip(logs.tolist(), words.tolist(), strict=True)]
-        return pa.table({"doc_id": texts["doc_id"], "n_words": pa.array(words.astype(np.int64)),
-                         "n_bigrams_left": pa.array(np.bincount(row[hit], minlength=n_docs).astype(np.int64)),
-                         "log_score": pa.array(logs), "mean_log_score": pa.array(mean, pa.float64())})
-
-    asked = dealt.groupBy("chunk").applyInArrow(
-        ask, "range long, chunk long, n int, grams binary, counts binary")
-    answers = asked.groupBy("range").applyInArrow(answer, "chunk long, n int, range long, totals binary")
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        score, "doc_id long, n_words long, n_bigrams_left long, log_score double, mean_log_score double")
+    # each slice's shuffle files go when its table is written
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        texts = materialize(_texts(docs, id_col, text_col), "lm-texts")
+        words = _counted(grams(docs, 1, text_col=text_col, parts_of=False))
+        known = materialize(words.select(F.col("tail").alias("id"), "c", F.lit(None).cast("long").alias("c_tail")), "lm-words")
+        found = [materialize(_added(grams(docs, 1, text_col=text_col, parts_of=False),
+                                    known.select(F.col("id").alias("tail"), "c"), ["tail"],
+                                    F.log(F.col("c") - F.col("own"))), "lm-found").withColumn("k", F.lit(1))]
+        for k in range(2, order + 1):
+            tables = []
+            for part in range(slices):
+                head = known.select(F.col("id").alias("head"), F.col("c").alias("c_head"), F.col("c_tail").alias("c_mid"))
+                tail = known.select(F.col("id").alias("tail"), F.col("c").alias("c_tail"))
+                counts = _counted(grams(docs, k, part, slices, text_col, False)).join(head, "head").join(tail, "tail")
+                tables.append(materialize(counts, "lm-counts"))
+                left = F.col("c") - F.col("own")
+                term = F.log(left) - F.log(F.col("c_head") - F.col("own_head")) - F.log(F.col("c_tail") - F.col("own_tail"))
+                if k > 2:
+                    term = term + F.log(F.col("c_mid") - F.col("own_mid"))
+                found.append(materialize(_added(grams(docs, k, part, slices, text_col), tables[-1], ["head", "tail"], term),
+                                         "lm-found").withColumn("k", F.lit(k)))
+            if k < order:
+                every = tables[0]
+                for t in tables[1:]:
+                    every = every.unionByName(t)
+                known = materialize(every.select(_gram_id(k)("head", "tail").alias("id"), "c", "c_tail"), "lm-known")
+        return _scores(texts, found, alpha, order)
+    finally:
+        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
+
+
+def _scores(texts: DataFrame, found: list[DataFrame], alpha: float, order: int) -> DataFrame:
+    total = texts.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("total"))
+    rows = found[0]
+    for f in found[1:]:
+        rows = rows.unionByName(f)
+    copies = texts.groupBy("k1", "k2").agg(F.count("*").alias("m"))
+    sums = rows.groupBy("k1", "k2").agg(F.sum("s").alias("s"), *[
+        F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(1, order + 1)])
+    sums = copies.join(sums, ["k1", "k2"]).select("k1", "k2", (F.col("s") / F.col("m")).alias("s"), *[
+        F.coalesce((F.col(f"n{k}") / F.col("m")).cast("long"), F.lit(0)).alias(f"n{k}") for k in range(1, order + 1)])
+    out = texts.join(sums, ["k1", "k2"], "left").crossJoin(F.broadcast(total)).fillna(0, ["s", *[f"n{k}" for k in range(1, order + 1)]])
+    left = F.col("total") - F.col("n_words")
+    lost = F.col("n_words") - F.col("n1")
+    # every word as if by its own count, backed off from the longest n-gram there ...
+    backed = sum((F.greatest(F.col("n_words") - m, F.lit(0)) for m in range(1, order)), F.lit(0))
+    # ... and one step less for each n-gram left; an n-gram of two words also takes its N back
+    log_left = F.log(F.greatest(left, F.lit(1)).cast("double"))
+    s = F.col("s") + F.lit(math.log(alpha)) * (backed + lost) - F.col("n1") * log_left - lost * F.log((left + 1).cast("double"))
+    for k in range(2, order + 1):
+        s = s - F.lit(math.log(alpha)) * F.col(f"n{k}")
+    if order > 1:
+        s = s + F.col("n2") * log_left
+    score = F.when(F.col("n_words") > 0, s).otherwise(0.0)
+    names = {k: "n_bigrams_left" if k == 2 else f"n_{k}grams_left" for k in range(2, order + 1)}
+    return out.select("doc_id", "n_words", *[F.col(f"n{k}").alias(v) for k, v in names.items()], score.alias("log_score"),
+                      F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_log_score"))
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

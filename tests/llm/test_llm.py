@@ -212,6 +212,70 @@ def test_lm_scores_against_brute_force(spark):
     assert ngram.score_documents(odd).count() == len(ODD) and ngram.score_documents(odd.limit(0)).count() == 0
 
 
+def backoff(ws, d, order):
+    """Log score of document ``d`` by the n-grams of all others, word by word."""
+    from collections import Counter
+    held = [Counter() for _ in range(order + 1)]
+    for e, w in enumerate(ws):
+        if e != d:
+            for k in range(1, order + 1):
+                held[k].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    n, total, left = sum(held[1].values()), 0.0, [0] * (order + 1)
+    for i in range(len(ws[d])):
+        for k in range(2, order + 1):
+            left[k] += i + 1 >= k and held[k][tuple(ws[d][i - k + 1:i + 1])] > 0
+        top = min(order, i + 1)
+        for k in range(top, 0, -1):
+            g = tuple(ws[d][i - k + 1:i + 1])
+            if held[k][g]:
+                total += math.log(0.4 ** (top - k) * held[k][g] / (held[k - 1][g[:-1]] if k > 1 else n))
+                break
+        else:
+            total += math.log(0.4 ** top / (n + 1))
+    return total, left[2:]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_scores_of_any_order(spark, order):
+    rng = random.Random(order)
+    texts = [" ".join(rng.choice("abcde") if rng.random() < 0.9 else f"w{rng.randrange(9)}" for _ in range(rng.randrange(25)))
+             for _ in range(30)]
+    texts += [texts[3], texts[3], texts[7], texts[3].upper(), None, "", "new words only"]
+    # ids repeat and are null; other columns bear the names of helpers
+    rows = spark.createDataFrame([(i // 2 if i % 5 else None, t, i, 7, 8) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, k1 long, own long, copies long")
+    got = ngram.score_documents(rows, order=order, slices=2).collect()
+    ws = [words(t) for t in texts]
+    want = [backoff(ws, d, order) for d in range(len(ws))]
+    ids = [i // 2 if i % 5 else None for i in range(len(texts))]
+
+    def line(i, n, left, s):
+        return (-1 if i is None else i, n, *left, round(s, 6) + 0.0)
+    names = ["n_bigrams_left", "n_3grams_left", "n_4grams_left"][:order - 1]
+    assert sorted(line(r.doc_id, r.n_words, [r[x] for x in names], r.log_score) for r in got) == sorted(
+        line(i, len(w), left, s) for i, w, (s, left) in zip(ids, ws, want, strict=True))
+
+
+def test_lm_hot_ngram_and_copies(spark):
+    """A third of the rows are one text, every text holds one bigram, one text is long."""
+    texts = ["hot pair of words"] * 200 + [f"hot pair u{i} v{i}" for i in range(399)] + ["hot pair " * 120_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r for r in ngram.score_documents(rows).collect()}
+    assert len(got) == 600 and got[599].n_words == 240_000
+    n = 200 * 4 + 399 * 4 + 240_000
+    first, pair = (1 / (n - 4)), 1.0
+    others = 599 + 119_999 + 0                              # "hot" and "hot pair" in other rows of a short text
+    hot = others + 1
+    assert got[0].log_score == pytest.approx(
+        math.log(hot * first) + math.log(pair) + math.log(199 / hot) + math.log(199 / 199), abs=1e-9)
+    # the long text: only "hot pair" is left, "pair hot" backs off to "hot"
+    left = n - 240_000
+    assert got[599].n_bigrams_left == 120_000
+    assert got[599].log_score == pytest.approx(math.log(599 / left) + 119_999 * math.log(0.4 * 599 / left), rel=1e-9)
+    assert {got[i].log_score for i in range(200)} == {got[0].log_score}
+
+
+
 # language ID ------------------------------------------------------------------
 
 def test_language_accuracy_on_held_out_rows(spark):
