@@ -36,6 +36,8 @@ ORDER = 2
 #: Hash slices of the n-grams of two words and more. One slice is on disk at a
 #: time; each reads the texts again. All slices together are all n-grams.
 SLICES = 3
+#: Shuffle bytes up to which a partition of a count table may be joined from memory; beyond, by sorting.
+JOIN_IN_MEMORY = "64m"
 
 
 def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -61,20 +63,75 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _own(row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first occurrence of each (row, id), count of its own (row, id) for every occurrence)."""
-    _, back = np.unique(ids, return_inverse=True)
-    _, first, inv, n = np.unique(row * np.int64(len(ids) + 1) + back, return_index=True, return_inverse=True, return_counts=True)
-    return first, n[inv]
-
-
-def grams(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str = "text", parts_of: bool = True) -> DataFrame:
+    """(first occurrence of each (row, id), count of its own (row, id) for every
+    occurrence). Rows ascend, so a stable sort by id puts equal pairs side by side."""
+    order = np.argsort(ids, kind="stable")
+    r, x = row[order], ids[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (x[1:] != x[:-1]) | (r[1:] != r[:-1])
+    at = np.flatnonzero(new)
+    n = np.diff(at, append=len(ids))
+    held = np.empty(len(ids), np.int64)
+    held[order] = np.repeat(n, n)
+    return order[at], held
+
+
+def _levels(data: np.ndarray, offsets: np.ndarray, k: int, stays: np.ndarray | None = None):
+    """(row, ids, at): ids[m][x] is the hash of the m + 1 words that end at word
+    x, ``at`` are the words that end an n-gram of k words of their row. Only
+    rows marked in ``stays``."""
+    h, row = hashed_words(data, offsets)
+    if stays is not None and len(row):
+        use = stays[row]
+        h, row = h[use], row[use]
+    ids, at = [h], np.arange(len(h))
+    for m in range(1, k):
+        ids.append(np.zeros(len(h), np.uint64))
+        at = np.flatnonzero(row[m:] == row[:len(row) - m]) + m
+        ids[m][at] = mix64(ids[m - 1][at - 1] * np.uint64(0x9E3779B97F4A7C15) + ids[m - 1][at] + np.uint64(m))
+    return row, ids, at
+
+
+def gram_counts(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str = "text") -> DataFrame:
+    """``head, tail, c``: how often all documents hold an n-gram of k words (see
+    ``grams``), for those that more than one document holds. Occurrences are
+    added up per batch of texts, then per task, then by the n-gram."""
+    def run(batches):
+        for b in batches:
+            data, offsets = text_buffers(b.column(0))
+            found = []
+            for i, j in passes(offsets):
+                row, ids, at = _levels(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], k)
+                at = at[ids[-1][at] % np.uint64(parts) == part]
+                zero = np.zeros(len(at), np.uint64)
+                found.append((row[at] + i, ids[-1][at], ids[k - 2][at - 1] if k > 1 else zero, ids[max(k - 2, 0)][at]))
+            if not found:
+                continue
+            row, ids, head, tail = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(ids, kind="stable")      # rows ascend within an n-gram
+            r, x = row[order], ids[order]
+            new = np.ones(len(x), bool)
+            new[1:] = x[1:] != x[:-1]
+            more = np.ones(len(x), np.int64)
+            more[1:] = new[1:] | (r[1:] != r[:-1])
+            at = np.flatnonzero(new)
+            if not len(at):
+                continue
+            yield pa.RecordBatch.from_arrays([pa.array(head[order[at]].view(np.int64)), pa.array(tail[order[at]].view(np.int64)),
+                                              pa.array(np.diff(at, append=len(x))), pa.array(np.add.reduceat(more, at))],
+                                             ["head", "tail", "c", "n"])
+    rows = map_arrow(docs.select(text_col), run, "head long, tail long, c long, n long")
+    return rows.groupBy("head", "tail").agg(F.sum("c").alias("c"), F.sum("n").alias("_n")).where("_n > 1").drop("_n")
+
+
+def grams(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str = "text") -> DataFrame:
     """Exploded n-grams of k words: one row per different text of a batch and
     different n-gram in it. ``copies`` is how often the batch holds the text,
     ``own`` how often the text holds the n-gram; ``head`` and ``tail`` are the
     hashes of it without its last and first word (k = 1: ``tail`` is the word
-    and ``head`` 0). With ``parts_of`` also the own counts of head, tail and
-    middle. Only n-grams whose hash falls into slice ``part`` of ``parts``."""
-    names = ["k1", "k2", "head", "tail", "own", "copies"] + (["own_head", "own_tail", "own_mid"] if parts_of else [])
+    and ``head`` 0), followed by the own counts of head, tail and middle. Only
+    n-grams whose hash falls into slice ``part`` of ``parts``."""
+    names = ["k1", "k2", "head", "tail", "own", "copies", "own_head", "own_tail", "own_mid"]
 
     def run(batches):
         for b in batches:
@@ -85,25 +142,17 @@ def grams(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str
             stays[first] = True
             copies = n[back]
             for i, j in passes(offsets):
-                h, row = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                use = stays[i:j][row] if len(row) else np.zeros(0, bool)
-                h, row = h[use], row[use]
-                ids, at = [h], np.arange(len(h))            # ids[m][x]: n-gram of m + 1 words ending at word x
-                for m in range(1, k):
-                    ids.append(np.zeros(len(h), np.uint64))
-                    at = np.flatnonzero(row[m:] == row[:len(row) - m]) + m
-                    ids[m][at] = mix64(ids[m - 1][at - 1] * np.uint64(0x9E3779B97F4A7C15) + ids[m - 1][at] + np.uint64(m))
+                row, ids, at = _levels(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], k, stays[i:j])
                 at = at[ids[-1][at] % np.uint64(parts) == part]
                 if not len(at):
                     continue
                 first, own = _own(row[at], ids[-1][at])
                 g, own = at[first], own[first]
                 zero = np.zeros(len(g), np.int64)
+                shorter = [_held(row, ids[m], m) if m >= 0 else None for m in (k - 2, k - 3)]
                 cols = [keys[i + row[g], 0], keys[i + row[g], 1], ids[k - 2][g - 1].view(np.int64) if k > 1 else zero,
-                        ids[max(k - 2, 0)][g].view(np.int64), own, copies[i + row[g]]]
-                if parts_of:
-                    held = [_held(row, ids[m], m) if m >= 0 else None for m in (k - 2, k - 3)]
-                    cols += [held[0][g - 1] if k > 1 else zero, held[0][g] if k > 1 else zero, held[1][g - 1] if k > 2 else zero]
+                        ids[max(k - 2, 0)][g].view(np.int64), own, copies[i + row[g]], shorter[0][g - 1] if k > 1 else zero,
+                        shorter[0][g] if k > 1 else zero, shorter[1][g - 1] if k > 2 else zero]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names)
     return map_arrow(docs.select(text_col), run, ", ".join(f"{n} long" for n in names))
 
@@ -127,12 +176,6 @@ def _gram_id(k: int):
     return made
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """Counts of the n-grams that more than one document holds."""
-    return rows.groupBy("head", "tail").agg(F.sum(F.col("own") * F.col("copies")).alias("c"), F.sum("copies").alias("_n")).where(
-        "_n > 1").drop("_n")
-
-
 def _added(rows: DataFrame, counts: DataFrame, on: list[str], term) -> DataFrame:
     """Per text the number of n-grams left and the sum of ``term`` over them; copies count each time."""
     times = F.col("own") * F.col("copies")
@@ -155,15 +198,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its count, and the join back may split it (adaptive skew join).
     """
     spark = docs.sparkSession
-    # each slice's shuffle files go when its table is written
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(cleanup, None)
-    spark.conf.set(cleanup, "true")
+    # each slice's shuffle files go when its table is written; where all partitions of a count
+    # table are small, the join keeps them in memory and does not sort the exploded side
+    conf = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": JOIN_IN_MEMORY}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         texts = materialize(_texts(docs, id_col, text_col), "lm-texts")
-        words = _counted(grams(docs, 1, text_col=text_col, parts_of=False))
-        known = materialize(words.select(F.col("tail").alias("id"), "c", F.lit(None).cast("long").alias("c_tail")), "lm-words")
-        found = [materialize(_added(grams(docs, 1, text_col=text_col, parts_of=False),
+        known = materialize(gram_counts(docs, 1, text_col=text_col).select(
+            F.col("tail").alias("id"), "c", F.lit(None).cast("long").alias("c_tail")), "lm-words")
+        found = [materialize(_added(grams(docs, 1, text_col=text_col),
                                     known.select(F.col("id").alias("tail"), "c"), ["tail"],
                                     F.log(F.col("c") - F.col("own"))), "lm-found").withColumn("k", F.lit(1))]
         for k in range(2, order + 1):
@@ -171,7 +217,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for part in range(slices):
                 head = known.select(F.col("id").alias("head"), F.col("c").alias("c_head"), F.col("c_tail").alias("c_mid"))
                 tail = known.select(F.col("id").alias("tail"), F.col("c").alias("c_tail"))
-                counts = _counted(grams(docs, k, part, slices, text_col, False)).join(head, "head").join(tail, "tail")
+                counts = gram_counts(docs, k, part, slices, text_col).join(head, "head").join(tail, "tail")
                 tables.append(materialize(counts, "lm-counts"))
                 left = F.col("c") - F.col("own")
                 term = F.log(left) - F.log(F.col("c_head") - F.col("own_head")) - F.log(F.col("c_tail") - F.col("own_tail"))
@@ -186,7 +232,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 known = materialize(every.select(_gram_id(k)("head", "tail").alias("id"), "c", "c_tail"), "lm-known")
         return _scores(texts, found, alpha, order)
     finally:
-        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _scores(texts: DataFrame, found: list[DataFrame], alpha: float, order: int) -> DataFrame:
