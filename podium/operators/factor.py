@@ -4,10 +4,12 @@ Randomised subspace iteration: a random block of directions is multiplied by
 the matrix and its transpose in turn, made orthonormal in between, and the
 small projected matrix is decomposed. A side's vectors are a table of *factor
 blocks*: one row per ``IDS`` consecutive ids with a dense matrix. The cells are
-packed once, per side, into blocks of at most ``CELLS``; a product joins cell
-blocks with the factor blocks they touch, multiplies them in numpy and sums
-the partial results per block of the other side. Only matrices of (directions
-x directions) reach the driver, whatever the number of rows or columns.
+packed once, per side, by a *group* of blocks of the one side (as many as fit
+``GROUP_BYTES`` when dense) and a block of the other. A task holds the dense
+factors of one group and streams its cells past them, so an id's partial sums
+are at most one row per group, not one per block. Shuffle files go when a
+product is written, and a product goes when the next one is. Only matrices of
+(directions x directions) reach the driver, whatever the number of rows or columns.
 """
 from __future__ import annotations
 
@@ -17,33 +19,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint, ship_package
+from ..session import ship_package, shuffles_dropped, written
 
 IDS = 2048
-#: Cells of one packed row (16 bytes each).
-CELLS = 1 << 17
+#: Cells of one packed row (16 bytes each), and of one numpy pass over it.
+CELLS, PASS_CELLS = 1 << 17, 1 << 14
+#: Bytes of the dense factors of one group, held by one task at a time.
+GROUP_BYTES = 128 << 20
 #: Directions beside those asked for, most rounds of multiplying by matrix and
-#: transpose, and the relative gain of captured energy below which they end.
+#: transpose, and the mean relative gain of a direction's energy below which they end.
 EXTRA, ROUNDS, GAIN = 10, 5, 2e-3
 #: A Gram matrix's eigenvalues below this share of the greatest count as zero.
 _TINY = 1e-13
 _FACTORS = "block int, ids binary, m binary"
 
 
-def _packed(cells: DataFrame, by: str, over: str) -> DataFrame:
-    """``over_block, by, over, v`` (binary): the cells of each block of ``over``
-    ids, dealt by hash to as many rows as they need."""
-    block = F.floor(F.col(over) / IDS).cast("int")
-    sizes = cells.groupBy(block.alias("over_block")).agg(F.ceil(F.count(F.lit(1)) / CELLS).cast("int").alias("parts"))
-    dealt = cells.withColumn("over_block", block).join(sizes, "over_block").select(
-        "over_block", F.pmod(F.xxhash64(by, over), "parts").alias("part"), F.col(by).alias("by"), F.col(over).alias("over"), "v")
+def _drop(df: DataFrame | None) -> None:
+    """Deletes the files of a written table that nothing reads any more."""
+    if df is None:
+        return
+    spark = df.sparkSession
+    for f in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
+def _group_blocks(width: int) -> int:
+    """Blocks of ids whose dense factors fit ``GROUP_BYTES``."""
+    return max(1, GROUP_BYTES // (IDS * width * 8))
+
+
+def _packed(cells: DataFrame, by: str, over: str, width: int) -> DataFrame:
+    """``g, block, by, over, v`` (binary): the cells of each group of ``over``
+    blocks and block of ``by`` ids, dealt by hash to as many rows as they need."""
+    group = F.floor(F.col(over) / (IDS * _group_blocks(width))).cast("int")
+    placed = cells.select(group.alias("g"), F.floor(F.col(by) / IDS).cast("int").alias("block"),
+                          F.col(by).alias("by"), F.col(over).alias("over"), "v")
+    sizes = placed.groupBy("g", "block").agg(F.ceil(F.count(F.lit(1)) / CELLS).cast("int").alias("parts"))
+    dealt = placed.join(sizes, ["g", "block"]).withColumn("part", F.pmod(F.xxhash64("by", "over"), "parts")).drop("parts")
 
     def pack(key, rows):
         rows = rows.sort_values("by", kind="stable")
-        return pd.DataFrame({"over_block": [key[0]], "by": [rows["by"].to_numpy(np.int32).tobytes()],
+        return pd.DataFrame({"g": [key[0]], "block": [key[1]], "by": [rows["by"].to_numpy(np.int32).tobytes()],
                              "over": [rows["over"].to_numpy(np.int32).tobytes()], "v": [rows["v"].to_numpy(np.float64).tobytes()]})
-    return reliable_checkpoint(dealt.groupBy("over_block", "part").applyInPandas(
-        pack, "over_block int, by binary, over binary, v binary"))
+    return written(dealt.groupBy("g", "block", "part").applyInPandas(pack, "g int, block int, by binary, over binary, v binary"), "factor-cells")
 
 
 def _matrix(ids: bytes, m: bytes):
@@ -51,34 +70,53 @@ def _matrix(ids: bytes, m: bytes):
     return ids, np.frombuffer(m, np.float64).reshape(len(ids), -1)
 
 
-def _product(cells: DataFrame, factors: DataFrame | None, turn: np.ndarray | None, width: int, seed: int) -> DataFrame:
+def _product(cells: DataFrame, factors: DataFrame | None, turn: np.ndarray | None, width: int, seed: int, n_by: int, n_over: int) -> DataFrame:
     """Factor blocks of (matrix x (factors x turn)); without factors, those of
-    (matrix x random), where a block's random numbers depend on its number alone."""
+    (matrix x random), where a block's random numbers depend on its number alone.
+    The blocks of a group go to all tasks that share its cells."""
     spark = cells.sparkSession
-    shared = spark.sparkContext.broadcast(turn)             # directions x directions
+    per_group = _group_blocks(width)
     random = factors is None
+    columns = width if random else turn.shape[1]
+    shared = spark.sparkContext.broadcast(turn)             # directions x directions
     # blocks are few and large: as many tasks as there are cores at least, whatever their bytes
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = cells.repartition(tasks, "over_block")
+    groups = -(-n_over // (IDS * per_group))
+    shares = max(1, min(-(-spark.sparkContext.defaultParallelism // groups), -(-n_by // IDS)))
+    rows = cells.select("g", F.pmod("block", F.lit(shares)).cast("int").alias("share"), F.lit(1).alias("kind"), "block", F.col("by").alias("ids"), "over", F.col("v").alias("m"))
     if not random:
-        rows = rows.join(factors.select(F.col("block").alias("over_block"), "ids", "m").repartition(tasks, "over_block"), "over_block")
+        rows = rows.unionByName(factors.select(
+            F.floor(F.col("block") / per_group).cast("int").alias("g"), F.explode(F.array(*[F.lit(i) for i in range(shares)])).alias("share"),
+            F.lit(0).alias("kind"), "block", "ids", F.lit(None).cast("binary").alias("over"), "m"))
+    # the factors of a group come first, then its cells
+    rows = rows.repartition(tasks, "g", "share").sortWithinPartitions("g", "share", "kind", "block")
 
     def partial(batches):
+        now, made, x = None, set(), None
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
-                by, over = np.frombuffer(r.by, np.int32), np.frombuffer(r.over, np.int32)
-                if random:
-                    x, at = np.random.default_rng((seed, r.over_block)).standard_normal((IDS, width)), over - r.over_block * IDS
-                else:
-                    ids, x = _matrix(r.ids, r.m)
-                    x, at = x @ shared.value, np.searchsorted(ids, over)
-                terms = x[at] * np.frombuffer(r.v, np.float64)[:, None]
-                first = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]]))
-                sums, mine = np.add.reduceat(terms, first, axis=0), by[first]
-                block = mine // IDS
-                cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-                out += [(int(block[i]), mine[i:j].tobytes(), sums[i:j].tobytes()) for i, j in zip(cuts, [*cuts[1:], len(block)])]
+                base = r.g * per_group * IDS
+                if (r.g, r.share) != now:
+                    now, made, x = (r.g, r.share), set(), None
+                    x = np.zeros((min(per_group * IDS, n_over - base), columns))
+                if r.kind == 0:
+                    ids, m = _matrix(r.ids, r.m)
+                    x[ids - base] = m @ shared.value
+                    continue
+                by, over, v = np.frombuffer(r.ids, np.int32), np.frombuffer(r.over, np.int32) - base, np.frombuffer(r.m, np.float64)
+                for i in np.unique(over // IDS).tolist() if random else ():
+                    if i not in made:
+                        made.add(i)
+                        part = x[i * IDS:(i + 1) * IDS]
+                        part[:] = np.random.default_rng((seed, r.g * per_group + i)).standard_normal((IDS, width))[:len(part)]
+                mine, place = np.unique(by, return_inverse=True)
+                sums = np.zeros((len(mine), columns))
+                for i in range(0, len(by), PASS_CELLS):         # sorted by ``by``
+                    at = place[i:i + PASS_CELLS]
+                    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                    sums[at[first]] += np.add.reduceat(x[over[i:i + PASS_CELLS]] * v[i:i + PASS_CELLS, None], first, axis=0)
+                out.append((r.block, mine.tobytes(), sums.tobytes()))
             yield pd.DataFrame(out, columns=["block", "ids", "m"])
 
     def total(batches):
@@ -100,7 +138,7 @@ def _product(cells: DataFrame, factors: DataFrame | None, turn: np.ndarray | Non
             yield done()
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     parts = rows.mapInPandas(partial, _FACTORS)
-    return reliable_checkpoint(parts.repartition(tasks, "block").sortWithinPartitions("block").mapInPandas(total, _FACTORS))
+    return written(parts.repartition(tasks, "block").sortWithinPartitions("block").mapInPandas(total, _FACTORS), "factor-product")
 
 
 def _gram(factors: DataFrame) -> np.ndarray:
@@ -140,7 +178,7 @@ def _as_rows(factors: DataFrame, turn: np.ndarray, name: str) -> DataFrame:
                 offsets = np.arange(len(ids) + 1, dtype=np.int32) * m.shape[1]
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(pa.array(offsets), pa.array(m.ravel()))],
                                                  [name, "factors"])
-    return reliable_checkpoint(factors.select("ids", "m").mapInArrow(run, f"{name} int, factors array<double>"))
+    return written(factors.select("ids", "m").mapInArrow(run, f"{name} int, factors array<double>"), "factor-rows")
 
 
 def truncated_svd(cells: DataFrame, row: str, col: str, n_rows: int, n_cols: int, k: int, seed: int = 42, rounds: int = ROUNDS):
@@ -150,20 +188,38 @@ def truncated_svd(cells: DataFrame, row: str, col: str, n_rows: int, n_cols: int
     exact; else at most ``rounds`` rounds approach the leading ones. Ids without cells
     get no factors."""
     ship_package(cells.sparkSession)
+    with shuffles_dropped(cells.sparkSession):
+        return _iterated(cells, row, col, n_rows, n_cols, k, seed, rounds)
+
+
+def _gain(e: np.ndarray, before: np.ndarray | None) -> float:
+    """Mean relative gain of each direction's energy; one great direction does not outweigh the rest."""
+    if before is None or len(before) != len(e):
+        return np.inf
+    return float(np.mean((e - before) / np.maximum(e, _TINY * e[-1])))
+
+
+def _iterated(cells: DataFrame, row: str, col: str, n_rows: int, n_cols: int, k: int, seed: int, rounds: int):
     width = min(k + EXTRA, n_rows, n_cols)
-    by_row, by_col = _packed(cells, row, col), _packed(cells, col, row)
-    y = _product(by_row, None, None, width, seed)
-    turn, energy = _whitening(_gram(y)), 0.0
+    by_row, by_col = _packed(cells, row, col, width), _packed(cells, col, row, width)
+    y = _product(by_row, None, None, width, seed, n_rows, n_cols)
+    turn, e, z = _whitening(_gram(y)), None, None
     for _ in range(rounds if width < min(n_rows, n_cols) else 0):
-        z = _product(by_col, y, turn, width, seed)
-        y = _product(by_row, z, _whitening(_gram(z)), width, seed)
+        old = (y, z)
+        z = _product(by_col, y, turn, width, seed, n_cols, n_rows)
+        y = _product(by_row, z, _whitening(_gram(z)), width, seed, n_rows, n_cols)
+        for df in old:
+            _drop(df)
         g = _gram(y)
-        turn, before, energy = _whitening(g), energy, float(np.trace(g))
-        if energy - before <= GAIN * energy:
+        turn, before, e = _whitening(g), e, np.linalg.eigvalsh(g)[-k:]
+        if _gain(e, before) <= GAIN:
             break
-    b = _product(by_col, y, turn, width, seed)               # transposed projection: columns x directions
+    b = _product(by_col, y, turn, width, seed, n_cols, n_rows)               # transposed projection: columns x directions
     e, u = np.linalg.eigh(_gram(b))
     order = np.argsort(-e)[:k]
     order = order[e[order] > _TINY * e[order[0]]]
     s, u = np.sqrt(e[order]), u[:, order]
-    return _as_rows(y, turn @ (u * s), row), _as_rows(b, u / s, col), [float(x) for x in s]
+    out = _as_rows(y, turn @ (u * s), row), _as_rows(b, u / s, col), [float(x) for x in s]
+    for df in (by_row, by_col, y, z, b):
+        _drop(df)
+    return out

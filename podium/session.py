@@ -1,8 +1,10 @@
 """Session helpers: a configured SparkSession and a reliable checkpoint folder."""
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,6 +69,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder; it reads back the same rows."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within, the shuffle files of a query go as soon as it ends."""
+    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(conf, None)
+    spark.conf.set(conf, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(conf) if was is None else spark.conf.set(conf, was)
+
+
 _SHIPPED: set = set()
 
 

@@ -163,6 +163,35 @@ def test_random_matrix_is_close_to_the_best_rank_k(spark, monkeypatch):
     assert np.allclose(s[:5], exact[:5], rtol=1e-3) and not P[45].any() and not Q[500].any()
 
 
+def test_partial_sums_are_one_per_id_and_group(spark, monkeypatch):
+    """Ids meet one group of many blocks, not each block; small groups give the
+    same factors, and shuffled and superseded products leave no files behind."""
+    import glob
+    from podium.operators import factor
+    from podium.session import checkpoint_dir
+    monkeypatch.setattr(factor, "IDS", 16)
+    rng = np.random.default_rng(3)
+    cells = spark.createDataFrame([(int(i), int(j), float(rng.normal())) for i in range(60) for j in rng.choice(200, 25, replace=False)],
+                                  "user_idx int, podcast_idx int, v double")
+    where = checkpoint_dir(spark).removeprefix("file:")
+    found = []
+    for size in (factor.GROUP_BYTES, 2 * 16 * 15 * 8):          # all blocks, two blocks
+        monkeypatch.setattr(factor, "GROUP_BYTES", size)
+        packed = factor._packed(cells, "user_idx", "podcast_idx", 15)
+        assert packed.select("g").distinct().count() == (1 if size > 1 << 20 else 7)
+        assert packed.groupBy("block").count().agg(F.max("count")).first()[0] == packed.select("g").distinct().count()
+        before = set(glob.glob(where + "/**/factor-product-*/part-*", recursive=True))
+        users, items, s = factor.truncated_svd(cells, "user_idx", "podcast_idx", 60, 200, 5, rounds=1)
+        assert set(glob.glob(where + "/**/factor-product-*/part-*", recursive=True)) == before
+        P, Q = np.zeros((60, 5)), np.zeros((200, 5))
+        for r in users.collect():
+            P[r.user_idx] = r.factors
+        for r in items.collect():
+            Q[r.podcast_idx] = r.factors
+        found.append(P @ Q.T)
+    assert np.abs(found[0] - found[1]).max() < 1e-9
+
+
 def test_holdout_does_not_depend_on_partitions(spark):
     rng = np.random.default_rng(2)
     rows = [(f"u{rng.integers(20)}", f"p{rng.integers(12)}", float(rng.integers(1, 6)), T0) for _ in range(300)]
