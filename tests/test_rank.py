@@ -112,3 +112,36 @@ def test_features_and_ranker(spark):
     seen = {r.podcast_id for r in hist.collect()}
     assert not seen & {r.podcast_id for r in plain}
     assert 0.0 <= min(r.ranker_score for r in plain) and max(r.ranker_score for r in plain) <= 1.0
+
+
+def test_boosting_rows_are_dealt_by_cores_and_number(spark, monkeypatch):
+    """One task per core, whatever the joins left; more once a task would hold too many rows."""
+    from pyspark.ml.regression import GBTRegressor
+    items = spark.createDataFrame([(f"p{i}", f"c{i % 3}", 10 * i, i, float(i), 2000 + i) for i in range(10)],
+                                  "podcast_id string, category string, avg_duration_min int, total_episodes long, play_count double, release_year int")
+    train = spark.createDataFrame([(f"u{i % 7}", f"p{i % 10}", float(i % 5)) for i in range(100)], "user_id string, podcast_id string, rating double")
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, data: seen.append((data.rdd.getNumPartitions(), data.count())) or fit(self, data))
+    for rows in (rank.ROWS_PER_TASK, 10):
+        monkeypatch.setattr(rank, "ROWS_PER_TASK", rows)
+        rank.fit_ranker(train, items, n_trees=1)
+    assert seen == [(spark.sparkContext.defaultParallelism, 100), (10, 100)]
+
+
+def test_response_joins_items_to_the_first_rows_only(spark, monkeypatch):
+    """An id with two item rows takes two places; items join what the top-k left."""
+    from types import SimpleNamespace
+
+    from podium.plans import catalog
+    ids = [f"p{i:02d}" for i in range(30)]
+    items = spark.createDataFrame([(i, f"t{i}", f"c{i}", f"d{i}") for i in [*ids, "p03"]], "podcast_id string, title string, category string, description string")
+    train = spark.createDataFrame([("v", i) for n, i in enumerate(ids) for _ in range(30 - n)] + [("u", "p00")], "user_id string, podcast_id string")
+    test = spark.createDataFrame([("u", i) for i in ids] * 2, "user_id string, podcast_id string")
+    monkeypatch.setattr(catalog, "prepared", lambda s, d: SimpleNamespace(items=items, train=train, test=test))
+    joined = []
+    topk = rank.topk_per_group
+    monkeypatch.setattr(rank, "topk_per_group", lambda df, *a, **k: joined.append("category" in df.columns) or topk(df, *a, **k))
+    got = sorted((r["rank"], r.podcast_id) for r in catalog.q_response_shape(spark, "").collect())
+    # p03 holds places 3 and 4, and each of these meets both its rows
+    assert [p for _, p in got] == ["p01", "p02", "p03", "p03", "p03", "p03", "p04", "p05", "p06", "p07", "p08", "p09"]
+    assert joined == [False, True]
