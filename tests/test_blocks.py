@@ -79,3 +79,24 @@ def test_empty_sides_and_null_vectors(spark):
     null = items.withColumn("embedding", F.when(F.col("item_id") > "i0000", F.col("embedding")))
     got = ranked(retrieve.exact_topk(qs, null, 2, broadcast_bytes=0).collect())
     assert got == {f"q000{i}": ["i0001", "i0002"] for i in range(3)}
+
+
+def test_queries_meet_few_cells_and_slices_go_in_turn(spark, monkeypatch):
+    """Vectors without structure: no more cells than blocks of items, so a query is
+    sent at most once per block; small turns give the same neighbours."""
+    rng = np.random.default_rng(6)
+    it = rng.normal(size=(600, 8)).astype(np.float32)
+    items = frame(spark, it, "i", "embedding", "array<float>").withColumnRenamed("i_id", "item_id")
+    index = blocks.build(items.withColumnRenamed("embedding", "ivec"), 100)
+    assert len(index.cell) <= 6 + 6 and dict(index.items.dtypes)["ivec"] == "array<float>"
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 100)
+    turns = []
+    written = blocks.written
+    monkeypatch.setattr(blocks, "written", lambda df, name: turns.append(name) or written(df, name))
+    want = [[f"i{j:04d}" for j in row] for row in np.argsort(-np.where(np.eye(600), -np.inf, it.astype(float) @ it.T.astype(float)), axis=1, kind="stable")[:, :3]]
+    for size in (blocks.ROUND_BYTES, 100_000):
+        monkeypatch.setattr(blocks, "ROUND_BYTES", size)
+        hits = retrieve.exact_topk(items.withColumnRenamed("item_id", "query_id"), items, 3, exclude_self=True, broadcast_bytes=0)
+        got = ranked(hits.collect())
+        assert [got[f"i{i:04d}"] for i in range(600)] == want
+    assert len(turns) > 1
