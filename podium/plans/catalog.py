@@ -257,14 +257,17 @@ def q_exclude_history(spark, d):
                                     ["user_id", "podcast_id"], "left_anti")
 
 
-def _scored_candidates(p: Prepared) -> DataFrame:
+def _popular_candidates(p: Prepared) -> DataFrame:
     pop = collab.popularity(p.train)
     c = (_test_candidates(p).join(p.train.select("user_id", "podcast_id"), ["user_id", "podcast_id"], "left_anti")
-         .join(pop.select("podcast_id", "pop_score"), "podcast_id", "left")
-         .join(p.items.select("podcast_id", "category"), "podcast_id", "left"))
+         .join(pop.select("podcast_id", "pop_score"), "podcast_id", "left"))
     return c.withColumn("score", F.coalesce("pop_score", F.lit(0.0))).drop("pop_score")
 
 
+def _scored_candidates(p: Prepared) -> DataFrame:
+    return _popular_candidates(p).join(p.items.select("podcast_id", "category"), "podcast_id", "left")
+
+
 def q_topk_per_user(spark, d):
     top = rank.topk_per_group(_scored_candidates(prepared(spark, d)), TOP_K, "score", out_col="rank")
     return top.select("user_id", "podcast_id", r6("score").alias("score"), F.col("rank").cast("long"))
@@ -283,9 +286,12 @@ def q_mmr_rerank(spark, d):
 
 
 def q_response_shape(spark, d):
-    """Serving projection of the top-k list."""
+    """Serving projection of the top-k list. The items' columns are joined
+    to each user's first k candidates, not to all; where an id has several item
+    rows, its rows count as places of their own."""
     p = prepared(spark, d)
-    top = rank.topk_per_group(_scored_candidates(p), TOP_K, "score", out_col="rank")
+    first = rank.topk_per_group(_popular_candidates(p), TOP_K, "score")
+    top = rank.topk_per_group(first.join(p.items.select("podcast_id", "category"), "podcast_id", "left"), TOP_K, "score", out_col="rank")
     meta = p.items.select("podcast_id", "title", "description")
     j = top.join(meta, "podcast_id", "left")
     return j.select(F.col("user_id").cast("string"), F.col("podcast_id").cast("string"),
