@@ -31,6 +31,8 @@ REMEMBERED = 500_000
 #: Words indexed together, and code points split together.
 INDEXED = 50_000
 PASS_CHARS = 1 << 20
+#: Code points whose class the driver asks for at a time.
+CLASS_POINTS = 1 << 12
 _LETTER, _NUMBER, _OTHER = 1, 2, 3
 # Fixed value: the split pattern that this encoder follows.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -67,10 +69,14 @@ def _classes() -> bytes:
     library's own pattern engine (Unicode versions differ in newer signs)."""
     from tokenizers import Regex, pre_tokenizers
     out = np.full(0x110000, _OTHER, np.uint8)
-    text = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (0, r"\s")):
-        for run, _ in pre_tokenizers.Split(Regex(f"(?:{pattern})+"), "removed", invert=True).pre_tokenize_str(text):
-            out[[ord(c) for c in run]] = kind
+    kinds = [(kind, pre_tokenizers.Split(Regex(f"(?:{pattern})+"), "removed", invert=True))
+             for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (0, r"\s"))]
+    # the library keeps many bytes per sign of what it splits, so the tables are asked in short stretches
+    for first in range(0, 0x110000, CLASS_POINTS):
+        text = "".join(chr(c) for c in range(first, first + CLASS_POINTS) if not 0xD800 <= c < 0xE000)
+        for kind, split in kinds if text else ():
+            for run, _ in split.pre_tokenize_str(text):
+                out[[ord(c) for c in run]] = kind
     return out.tobytes()
 
 

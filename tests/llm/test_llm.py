@@ -351,6 +351,19 @@ def test_bpe_matches_the_library(spark, texts):
     assert bpe.bpe_encode(df.limit(0), bpe.default_path()).count() == 0
 
 
+def test_bpe_class_table_takes_little_driver_memory():
+    """The driver asks the library for the classes in short stretches; all code points at once cost over 200 MB."""
+    import os
+    import subprocess
+    import sys
+    code = ("import tokenizers\nfrom podium.llm import bpe\n"
+            "peak = lambda: int(open('/proc/self/status').read().split('VmHWM:')[1].split()[0])\n"
+            "before = peak()\nbpe._classes()\nprint(peak() - before)")
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 64 << 10          # kB
+
+
 # privacy ---------------------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
