@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -128,6 +129,72 @@ def test_boosting_rows_are_dealt_by_cores_and_number(spark, monkeypatch):
     assert seen == [(spark.sparkContext.defaultParallelism, 100), (10, 100)]
 
 
+def _ranker_tables(spark, n_items, times=1):
+    rng = np.random.default_rng(3)
+    items = spark.createDataFrame([(f"p{i}", f"c{i % 4}", int(rng.integers(1, 60)), int(rng.integers(1, 90)), float(rng.lognormal(3, 2)), int(rng.integers(2000, 2005)))
+                                   for i in range(n_items)],
+                                  "podcast_id string, category string, avg_duration_min int, total_episodes long, play_count double, release_year int")
+    rows = [(f"u{rng.integers(0, 40)}", f"p{rng.integers(0, n_items)}", float(rng.integers(1, 51)) / 10) for _ in range(1500)]
+    train = spark.createDataFrame(rows * times, "user_id string, podcast_id string, rating double")
+    return train, items
+
+
+def test_boosting_on_groups_is_boosting_on_rows(spark, monkeypatch):
+    """Up to 32 values a feature: same trees. The groups do not grow with copies of the rows."""
+    from pyspark.ml.regression import GBTRegressor
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, data: seen.append(data.count()) or fit(self, data))
+    # shares of five values only, so that every feature has at most 32
+    monkeypatch.setattr(rank, "category_prefs", lambda t, i, real=rank.category_prefs: real(t, i).withColumn("share", F.round(F.col("share") * 10) / 10))
+    scores = []
+    for rows, times in ((10_000, 1), (1_000, 1), (1_000, 3)):
+        monkeypatch.setattr(rank, "ALL_ROWS", rows)
+        train, items = _ranker_tables(spark, 30, times)
+        rm = rank.fit_ranker(train, items, n_trees=6)
+        df = train.distinct().select("user_id", "podcast_id").join(items, "podcast_id")
+        scores.append({(r.user_id, r.podcast_id): r.ranker_score for r in rank.predict(rm, df).collect()})
+    assert seen[0] == 1500 and seen[1] < 700 and seen[2] == seen[1]
+    for other in scores[1:]:
+        assert other == pytest.approx(scores[0], abs=1e-9)
+    assert len(set(scores[0].values())) > 10
+
+
+def test_splits_part_rows_as_they_part_groups(spark, monkeypatch):
+    """More than 32 values a feature: a row and the group it was added to get the same score."""
+    train, items = _ranker_tables(spark, 400)
+    monkeypatch.setattr(rank, "ALL_ROWS", 100)
+    kept = []
+    groups = rank.binned_groups
+    monkeypatch.setattr(rank, "binned_groups", lambda frame, values: kept.append((frame, values)) or groups(frame, values))
+    rm = rank.fit_ranker(train, items, n_trees=6)
+    (frame, values), = kept
+    assert max(len(v) for v in values.values()) == rank.BINS and values["collab_score"] == [0.0]
+    raw = rm.model.transform(frame).agg(F.count("*").alias("n"), F.sum("ranker_score").alias("s"), F.sum("rating").alias("r")).first()
+    g = rm.model.transform(groups(frame, values))
+    got = g.agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("ranker_score")).alias("s"), F.sum(F.col("weight") * F.col("rating")).alias("r")).first()
+    assert (got.n, got.s, got.r) == (raw.n, pytest.approx(raw.s, abs=1e-6), pytest.approx(raw.r, abs=1e-6))
+    nearest = [[min(values[c], key=lambda v, x=r[c]: (abs(v - x), v)) for c in rank.FEATURE_COLS] for r in frame.collect()]
+    assert {tuple(r[c] for c in rank.FEATURE_COLS) for r in groups(frame, values).collect()} == {tuple(x) for x in nearest}
+
+
+def test_a_missing_rating_is_refused_by_the_grouped_fit_too(spark, monkeypatch):
+    train, items = _ranker_tables(spark, 30)
+    train = train.unionByName(train.limit(1).withColumn("rating", F.lit(None).cast("double")))
+    for rows in (10_000, 100):
+        monkeypatch.setattr(rank, "ALL_ROWS", rows)
+        with pytest.raises(Exception):
+            rank.fit_ranker(train, items, n_trees=1)
+
+
+def test_bins_with_splits_that_no_double_sets_apart():
+    a = 1.0
+    b = np.nextafter(a, 2.0)
+    c = np.nextafter(b, 2.0)
+    for values in ([a, b, c, 2.0], [0.0], [-np.inf, 0.0, np.inf], [5e-324, 1e-323, 1.0]):
+        kept, edges = rank._bin_edges([float(v) for v in values])
+        assert len(edges) == len(kept) - 1 and edges == sorted(set(edges)) and all(np.isfinite(edges))
+
+
 def test_response_joins_items_to_the_first_rows_only(spark, monkeypatch):
     """An id with two item rows takes two places; items join what the top-k left."""
     from types import SimpleNamespace
