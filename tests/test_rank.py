@@ -186,6 +186,15 @@ def test_a_missing_rating_is_refused_by_the_grouped_fit_too(spark, monkeypatch):
             rank.fit_ranker(train, items, n_trees=1)
 
 
+def test_bin_values_use_every_bin():
+    """Frequent values take one bin and leave the rest to the others; few values keep one each."""
+    assert rank._chosen([1.0, 2.0, 2.0, 5.0]) == [1.0, 2.0, 5.0] and rank._chosen([]) == []
+    assert rank._chosen([float(i) for i in range(1_024)]) == [32.0 * i + 16 for i in range(32)]
+    for sample in ([0.0] * 900 + [float(i) for i in range(124)], [float(i) for i in range(100)] + [200.0] * 900, [float(i) for i in range(33)]):
+        got = rank._chosen(sample)
+        assert len(got) == rank.BINS and got == sorted(set(got)) and set(got) <= set(sample)
+
+
 def test_bins_with_splits_that_no_double_sets_apart():
     a = 1.0
     b = np.nextafter(a, 2.0)
