@@ -91,6 +91,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64))
+_LOWER_CODE = _BYTE_CODE[_LOWER]
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -192,7 +193,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray):
     after[cuts[cuts > 0] - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+    return starts, ends, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray):
@@ -200,7 +201,7 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray):
     starts, ends, row = word_spans(data, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), row
-    return span_hashes(_BYTE_CODE[_LOWER[data]], starts, ends), row
+    return span_hashes(_LOWER_CODE[data], starts, ends), row
 
 
 def words_by_pass(col):

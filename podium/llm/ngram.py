@@ -128,10 +128,11 @@ def grams(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str
     """Exploded n-grams of k words: one row per different text of a batch and
     different n-gram in it. ``copies`` is how often the batch holds the text,
     ``own`` how often the text holds the n-gram; ``head`` and ``tail`` are the
-    hashes of it without its last and first word (k = 1: ``tail`` is the word
-    and ``head`` 0), followed by the own counts of head, tail and middle. Only
-    n-grams whose hash falls into slice ``part`` of ``parts``."""
-    names = ["k1", "k2", "head", "tail", "own", "copies", "own_head", "own_tail", "own_mid"]
+    hashes of it without its last and first word, followed by the own counts of
+    head, tail and middle (k = 1: ``tail`` is the word, and nothing after it but
+    ``own`` and ``copies``; k = 2: no middle). Only n-grams whose hash falls
+    into slice ``part`` of ``parts``."""
+    names = ["k1", "k2", "tail", "own", "copies", "head", "own_head", "own_tail", "own_mid"][:{1: 5, 2: 8}.get(k, 9)]
 
     def run(batches):
         for b in batches:
@@ -148,11 +149,12 @@ def grams(docs: DataFrame, k: int, part: int = 0, parts: int = 1, text_col: str
                     continue
                 first, own = _own(row[at], ids[-1][at])
                 g, own = at[first], own[first]
-                zero = np.zeros(len(g), np.int64)
-                shorter = [_held(row, ids[m], m) if m >= 0 else None for m in (k - 2, k - 3)]
-                cols = [keys[i + row[g], 0], keys[i + row[g], 1], ids[k - 2][g - 1].view(np.int64) if k > 1 else zero,
-                        ids[max(k - 2, 0)][g].view(np.int64), own, copies[i + row[g]], shorter[0][g - 1] if k > 1 else zero,
-                        shorter[0][g] if k > 1 else zero, shorter[1][g - 1] if k > 2 else zero]
+                cols = [keys[i + row[g], 0], keys[i + row[g], 1], ids[max(k - 2, 0)][g].view(np.int64), own, copies[i + row[g]]]
+                if k > 1:
+                    held = _held(row, ids[k - 2], k - 2)
+                    cols += [ids[k - 2][g - 1].view(np.int64), held[g - 1], held[g]]
+                if k > 2:
+                    cols.append(_held(row, ids[k - 3], k - 3)[g - 1])
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names)
     return map_arrow(docs.select(text_col), run, ", ".join(f"{n} long" for n in names))
 
@@ -176,10 +178,25 @@ def _gram_id(k: int):
     return made
 
 
-def _added(rows: DataFrame, counts: DataFrame, on: list[str], term) -> DataFrame:
+def _joined(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows of n-grams of two words and more with their counts. Both sides carry
+    96 bits of (head, tail) in their place: 64 to join by, 32 more to compare
+    (as no key, so that the join has a single long)."""
+    def short(df, check):
+        return df.withColumns({"id": F.xxhash64("head", "tail"), check: F.hash("head", "tail")}).drop("head", "tail")
+    return short(rows, "check").join(short(counts, "_check"), "id").where(F.col("check").bitwiseXOR(F.col("_check")) == 0)
+
+
+def _text_key(texts: DataFrame) -> list[str]:
+    """The columns that tell texts apart: half of the key where no two different texts share it."""
+    shared = texts.groupBy("k1").agg(F.min("k2").alias("a"), F.max("k2").alias("z")).where("a <> z")
+    return ["k1", "k2"] if shared.limit(1).count() else ["k1"]
+
+
+def _added(joined: DataFrame, key: list[str], term) -> DataFrame:
     """Per text the number of n-grams left and the sum of ``term`` over them; copies count each time."""
     times = F.col("own") * F.col("copies")
-    return rows.join(counts, on).groupBy("k1", "k2").agg(F.sum(times).alias("n"), F.sum(times * term).alias("s"))
+    return joined.groupBy(*key).agg(F.sum(times).alias("n"), F.sum(times * term).alias("s"))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
@@ -207,11 +224,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         spark.conf.set(k, v)
     try:
         texts = materialize(_texts(docs, id_col, text_col), "lm-texts")
+        key = _text_key(texts)
         known = materialize(gram_counts(docs, 1, text_col=text_col).select(
             F.col("tail").alias("id"), "c", F.lit(None).cast("long").alias("c_tail")), "lm-words")
-        found = [materialize(_added(grams(docs, 1, text_col=text_col),
-                                    known.select(F.col("id").alias("tail"), "c"), ["tail"],
-                                    F.log(F.col("c") - F.col("own"))), "lm-found").withColumn("k", F.lit(1))]
+        words = grams(docs, 1, text_col=text_col).join(known.select(F.col("id").alias("tail"), "c"), "tail")
+        found = [materialize(_added(words, key, F.log(F.col("c") - F.col("own"))), "lm-found").withColumn("k", F.lit(1))]
         for k in range(2, order + 1):
             tables = []
             for part in range(slices):
@@ -223,30 +240,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 term = F.log(left) - F.log(F.col("c_head") - F.col("own_head")) - F.log(F.col("c_tail") - F.col("own_tail"))
                 if k > 2:
                     term = term + F.log(F.col("c_mid") - F.col("own_mid"))
-                found.append(materialize(_added(grams(docs, k, part, slices, text_col), tables[-1], ["head", "tail"], term),
-                                         "lm-found").withColumn("k", F.lit(k)))
+                joined = _joined(grams(docs, k, part, slices, text_col), tables[-1])
+                found.append(materialize(_added(joined, key, term), "lm-found").withColumn("k", F.lit(k)))
             if k < order:
                 every = tables[0]
                 for t in tables[1:]:
                     every = every.unionByName(t)
                 known = materialize(every.select(_gram_id(k)("head", "tail").alias("id"), "c", "c_tail"), "lm-known")
-        return _scores(texts, found, alpha, order)
+        return _scores(texts, found, key, alpha, order)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _scores(texts: DataFrame, found: list[DataFrame], alpha: float, order: int) -> DataFrame:
+def _scores(texts: DataFrame, found: list[DataFrame], key: list[str], alpha: float, order: int) -> DataFrame:
     total = texts.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("total"))
     rows = found[0]
     for f in found[1:]:
         rows = rows.unionByName(f)
-    copies = texts.groupBy("k1", "k2").agg(F.count("*").alias("m"))
-    sums = rows.groupBy("k1", "k2").agg(F.sum("s").alias("s"), *[
+    copies = texts.groupBy(*key).agg(F.count("*").alias("m"))
+    sums = rows.groupBy(*key).agg(F.sum("s").alias("s"), *[
         F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(1, order + 1)])
-    sums = copies.join(sums, ["k1", "k2"]).select("k1", "k2", (F.col("s") / F.col("m")).alias("s"), *[
+    sums = copies.join(sums, key).select(*key, (F.col("s") / F.col("m")).alias("s"), *[
         F.coalesce((F.col(f"n{k}") / F.col("m")).cast("long"), F.lit(0)).alias(f"n{k}") for k in range(1, order + 1)])
-    out = texts.join(sums, ["k1", "k2"], "left").crossJoin(F.broadcast(total)).fillna(0, ["s", *[f"n{k}" for k in range(1, order + 1)]])
+    out = texts.join(sums, key, "left").crossJoin(F.broadcast(total)).fillna(0, ["s", *[f"n{k}" for k in range(1, order + 1)]])
     left = F.col("total") - F.col("n_words")
     lost = F.col("n_words") - F.col("n1")
     # every word as if by its own count, backed off from the longest n-gram there ...

@@ -256,6 +256,25 @@ def test_lm_scores_of_any_order(spark, order):
         line(i, len(w), left, s) for i, w, (s, left) in zip(ids, ws, want, strict=True))
 
 
+@pytest.mark.parametrize("clash", [False, True])
+def test_lm_rows_are_shuffled_by_short_keys(spark, monkeypatch, clash):
+    """Exploded rows carry half of the text's key, unless two texts share it, and one long for an n-gram."""
+    if clash:
+        real = ngram._keys
+        monkeypatch.setattr(ngram, "_keys", lambda data, offsets: np.column_stack([np.zeros(len(offsets) - 1, np.int64), real(data, offsets)[:, 1]]))
+    plans, write = [], ngram.materialize
+    monkeypatch.setattr(ngram, "materialize", lambda df, label: plans.append((label, df._jdf.queryExecution().optimizedPlan().toString())) or write(df, label))
+    texts = ["a b a c", "b a b", "a b a c", None, "", "c a b a", "new words only", "b"]
+    got = ngram.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    ws = [words(t) for t in texts]
+    want = {d: backoff(ws, d, 2) for d in range(len(ws))}
+    assert {r.doc_id: (round(r.log_score, 9), [r.n_bigrams_left]) for r in got} == {d: (round(s, 9) + 0.0, left) for d, (s, left) in want.items()}
+    pairs = [p for label, p in plans if label == "lm-found"][1:]
+    joins = [line for p in pairs for line in p.splitlines() if "Join Inner" in line]
+    assert len(pairs) == ngram.SLICES and len(joins) == len(pairs) and all("id#" in x and "head#" not in x and "tail#" not in x for x in joins)
+    assert all(("Aggregate [k1#" in p) and (("k2#" in p.split("Join Inner")[0]) == clash) for p in pairs)
+
+
 def test_lm_hot_ngram_and_copies(spark):
     """A third of the rows are one text, every text holds one bigram, one text is long."""
     texts = ["hot pair of words"] * 200 + [f"hot pair u{i} v{i}" for i in range(399)] + ["hot pair " * 120_000]
