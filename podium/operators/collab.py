@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dot
-from ..session import reliable_checkpoint, ship_package
-from .factor import truncated_svd
+from ..session import reliable_checkpoint, ship_package, shuffles_dropped, written
+from . import factor
 from .sampling import uniform01
 
 
@@ -61,6 +61,7 @@ class CFModel:
     popularity: DataFrame     # podcast_id, n, pop_share, pop_score
     n_factors: int
     singular_values: list
+    blocks: factor.Factors | None = None
     _tables: tuple | None = field(default=None, repr=False)
 
     def scoring_tables(self):
@@ -78,10 +79,13 @@ class CFModel:
 
 
 def _centred_cells(train, user_index, item_index, n_items):
-    cells = rating_matrix(train, user_index, item_index)
-    means = user_means(cells, user_index, n_items)
-    centred = cells.join(means.select("user_idx", "mu"), "user_idx").select(
-        "user_idx", "podcast_idx", (F.col("value") - F.col("mu")).alias("v"))
+    """(cells less their user's mean without those that vanish, user means), both written."""
+    with shuffles_dropped(train.sparkSession):
+        cells = written(rating_matrix(train, user_index, item_index), "cf-cells")
+        means = written(user_means(cells, user_index, n_items), "cf-means")
+        centred = written(cells.join(means.select("user_idx", "mu"), "user_idx").select(
+            "user_idx", "podcast_idx", (F.col("value") - F.col("mu")).alias("v")).where("v <> 0"), "cf-centred")
+    factor.drop(cells)
     return centred, means
 
 
@@ -106,17 +110,17 @@ def fit_cf(train: DataFrame, user_index: DataFrame, item_index: DataFrame,
     ship_package(spark)
     n_items = int(item_index.count())
     centred, means = _centred_cells(train, user_index, item_index, n_items)
-    centred = reliable_checkpoint(centred.where("v <> 0"))
-    k = max(1, min(int(n_factors), n_items))
+    k, blocks = max(1, min(int(n_factors), n_items)), None
     if centred.isEmpty():
         none = lambda idx: spark.createDataFrame([], f"{idx} int, factors array<double>")
         users, items, s, k = none("user_idx"), none("podcast_idx"), [0.0], 1
     elif method == "als":
         users, items, s = _als_factors(centred, k, seed)
     else:
-        users, items, s = truncated_svd(centred, "user_idx", "podcast_idx", user_index.count(), n_items, k, seed)
+        blocks = factor.factorised(centred, "user_idx", "podcast_idx", user_index.count(), n_items, k, seed, spent=True)
+        users, items, s = blocks.row_vectors("user_idx"), blocks.col_vectors("podcast_idx"), blocks.values
         k = len(s)
-    return CFModel(users, items, means, user_index, item_index, popularity(train), k, s)
+    return CFModel(users, items, means, user_index, item_index, popularity(train), k, s, blocks)
 
 
 # Largest item table (index, factors, popularity) broadcast to every task.
@@ -129,8 +133,11 @@ def raw_cf_scores(model: CFModel, pairs: DataFrame) -> DataFrame:
 
     Candidate rows are shuffled once, without arrays, against the per-user
     table; the item table is broadcast when its size (items x factors) is
-    under ``BROADCAST_ITEM_BYTES`` so the dot products run in the same stage,
-    and joined by shuffle beyond that bound."""
+    under ``BROADCAST_ITEM_BYTES`` so the dot products run in the same stage.
+    Beyond that bound the products come from the model's factor blocks, and no
+    vector is shuffled (a model without blocks: joined by shuffle)."""
+    if model.blocks is not None and model.item_index.count() * (model.n_factors + 4) * 8 > BROADCAST_ITEM_BYTES:
+        return _raw_by_blocks(model, pairs)
     zero = F.array_repeat(F.lit(0.0), model.n_factors)
     users, items, n_items = model.scoring_tables()
     if n_items * (model.n_factors + 4) * 8 <= BROADCAST_ITEM_BYTES:
@@ -143,6 +150,29 @@ def raw_cf_scores(model: CFModel, pairs: DataFrame) -> DataFrame:
     return j.select(*pairs.columns, known.alias("known_user"), score.alias("collab_score"))
 
 
+def _raw_by_blocks(model: CFModel, pairs: DataFrame) -> DataFrame:
+    """The scores of distinct pairs step by step, each written and the one before
+    dropped, so that at most one join's shuffle files lie beside the factors."""
+    items = model.item_index.join(model.popularity.select("podcast_id", "pop_score"), "podcast_id", "full_outer")
+    users = model.user_means.select("user_id", "user_idx", "mu")
+    with shuffles_dropped(pairs.sparkSession):
+        asked = written(pairs.select("user_id", "podcast_id").distinct().join(users, "user_id", "left"), "cf-asked")
+        numbered = written(asked.join(items, "podcast_id", "left"), "cf-numbered")
+        factor.drop(asked)
+        dots = factor.pair_products(model.blocks, numbered.where("user_idx is not null and podcast_idx is not null").select(
+            "user_idx", "podcast_idx").distinct(), "user_idx", "podcast_idx", "_dot")
+        known = F.col("user_idx").isNotNull()
+        cf = F.when(F.col("podcast_idx").isNull(), F.lit(0.0)).otherwise(F.col("mu") + F.coalesce("_dot", F.lit(0.0)))
+        score = F.when(known, cf).otherwise(F.coalesce(F.col("pop_score"), F.lit(0.0)))
+        scores = written(numbered.join(dots, ["user_idx", "podcast_idx"], "left").select(
+            F.col("user_id").alias("_u"), F.col("podcast_id").alias("_p"), known.alias("known_user"), score.alias("collab_score")), "cf-scores")
+        factor.drop(numbered)
+        factor.drop(dots)
+        out = written(pairs.join(scores, F.col("user_id").eqNullSafe(F.col("_u")) & F.col("podcast_id").eqNullSafe(F.col("_p")), "left").drop("_u", "_p"), "cf-raw")
+    factor.drop(scores)
+    return out
+
+
 def minmax_by_group(df: DataFrame, score: str, group: str = "user_id",
                     require_spread: bool = True, only_when=None, bounded: bool = False) -> DataFrame:
     """Per-group min-max scaling (N8/A10/A11). Scaling applies when the group

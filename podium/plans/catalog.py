@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import py_strip, ts_string
-from ..operators import collab, monitor, prepare, rank, retrieve
+from ..operators import collab, factor, monitor, prepare, rank, retrieve
 from ..sources import views
 
 MIN_INTERACTIONS = 5
@@ -34,7 +34,7 @@ class Prepared:
 
     @property
     def sold(self):
-        """The lineitem x orders join, written once; both tables derive from it."""
+        """The lineitem x orders join, written once; both tables derive from it, and it goes when they are there."""
         if self._sold is None:
             self._sold = self._table("sold", views.sold_lines(self.spark, self.sf_dir))
         return self._sold
@@ -45,12 +45,13 @@ class Prepared:
 
     def _table(self, name: str, df: DataFrame, partition_by=None) -> DataFrame:
         import uuid
-        from ..session import scratch_path
+        from ..session import scratch_path, shuffles_dropped
         path = scratch_path(self.spark, f"prepared-{name}-{uuid.uuid4().hex}")
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
-        w.parquet(path)
+        with shuffles_dropped(self.spark):
+            w.parquet(path)
         return self.spark.read.parquet(path)
 
     @property
@@ -62,8 +63,11 @@ class Prepared:
     @property
     def active(self):
         if self._active is None:
+            _ = self.items
             self._active = self._table(
                 "active", prepare.filter_active_users(self.interactions, MIN_INTERACTIONS))
+            factor.drop(self._sold)
+            self._sold = None
         return self._active
 
     def split(self):

@@ -69,23 +69,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: For tables of few rows of megabytes each: readers hold one row group at a time.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "4", "parquet.page.size.row.check.max": "4"}
+
+
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written once to the shared folder; it reads back the same rows."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Within, the shuffle files of a query go as soon as it ends."""
-    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    was = spark.conf.get(conf, None)
-    spark.conf.set(conf, "true")
+def conf_set(spark: SparkSession, values: dict[str, str]):
+    """Within, these settings hold."""
+    was = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(conf) if was is None else spark.conf.set(conf, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Within, the shuffle files of a query go as soon as it ends."""
+    return conf_set(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 _SHIPPED: set = set()
