@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, fill0, safe_div
 from .collab import minmax_by_group
+from .factor import drop
 
 # The ranker's feature list, in order.
 FEATURE_COLS = [
@@ -123,8 +124,9 @@ class RankerModel:
     def prefs_by_user(self) -> DataFrame:
         """The per-user share map, written once."""
         if self._map is None:
-            from ..session import reliable_checkpoint
-            self._map = reliable_checkpoint(prefs_map(self.prefs))
+            from ..session import shuffles_dropped, written
+            with shuffles_dropped(self.prefs.sparkSession):
+                self._map = written(prefs_map(self.prefs), "prefs-map")
         return self._map
 
 
@@ -207,9 +209,10 @@ def fit_ranker(train: DataFrame, items: DataFrame, n_trees: int = 100,
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    from ..session import reliable_checkpoint
+    from ..session import shuffles_dropped, written
     from .boost import GroupBoosting
-    prefs = reliable_checkpoint(category_prefs(train, items))  # re-joined at every prediction
+    with shuffles_dropped(train.sparkSession):
+        prefs = written(category_prefs(train, items), "prefs")      # re-joined at every prediction
     norms = collect_norms(items)
     tf = training_frame(train, items, norms, prefs).select(*FEATURE_COLS, "rating")
     assembler = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features")
@@ -219,9 +222,10 @@ def fit_ranker(train: DataFrame, items: DataFrame, n_trees: int = 100,
         maxDepth=max_depth, seed=seed, lossType="squared", cacheNodeIds=False)
     try:
         if n > ALL_ROWS:
-            held.append(tf.persist(StorageLevel.MEMORY_AND_DISK))
-            tf = reliable_checkpoint(binned_groups(tf, bin_values(tf)))
-            held.pop().unpersist()
+            with shuffles_dropped(train.sparkSession):
+                frame = written(tf, "ranker-frame")
+                tf = written(binned_groups(frame, bin_values(frame)), "ranker-groups")
+            drop(frame)
             n = tf.count()
             # enough bins allowed that MLlib looks at every group for the bin values, none is drawn
             gbt = gbt.setWeightCol("weight").setMaxBins(max(BINS, math.isqrt(n) + 1))
