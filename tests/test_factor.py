@@ -98,3 +98,25 @@ def test_large_rows_lie_in_small_row_groups(spark):
     found = [pq.ParquetFile("/" + f.removeprefix("file:").lstrip("/")).metadata for f in factor.written(df, "large", factor._PLAIN).inputFiles()]
     sizes = [m.row_group(i).total_byte_size for m in found for i in range(m.num_row_groups)]
     assert sum(sizes) > 40 << 20 and max(sizes) <= 24 << 20
+
+
+@pytest.mark.parametrize("group, share", [(128 << 20, 1 << 16), (2 * 16 * 15 * 8, 60)])
+def test_extremes_over_a_pool_less_own_exclusions(spark, monkeypatch, group, share):
+    monkeypatch.setattr(factor, "IDS", 16)
+    monkeypatch.setattr(factor, "GROUP_BYTES", group)
+    monkeypatch.setattr(factor, "SHARE_CELLS", share)
+    cells, _ = _cells(spark)
+    f = factor.factorised(cells, "user_idx", "podcast_idx", 90, 140, 5, rounds=1)
+    P, Q = _dense(f.row_vectors("user_idx"), "user_idx", 95, 5), _dense(f.col_vectors("podcast_idx"), "podcast_idx", 150, 5)
+    rng = np.random.default_rng(6)
+    asked = [*range(0, 88, 3), 92]                              # 92 has no vector
+    pool = [int(j) for j in rng.choice(150, 70, replace=False)]  # from 140 on: no vector
+    out = {(int(i), int(j)) for i, j in zip(rng.choice(asked, 400), rng.integers(0, 150, 400))} | {(3, j) for j in pool}
+    out |= {(6, j) for j in pool if j != pool[0]} | {(4, pool[0])}      # one left; a user nobody asked for
+    got = factor.extremes(f, spark.createDataFrame([(i,) for i in asked], "user_idx int"), spark.createDataFrame(sorted(out), "user_idx int, podcast_idx int"),
+                          spark.createDataFrame([(j,) for j in pool], "podcast_idx int"), "user_idx", "podcast_idx").collect()
+    assert sorted(r.user_idx for r in got) == asked
+    for r in got:
+        left = [P[r.user_idx] @ Q[j] for j in pool if (r.user_idx, j) not in out]
+        assert (r.lo, r.hi) == (pytest.approx(min(left), abs=1e-10), pytest.approx(max(left), abs=1e-10)) if left else (r.lo, r.hi) == (np.inf, -np.inf)
+    assert any(r.user_idx == 3 and r.lo == np.inf for r in got)
